@@ -14,15 +14,44 @@ from pyspark.sql import functions as F
 
 from tidemark.functions.columns import col
 
+#: Cells per group. A cell of an evenly spread group holds 1/4096 of its distinct values.
 GRID = 4096
 
 
-def _cells(values: DataFrame, keys: Sequence[str], span: DataFrame) -> DataFrame:
-    """Grid cell of each value: linear between the group's own minimum and maximum, so monotone in the value."""
+def rank_cells(df: DataFrame, keys: Sequence[str], value: str | Column) -> DataFrame:
+    """Distinct values per key with their count `_c` and grid cell `_cell` (monotone in the value).
+
+    The key is packed into the struct `_k`, so that a NULL key stays a group of its own through the joins.
+    """
+    x = col(value).cast("double")
+    counts = (
+        df.select(F.struct(*keys).alias("_k"), x.alias("_x"))
+        .filter(F.col("_x").isNotNull() & ~F.isnan("_x"))
+        .groupBy("_k", "_x")
+        .agg(F.count(F.lit(1)).alias("_c"))
+    )
+    span = counts.groupBy("_k").agg(F.min("_x").alias("_min"), F.max("_x").alias("_max"))
     width = F.col("_max") - F.col("_min")
     cell = F.when(width > 0, F.least(F.floor((F.col("_x") - F.col("_min")) / width * GRID), F.lit(GRID - 1)))
-    joined = values.join(span, list(keys)) if keys else values.crossJoin(F.broadcast(span))
-    return joined.withColumn("_cell", F.coalesce(cell, F.lit(0)).cast("int")).drop("_min", "_max")
+    return (
+        counts.join(span, "_k").withColumn("_cell", F.coalesce(cell, F.lit(0)).cast("int")).drop("_min", "_max")
+    )
+
+
+def cell_counts(cells: DataFrame) -> DataFrame:
+    """Per (key, cell): rows before the cell (`_before`), rows up to it (`_upto`), rows of the key (`_n`).
+
+    At most :data:`GRID` rows per key, so this window is small whatever the size of the key.
+    """
+    upto = Window.partitionBy("_k").orderBy("_cell").rowsBetween(Window.unboundedPreceding, 0)
+    return (
+        cells.groupBy("_k", "_cell")
+        .agg(F.sum("_c").alias("_cc"))
+        .withColumn("_upto", F.sum("_cc").over(upto))
+        .withColumn("_n", F.sum("_cc").over(Window.partitionBy("_k")))
+        .withColumn("_before", F.col("_upto") - F.col("_cc"))
+        .drop("_cc")
+    )
 
 
 def exact_quantiles(
@@ -31,46 +60,41 @@ def exact_quantiles(
     """One row per key with a column per entry of `probs` (name -> probability), linear interpolation between
     closest ranks, NULL and NaN values left out. Groups without any value are absent."""
     if not keys:
-        whole = exact_quantiles(df.withColumn("_all", F.lit(0)), ["_all"], value, probs)
-        return whole.drop("_all")
-    keys = list(keys)
-    x = col(value).cast("double")
-    counts = (
-        df.select(*keys, x.alias("_x"))
-        .filter(F.col("_x").isNotNull() & ~F.isnan("_x"))
-        .groupBy(*keys, "_x")
-        .agg(F.count(F.lit(1)).alias("_c"))
-    )
-    span = counts.groupBy(*keys).agg(F.min("_x").alias("_min"), F.max("_x").alias("_max"))
-    cells = _cells(counts, keys, span)
-    # at most GRID rows per key from here on
-    grid = cells.groupBy(*keys, "_cell").agg(F.sum("_c").alias("_cc"))
-    upto = Window.partitionBy(*keys).orderBy("_cell").rowsBetween(Window.unboundedPreceding, 0)
-    grid = grid.withColumn("_upto", F.sum("_cc").over(upto)).withColumn(
-        "_n", F.sum("_cc").over(Window.partitionBy(*keys))
-    )
+        return exact_quantiles(df.withColumn("_all", F.lit(0)), ["_all"], value, probs).drop("_all")
+    cells = rank_cells(df, keys, value)
+    grid = cell_counts(cells)
     ranks = {}
     for i, p in enumerate(probs.values()):
         position = F.lit(float(p)) * (F.col("_n") - 1)
         ranks[f"_lo{i}"] = F.floor(position).cast("long")
         ranks[f"_hi{i}"] = F.ceil(position).cast("long")
     grid = grid.select("*", *[e.alias(n) for n, e in ranks.items()])
-    before = F.col("_upto") - F.col("_cc")
     wanted = F.lit(False)
     for n in ranks:
-        wanted = wanted | ((F.col(n) >= before) & (F.col(n) < F.col("_upto")))
-    hit = grid.filter(wanted).select(*keys, "_cell", before.alias("_before"), "_n", *ranks)
-    inside = Window.partitionBy(*keys, "_cell").orderBy("_x").rowsBetween(Window.unboundedPreceding, 0)
-    found = cells.join(hit, [*keys, "_cell"]).withColumn("_to", F.col("_before") + F.sum("_c").over(inside))
+        wanted = wanted | ((F.col(n) >= F.col("_before")) & (F.col(n) < F.col("_upto")))
+    hit = grid.filter(wanted).drop("_upto")
+    inside = Window.partitionBy("_k", "_cell").orderBy("_x").rowsBetween(Window.unboundedPreceding, 0)
+    found = cells.join(hit, ["_k", "_cell"]).withColumn("_to", F.col("_before") + F.sum("_c").over(inside))
     start = F.col("_to") - F.col("_c")
 
     def at(rank: str) -> Column:
         return F.max(F.when((F.col(rank) >= start) & (F.col(rank) < F.col("_to")), F.col("_x")))
 
-    picked = found.groupBy(*keys).agg(F.max("_n").alias("_n"), *[at(n).alias(f"{n}v") for n in ranks])
+    picked = found.groupBy("_k").agg(F.max("_n").alias("_n"), *[at(n).alias(f"{n}v") for n in ranks])
     out = []
     for i, (name, p) in enumerate(probs.items()):
         position = F.lit(float(p)) * (F.col("_n") - 1)
         lo, hi = F.col(f"_lo{i}v"), F.col(f"_hi{i}v")
         out.append((lo + (hi - lo) * (position - F.floor(position))).alias(name))
-    return picked.select(*keys, *out)
+    return picked.select("_k.*", *out)
+
+
+def with_quantiles(
+    grouped: DataFrame, df: DataFrame, keys: Sequence[str], value: str | Column, probs: Mapping[str, float]
+) -> DataFrame:
+    """Attach :func:`exact_quantiles` of `df` to an already grouped report over the same keys."""
+    q = exact_quantiles(df, keys, value, probs)
+    if not keys:
+        return grouped.join(q.withColumn("_one", F.lit(1)), F.lit(1) == F.col("_one"), "left").drop("_one")
+    packed = q.select(F.struct(*keys).alias("_k"), *probs)
+    return grouped.withColumn("_k", F.struct(*keys)).join(packed, "_k", "left").drop("_k")

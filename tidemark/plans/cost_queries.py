@@ -1,0 +1,627 @@
+"""Cost reports over the stand-in tables."""
+
+from __future__ import annotations
+
+from pyspark.sql import functions as F
+
+from tidemark.functions.columns import micros
+from tidemark.operators import costs as C
+from tidemark.plans.registry import query, rounded
+
+
+@query(
+    "a1_subject_costs",
+    """
+    SELECT subject, COUNT(*) AS n_records, COUNT(DISTINCT workflow_name) AS n_workflows,
+           ROUND(SUM(total_cost_usd), 4) AS total_cost_usd, ROUND(SUM(cpu_cost_usd), 4) AS cpu_cost_usd,
+           ROUND(SUM(memory_cost_usd), 4) AS memory_cost_usd, ROUND(SUM(gpu_cost_usd), 4) AS gpu_cost_usd,
+           ROUND(SUM(total_adjustment_usd), 4) AS total_adjustment_usd,
+           MAX(scrape_age_days) AS max_scrape_age_days, MIN(date) AS first_date, MAX(date) AS last_date
+    FROM costs GROUP BY subject""",
+)
+def subject_costs(t):
+    return rounded(C.subject_costs(t.costs), 4)
+
+
+@query(
+    "a2_step_costs",
+    """
+    SELECT step, phase, COUNT(*) AS n_pods, COUNT(DISTINCT subject) AS n_subjects,
+           ROUND(SUM(total_cost_usd), 4) AS total_cost_usd, ROUND(AVG(total_cost_usd), 4) AS mean_cost_usd,
+           MAX(total_cost_usd) AS max_cost_usd,
+           ROUND(SUM(cpu_cost_usd), 4) AS cpu_cost_usd, ROUND(SUM(memory_cost_usd), 4) AS memory_cost_usd,
+           ROUND(SUM(gpu_cost_usd), 4) AS gpu_cost_usd, ROUND(SUM(pv_cost_usd), 4) AS pv_cost_usd,
+           ROUND(AVG(runtime_minutes), 4) AS mean_runtime_minutes,
+           ROUND(AVG(cpu_efficiency), 4) AS mean_cpu_efficiency, ROUND(AVG(ram_efficiency), 4) AS mean_ram_efficiency,
+           ROUND(SUM(total_cost_usd) * 100.0 / SUM(SUM(total_cost_usd)) OVER (), 4) AS pct_of_total,
+           ROUND(QUANTILE_CONT(total_cost_usd, 0.5), 4) AS median_cost_usd,
+           ROUND(QUANTILE_CONT(total_cost_usd, 0.95), 4) AS p95_cost_usd
+    FROM pod_costs GROUP BY step, phase""",
+)
+def step_costs(t):
+    return rounded(C.step_costs(t.pod_costs), 4)
+
+
+@query(
+    "p1_cost_scope",
+    """
+    SELECT workflow_name, subject, date, total_cost_usd FROM costs
+    WHERE date >= '1997-01-01' AND date <= '1998-12-31'
+      AND subject IN (SELECT c_custkey FROM customer WHERE c_mktsegment = 'BUILDING')""",
+)
+def scoped_costs(t):
+    subjects = t.customer.filter(F.col("c_mktsegment") == "BUILDING").select("c_custkey")
+    scoped = C.cost_scope(t.costs, subjects, "1997-01-01", "1998-12-31")
+    return scoped.select("workflow_name", "subject", "date", "total_cost_usd")
+
+
+_SAVINGS = """
+    SELECT {group} COUNT(*) AS n_pods, ROUND(SUM(total_cost_usd), 4) AS actual_cost_usd,
+           ROUND(SUM(CASE WHEN m IS NOT NULL THEN total_cost_usd END), 4) AS priced_cost_usd,
+           ROUND(SUM((cpu_cost_usd + memory_cost_usd + gpu_cost_usd) * m + pv_cost_usd + network_cost_usd), 2)
+               AS ondemand_cost_usd,
+           ROUND(AVG(m), 6) AS mean_multiplier,
+           ROUND(SUM((cpu_cost_usd + memory_cost_usd + gpu_cost_usd) * m + pv_cost_usd + network_cost_usd)
+               - SUM(CASE WHEN m IS NOT NULL THEN total_cost_usd END), 2) AS savings_usd,
+           ROUND(COALESCE(SUM(CASE WHEN m IS NOT NULL THEN total_cost_usd END), 0) / NULLIF(SUM(total_cost_usd), 0), 6)
+               AS coverage_frac
+    FROM (SELECT *, CASE WHEN node_effective_usd_per_hour > 0 AND node_ondemand_usd_per_hour > 0
+                         THEN node_ondemand_usd_per_hour / node_effective_usd_per_hour END AS m FROM pod_costs) {by}"""
+_SAVINGS_DIGITS = {"ondemand_cost_usd": 2, "savings_usd": 2, "actual_cost_usd": 4, "priced_cost_usd": 4}
+
+
+@query("a3_list_price_savings", _SAVINGS.format(group="", by=""))
+def savings(t):
+    return rounded(C.list_price_savings(t.pod_costs), 6, **_SAVINGS_DIGITS)
+
+
+@query("a3_list_price_savings_by_step", _SAVINGS.format(group="step,", by="GROUP BY step"))
+def savings_by_step(t):
+    return rounded(C.list_price_savings(t.pod_costs, "step"), 6, **_SAVINGS_DIGITS)
+
+
+@query(
+    "j4_run_costs",
+    """
+    WITH pod AS (SELECT workflow_name, step, subject, session, SUM(total_cost_usd) AS total, SUM(cpu_cost_usd) AS cpu,
+                        SUM(memory_cost_usd) AS mem, SUM(gpu_cost_usd) AS gpu, MAX(date) AS date,
+                        MAX(scrape_age_days) AS scrape_age_days
+                 FROM pod_costs GROUP BY ALL),
+    runs AS (SELECT workflow_name, CASE step WHEN 'N' THEN 'A' ELSE step END AS step, subject, session, task, run
+             FROM step_outcomes WHERE step <> 'R'),
+    n AS (SELECT workflow_name, step, subject, session, COUNT(*) AS n_runs_in_pod FROM runs GROUP BY ALL)
+    SELECT workflow_name, step, subject, session, task, run, n_runs_in_pod, ROUND(total / n_runs_in_pod, 6) AS total_cost_usd,
+           ROUND(cpu / n_runs_in_pod, 6) AS cpu_cost_usd, ROUND(mem / n_runs_in_pod, 6) AS memory_cost_usd,
+           ROUND(gpu / n_runs_in_pod, 6) AS gpu_cost_usd, date, scrape_age_days
+    FROM runs JOIN n USING (workflow_name, step, subject, session)
+              JOIN pod USING (workflow_name, step, subject, session)""",
+)
+def run_costs(t):
+    return rounded(
+        C.run_costs(t.pod_costs, t.step_outcomes, rename_steps={"N": "A"}, drop_steps=["R"], absent=None), 6
+    )
+
+
+@query(
+    "j3_subject_run_report",
+    """
+    WITH c AS (SELECT workflow_name, SUM(total_cost_usd) AS cost FROM pod_costs GROUP BY workflow_name),
+    w AS (SELECT subject, status, total_duration_s, cost,
+                 ROW_NUMBER() OVER (PARTITION BY subject ORDER BY finished_at DESC, workflow_name DESC) AS rn
+          FROM workflow_runs LEFT JOIN c USING (workflow_name)),
+    f AS (SELECT o_custkey AS subject, o_orderkey AS run, c_acctbal AS mean_fd
+          FROM orders JOIN customer ON o_custkey = c_custkey)
+    SELECT f.subject, run, mean_fd, status, total_duration_s, ROUND(cost, 4) AS total_cost_usd
+    FROM f LEFT JOIN w ON w.subject = f.subject AND rn = 1""",
+)
+def subject_run_report(t):
+    runs = t.orders.join(t.customer, F.col("o_custkey") == F.col("c_custkey")).select(
+        F.col("o_custkey").alias("subject"), F.col("o_orderkey").alias("run"), F.col("c_acctbal").alias("mean_fd")
+    )
+    out = C.subject_run_report(runs, t.workflow_runs, t.pod_costs, workflow_time="finished_at")
+    return rounded(out, 4)
+
+
+@query(
+    "a9_batch_cost_summary",
+    """
+    SELECT COUNT(*) AS n_subjects, ROUND(SUM(c), 4) AS total_usd, ROUND(AVG(c), 4) AS mean_usd,
+           ROUND(MIN(c), 4) AS min_usd, ROUND(MAX(c), 4) AS max_usd, ROUND(QUANTILE_CONT(c, 0.5), 4) AS median_usd
+    FROM (SELECT subject, SUM(total_cost_usd) AS c FROM costs GROUP BY subject)""",
+)
+def batch_cost_summary(t):
+    return rounded(C.batch_cost_summary(t.costs), 4)
+
+
+@query(
+    "a45_settled_cost_block",
+    """
+    SELECT COUNT(*) AS n_subjects, ROUND(SUM(c), 4) AS total_usd, ROUND(AVG(c), 4) AS mean_usd,
+           ROUND(MIN(c), 4) AS min_usd, ROUND(MAX(c), 4) AS max_usd, ROUND(QUANTILE_CONT(c, 0.5), 4) AS median_usd,
+           MIN(a) AS min_scrape_age_days, MIN(a) >= 3 AS settled
+    FROM (SELECT subject, SUM(total_cost_usd) AS c, MIN(scrape_age_days) AS a FROM costs
+          WHERE date BETWEEN '1997-01-01' AND '1997-12-31' GROUP BY subject)""",
+)
+def settled_cost_block(t):
+    return rounded(C.settled_cost_block(C.cost_scope(t.costs, date_from="1997-01-01", date_to="1997-12-31")), 4)
+
+
+@query(
+    "t2_top_spend",
+    """
+    SELECT pipeline, subject, ROUND(SUM(total_cost_usd), 4) AS total_usd, ROUND(SUM(cpu_cost_usd), 4) AS cpu_usd,
+           ROUND(SUM(memory_cost_usd), 4) AS memory_usd, ROUND(SUM(gpu_cost_usd), 4) AS gpu_usd,
+           COUNT(DISTINCT date) AS days_active
+    FROM costs GROUP BY pipeline, subject ORDER BY total_usd DESC, pipeline, subject LIMIT 20""",
+)
+def top_spend(t):
+    return C.top_spend(t.costs)
+
+
+_PRICED = """
+    WITH r AS (SELECT *, runtime_minutes / 60.0 AS h, cpu_core_hours * 8.0 AS ram_gb_hours,
+                      CASE WHEN phase = 'F' THEN cpu_core_hours / 4 ELSE 0.0 END AS gpu_hours FROM pod_costs),
+    s AS (SELECT s_suppkey AS node_instance_type, s_nationkey % 5 * 1.0 + 1 AS vcpu,
+                 s_nationkey * 20.0 + 30 AS mem_gib, s_nationkey % 3 AS gpus FROM supplier WHERE s_acctbal > 0),
+    p AS (SELECT r.*, vcpu, mem_gib, gpus,
+                 CASE WHEN h <= 0 THEN NULL WHEN vcpu IS NULL THEN 'unknown-instance-type'
+                      WHEN gpu_hours > 0 AND gpus = 0 THEN 'gpu-pod-on-cpu-node'
+                      WHEN cpu_core_hours / h > vcpu * 1.02 OR ram_gb_hours / h > mem_gib * 1.02
+                           THEN 'pod-larger-than-node'
+                      WHEN NOT COALESCE(node_ondemand_usd_per_hour, 0.0) > 0 THEN 'no-on-demand-rate' END AS problem
+          FROM r LEFT JOIN s USING (node_instance_type)),
+    q AS (SELECT *, CASE WHEN h <= 0 THEN 0.0 WHEN problem IS NULL THEN
+                         GREATEST(cpu_core_hours / vcpu, ram_gb_hours / mem_gib,
+                                  CASE WHEN gpus > 0 THEN gpu_hours / gpus ELSE 0.0 END) END AS node_h FROM p)"""
+
+
+def _priced_rows(t):
+    rows = t.pod_costs.withColumn("ram_gb_hours", F.col("cpu_core_hours") * 8.0).withColumn(
+        "gpu_hours", F.when(F.col("phase") == "F", F.col("cpu_core_hours") / 4).otherwise(0.0)
+    )
+    specs = t.supplier.filter(F.col("s_acctbal") > 0).select(
+        F.col("s_suppkey").alias("node_instance_type"),
+        (F.col("s_nationkey") % 5 * 1.0 + 1).alias("vcpu"),
+        (F.col("s_nationkey") * 20.0 + 30).alias("mem_gib"),
+        (F.col("s_nationkey") % 3).alias("gpus"),
+    )
+    return C.price_rows(rows, specs)
+
+
+@query(
+    "a11_row_pricing",
+    _PRICED
+    + """
+    SELECT COALESCE(problem, 'priced') AS problem, COUNT(*) AS n_rows, ROUND(SUM(node_h), 4) AS node_h,
+           ROUND(SUM(node_h * node_ondemand_usd_per_hour + pv_cost_usd + network_cost_usd), 3) AS ondemand_usd
+    FROM q GROUP BY 1""",
+)
+def row_pricing(t):
+    out = (
+        _priced_rows(t)
+        .groupBy(F.coalesce("problem", F.lit("priced")).alias("problem"))
+        .agg(
+            F.count(F.lit(1)).alias("n_rows"),
+            F.sum("node_h").alias("node_h"),
+            F.sum("ondemand_usd").alias("ondemand_usd"),
+        )
+    )
+    return rounded(out, 4, ondemand_usd=3)
+
+
+@query(
+    "a10_pod_aggregation",
+    _PRICED
+    + """
+    SELECT workflow_name, step, ROUND(SUM(cpu_core_hours), 6) AS cpu_core_hours,
+           ROUND(SUM(runtime_minutes), 6) AS runtime_minutes, ROUND(SUM(total_cost_usd), 4) AS total_cost_usd,
+           CASE WHEN COUNT(node_h) = COUNT(*) THEN ROUND(SUM(node_h), 6) END AS node_h,
+           CASE WHEN COUNT(node_h) = COUNT(*)
+                THEN ROUND(SUM(node_h * node_ondemand_usd_per_hour + pv_cost_usd + network_cost_usd), 6) END AS ondemand_usd,
+           COUNT(problem) = 0 AS priced,
+           arg_min(problem, date || pod) FILTER (problem IS NOT NULL) AS problem,
+           BOOL_AND(scrape_age_days >= 3) AS settled, COUNT(*) AS n_rows,
+           string_agg(DISTINCT phase, ',' ORDER BY phase) AS phases
+    FROM q GROUP BY workflow_name, step""",
+)
+def pod_aggregation(t):
+    out = C.aggregate_pod_costs(
+        _priced_rows(t), ["workflow_name", "step"], order=["date", "pod"], listed={"phase": "phases"}
+    )
+    return rounded(out, 6, total_cost_usd=4)
+
+
+@query(
+    "a13_session_cost_report",
+    """
+    WITH p AS (SELECT *, CASE WHEN step <> 'R' THEN session END AS own_session FROM pod_costs),
+    s AS (SELECT workflow_name, own_session, COUNT(*) AS n_runs FROM p WHERE own_session IS NOT NULL GROUP BY ALL),
+    w AS (SELECT workflow_name, SUM(CASE WHEN own_session IS NULL THEN total_cost_usd END) AS shared_usd,
+                 BOOL_AND(scrape_age_days >= 1) AS ok, BOOL_AND(scrape_age_days >= 3) AS settled
+          FROM p GROUP BY workflow_name),
+    o AS (SELECT workflow_name, own_session, SUM(total_cost_usd) AS own_usd FROM p WHERE own_session IS NOT NULL GROUP BY ALL),
+    k AS (SELECT workflow_name, COUNT(*) AS k FROM s GROUP BY workflow_name)
+    SELECT workflow_name, own_session, n_runs, k, settled, ROUND(own_usd, 4) AS own_usd, ROUND(shared_usd, 4) AS shared_usd,
+           CASE WHEN settled THEN ROUND(COALESCE(own_usd, 0) + COALESCE(shared_usd, 0) / k, 4) END AS session_usd,
+           CASE WHEN settled THEN ROUND((COALESCE(own_usd, 0) + COALESCE(shared_usd, 0) / k) / n_runs, 4) END AS usd_per_run
+    FROM s JOIN w USING (workflow_name) JOIN k USING (workflow_name) LEFT JOIN o USING (workflow_name, own_session)""",
+)
+def session_cost_report(t):
+    pods = t.pod_costs.withColumn("own_session", F.when(F.col("step") != "R", F.col("session")))
+    sessions = (
+        pods.filter(F.col("own_session").isNotNull())
+        .groupBy("workflow_name", "own_session")
+        .agg(F.count(F.lit(1)).alias("n_runs"))
+    )
+    return rounded(C.session_cost_report(pods, "own_session", sessions=sessions), 4)
+
+
+_RATES = """
+    WITH o AS (SELECT step, workflow_name, SUM(runtime_minutes) AS hours FROM pod_costs GROUP BY ALL),
+    b AS (SELECT step, workflow_name, SUM(total_cost_usd) AS usd FROM pod_costs WHERE phase = 'F' GROUP BY ALL),
+    r AS (SELECT step, usd / hours AS rate FROM o JOIN b USING (step, workflow_name) WHERE hours > 10 AND usd > 0)"""
+
+
+def _rate_inputs(t):
+    observed = t.pod_costs.groupBy("step", "workflow_name").agg(F.sum("runtime_minutes").alias("hours"))
+    billed = (
+        t.pod_costs.filter(F.col("phase") == "F")
+        .groupBy("step", "workflow_name")
+        .agg(F.sum("total_cost_usd").alias("usd"))
+    )
+    return observed, billed
+
+
+@query(
+    "a14_rate_calibration",
+    _RATES + " SELECT step, ROUND(QUANTILE_CONT(rate, 0.5), 6) AS usd_per_hour FROM r GROUP BY step",
+)
+def rate_calibration(t):
+    observed, billed = _rate_inputs(t)
+    return rounded(C.calibrate_rates(observed, billed, ["step"], 10.0), 6)
+
+
+@query(
+    "a15_cost_reconstruction",
+    _RATES
+    + """,
+    g AS (SELECT step, QUANTILE_CONT(rate, 0.5) AS usd_per_hour FROM r WHERE step <> 'R' GROUP BY step),
+    u AS (SELECT workflow_name, subject, step, SUM(runtime_minutes) AS hours FROM pod_costs GROUP BY ALL)
+    SELECT workflow_name, subject, ROUND(SUM(hours), 4) AS hours,
+           ROUND(SUM(hours * COALESCE(usd_per_hour, (SELECT QUANTILE_CONT(rate, 0.5) FROM r))), 4) AS rebuilt_usd
+    FROM u LEFT JOIN g USING (step) GROUP BY workflow_name, subject""",
+)
+def cost_reconstruction(t):
+    observed, billed = _rate_inputs(t)
+    rates = C.calibrate_rates(observed, billed, ["step"], 10.0).filter(F.col("step") != "R")
+    pooled = C.exact_quantiles(
+        observed.filter(F.col("hours") > 10).join(billed, ["step", "workflow_name"]).filter(F.col("usd") > 0),
+        [],
+        F.col("usd") / F.col("hours"),
+        {"usd_per_hour": 0.5},
+    )
+    usage = t.pod_costs.groupBy("workflow_name", "subject", "step").agg(F.sum("runtime_minutes").alias("hours"))
+    out = (
+        C.priced_usage(usage, rates, ["step"], pooled)
+        .groupBy("workflow_name", "subject")
+        .agg(F.sum("hours").alias("hours"), F.sum("rebuilt_usd").alias("rebuilt_usd"))
+    )
+    return rounded(out, 4)
+
+
+@query(
+    "a16_hourly_to_day",
+    """
+    WITH h AS (SELECT strftime(ts, '%Y-%m-%d') AS date, event_type AS workflow_name,
+                      epoch_us(date_trunc('hour', ts)) AS hour, NULLIF(user_id, 0) AS subject, value AS v FROM events)
+    SELECT date, workflow_name,
+           arg_min(subject, (hour * 1000000::HUGEINT + subject)) FILTER (subject IS NOT NULL) AS subject,
+           ROUND(SUM(v * 0.5), 4) AS cpu_cost_usd, ROUND(SUM(v * 0.25), 4) AS memory_cost_usd,
+           ROUND(SUM(v * 0.2), 4) AS gpu_cost_usd, COUNT(DISTINCT hour) AS n_hours, 0.0 AS total_adjustment_usd,
+           ROUND(SUM(v * 0.5) + SUM(v * 0.25) + SUM(v * 0.2), 4) AS total_cost_usd
+    FROM h GROUP BY date, workflow_name""",
+)
+def hourly_to_day(t):
+    hours = t.events.select(
+        F.date_format("ts", "yyyy-MM-dd").alias("date"),
+        F.col("event_type").alias("workflow_name"),
+        micros(F.date_trunc("hour", F.col("ts"))).alias("hour"),
+        F.when(F.col("user_id") != 0, F.col("user_id")).alias("subject"),
+        (F.col("value") * 0.5).alias("cpu_cost_usd"),
+        (F.col("value") * 0.25).alias("memory_cost_usd"),
+        (F.col("value") * 0.2).alias("gpu_cost_usd"),
+    )
+    return rounded(C.hourly_to_day(hours, ["date", "workflow_name"]), 4)
+
+
+@query(
+    "a16_missing_hours",
+    """
+    SELECT epoch_us(h) AS hour FROM (SELECT unnest(generate_series(TIMESTAMP '2024-01-01', TIMESTAMP '2024-01-31 23:00', INTERVAL 1 HOUR)) AS h)
+    WHERE h NOT IN (SELECT date_trunc('hour', ts) FROM events WHERE event_type = 'error')""",
+)
+def missing_hours(t):
+    seen = t.events.filter(F.col("event_type") == "error").select(
+        micros(F.date_trunc("hour", F.col("ts"))).alias("hour")
+    )
+    return C.missing_hours(t.spark, seen, "hour", 1704067200000000, 1706745600000000)
+
+
+@query(
+    "a34_drift_table",
+    """
+    WITH g AS (SELECT date, SUM(CASE WHEN scrape_age_days = 0 THEN total_cost_usd END) AS c0,
+                      SUM(CASE WHEN scrape_age_days = 1 THEN total_cost_usd END) AS c1,
+                      SUM(CASE WHEN scrape_age_days = 2 THEN total_cost_usd END) AS c2,
+                      SUM(CASE WHEN scrape_age_days = 3 THEN total_cost_usd END) AS c3 FROM costs GROUP BY date)
+    SELECT date, ROUND(c0, 4) AS cost_age_0, ROUND(c1, 4) AS cost_age_1, ROUND(c2, 4) AS cost_age_2,
+           ROUND(c3, 4) AS cost_age_3, ROUND(CASE WHEN c3 > 0 THEN (c1 / c3 - 1) * 100 END, 4) AS overstatement_pct
+    FROM g""",
+)
+def drift_table(t):
+    return rounded(C.drift_by_age(t.costs), 4)
+
+
+@query(
+    "a35_partial_read_guard",
+    """
+    WITH n AS (SELECT COUNT(DISTINCT workflow_name) AS n_new FROM costs WHERE pipeline = '1-URGENT'),
+    s AS (SELECT COUNT(DISTINCT workflow_name) AS n_stored FROM pod_costs)
+    SELECT n_new, n_stored, n_new < n_stored * 0.5 AS refuse FROM n, s""",
+)
+def partial_read_guard(t):
+    return C.partial_read_guard(t.costs.filter(F.col("pipeline") == "1-URGENT"), t.pod_costs, "workflow_name")
+
+
+@query(
+    "j19_carry_proven_attributes",
+    """
+    WITH n AS (SELECT l_orderkey, l_linenumber, MAX(CASE WHEN l_quantity > 10 THEN l_suppkey END) AS instance,
+                      MAX(l_tax) AS rate FROM lineitem GROUP BY ALL),
+    s AS (SELECT l_orderkey, l_linenumber, MAX(CASE WHEN l_discount > 0.03 THEN l_suppkey END) AS instance
+          FROM lineitem GROUP BY ALL HAVING MAX(CASE WHEN l_discount > 0.03 THEN l_suppkey END) IS NOT NULL)
+    SELECT l_orderkey, l_linenumber,
+           CASE WHEN s.instance IS NULL OR n.instance = s.instance THEN n.instance ELSE s.instance END AS instance,
+           CASE WHEN n.instance IS NOT NULL AND (s.instance IS NULL OR n.instance = s.instance) THEN n.rate END AS rate
+    FROM n LEFT JOIN s USING (l_orderkey, l_linenumber)""",
+)
+def carry_proven(t):
+    keys = ["l_orderkey", "l_linenumber"]
+    new = t.lineitem.groupBy(*keys).agg(
+        F.max(F.when(F.col("l_quantity") > 10, F.col("l_suppkey"))).alias("instance"), F.max("l_tax").alias("rate")
+    )
+    stored = t.lineitem.groupBy(*keys).agg(
+        F.max(F.when(F.col("l_discount") > 0.03, F.col("l_suppkey"))).alias("instance")
+    )
+    return C.carry_proven(new, stored, keys, ["instance"], "rate")
+
+
+@query(
+    "j15_unbilled_activity",
+    """
+    WITH a AS (SELECT workflow_name, SUM(runtime_minutes) AS cpu_hours, SUM(cpu_core_hours) AS gpu_hours
+               FROM pod_costs GROUP BY workflow_name)
+    SELECT workflow_name, ROUND(cpu_hours, 4) AS cpu_hours, ROUND(gpu_hours, 4) AS gpu_hours FROM a
+    WHERE cpu_hours + gpu_hours > 20
+      AND workflow_name NOT IN (SELECT workflow_name FROM costs WHERE pipeline <> '1-URGENT')""",
+)
+def unbilled_activity(t):
+    active = t.pod_costs.select(
+        "workflow_name", F.col("runtime_minutes").alias("cpu_hours"), F.col("cpu_core_hours").alias("gpu_hours")
+    )
+    billed = t.costs.filter(F.col("pipeline") != "1-URGENT")
+    return rounded(C.unbilled_activity(active, billed, ["workflow_name"], 20.0), 4)
+
+
+@query(
+    "j15_capture_by_day",
+    """
+    WITH a AS (SELECT date, SUM(runtime_minutes) AS o, SUM(CASE WHEN step <> 'R' THEN runtime_minutes END) AS b
+               FROM pod_costs GROUP BY date)
+    SELECT date, ROUND(o, 4) AS observed_hours, ROUND(COALESCE(b, 0.0), 4) AS billed_hours,
+           ROUND(CASE WHEN o > 0 THEN COALESCE(b, 0.0) / o ELSE 1.0 END, 6) AS capture,
+           CASE WHEN o > 0 THEN COALESCE(b, 0.0) / o ELSE 1.0 END < 0.5 AS shortfall FROM a""",
+)
+def capture_by_day(t):
+    usage = t.pod_costs.select("date", "step", F.col("runtime_minutes").alias("cpu_hours"))
+    return rounded(C.capture_by_day(usage, usage.filter(F.col("step") != "R"), minimum=0.5), 6)
+
+
+@query(
+    "j16_orphan_pod_costs",
+    """
+    SELECT date, workflow_name, COUNT(*) AS n_pods, ROUND(SUM(total_cost_usd), 4) AS usd FROM pod_costs p
+    WHERE NOT EXISTS (SELECT 1 FROM costs c WHERE c.workflow_name = p.workflow_name AND c.date <= '1998-01-01')
+    GROUP BY date, workflow_name""",
+)
+def orphan_pod_costs(t):
+    live = t.costs.filter(F.col("date") <= "1998-01-01").select("workflow_name")
+    pods = t.pod_costs.groupBy("date", "workflow_name").agg(
+        F.count(F.lit(1)).alias("n_pods"), F.sum("total_cost_usd").alias("usd")
+    )
+    return rounded(pods.join(live, "workflow_name", "left_anti"), 4)
+
+
+@query(
+    "a33_cost_coverage",
+    """
+    WITH d AS (SELECT strftime(unnest(generate_series(DATE '1997-01-01', DATE '1997-12-31', INTERVAL 1 DAY)), '%Y-%m-%d') AS date),
+    c AS (SELECT date, COUNT(*) AS n, COUNT(*) FILTER (scrape_age_days < 3) AS p FROM costs WHERE pipeline = '5-LOW' GROUP BY date)
+    SELECT date, COALESCE(n, 0) AS n_rows, COALESCE(p, 0) AS n_provisional, COALESCE(n, 0) = 0 AS missing
+    FROM d LEFT JOIN c USING (date)""",
+)
+def cost_coverage(t):
+    return C.cost_coverage(t.costs.filter(F.col("pipeline") == "5-LOW"), "1997-01-01", "1997-12-31")
+
+
+_CLAIMS = """
+    WITH claims AS (SELECT workflow_name, date, subject, 0.75 AS share FROM costs WHERE pipeline < '4'
+              UNION ALL SELECT workflow_name, date, subject + 1000000, 0.25 FROM costs WHERE pipeline < '2'
+              UNION ALL SELECT workflow_name, date, subject, 0.25 FROM costs WHERE pipeline >= '2' AND pipeline < '4')"""
+
+
+def _claims(t):
+    c = t.costs.select("workflow_name", "date", "subject", "pipeline")
+    keys = ["workflow_name", "date", "subject", "share"]
+    early = c.filter(F.col("pipeline") < "2")
+    late = c.filter((F.col("pipeline") >= "2") & (F.col("pipeline") < "4"))
+    return (
+        c.filter(F.col("pipeline") < "4").withColumn("share", F.lit(0.75)).select(*keys)
+        .unionByName(early.withColumn("subject", F.col("subject") + 1000000).withColumn("share", F.lit(0.25)).select(*keys))
+        .unionByName(late.withColumn("share", F.lit(0.25)).select(*keys))
+    )
+
+
+@query(
+    "j12_shared_cost_claims",
+    _CLAIMS
+    + """
+    SELECT c.workflow_name, c.date, k.subject, ROUND(c.total_cost_usd * share, 6) AS total_cost_usd,
+           ROUND(c.cpu_cost_usd * share, 6) AS cpu_cost_usd
+    FROM costs c JOIN claims k USING (workflow_name, date)""",
+)
+def shared_cost_claims(t):
+    out = C.scope_to_claims(t.costs, _claims(t))
+    return rounded(out.select("workflow_name", "date", "subject", "total_cost_usd", "cpu_cost_usd"), 6)
+
+
+@query(
+    "j12_unclaimed_costs",
+    _CLAIMS
+    + """
+    SELECT COUNT(*) AS rows_dropped, ROUND(COALESCE(SUM(total_cost_usd), 0), 4) AS usd_dropped FROM costs c
+    WHERE NOT EXISTS (SELECT 1 FROM claims k WHERE k.workflow_name = c.workflow_name AND k.date = c.date)""",
+)
+def unclaimed_costs(t):
+    return rounded(C.unclaimed_costs(t.costs, _claims(t)), 4)
+
+
+@query(
+    "a43_subtract_foreign_pods",
+    """
+    WITH w AS (SELECT workflow_name, date AS first_date, strftime(CAST(date AS DATE) + 600, '%Y-%m-%d') AS last_date
+               FROM costs),
+    day AS (SELECT workflow_name, date, SUM(total_cost_usd) AS total, SUM(cpu_cost_usd) AS cpu FROM pod_costs GROUP BY ALL),
+    f AS (SELECT p.workflow_name, p.date, SUM(p.total_cost_usd) AS total, SUM(p.cpu_cost_usd) AS cpu, COUNT(*) AS n
+          FROM pod_costs p WHERE NOT EXISTS (SELECT 1 FROM w WHERE w.workflow_name = p.workflow_name
+                                             AND p.date BETWEEN first_date AND last_date) GROUP BY ALL)
+    SELECT workflow_name, date, ROUND(day.total - COALESCE(f.total, 0), 4) AS total_cost_usd,
+           ROUND(day.cpu - COALESCE(f.cpu, 0), 4) AS cpu_cost_usd, COALESCE(n, 0) AS pods_removed
+    FROM day LEFT JOIN f USING (workflow_name, date)""",
+)
+def subtract_foreign_pods(t):
+    pods = t.pod_costs
+    windows = t.costs.select(
+        "workflow_name",
+        F.col("date").alias("first_date"),
+        F.date_format(F.date_add(F.to_date("date"), 600), "yyyy-MM-dd").alias("last_date"),
+    )
+    per_day = pods.groupBy("workflow_name", "date").agg(*[F.sum(c).alias(c) for c in C.MONEY])
+    out = C.subtract_foreign(per_day, pods, windows, 4)
+    return out.select("workflow_name", "date", "total_cost_usd", "cpu_cost_usd", "pods_removed")
+
+
+@query(
+    "a46_reused_hosts",
+    """
+    WITH r AS (SELECT l_partkey, TRUE AS hit FROM lineitem WHERE l_linenumber = 1 GROUP BY l_partkey HAVING COUNT(DISTINCT l_suppkey) > 1)
+    SELECT l_orderkey, l_linenumber, l_partkey, CASE WHEN hit IS NULL THEN l_tax END AS l_tax,
+           hit IS NOT NULL AS host_reused, l_quantity
+    FROM lineitem l LEFT JOIN r USING (l_partkey)""",
+)
+def reused_hosts(t):
+    pods = t.lineitem.select("l_orderkey", "l_linenumber", "l_partkey", "l_tax", "l_quantity")
+    nodes = t.lineitem.filter(F.col("l_linenumber") == 1)
+    return C.null_reused_rates(pods, nodes, "l_partkey", "l_suppkey", ["l_tax"])
+
+
+@query(
+    "a37_effective_node_rate",
+    """
+    WITH n AS (SELECT l_suppkey, l_linestatus, SUM(l_extendedprice) AS total_cost,
+                      SUM(CASE WHEN l_suppkey % 10 = 0 THEN 0 ELSE l_quantity END) AS minutes,
+                      MAX(CASE WHEN l_suppkey % 3 = 0 THEN 'reserved' ELSE '' END) AS lab,
+                      MAX(CASE WHEN l_suppkey % 3 = 1 THEN l_suppkey % 2 END) AS pre
+               FROM lineitem GROUP BY ALL)
+    SELECT l_suppkey, l_linestatus, CASE WHEN minutes > 0 THEN ROUND(total_cost / (minutes / 60.0), 4) END AS effective_usd_per_hour,
+           CASE WHEN lab <> '' THEN lab WHEN pre IS NULL THEN '' WHEN pre > 0 THEN 'spot' ELSE 'on-demand' END AS capacity_type
+    FROM n""",
+)
+def effective_node_rate(t):
+    supp = F.col("l_suppkey")
+    nodes = t.lineitem.groupBy("l_suppkey", "l_linestatus").agg(
+        F.sum("l_extendedprice").alias("total_cost"),
+        F.sum(F.when(supp % 10 == 0, 0.0).otherwise(F.col("l_quantity"))).alias("minutes"),
+        F.max(F.when(supp % 3 == 0, "reserved").otherwise("")).alias("capacity_label"),
+        F.max(F.when(supp % 3 == 1, supp % 2)).alias("preemptible"),
+    )
+    return rounded(C.effective_rates(nodes, ["l_suppkey", "l_linestatus"]), 4)
+
+
+def _allocation_sets(t):
+    """One JSON object per order date whose members are that day's workflows (built by Spark from the tables)."""
+    member = F.struct(
+        F.struct(
+            F.create_map(F.lit("subjectid"), F.col("o_custkey").cast("string")).alias("labels")
+        ).alias("properties"),
+        F.col("o_totalprice").alias("totalCost"),
+        (F.col("o_totalprice") * 0.5).alias("cpuCost"),
+        (F.col("o_totalprice") * 0.25).alias("ramCost"),
+        (F.col("o_totalprice") * 0.125).alias("cpuCostAdjustment"),
+    )
+    label = F.concat(F.when(F.col("o_orderstatus") == "P", "__").otherwise("wf-"), F.col("o_orderkey").cast("string"))
+    return t.orders.select(
+        F.date_format("o_orderdate", "yyyy-MM-dd").alias("date"), F.to_json(F.create_map(label, member)).alias("body")
+    )
+
+
+_ALLOCATION_SQL = """
+    WITH a AS (SELECT strftime(o_orderdate, '%Y-%m-%d') AS date, 'wf-' || o_orderkey AS workflow_name,
+                      CAST(o_custkey AS VARCHAR) AS subject, ROUND(o_totalprice, 6) AS total_cost_usd,
+                      ROUND(o_totalprice * 0.5, 6) AS cpu_cost_usd, ROUND(o_totalprice * 0.25, 6) AS memory_cost_usd,
+                      0.0 AS gpu_cost_usd, ROUND(o_totalprice * 0.125, 6) AS total_adjustment_usd
+               FROM orders WHERE o_orderstatus <> 'P')"""
+
+
+@query("a36_allocation_parse", _ALLOCATION_SQL + " SELECT * FROM a")
+def allocation_parse(t):
+    return C.explode_allocations(_allocation_sets(t), "body", adjustments=["cpuCostAdjustment"])
+
+
+@query(
+    "a44_allocation_harvest",
+    _ALLOCATION_SQL
+    + """ SELECT subject, COUNT(*) AS n_workflows, ROUND(SUM(total_cost_usd), 4) AS total_cost_usd,
+                 ROUND(SUM(cpu_cost_usd) / SUM(total_cost_usd), 6) AS cpu_share FROM a GROUP BY subject""",
+)
+def allocation_harvest(t):
+    rows = C.explode_allocations(_allocation_sets(t), "body", adjustments=["cpuCostAdjustment"])
+    out = rows.groupBy("subject").agg(
+        F.count(F.lit(1)).alias("n_workflows"),
+        F.sum("total_cost_usd").alias("total_cost_usd"),
+        (F.sum("cpu_cost_usd") / F.sum("total_cost_usd")).alias("cpu_share"),
+    )
+    return rounded(out, 4, cpu_share=6)
+
+
+@query(
+    "r5_settled_versions",
+    """
+    SELECT date, subject, workflow_name, scrape_age_days, total_cost_usd FROM (
+        SELECT *, ROW_NUMBER() OVER (PARTITION BY date, subject ORDER BY scrape_age_days DESC, workflow_name DESC) AS rn
+        FROM costs) WHERE rn = 1""",
+)
+def settled_versions(t):
+    out = C.settled_versions(t.costs, ["date", "subject"], tie=["workflow_name"])
+    return out.select("date", "subject", "workflow_name", "scrape_age_days", "total_cost_usd")
+
+
+@query(
+    "p15_excluded_workflows",
+    """
+    SELECT date, COUNT(*) AS n_kept FROM costs WHERE NOT (workflow_name LIKE '1%' OR workflow_name LIKE '99%')
+    GROUP BY date""",
+)
+def excluded_workflows(t):
+    kept = t.costs.filter(~C.excluded_workflow("workflow_name", ["1", "99"]))
+    return kept.groupBy("date").agg(F.count(F.lit(1)).alias("n_kept"))
