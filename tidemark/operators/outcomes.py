@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from tidemark.functions.columns import chain, count_if
 from tidemark.functions.predicates import attempt_cause
 from tidemark.operators.latest import latest
-from tidemark.operators.quantiles import cell_counts, rank_cells, with_quantiles
+from tidemark.operators.quantiles import values_at_ranks, with_quantiles
 
 # ---- fixed values: phases, exit codes and messages of the re-drive rules ----------------------------------------
 TERMINAL_PHASES = ("Failed", "Error")
@@ -164,17 +164,8 @@ def attempt_summary(pods: DataFrame, step: str = "step", phase: str = "phase", m
 
 def value_at_rank(df: DataFrame, keys: Sequence[str], value: str, rank, out: str) -> DataFrame:
     """The value at a 0-based rank of each group's sorted values; `rank` maps the group size column to the rank."""
-    cells = rank_cells(df, keys, value)
-    wanted = rank(F.col("_n")).cast("long")
-    hit = cell_counts(cells).withColumn("_rank", wanted).filter(
-        (F.col("_rank") >= F.col("_before")) & (F.col("_rank") < F.col("_upto"))
-    )
-    inside = Window.partitionBy("_k", "_cell").orderBy("_x").rowsBetween(Window.unboundedPreceding, 0)
-    found = cells.join(hit.select("_k", "_cell", "_before", "_rank"), ["_k", "_cell"]).withColumn(
-        "_to", F.col("_before") + F.sum("_c").over(inside)
-    )
-    at = (F.col("_rank") >= F.col("_to") - F.col("_c")) & (F.col("_rank") < F.col("_to"))
-    return found.filter(at).select("_k.*", F.col("_x").alias(out))
+    found = values_at_ranks(df, keys, value, F.array(rank(F.col("_n"))))
+    return found.select("_k.*", F.element_at("_at", rank(F.col("_n"))).alias(out))
 
 
 def attempts_by_exit(pods: DataFrame, step: str = "step", label: str = "exit_label") -> DataFrame:

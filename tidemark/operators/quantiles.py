@@ -61,32 +61,28 @@ def exact_quantiles(
     closest ranks, NULL and NaN values left out. Groups without any value are absent."""
     if not keys:
         return exact_quantiles(df.withColumn("_all", F.lit(0)), ["_all"], value, probs).drop("_all")
+    position = {name: F.lit(float(p)) * (F.col("_n") - 1) for name, p in probs.items()}
+    wanted = F.array_distinct(F.flatten(F.array(*[F.array(F.floor(p), F.ceil(p)) for p in position.values()])))
+    picked = values_at_ranks(df, keys, value, wanted)
+    out = []
+    for name, p in position.items():
+        lo, hi = F.element_at("_at", F.floor(p)), F.element_at("_at", F.ceil(p))
+        out.append((lo + (hi - lo) * (p - F.floor(p))).alias(name))
+    return picked.select("_k.*", *out)
+
+
+def values_at_ranks(df: DataFrame, keys: Sequence[str], value: str | Column, ranks: Column) -> DataFrame:
+    """Per key `_k` the size `_n` and a map `_at` from each wanted 0-based rank to its value. `ranks` is an array
+    expression of `_n`; ranks outside the group are left out."""
     cells = rank_cells(df, keys, value)
-    grid = cell_counts(cells)
-    ranks = {}
-    for i, p in enumerate(probs.values()):
-        position = F.lit(float(p)) * (F.col("_n") - 1)
-        ranks[f"_lo{i}"] = F.floor(position).cast("long")
-        ranks[f"_hi{i}"] = F.ceil(position).cast("long")
-    grid = grid.select("*", *[e.alias(n) for n, e in ranks.items()])
-    wanted = F.lit(False)
-    for n in ranks:
-        wanted = wanted | ((F.col(n) >= F.col("_before")) & (F.col(n) < F.col("_upto")))
-    hit = grid.filter(wanted).drop("_upto")
+    grid = cell_counts(cells).withColumn("_wanted", ranks)
+    here = F.filter("_wanted", lambda r: (r >= F.col("_before")) & (r < F.col("_upto")))
+    hit = grid.withColumn("_wanted", here).filter(F.size("_wanted") > 0).drop("_upto")
     inside = Window.partitionBy("_k", "_cell").orderBy("_x").rowsBetween(Window.unboundedPreceding, 0)
     found = cells.join(hit, ["_k", "_cell"]).withColumn("_to", F.col("_before") + F.sum("_c").over(inside))
-    start = F.col("_to") - F.col("_c")
-
-    def at(rank: str) -> Column:
-        return F.max(F.when((F.col(rank) >= start) & (F.col(rank) < F.col("_to")), F.col("_x")))
-
-    picked = found.groupBy("_k").agg(F.max("_n").alias("_n"), *[at(n).alias(f"{n}v") for n in ranks])
-    out = []
-    for i, (name, p) in enumerate(probs.items()):
-        position = F.lit(float(p)) * (F.col("_n") - 1)
-        lo, hi = F.col(f"_lo{i}v"), F.col(f"_hi{i}v")
-        out.append((lo + (hi - lo) * (position - F.floor(position))).alias(name))
-    return picked.select("_k.*", *out)
+    mine = F.filter("_wanted", lambda r: (r >= F.col("_to") - F.col("_c")) & (r < F.col("_to")))
+    rows = found.select("_k", "_n", "_x", F.explode(mine).alias("_r"))
+    return rows.groupBy("_k").agg(F.max("_n").alias("_n"), F.map_from_entries(F.collect_list(F.struct("_r", "_x"))).alias("_at"))
 
 
 def with_quantiles(
