@@ -71,13 +71,19 @@ def exact_quantiles(
     return picked.select("_k.*", *out)
 
 
-def values_at_ranks(df: DataFrame, keys: Sequence[str], value: str | Column, ranks: Column) -> DataFrame:
+def values_at_ranks(
+    df: DataFrame, keys: Sequence[str], value: str | Column, ranks: Column, per_key: DataFrame | None = None
+) -> DataFrame:
     """Per key `_k` the size `_n` and a map `_at` from each wanted 0-based rank to its value. `ranks` is an array
-    expression of `_n`; ranks outside the group are left out."""
+    expression of `_n` and of the columns of `per_key` (one row per key); ranks outside the group are left out."""
     cells = rank_cells(df, keys, value)
-    grid = cell_counts(cells).withColumn("_wanted", ranks)
+    grid = cell_counts(cells)
+    if per_key is not None:
+        extra = [c for c in per_key.columns if c not in keys]
+        grid = grid.join(per_key.select(F.struct(*keys).alias("_k"), *extra), "_k")
+    grid = grid.withColumn("_wanted", ranks)
     here = F.filter("_wanted", lambda r: (r >= F.col("_before")) & (r < F.col("_upto")))
-    hit = grid.withColumn("_wanted", here).filter(F.size("_wanted") > 0).drop("_upto")
+    hit = grid.withColumn("_wanted", here).filter(F.size("_wanted") > 0).select("_k", "_cell", "_before", "_n", "_wanted")
     inside = Window.partitionBy("_k", "_cell").orderBy("_x").rowsBetween(Window.unboundedPreceding, 0)
     found = cells.join(hit, ["_k", "_cell"]).withColumn("_to", F.col("_before") + F.sum("_c").over(inside))
     mine = F.filter("_wanted", lambda r: (r >= F.col("_to") - F.col("_c")) & (r < F.col("_to")))
