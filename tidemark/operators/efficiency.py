@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 import math
-from collections.abc import Mapping, Sequence
+from collections.abc import Iterator, Mapping, Sequence
 
 import pandas as pd
 from pyspark.sql import Column, DataFrame
@@ -19,8 +19,8 @@ SETUP_PATTERN = r'\[Node\] Setting-up "([^"]+)" in "([^"]+)"'
 EXECUTE_PATTERN = r'\[Node\] Executing "([^"]+)"'
 CACHED_PATTERN = r'\[Node\] Cached "([^"]+)"'
 FINISH_PATTERN = r'\[Node\] Finished "([^"]+)", elapsed time ([0-9.eE+-]+)s'
-ROOT_PATTERN = r"^fmriprep_\d+_\d+_wf$"
-SUBJECT_PATTERN = r"^sub_.+_wf$"
+ROOT_PREFIX_PATTERN = r"^(?:.*?/)?fmriprep_\d+_\d+_wf(?:/+|$)"
+SUBJECT_PREFIX_PATTERN = r"^sub_[^/]+_wf(?:/+|$)"
 BOLD_RUN_PATTERN = r"^bold_(?:ses_[^/.]+_)?task_[^/.]+_wf$"
 AMBIGUITY_S = 2.0
 UNMAPPED = "unmapped"
@@ -30,11 +30,9 @@ UNMAPPED = "unmapped"
 def normalised_path(workdir: str | Column) -> Column:
     """Workflow path of a working directory: parts below the workflow root, without subject, mapped and iterable parts; run
     workflows fold into one name."""
-    parts = F.filter(F.split(col(workdir), "/"), lambda p: p != "")
-    root = F.array_position(F.transform(parts, lambda p: p.rlike(ROOT_PATTERN)), True)
-    below = F.slice(parts, root.cast("int") + 1, F.greatest(F.size(parts), F.lit(1)))
-    below = F.when(F.get(below, F.lit(0)).rlike(SUBJECT_PATTERN), F.slice(below, 2, F.greatest(F.size(below), F.lit(1)))).otherwise(below)
-    kept = F.filter(below, lambda p: (p != "mapflow") & ~p.startswith("_"))
+    below = F.regexp_replace(col(workdir), ROOT_PREFIX_PATTERN, "")
+    below = F.regexp_replace(below, SUBJECT_PREFIX_PATTERN, "")
+    kept = F.filter(F.split(below, "/+"), lambda p: (p != "") & (p != "mapflow") & ~p.startswith("_"))
     return F.array_join(F.transform(kept, lambda p: F.when(p.rlike(BOLD_RUN_PATTERN), "bold_wf").otherwise(p)), ".")
 
 
@@ -71,7 +69,8 @@ def executed_nodes(events: DataFrame, keys: Sequence[str], stages: Mapping[str,
     """Executed nodes: each finish line with the in-flight node of that name that started nearest to finish − elapsed.
 
     A second candidate of another stage about as near makes the pairing ambiguous; a finish without a candidate is
-    unpaired (NULL path). A group is one node name in one log."""
+    unpaired (NULL path). Spark places and sorts the events of one node name in one log; a task streams through them and
+    holds only the nodes in flight."""
     keys = list(keys)
     types = {f.name: f.dataType.simpleString() for f in events.schema.fields}
     schema = ", ".join(f"{k} {types[k]}" for k in keys) + ", node string, path string, start_us bigint, end_us bigint, elapsed_s double, ambiguous boolean"
@@ -81,31 +80,35 @@ def executed_nodes(events: DataFrame, keys: Sequence[str], stages: Mapping[str,
         best = max((p for p in rules if path == p or path.startswith(p + ".")), key=len, default=None)
         return rules.get(best, UNMAPPED)
 
-    def pair(key, pdf: pd.DataFrame) -> pd.DataFrame:
-        waiting, running, rows = [], [], []
-        for r in pdf.sort_values("line_number").itertuples(index=False):
-            if r.event == "setup":
-                waiting.append(r.path)
-            elif r.event in ("execute", "cached") and waiting:
-                path = waiting.pop(0)
-                if r.event == "execute":
-                    running.append((path, r.stamp_us))
-            elif r.event == "finish":
-                began = r.stamp_us - round(r.elapsed_s * 1e6) if not pd.isna(r.stamp_us) else None
-                if not running:
-                    rows.append((None, began, r.stamp_us, r.elapsed_s, False))
-                    continue
-                gaps = [abs(s - began) / 1e6 if began is not None and not pd.isna(s) else math.inf for _, s in running]
-                i = min(range(len(gaps)), key=gaps.__getitem__)
-                mine = stage(running[i][0])
-                close = any(j != i and stage(p) != mine and gaps[j] - gaps[i] <= AMBIGUITY_S for j, (p, _) in enumerate(running))
-                rows.append((running.pop(i)[0], began, r.stamp_us, r.elapsed_s, close))
-        out = pd.DataFrame(rows, columns=["path", "start_us", "end_us", "elapsed_s", "ambiguous"])
-        for name, value in zip([*keys, "node"], key, strict=True):
-            out[name] = value
-        return out[[*keys, "node", "path", "start_us", "end_us", "elapsed_s", "ambiguous"]]
-
-    return events.groupBy(*keys, "node").applyInPandas(pair, schema)
+    def pair(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        current, waiting, running = None, [], []
+        for pdf in batches:
+            rows = []
+            for r in pdf[[*keys, "node", "event", "stamp_us", "path", "elapsed_s"]].itertuples(index=False, name=None):
+                unit, (event, stamp, path, elapsed) = r[:-4], r[-4:]
+                if unit != current:
+                    current, waiting, running = unit, [], []
+                timed = not pd.isna(stamp)
+                if event == "setup":
+                    waiting.append(path)
+                elif event in ("execute", "cached") and waiting:
+                    first = waiting.pop(0)
+                    if event == "execute":
+                        running.append((first, stamp if timed else None))
+                elif event == "finish":
+                    began = int(stamp) - round(elapsed * 1e6) if timed else None
+                    if not running:
+                        rows.append((*unit, None, began, stamp, elapsed, False))
+                        continue
+                    gaps = [abs(s - began) / 1e6 if timed and s is not None else math.inf for _, s in running]
+                    i = min(range(len(gaps)), key=gaps.__getitem__)
+                    mine = stage(running[i][0])
+                    close = any(j != i and stage(p) != mine and gaps[j] - gaps[i] <= AMBIGUITY_S for j, (p, _) in enumerate(running))
+                    rows.append((*unit, running.pop(i)[0], began, stamp, elapsed, close))
+            yield pd.DataFrame(rows, columns=[*keys, "node", "path", "start_us", "end_us", "elapsed_s", "ambiguous"])
+
+    placed = events.repartition(*keys, "node").sortWithinPartitions(*keys, "node", "line_number")
+    return placed.mapInPandas(pair, schema)
 
 
 def longest_prefix(df: DataFrame, path: str, rules: DataFrame, out: str, default: str | None = UNMAPPED) -> DataFrame:
