@@ -182,3 +182,65 @@ def batch_export(t):
     )
     parts = [t.spark.read.csv(p, header=True).agg(F.count(F.lit(1)).alias("n_rows")).select(F.lit(n).alias("exported"), "n_rows") for n, p in paths.items()]
     return parts[0].unionByName(parts[1])
+
+
+@query(
+    "s4_json_or_jsonl",
+    """SELECT dt, COUNT(*) FILTER (k <> 5) AS n_records, COUNT(*) FILTER (k = 5) AS n_unreadable, ROUND(SUM(CASE WHEN k <> 5 THEN metric END), 4) AS total FROM records GROUP BY dt""",
+)
+def json_or_jsonl(t):
+    """Line files with unreadable lines: what can be read is kept, the rest is counted."""
+    path = scratch(t, "s4")
+    r = t.records
+    good = F.to_json(F.struct("dt", F.col("metric").alias("value")))
+    line = F.when(F.col("k") != 5, good).otherwise(F.concat(F.lit('{"dt": "'), "dt", F.lit('", "value": oops')))
+    r.select("dt", line.alias("value")).repartition("dt").write.partitionBy("dt").text(path)
+    schema = R.T.StructType.fromDDL("dt STRING, value DOUBLE")
+    rows = R.read_json_or_jsonl(t.spark, f"{path}/dt=*", schema)
+    folder = F.regexp_extract("_file", r"dt=([0-9-]+)", 1).alias("dt")
+    bad = F.col(R.CORRUPT).isNotNull()
+    out = rows.select(folder, "value", bad.alias("bad")).groupBy("dt").agg(
+        F.count(F.when(~F.col("bad"), 1)).alias("n_records"), F.count(F.when(F.col("bad"), 1)).alias("n_unreadable"),
+        F.sum(F.when(~F.col("bad"), F.col("value"))).alias("total"),
+    )
+    return rounded(out, 4)
+
+
+@query(
+    "s7_orphan_repair",
+    """SELECT dt, '2.0' AS schema_version, COUNT(*) AS n, ROUND(SUM(metric), 4) AS total FROM records WHERE dt <= '2024-01-03' GROUP BY ALL""",
+)
+def orphan_repair(t):
+    """The same days written again under a new version: the old versions' partitions must read as no rows."""
+    root = write_raw(t, "s7")
+    days = ["2024-01-01", "2024-01-02", "2024-01-03"]
+    K.compact_days(t.spark, root, "func_preproc", days)
+    again = scratch(t, "s7-again")
+    bumped = func_records(t).withColumn("schema_version", F.lit("2.0"))
+    R.write_records(bumped.repartition("dt"), f"{again}/func-preproc")
+    table = R.record_table("func_preproc")
+    # the second raw tree is the authority for the compacted tree of the first
+    K.compact_days(t.spark, again, "func_preproc", days, compacted_path=table.compacted_path(root))
+    return _compacted_report(t, root)
+
+
+@query(
+    "s8_incomplete_read_stands_down",
+    """SELECT dt, COUNT(*) AS n FROM records WHERE dt IN ('2024-01-01', '2024-01-03') GROUP BY dt""",
+)
+def stand_down(t):
+    """One day has an unreadable record: it is not compacted, the other days are."""
+    root = write_raw(t, "s8")
+    broken = t.records.filter(F.col("dt") == "2024-01-02").select("dt", F.lit('{"subject": "1", ').alias("value"))
+    broken.write.mode("append").partitionBy("dt").text(f"{root}/func-preproc")
+    K.compact_days(t.spark, root, "func_preproc", ["2024-01-01", "2024-01-02", "2024-01-03"])
+    return _compacted_report(t, root).groupBy("dt").agg(F.sum("n").alias("n"))
+
+
+@query("s11_record_writer", """SELECT dt, COUNT(*) AS n_lines, TRUE AS single_line_objects FROM records GROUP BY dt""")
+def record_writer(t):
+    """Records are one compact JSON object per line under their day."""
+    root = write_raw(t, "s11")
+    lines = t.spark.read.text(f"{root}/func-preproc")
+    whole = F.col("value").startswith("{") & F.col("value").endswith("}")
+    return lines.groupBy("dt").agg(F.count(F.lit(1)).alias("n_lines"), F.bool_and(whole).alias("single_line_objects"))

@@ -75,14 +75,16 @@ def empty_partitions(spark: SparkSession, path: str, partitions: Iterable[tuple[
         empty.write.mode("overwrite").parquet(f"{path}/dt={dt}/schema_version={version}")
 
 
-def compact_days(spark: SparkSession, root: str, table: str, days: Sequence[str]) -> CompactionReport:
+def compact_days(
+    spark: SparkSession, root: str, table: str, days: Sequence[str], compacted_path: str | None = None
+) -> CompactionReport:
     """Rebuild the compacted partitions of some days of one table from raw.
 
     A day without raw records, or with an unreadable one, is left as it is: an empty listing may be a flush, and a short
     read must not shrink a complete day. A version raw no longer has is emptied."""
     t = record_table(table)
     report = CompactionReport()
-    raw_path, out_path = t.raw_path(root), t.compacted_path(root)
+    raw_path, out_path = t.raw_path(root), compacted_path or t.compacted_path(root)
     days = sorted(set(days))
     if not path_exists(spark, raw_path):
         report.skipped = {d: "no raw records" for d in days}
