@@ -359,7 +359,9 @@ def noise_components(
                 fitted = basis @ np.linalg.lstsq(basis, data.T, rcond=None)[0]
                 m = data.T - fitted
                 sd = m.std(axis=0)
-                m = m / np.where((sd == 0) | np.isnan(sd), 1.0, sd)
+                # a constant voxel leaves only rounding noise behind, which must not be scaled up to a signal
+                flat = ~(sd > 1e-12 * np.maximum(np.abs(data).max(axis=1), 1e-300))
+                m = np.where(flat, 0.0, m / np.where(flat, 1.0, sd))
                 gram = m @ m.T
                 i, j = np.triu_indices(gram.shape[0])
                 yield pd.DataFrame({run: value, "_i": i.astype(np.int32), "_j": j.astype(np.int32), "_g": gram[i, j]})

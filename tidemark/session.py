@@ -16,6 +16,8 @@ SETTINGS = {
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.sources.partitionColumnTypeInference.enabled": "false",
     "spark.sql.execution.arrow.pyspark.enabled": "true",
+    # many groups with short lists each: hash them instead of sorting the whole partition
+    "spark.sql.objectHashAggregate.sortBased.fallbackThreshold": "65536",
 }
 
 
