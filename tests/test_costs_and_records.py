@@ -72,7 +72,7 @@ def test_savings_group_is_whitelisted(frame):
 
 def test_retry_is_summed_then_split(frame):
     pods = frame(
-        [("w", "b", "s", "1", 4.0, 1.0, 1.0, 1.0, "d", 1), ("w", "b", "s", "1", 2.0, 1.0, 1.0, 1.0, "e", 3)],
+        [("w", "b", "s", "1", 4.0, 1.0, 1.0, 1.0, "2026-01-01", 1), ("w", "b", "s", "1", 2.0, 1.0, 1.0, 1.0, "2026-01-02", 3)],
         "workflow_name string, step string, subject string, session string, total_cost_usd double, cpu_cost_usd double, memory_cost_usd double, gpu_cost_usd double, date string, scrape_age_days int",
     )
     outcomes = frame(

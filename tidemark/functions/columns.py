@@ -51,6 +51,15 @@ def day(c: str | Column) -> Column:
     return F.date_format(col(c), "yyyy-MM-dd")
 
 
+def last_day(c: str | Column) -> Column:
+    """Largest `YYYY-MM-DD` of a group, compared as a date: a fixed-width buffer keeps the aggregate hashed."""
+    return F.date_format(F.max(col(c).try_cast("date")), "yyyy-MM-dd")
+
+
+def first_day(c: str | Column) -> Column:
+    return F.date_format(F.min(col(c).try_cast("date")), "yyyy-MM-dd")
+
+
 def version_key(c: str | Column) -> Column:
     """Numeric order for dotted versions: `1.10` sorts after `1.9`."""
     return F.transform(F.split(col(c), r"\."), lambda p: p.try_cast("int"))

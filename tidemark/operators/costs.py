@@ -7,7 +7,7 @@ from collections.abc import Iterable, Mapping, Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.functions.columns import any_of, col, count_if, finite
+from tidemark.functions.columns import any_of, col, count_if, finite, first_day, last_day
 from tidemark.operators.latest import latest
 from tidemark.operators.quantiles import exact_quantiles, with_quantiles
 
@@ -62,8 +62,8 @@ def subject_costs(costs: DataFrame) -> DataFrame:
             for c in ("total_cost_usd", "cpu_cost_usd", "memory_cost_usd", "gpu_cost_usd", "total_adjustment_usd")
         ],
         F.max("scrape_age_days").alias("max_scrape_age_days"),
-        F.min("date").alias("first_date"),
-        F.max("date").alias("last_date"),
+        first_day("date").alias("first_date"),
+        last_day("date").alias("last_date"),
     )
 
 
@@ -144,7 +144,7 @@ def run_costs(
     keys = list(keys)
     pod_cost = pods.groupBy(*keys).agg(
         *[F.sum(c).alias(c) for c in MONEY],
-        F.max("date").alias("date"),
+        last_day("date").alias("date"),
         F.max("scrape_age_days").alias("scrape_age_days"),
     )
     runs = outcomes
@@ -209,11 +209,11 @@ def batch_cost_summary(costs: DataFrame) -> DataFrame:
 
 def settled_cost_block(costs: DataFrame) -> DataFrame:
     """Batch summary with the youngest scrape: below the settling age the figure is provisional."""
-    ages = costs.agg(F.min("scrape_age_days").alias("min_scrape_age_days")).withColumn(
+    ages = costs.agg(F.min("scrape_age_days").alias("min_scrape_age_days"))
+    age = ages.select("min_scrape_age_days").scalar()
+    return batch_cost_summary(costs).withColumn("min_scrape_age_days", age).withColumn(
         "settled", F.col("min_scrape_age_days") >= SETTLED_AGE_DAYS
     )
-    summary = batch_cost_summary(costs).withColumn("_one", F.lit(1))
-    return summary.join(ages.withColumn("_one", F.lit(1)), "_one").drop("_one")
 
 
 def top_spend(costs: DataFrame, keys: Sequence[str] = ("pipeline", "subject"), n: int = 20) -> DataFrame:

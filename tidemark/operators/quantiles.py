@@ -18,24 +18,29 @@ from tidemark.functions.columns import col
 GRID = 4096
 
 
-def rank_cells(df: DataFrame, keys: Sequence[str], value: str | Column) -> DataFrame:
-    """Distinct values per key with their count `_c` and grid cell `_cell` (monotone in the value).
+def packed_key(keys: Sequence[str]) -> Column:
+    """The key as one struct, so that a NULL key stays a group of its own through joins; a constant without keys."""
+    return F.struct(*keys) if keys else F.struct(F.lit(0).alias("_all"))
 
-    The key is packed into the struct `_k`, so that a NULL key stays a group of its own through the joins.
-    """
+
+def rank_cells(df: DataFrame, keys: Sequence[str], value: str | Column) -> DataFrame:
+    """Distinct values per key `_k` with their count `_c` and grid cell `_cell` (monotone in the value)."""
     x = col(value).cast("double")
     counts = (
-        df.select(F.struct(*keys).alias("_k"), x.alias("_x"))
+        df.select(packed_key(keys).alias("_k"), x.alias("_x"))
         .filter(F.col("_x").isNotNull() & ~F.isnan("_x"))
         .groupBy("_k", "_x")
         .agg(F.count(F.lit(1)).alias("_c"))
     )
-    span = counts.groupBy("_k").agg(F.min("_x").alias("_min"), F.max("_x").alias("_max"))
+    if keys:
+        span = counts.groupBy("_k").agg(F.min("_x").alias("_min"), F.max("_x").alias("_max"))
+        spanned = counts.join(span, "_k")
+    else:  # one pair of numbers: a scalar subquery instead of a join without a key
+        ends = counts.agg(F.struct(F.min("_x").alias("lo"), F.max("_x").alias("hi"))).scalar()
+        spanned = counts.withColumn("_ends", ends).select("*", F.col("_ends.lo").alias("_min"), F.col("_ends.hi").alias("_max"))
     width = F.col("_max") - F.col("_min")
     cell = F.when(width > 0, F.least(F.floor((F.col("_x") - F.col("_min")) / width * GRID), F.lit(GRID - 1)))
-    return (
-        counts.join(span, "_k").withColumn("_cell", F.coalesce(cell, F.lit(0)).cast("int")).drop("_min", "_max")
-    )
+    return spanned.select("_k", "_x", "_c", F.coalesce(cell, F.lit(0)).cast("int").alias("_cell"))
 
 
 def cell_counts(cells: DataFrame) -> DataFrame:
@@ -59,8 +64,6 @@ def exact_quantiles(
 ) -> DataFrame:
     """One row per key with a column per entry of `probs` (name -> probability), linear interpolation between
     closest ranks, NULL and NaN values left out. Groups without any value are absent."""
-    if not keys:
-        return exact_quantiles(df.withColumn("_all", F.lit(0)), ["_all"], value, probs).drop("_all")
     position = {name: F.lit(float(p)) * (F.col("_n") - 1) for name, p in probs.items()}
     wanted = F.array_distinct(F.flatten(F.array(*[F.array(F.floor(p), F.ceil(p)) for p in position.values()])))
     picked = values_at_ranks(df, keys, value, wanted)
@@ -68,7 +71,7 @@ def exact_quantiles(
     for name, p in position.items():
         lo, hi = F.element_at("_at", F.floor(p)), F.element_at("_at", F.ceil(p))
         out.append((lo + (hi - lo) * (p - F.floor(p))).alias(name))
-    return picked.select("_k.*", *out)
+    return picked.select(*(["_k.*"] if keys else []), *out)
 
 
 def values_at_ranks(
@@ -80,7 +83,7 @@ def values_at_ranks(
     grid = cell_counts(cells)
     if per_key is not None:
         extra = [c for c in per_key.columns if c not in keys]
-        grid = grid.join(per_key.select(F.struct(*keys).alias("_k"), *extra), "_k")
+        grid = grid.join(per_key.select(packed_key(keys).alias("_k"), *extra), "_k")
     grid = grid.withColumn("_wanted", ranks)
     here = F.filter("_wanted", lambda r: (r >= F.col("_before")) & (r < F.col("_upto")))
     hit = grid.withColumn("_wanted", here).filter(F.size("_wanted") > 0).select("_k", "_cell", "_before", "_n", "_wanted")
@@ -97,6 +100,7 @@ def with_quantiles(
     """Attach :func:`exact_quantiles` of `df` to an already grouped report over the same keys."""
     q = exact_quantiles(df, keys, value, probs)
     if not keys:
-        return grouped.join(q.withColumn("_one", F.lit(1)), F.lit(1) == F.col("_one"), "left").drop("_one")
+        row = grouped.withColumn("_q", q.select(F.struct(*probs)).scalar())
+        return row.select(*grouped.columns, *[F.col(f"_q.{name}").alias(name) for name in probs])
     packed = q.select(F.struct(*keys).alias("_k"), *probs)
     return grouped.withColumn("_k", F.struct(*keys)).join(packed, "_k", "left").drop("_k")
