@@ -156,6 +156,11 @@ def test_quota_and_merge(frame):
     assert Q.oversubscribed_quota({1: 5, 2: 3, 3: 2}, {3: 4}) == {1: 3, 2: 3, 3: 4}
 
 
+def test_more_than_there_is_cannot_be_drawn(frame):
+    with pytest.raises(Exception, match="asked for 11"):
+        Q.largest_remainder(frame([("a", 5), ("b", 5)], "s string, size bigint"), ["s"], 11).collect()
+
+
 def test_draw_is_the_smallest_hashes(spark):
     df = spark.range(3000).select(F.col("id"), (F.col("id") % 10 > 2).cast("int").alias("s"))
     drawn = Q.stratified_sample(df, ["s"], 100, ["id"], 9)

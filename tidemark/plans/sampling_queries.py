@@ -39,10 +39,10 @@ def merged_bins(t):
     return Q.merge_small_bins(sizes, "grp", "bin", ["low", "mid", "high"], "mid", 60)
 
 
-@query("q3_ordered_draw", _QUOTA.replace("customer", "(SELECT * FROM customer WHERE c_mktsegment <> 'BUILDING')") + " SELECT c_nationkey, CAST(quota AS BIGINT) AS n_drawn, CAST(120 AS BIGINT) AS last_position, TRUE AS positions_are_unique FROM q WHERE quota > 0")
+@query("q3_ordered_draw", _QUOTA.replace("customer", "(SELECT * FROM customer WHERE c_mktsegment <> 'BUILDING')").replace("120", "60") + " SELECT c_nationkey, CAST(quota AS BIGINT) AS n_drawn, CAST(60 AS BIGINT) AS last_position, TRUE AS positions_are_unique FROM q WHERE quota > 0")
 def ordered_draw(t):
     exclude = t.customer.filter(F.col("c_mktsegment") == "BUILDING").select("c_custkey")
-    drawn = Q.ordered_draw(t.customer, ["c_nationkey"], 120, ["c_custkey"], 7, ["c_custkey"], exclude)
+    drawn = Q.ordered_draw(t.customer, ["c_nationkey"], 60, ["c_custkey"], 7, ["c_custkey"], exclude)
     overall = drawn.agg(F.max("position").alias("last"), F.countDistinct("position").alias("distinct"))
     return drawn.groupBy("c_nationkey").agg(F.count(F.lit(1)).alias("n_drawn")).select(
         "c_nationkey", "n_drawn", overall.select("last").scalar().alias("last_position"),
