@@ -211,6 +211,19 @@ def test_statistics_and_curvature_text(frame):
     assert [r for r in got if r[0] == "vols.txt"] == [("vols.txt", "CA1", "Volume_mm3", 12.5, "mm^3", ""), ("vols.txt", "CA3", "Volume_mm3", None, "mm^3", "")]
 
 
+def test_shards_are_stable_and_replaced_alone(spark, frame, tmp_path):
+    import zlib
+
+    path = str(tmp_path / "long")
+    units = [f"sub-{i}" for i in range(20)]
+    X.write_shards(frame([(u, 1.0) for u in units], "subject string, value double"), "subject", 4, path)
+    got = {r["subject"]: int(r["shard"]) for r in spark.read.parquet(path).collect()}
+    assert got == {u: zlib.crc32(u.encode()) % 4 for u in units}
+    X.write_shards(frame([(units[0], 2.0)], "subject string, value double"), "subject", 4, path)
+    again = {r["subject"] for r in spark.read.parquet(path).collect()}
+    assert again == {u for u in units if got[u] != got[units[0]]} | {units[0]}
+
+
 def test_header_without_structure_column_raises(frame):
     df = frame([("a.stats", "# ColHeaders Index Volume\n1 2\n")], "name string, text string")
     with pytest.raises(Exception, match="StructName"):

@@ -531,11 +531,8 @@ def orphan_workflows(pods: DataFrame, costs: DataFrame, keys: Sequence[str] = ("
 
 def cost_coverage(costs: DataFrame, first: str, last: str, date: str = "date", settled_age: int = SETTLED_AGE_DAYS):
     """One row per day of the window: cost rows, rows still provisional, and whether the day is missing."""
-    spark = costs.sparkSession
-    days = spark.sql(
-        f"SELECT date_format(d, 'yyyy-MM-dd') AS `{date}` FROM (SELECT explode(sequence("
-        f"to_date('{first}'), to_date('{last}'))) AS d)"
-    )
+    span = F.sequence(F.to_date(F.lit(first)), F.to_date(F.lit(last)))
+    days = costs.sparkSession.range(1).select(F.explode(span).alias("_d")).select(F.date_format("_d", "yyyy-MM-dd").alias(date))
     per_day = costs.groupBy(date).agg(
         F.count(F.lit(1)).alias("n_rows"), count_if(F.col("scrape_age_days") < settled_age).alias("n_provisional")
     )

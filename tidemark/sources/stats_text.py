@@ -208,6 +208,6 @@ def with_shard(df: DataFrame, key: str, shards: int) -> DataFrame:
 def write_shards(df: DataFrame, key: str, shards: int, path: str) -> None:
     """One folder per shard, replaced on its own, so a rerun of some units leaves the other shards alone."""
     sharded = with_shard(df, key, shards)
-    sharded.repartition("shard").write.mode("overwrite").option("partitionOverwriteMode", "dynamic").option(
+    sharded.hint("rebalance", F.col("shard")).write.mode("overwrite").option("partitionOverwriteMode", "dynamic").option(
         "compression", "zstd"
     ).partitionBy("shard").parquet(path)
