@@ -45,16 +45,30 @@ def _median(s: Column) -> Column:
     return (F.get(ordered, lo) + F.get(ordered, hi)) / 2.0
 
 
+def _moments(s: Column) -> Column:
+    """(mean, sum of squared deviations) of a series in one pass. The lambda only uses its own accumulator: a column of the
+    row named inside it could be inlined by the optimizer and then be recomputed for every frame."""
+    start = F.struct(F.lit(0.0).alias("n"), F.lit(0.0).alias("mean"), F.lit(0.0).alias("ss"))
+
+    def add(a: Column, v: Column) -> Column:
+        n = a["n"] + 1.0
+        mean = a["mean"] + (v - a["mean"]) / n
+        return F.struct(n.alias("n"), mean.alias("mean"), (a["ss"] + (v - a["mean"]) * (v - mean)).alias("ss"))
+
+    return F.aggregate(s, start, add)
+
+
 def voxel_moments(df: DataFrame, series: str = "series") -> DataFrame:
     """Adds `_mean` and `_ss` (sum of squared deviations) of each series. No shuffle."""
-    df = df.withColumn("_mean", _mean(F.col(series)))
-    return df.withColumn("_ss", F.aggregate(F.col(series), F.lit(0.0), lambda a, v: a + (v - F.col("_mean")) * (v - F.col("_mean"))))
+    m = df.withColumn("_m", _moments(F.col(series)))
+    return m.withColumn("_mean", F.col("_m.mean")).withColumn("_ss", F.col("_m.ss")).drop("_m")
 
 
 def tsnr(df: DataFrame, series: str = "series") -> DataFrame:
     """Temporal SNR per voxel: mean over population sd, 0 where the sd is 0."""
-    sd = F.sqrt(F.col("_ss") / F.size(series))
-    return voxel_moments(df, series).withColumn("tsnr", F.when(sd > 0, F.col("_mean") / sd).otherwise(0.0)).drop("_mean", "_ss")
+    m = df.withColumn("_m", _moments(F.col(series)))
+    value = F.when(F.col("_m.ss") > 0, F.col("_m.mean") / F.sqrt(F.col("_m.ss") / F.col("_m.n"))).otherwise(0.0)
+    return m.withColumn("tsnr", value).drop("_m")
 
 
 def tsnr_median(df: DataFrame, run: Sequence[str], series: str = "series") -> DataFrame:
@@ -63,7 +77,9 @@ def tsnr_median(df: DataFrame, run: Sequence[str], series: str = "series") -> Da
 
 def global_correlation(df: DataFrame, run: Sequence[str], series: str = "series") -> DataFrame:
     """Squared length of the mean unit-length series; a constant voxel counts as the zero vector."""
-    unit = F.transform(series, lambda v: F.when(F.col("_ss") > 0, (v - F.col("_mean")) / F.sqrt("_ss")).otherwise(0.0))
+    # named twice, so that the optimizer keeps the mean a column instead of recomputing it for every frame in the lambda
+    varies = (F.col("_ss") > 0) & F.col("_mean").isNotNull()
+    unit = F.transform(series, lambda v: F.when(varies, (v - F.col("_mean")) / F.sqrt("_ss")).otherwise(0.0))
     frames = voxel_moments(df, series).select(*run, F.posexplode(unit).alias("_f", "_u"))
     return frames.groupBy(*run, "_f").agg(F.avg("_u").alias("_m")).groupBy(*run).agg(F.sum(F.col("_m") * F.col("_m")).alias("gcor"))
 
@@ -84,7 +100,8 @@ def outlier_fraction(df: DataFrame, run: Sequence[str], series: str = "series")
     table = lengths.mapInPandas(alphas, "_n int, _alpha double")
     x = df.withColumn("_n", F.size(series)).join(table, "_n")
     x = x.withColumn("_med", _median(F.col(series)))
-    x = x.withColumn("_abs", F.transform(series, lambda v: F.abs(v - F.col("_med"))))
+    # the guard names the median a second time, which keeps it a column instead of a sort per frame
+    x = x.withColumn("_abs", F.when(F.col("_med").isNotNull(), F.transform(series, lambda v: F.abs(v - F.col("_med")))))
     x = x.withColumn("_mad", _median(F.col("_abs")))
     out = F.transform("_abs", lambda v: F.when((F.col("_mad") > 0) & (v > F.col("_alpha") * F.col("_mad")), 1.0).otherwise(0.0))
     frames = x.select(*run, F.posexplode(out).alias("frame", "_o"))
