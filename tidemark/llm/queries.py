@@ -4,7 +4,8 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 SQL: dict[str, str] = {}
@@ -41,9 +42,139 @@ def op2(spark, folder):
     return pack_documents(table(spark, folder, "documents"), public_tokenizers.path("byte_bpe_50k.tiktoken"), size=1024)
 
 
+def digest(spans: Column) -> Column:
+    """kind:start:end of each span, comma-joined in the order given."""
+    return F.array_join(F.transform(spans, lambda s: F.concat_ws(":", s["kind"], s["start"], s["end"])), ",")
+
+
+def count_kind(spans: Column, kind: str) -> Column:
+    return F.size(F.filter(spans, lambda s: s["kind"] == kind)).cast("long").alias(f"n_{kind}")
+
+
+@query("op3_pii")
+def op3(spark, folder):
+    from tidemark.llm.pii import BASE, find_personal_data
+
+    found = find_personal_data(table(spark, folder, "documents"))
+    spans = F.col("spans")
+    return found.select(
+        "doc_id",
+        *(count_kind(spans, k) for k in BASE),
+        F.sha2(digest(F.filter(spans, lambda s: s["base"])), 256).alias("base_sha256"),
+        digest(spans).alias("spans"),
+    )
+
+
+@query("op4_quality_rules")
+def op4(spark, folder):
+    from tidemark.llm.quality_rules import gram_counts, log_ratios, quality_verdicts
+
+    docs = table(spark, folder, "documents")
+    trusted = table(spark, folder, "labels").filter("quality = 1").select("doc_id")
+    return quality_verdicts(docs, log_ratios(gram_counts(docs, trusted)))
+
+
+@query("op5_secret_scan")
+def op5(spark, folder):
+    from tidemark.llm.secret_scan import BASE, find_secrets
+
+    spans = F.col("spans")
+    return find_secrets(table(spark, folder, "documents")).select(
+        "doc_id",
+        *(count_kind(spans, k) for k in BASE),
+        F.sha2(digest(F.filter(spans, lambda s: s["base"])), 256).alias("base_sha256"),
+        digest(spans).alias("spans"),
+    )
+
+
+@query("op6_license_scan")
+def op6(spark, folder):
+    from tidemark.llm.license_scan import scan_licenses
+
+    return (
+        scan_licenses(table(spark, folder, "documents"))
+        .withColumn("base_labels", F.array_join("base_labels", ","))
+        .withColumn("labels", F.array_join("labels", ","))
+    )
+
+
+OP7_SQL = r"""
+WITH d AS (
+  SELECT row_number() OVER () AS rid, doc_id, regexp_extract_all(
+    translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+    '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w FROM documents),
+b AS (
+  SELECT item_id, regexp_extract_all(
+    translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+    '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w FROM benchmark),
+spread AS (SELECT item_id, w, least(len(w), 10) AS n, unnest(range(1, greatest(len(w) - 10, 0) + 2)) AS i FROM b WHERE len(w) > 0),
+win AS (SELECT DISTINCT item_id, n, array_to_string(w[i:i + n - 1], ' ') AS p FROM spread),
+lens AS (SELECT DISTINCT n FROM win),
+spot AS (SELECT rid, w, n, unnest(range(1, len(w) - n + 2)) AS i FROM d, lens WHERE len(w) >= n),
+occ AS (SELECT spot.rid, spot.i, spot.n, win.item_id FROM spot JOIN win ON win.n = spot.n AND array_to_string(spot.w[spot.i:spot.i + spot.n - 1], ' ') = win.p),
+hit AS (SELECT rid, count(DISTINCT pos) AS n_hit FROM (SELECT rid, unnest(range(i, i + n)) AS pos FROM occ) GROUP BY rid),
+items AS (
+  SELECT rid, count(DISTINCT item_id) AS n_items,
+         string_agg(DISTINCT CAST(item_id AS VARCHAR), ',' ORDER BY CAST(item_id AS VARCHAR)) AS ids FROM occ GROUP BY rid)
+SELECT doc_id, CAST(len(w) AS BIGINT) AS n_words, CAST(coalesce(n_hit, 0) AS BIGINT) AS n_hit,
+       CAST(coalesce(n_items, 0) AS BIGINT) AS n_items, sha256(coalesce(ids, '')) AS items_sha256,
+       n_hit IS NOT NULL AS contaminated
+FROM d LEFT JOIN hit USING (rid) LEFT JOIN items USING (rid)
+"""
+
+
+@query("op7_decontamination", OP7_SQL)
+def op7(spark, folder):
+    from tidemark.llm.decontamination import contamination
+
+    found = contamination(table(spark, folder, "documents"), table(spark, folder, "benchmark"), size=10)
+    return found.select(
+        "doc_id", "n_words", "n_hit", "n_items", F.sha2(F.array_join("items", ","), 256).alias("items_sha256"), "contaminated"
+    )
+
+
 @query("op9_quality_classifier")
 def op9(spark, folder):
     from tidemark.llm.quality_classifier import quality_scores, train
 
     docs = table(spark, folder, "documents")
     return quality_scores(docs, train(docs, table(spark, folder, "labels")))
+
+
+#: Verdict, host and path of the rules. Fixed values.
+URL_RULES = [("block", "net", "/"), ("allow", "example.net", "/en/"), ("block", "example.com", "/de/"), ("allow", "org", "/fr/")]
+#: Pages whose host has a part of these names make up the list.
+LISTED_HOSTS = r"://([^/?#]*\.)?(spam-farm|casino-win|free-bets)\."
+
+OP10_SQL = r"""
+WITH p AS (
+  SELECT page_id, url,
+         translate(coalesce(regexp_extract(url, '://([^/?#]*)', 1), ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS host,
+         coalesce(regexp_extract(url, '://[^/?#]*([^?#]*)', 1), '') AS path,
+         list_filter(string_split(coalesce(regexp_extract(url, '://[^?#]*\?([^#]*)', 1), ''), '&'),
+                     lambda x: x <> '' AND NOT starts_with(x, 'utm_')) AS parts
+  FROM pages),
+c AS (
+  SELECT *, CASE WHEN contains(url, '://') THEN
+              regexp_replace(regexp_replace(host, ':(80|443)$', ''), '^www\.', '') || regexp_replace(path, '/+$', '')
+              || CASE WHEN len(parts) > 0 THEN '?' || array_to_string(parts, '&') ELSE '' END END AS canon,
+         CASE WHEN (host = 'example.net' OR host LIKE '%.example.net') AND starts_with(path, '/en/') THEN 'example.net/en/'
+              WHEN (host = 'example.com' OR host LIKE '%.example.com') AND starts_with(path, '/de/') THEN 'example.com/de/'
+              WHEN (host = 'org' OR host LIKE '%.org') AND starts_with(path, '/fr/') THEN 'org/fr/'
+              WHEN (host = 'net' OR host LIKE '%.net') AND starts_with(path, '/') THEN 'net/' END AS rule
+  FROM p),
+l AS (SELECT DISTINCT canon FROM c WHERE regexp_matches(url, '://([^/?#]*\.)?(spam-farm|casino-win|free-bets)\.'))
+SELECT page_id, host, path, rule,
+       CASE WHEN rule IN ('example.net/en/', 'org/fr/') THEN 'allow' WHEN rule IS NOT NULL THEN 'block'
+            WHEN canon IN (SELECT canon FROM l) THEN 'block' ELSE 'allow' END AS verdict
+FROM c
+"""
+
+
+@query("op10_url_filter", OP10_SQL)
+def op10(spark, folder):
+    from tidemark.llm.url_filter import filter_urls
+
+    pages = table(spark, folder, "pages").select("page_id", "url")
+    listed = pages.filter(F.col("url").rlike(LISTED_HOSTS)).select("url")
+    return filter_urls(pages, listed, URL_RULES).drop("listed")
