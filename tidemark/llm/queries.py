@@ -133,6 +133,22 @@ def op7(spark, folder):
     )
 
 
+@query("op8_sharding")
+def op8(spark, folder):
+    from tidemark.llm.sharding import balanced_shards
+
+    placed = balanced_shards(table(spark, folder, "documents"), shards=40)
+    return placed.select(
+        "doc_id",
+        "size",
+        "text_crc32",
+        F.lit("rows").alias("law"),
+        "shard",
+        "slot",
+        F.lit(None).cast("int").alias("grown_shard"),
+    )
+
+
 @query("op9_quality_classifier")
 def op9(spark, folder):
     from tidemark.llm.quality_classifier import quality_scores, train
