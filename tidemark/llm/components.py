@@ -13,7 +13,8 @@ def components(edges: DataFrame, a: str = "a", b: str = "b") -> DataFrame:
 
     Each round takes the smallest label next to a node (partial aggregates, so a hub is no hot task) and jumps twice along
     the labels, so a chain of n nodes ends after about log n rounds. Rows are cut with a reliable checkpoint per round and
-    nothing but the "anything moved" bit reaches the driver. No edges: no rows.
+    nothing but the "anything moved" bit reaches the driver. The joins ask for a merge: labels are neither small for sure nor
+    worth a broadcast per round. No edges: no rows.
     """
     both = edges.select(F.col(a).alias("u"), F.col(b).alias("v"))
     both = both.unionByName(both.select(F.col("v").alias("u"), F.col("u").alias("v"))).filter("u <> v").distinct()
@@ -22,14 +23,14 @@ def components(edges: DataFrame, a: str = "a", b: str = "b") -> DataFrame:
     labels = cut_lineage(labels.select("node", F.least("node", "near").alias("label")))
     while True:
         near = (
-            both.join(labels, F.col("v") == F.col("node"))
+            both.join(labels.hint("merge"), F.col("v") == F.col("node"))
             .groupBy(F.col("u").alias("node"))
             .agg(F.min("label").alias("near"))
         )
-        step = labels.join(near, "node").select("node", F.col("label").alias("was"), F.least("label", "near").alias("label"))
+        step = labels.join(near.hint("merge"), "node").select("node", F.col("label").alias("was"), F.least("label", "near").alias("label"))
         for _ in range(2):
             to = step.select(F.col("node").alias("label"), F.col("label").alias("next"))
-            step = step.join(to, "label").select("node", "was", F.least("label", "next").alias("label"))
+            step = step.join(to.hint("merge"), "label").select("node", "was", F.least("label", "next").alias("label"))
         step = cut_lineage(step)
         labels = step.select("node", "label")
         if step.filter("label <> was").isEmpty():

@@ -203,3 +203,26 @@ def quality_scores(docs: DataFrame, model: FactorisationMachine, id_col: str = "
         "score",
         (F.col("score") >= threshold).cast("int").alias("predicted"),
     )
+
+
+def keep_good(docs: DataFrame, model: FactorisationMachine, text_col: str = "text", chars_col: str | None = "n_chars",
+              threshold: float = 0.3) -> DataFrame:
+    """The rows of `docs`, with all their columns, whose score reaches `threshold`: a map without a shuffle."""
+    shared = docs.sparkSession.sparkContext.broadcast((model.w, model.v, model.bias))
+    chars = F.col(f"`{chars_col}`").cast("long") if chars_col in docs.columns else F.length(F.col(f"`{text_col}`")).cast("long")
+    names = docs.columns
+    extra = "_chars_of_text"
+    while extra in names:
+        extra += "_"
+    place = names.index(text_col)
+
+    def run(batches):
+        fm = FactorisationMachine(*shared.value)
+        for batch in batches:
+            for part in (batch.slice(at, 256) for at in range(0, batch.num_rows, 256)):
+                texts, counts = part.column(place).to_pylist(), part.column(len(names)).to_pylist()
+                made = [fm.score(*_FEATURES(t.encode() if t is not None else None, c)) for t, c in zip(texts, counts, strict=True)]
+                kept = part.filter(pa.array([x >= threshold for x in made], pa.bool_()))
+                yield pa.RecordBatch.from_arrays(kept.columns[: len(names)], names=names)
+
+    return docs.withColumn(extra, chars).mapInArrow(run, docs.schema)

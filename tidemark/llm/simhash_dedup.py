@@ -105,11 +105,11 @@ def near_pairs(reps: DataFrame, max_bits: int = 4, blocks: int = 6, dense: int =
         raise ValueError("max_bits must be even")
     keys = block_keys(pivot_table(reps, blocks), blocks, max_bits)
     sizes = keys.groupBy("key").agg(F.count("*").alias("n")).filter("n > 1")
-    shared = cut_lineage(keys.join(sizes, "key"))
+    shared = cut_lineage(keys.join(sizes.hint("merge"), "key"))
     few = shared.filter(F.col("n") <= dense).select("key", "fp")
     pairs = (
         few.select("key", F.col("fp").alias("a"))
-        .join(few.select("key", F.col("fp").alias("b")), "key")
+        .join(few.select("key", F.col("fp").alias("b")).hint("merge"), "key")
         .filter("a < b")
     )
     for p in pivots(blocks)[:: max(1, BITS // (4 * screen))]:
@@ -122,7 +122,7 @@ def near_pairs(reps: DataFrame, max_bits: int = 4, blocks: int = 6, dense: int =
         flip = F.when(F.col("bit") < BITS, F.expr("shiftleft(1L, bit)")).otherwise(F.lit(0).cast("long"))
         reached = later.select("fp", F.col("middle").bitwiseXOR(flip).alias("middle"), F.col("bit").alias("at"))
     least = reached.groupBy("middle").agg(F.min("fp").alias("a"), F.count("*").alias("n")).filter("n > 1").select("middle", "a")
-    stars = reached.join(least, "middle").filter("a <> fp").select("a", F.col("fp").alias("b"))
+    stars = reached.join(least.hint("merge"), "middle").filter("a <> fp").select("a", F.col("fp").alias("b"))
     return pairs.unionByName(stars).distinct()
 
 
@@ -148,9 +148,9 @@ def simhash_groups(
     prints = cut_lineage(fingerprints(docs, id_col, text_col, size))
     reps = cut_lineage(prints.groupBy("fp").agg(F.min("_id").alias("least")))
     labels = components(near_pairs(reps.select("fp"), max_bits, blocks, dense))
-    linked = reps.join(labels, F.col("fp") == F.col("node"), "left").select("fp", "least", F.coalesce("label", "fp").alias("label"))
+    linked = reps.join(labels.hint("merge"), F.col("fp") == F.col("node"), "left").select("fp", "least", F.coalesce("label", "fp").alias("label"))
     roots = linked.groupBy("label").agg(F.min("least").alias("component_id"))
-    named = linked.join(roots, "label").select("fp", "component_id")
-    return prints.join(named, "fp").select(
+    named = linked.join(roots.hint("merge"), "label").select("fp", "component_id")
+    return prints.join(named.hint("merge"), "fp").select(
         F.col("_id").alias(id_col), F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id"
     )
