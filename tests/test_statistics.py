@@ -153,7 +153,6 @@ def test_quota_and_merge(frame):
     assert rows(Q.largest_remainder(sizes, ["s"], 4), "s", "quota") == [("a", 2), ("b", 1), ("c", 1)]
     bins = frame([("g", "low", 1), ("g", "mid", 60), ("g", "high", 39)], "g string, bin string, size bigint")
     assert rows(Q.merge_small_bins(bins, "g", "bin", ["low", "mid", "high"], "mid", 20), "bin", "merged_bin") == [("high", "high"), ("low", "mid"), ("mid", "mid")]
-    assert Q.oversubscribed_quota({1: 5, 2: 3, 3: 2}, {3: 4}) == {1: 3, 2: 3, 3: 4}
 
 
 def test_more_than_there_is_cannot_be_drawn(frame):

@@ -155,7 +155,7 @@ def path_class(path: str | Column) -> dict[str, Column]:
     """Series fields of a session-relative header path: kind, task, direction, norm (NULL kind: out of scope)."""
     p = col(path)
     folder = F.substring_index(p, "/", 1)
-    name = F.when(p.contains("/"), F.substring(p, F.length(folder) + 2, 1_000_000)).otherwise("")
+    name = F.when(p.contains("/"), F.regexp_replace(p, "^[^/]*/", "")).otherwise("")
     anat, func, fmap = folder == "anat", folder == "func", folder == "fmap"
     structural = F.regexp_extract(name, r"_(T1w|T2w)\.json$", 1)
     task = F.regexp_extract(name, BOLD_PATTERN, 1)

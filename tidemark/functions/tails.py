@@ -151,14 +151,13 @@ def one_sided_power(n, gap, sd, alpha=0.05):
     return 1.0 - noncentral_t_cdf(t_ppf(1.0 - alpha, df), df, gap * np.sqrt(n) / sd)
 
 
-def smallest_n(power_at, power: float, largest: int = 100_000) -> int | None:
-    """Smallest n in [2, largest] whose power reaches the target (power grows with n); None if none does."""
+def smallest_n(power_at, power: float) -> int:
+    """Smallest n of 2 and more whose power reaches the target; power grows with n, so doubling brackets it."""
     lo, hi = 2, 4
-    while hi < largest and power_at(hi) < power:
+    while power_at(hi) < power:
+        if hi > 1 << 52:
+            raise ValueError("the power is not reached at any size")
         lo, hi = hi, hi * 2
-    hi = min(hi, largest)
-    if power_at(hi) < power:
-        return None
     while lo < hi:
         mid = (lo + hi) // 2
         lo, hi = (lo, mid) if power_at(mid) >= power else (mid + 1, hi)

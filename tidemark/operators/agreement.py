@@ -299,19 +299,19 @@ def proportionality(df, keys, a, b, offset: float = 0.0, alpha: float = ALPHA, c
     return on_rows(proportionality_moments(df, keys, a, b, offset), {**added, "proportional": "boolean"}, interval)
 
 
-def required_sessions(endpoints: DataFrame, power: float = 0.8, alpha: float = ALPHA, largest: int = 100_000) -> DataFrame:
+def required_sessions(endpoints: DataFrame, power: float = 0.8, alpha: float = ALPHA) -> DataFrame:
     """Sessions per endpoint from its gap and between-session sd; `binding` marks the largest, which sizes the study.
 
-    `endpoints` has endpoint, gap, sd, one_sided. NULL where no size up to `largest` reaches the power."""
+    `endpoints` has endpoint, gap, sd, one_sided. A gap or sd that is not positive has no size and raises, since no other
+    endpoint may size the study in its place."""
 
     def solve(p: pd.DataFrame) -> dict:
         sizes = []
         for gap, sd, one in zip(p["gap"], p["sd"], p["one_sided"], strict=True):
             if not (gap > 0 and sd > 0):
-                sizes.append(None)
-                continue
+                raise ValueError(f"no sample size for gap {gap} and sd {sd}: both must be positive")
             fn = tails.one_sided_power if one else tails.tost_power
-            sizes.append(tails.smallest_n(lambda n: float(np.ravel(fn(float(n), gap, sd, alpha=alpha))[0]), power, largest))
+            sizes.append(tails.smallest_n(lambda n: float(np.ravel(fn(float(n), gap, sd, alpha=alpha))[0]), power))
         return {"required_sessions": pd.array(sizes, dtype="Int64")}
 
     sized = on_rows(endpoints, {"required_sessions": "bigint"}, solve)

@@ -13,8 +13,6 @@ from tidemark.operators.quantiles import exact_quantiles, with_quantiles
 
 #: Columns `list_price_savings` may be broken out by.
 SAVINGS_GROUPS = ("step", "phase", "subject", "node_instance_type", "date")
-#: Literal lists longer than this are joined instead of inlined into the filter.
-INLINE_LIMIT = 1000
 #: Cost figures stop moving at this age of the scrape.
 SETTLED_AGE_DAYS = 3
 
@@ -46,9 +44,7 @@ def cost_scope(
     wanted = list(subjects)
     if not wanted:
         return df
-    if len(wanted) <= INLINE_LIMIT:
-        return df.filter(F.col(subject).isin(wanted))
-    listed = df.sparkSession.createDataFrame([(s,) for s in wanted], [subject])
+    listed = df.sparkSession.createDataFrame([(s,) for s in wanted], df.select(subject).schema)
     return df.join(listed, subject, "left_semi")
 
 

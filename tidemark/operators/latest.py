@@ -82,7 +82,8 @@ def superseded_plan(
     keys = list(keys)
     if path is not None:
         per_object = records.groupBy(path).agg(F.count(F.lit(1)).alias("_in_object"))
-        records = records.join(per_object, path)
+        # a record without a path shares its object with none and stays in the plan
+        records = records.join(per_object.filter(F.col(path).isNotNull()), path, "left")
     same_time = records.groupBy(*keys, time).agg(
         F.count(F.lit(1)).alias("_n"),
         (F.max("_in_object") if path is not None else F.lit(1)).alias("_shared"),

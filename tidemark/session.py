@@ -6,6 +6,7 @@ import os
 import tempfile
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 #: Settings the operators count on. AQE coalesces small shuffles, splits skewed join partitions and switches a
 #: join to broadcast only once the measured size of a side is below the threshold.
@@ -54,6 +55,11 @@ def checkpoint_dir(spark: SparkSession) -> str:
     return named
 
 
+def measured(df: DataFrame, rows: int = 100_000) -> DataFrame:
+    """`df` marked for a broadcast if it has no more than `rows` (narrow) rows; beyond that the join stays a shuffle join."""
+    return F.broadcast(df) if df.limit(rows + 1).count() <= rows else df
+
+
 def cut_lineage(df: DataFrame) -> DataFrame:
     """Reliable checkpoint: the rows survive the loss of the executors that computed them."""
     checkpoint_dir(df.sparkSession)

@@ -33,15 +33,17 @@ def scan_raw_counting(spark: SparkSession, root: str, table: str) -> DataFrame:
 def read_json_or_jsonl(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
     """Records of files that hold either one JSON object (perhaps over several lines) or one object per line.
 
-    Per file: the whole text is tried as one object first; only files where that fails are split into lines. Adds
-    `_file`, and :data:`CORRUPT` for what neither way could read (a file without any readable line counts once)."""
+    Per file: the whole text is tried strictly as one object first; where that fails, each line that is not blank is read by
+    itself. Adds `_file`, and :data:`CORRUPT` for every line that is no object (for the text of a file that is blank: nothing)."""
     whole = spark.read.text(path, wholetext=True).select(F.col("value").alias("_text"), F.input_file_name().alias("_file"))
     options = {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": CORRUPT}
     with_bad = T.StructType([*schema.fields, T.StructField(CORRUPT, T.StringType())])
-    # a file of several lines is one object only if a newline does not separate two objects
-    several = F.col("_text").rlike(r"\}\s*\n\s*\{")
     lines = F.filter(F.split("_text", r"\r?\n"), lambda line: F.trim(line) != "")
-    parts = F.when(several, lines).otherwise(F.array(F.trim("_text")))
+    # in brackets, text behind the object makes the parse fail, and a second object is a second element
+    single = F.try_parse_json(F.concat(F.lit("["), F.col("_text"), F.lit("]")))
+    alone = single.isNotNull() & F.try_variant_get(single, "$[1]", "variant").isNull()
+    whole_object = F.coalesce(F.ltrim(F.regexp_replace("_text", r"^\s+", "")).startswith("{") & alone, F.lit(False))
+    parts = F.when(whole_object, F.array(F.trim("_text"))).otherwise(lines)
     parsed = whole.select("_file", F.explode(parts).alias("_part")).select(
         "_file", F.from_json("_part", with_bad, options).alias("_r")
     )

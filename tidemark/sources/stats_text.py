@@ -137,11 +137,13 @@ def parse_curvature(files: DataFrame, keys: Sequence[str], text: str = "text") -
     The blocks are found inside the text of the file itself (split at block headers), so no window is needed."""
     t = F.col(text)
     blocks = F.split(t, r"(?m)(?=^\S+ <mean> \+- <std> \(using ')")
-    df = files.select(*keys, F.posexplode(blocks).alias("_b", "_block"))
+    df = files.select(*keys, blocks.alias("_all")).select(*keys, "_all", F.posexplode("_all").alias("_b", "_block"))
+    # line breaks in the blocks before this one
+    before = F.aggregate(F.slice("_all", 1, F.col("_b")), F.lit(0), lambda n, b: n + F.regexp_count(b, F.lit("\n")))
     head = F.regexp_extract(F.col("_block"), r"^([^\n]*)", 1)
     field = {n: F.regexp_extract(head, CURVATURE_BLOCK_PATTERN, i) for i, n in enumerate(("type", "surface", "mean", "std", "unit"), 1)}
     df = df.filter(head.rlike(CURVATURE_BLOCK_PATTERN)).select(
-        *keys, "_b", *[c.alias(f"_{n}") for n, c in field.items()], F.posexplode(F.split("_block", r"\n")).alias("_l", "_line")
+        *keys, before.alias("_before"), *[c.alias(f"_{n}") for n, c in field.items()], F.posexplode(F.split("_block", r"\n")).alias("_l", "_line")
     )
 
     def row(item, measure, value, unit):
@@ -174,7 +176,7 @@ def parse_curvature(files: DataFrame, keys: Sequence[str], text: str = "text") -
         .otherwise(F.array(primary))
     )
     rows = F.when(F.col("_l") == 0, header_rows).when(F.col("_line").rlike(CURVATURE_METRIC_PATTERN), metric_rows)
-    number = (F.col("_b") * 10_000 + F.col("_l")).alias("line_number")
+    number = (F.col("_before") + F.col("_l")).alias("line_number")
     return df.select(*keys, number, F.inline(rows))
 
 

@@ -6,7 +6,7 @@ twice leaves the same rows.
 
 from __future__ import annotations
 
-from collections.abc import Callable, Sequence
+from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -85,12 +85,19 @@ def read_updates(spark: SparkSession, path: str, keys: Sequence[str]) -> DataFra
     return latest(spark.read.option("basePath", path).parquet(f"{path}/batch=*"), list(keys), "batch").drop("batch")
 
 
+class PartialScrape(ValueError):
+    """A batch declared whole is too short to replace settled figures."""
+
+
 def settled_upsert(
     stream: DataFrame, path: str, checkpoint: str, keys: Sequence[str], age: str = "scrape_age_days", day: str = "date",
-    guard_key: str = "workflow_name", floor: float = 0.5, on_refused: Callable[[int], None] | None = None, available_now: bool = True,
+    guard_key: str = "workflow_name", floor: float = 0.5, full_scrape: bool = False, tie: Sequence[str] | None = None, available_now: bool = True,
 ) -> StreamingQuery:
-    """Cost re-scrapes: per key the oldest scrape wins. Days that a batch touches are rewritten; a batch that carries far
-    fewer workflows for its days than are stored is refused, since a short read must not replace settled figures."""
+    """Cost re-scrapes: per key the oldest scrape wins, ties by `tie` (all other columns in name order if not given). Days
+    that a batch touches are rewritten with the stored rows merged in, so a late row of a day changes nothing else.
+
+    With `full_scrape` every batch is declared to be a whole scrape of its days. One that carries far fewer workflows for
+    them than are stored raises :class:`PartialScrape`, so its offset is not committed and it is read again."""
 
     def upsert(batch: DataFrame, number: int) -> None:
         spark = batch.sparkSession
@@ -99,12 +106,10 @@ def settled_upsert(
         new = batch
         if path_exists(spark, path):
             stored = spark.read.schema(batch.schema).parquet(path).join(batch.select(day).distinct(), day, "left_semi")
-            if partial_read_guard(batch, stored, guard_key, floor).first()["refuse"]:
-                if on_refused:
-                    on_refused(number)
-                return
+            if full_scrape and partial_read_guard(batch, stored, guard_key, floor).first()["refuse"]:
+                raise PartialScrape(f"batch {number} holds less than {floor:g} of the stored workflows of its days")
             new = stored.unionByName(batch)
-        merged = latest(new, list(keys), age, [c for c in batch.columns if c not in (*keys, age)][:1])
+        merged = latest(new, list(keys), age, list(tie) if tie is not None else sorted(c for c in batch.columns if c not in (*keys, age)))
         staging = f"{path}_staging/batch={number:012d}"
         merged.write.mode("overwrite").parquet(staging)  # read from `path` must be over before `path` is replaced
         rows = spark.read.schema(batch.schema).parquet(staging)
