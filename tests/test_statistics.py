@@ -268,6 +268,28 @@ def test_log_pairing_by_expected_start(frame):
     assert rows(nodes, "path", "elapsed_s") == [("anat_wf.init", 20.0), ("bold_wf.init", 4.0), (None, 1.0)]
 
 
+def _log(frame, *lines):
+    text = "\n".join(f"240101-00:00:{x:02d},0 nipype.workflow INFO:" if isinstance(x, int) else f"\t [Node] {x}" for x in lines)
+    return E.log_events(frame([("l", text)], "log string, text string"), ["log"], "text")
+
+
+def test_log_pairing_of_ties_cached_and_lost_lines(frame):
+    def setup(wf):
+        return f'Setting-up "wf.{wf}.n" in "/w/fmriprep_25_2_wf/sub_1_wf/{wf}/n".'
+
+    events = _log(
+        frame, 1, 'Executing "n" <x>', 'Finished "n", elapsed time 1.0s.', setup("a_wf"), setup("b_wf"), 'Cached "n" - up-to-date', 3,
+        'Executing "n" <x>', 9, 'Finished "n", elapsed time 6.0s.', setup("c_wf"), setup("d_wf"), 10, 'Executing "n" <x>', 11,
+        'Executing "n" <x>', 20, 'Finished "n", elapsed time 9.2s.', 'Finished "n", elapsed time 9.2s.',
+    )
+    got = rows(E.executed_nodes(events, ["log"], {"c_wf": "one", "d_wf": "two"}), "path", "elapsed_s", "ambiguous")
+    assert sorted(got, key=str) == sorted([(None, 1.0, False), ("b_wf.n", 6.0, False), ("c_wf.n", 9.2, False), ("d_wf.n", 9.2, True)], key=str)
+    same = rows(E.executed_nodes(events, ["log"], {"c_wf": "one", "d_wf": "one"}), "path", "ambiguous")
+    assert not any(r[1] for r in same)
+    tagged = rows(E.executed_nodes(events, ["log"], {"c_wf": "one", "d_wf": "one"}, {"d_wf": "t"}), "path", "ambiguous")
+    assert ("d_wf.n", True) in tagged
+
+
 def test_critical_path_waits_for_both(frame):
     df = frame([("s", "a", 2.0), ("s", "b", 5.0), ("s", "d", 1.0)], "k string, step string, seconds double")
     out = E.critical_path(df, ["k"], {"a": [], "b": [], "c": ["a"], "d": ["b", "c"]})

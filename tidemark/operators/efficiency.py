@@ -2,11 +2,11 @@
 
 from __future__ import annotations
 
-import math
-from collections.abc import Iterator, Mapping, Sequence
+from collections.abc import Mapping, Sequence
 
+import numpy as np
 import pandas as pd
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tidemark.functions.columns import col, count_if, finite, micros, strict_sum
@@ -65,50 +65,111 @@ def log_events(logs: DataFrame, keys: Sequence[str], text: str) -> DataFrame:
     ).filter(F.col("event").isNotNull())
 
 
-def executed_nodes(events: DataFrame, keys: Sequence[str], stages: Mapping[str, str] | None = None) -> DataFrame:
+def prefix_class(path: str | Column, rules: Mapping[str, str] | None) -> Column:
+    """Value of the longest of a few literal prefixes that is the path or one of its ancestors."""
+    p = col(path)
+    tests = [F.when((p == r) | p.startswith(r + "."), F.lit(v)) for r, v in sorted((rules or {}).items(), key=lambda x: -len(x[0]))]
+    return F.coalesce(*tests, F.lit(UNMAPPED))
+
+
+def executed_nodes(
+    events: DataFrame, keys: Sequence[str], stages: Mapping[str, str] | None = None, tags: Mapping[str, str] | None = None
+) -> DataFrame:
     """Executed nodes: each finish line with the in-flight node of that name that started nearest to finish − elapsed.
 
-    A second candidate of another stage about as near makes the pairing ambiguous; a finish without a candidate is
-    unpaired (NULL path). Spark places and sorts the events of one node name in one log; a task streams through them and
-    holds only the nodes in flight."""
+    A second candidate of another stage or tag about as near makes the pairing ambiguous; a finish without a candidate is
+    unpaired (NULL path). Running sums place every event in the JVM: the k-th set-up meets the k-th execution that found
+    one waiting, and a busy period runs from nothing in flight to nothing in flight. Most periods hold one execution and are
+    paired by a join; only the finishes of a crowded period go through :func:`_match_crowd`, period by period."""
     keys = list(keys)
+    unit = [*keys, "node"]
+    upto = Window.partitionBy(*unit).orderBy("line_number").rowsBetween(Window.unboundedPreceding, 0)
+    earlier = Window.partitionBy(*unit).orderBy("line_number").rowsBetween(Window.unboundedPreceding, -1)
+    zero = F.lit(0).cast("long")
+
+    def so_far(kind: Column, window=upto) -> Column:
+        return F.coalesce(F.sum(F.when(kind, 1).otherwise(0)).over(window), zero)
+
+    is_setup, is_finish = F.col("event") == "setup", F.col("event") == "finish"
+    takes = F.col("event").isin("execute", "cached")
+    placed = events.withColumn("_set", so_far(is_setup)).withColumn("_took", so_far(takes))
+    # executions that found no set-up waiting: the running surplus
+    placed = placed.withColumn("_lost", F.greatest(F.max(F.col("_took") - F.col("_set")).over(upto), zero))
+    placed = placed.withColumn("_lost_before", F.coalesce(F.max("_lost").over(earlier), zero))
+    matched = takes & (F.col("_lost") == F.col("_lost_before"))
+    placed = placed.withColumn("_nth", F.when(is_setup, F.col("_set")).when(matched, F.col("_took") - F.col("_lost")))
+    began = (F.col("event") == "execute") & matched
+    placed = placed.withColumn("_began", began).withColumn("_ran", so_far(began)).withColumn("_ended", so_far(is_finish))
+    placed = placed.withColumn("_idle", F.greatest(F.max(F.col("_ended") - F.col("_ran")).over(upto), zero))
+    placed = placed.withColumn("_flying", F.col("_ran") - F.col("_ended") + F.col("_idle"))
+    placed = placed.withColumn("_flying_before", F.coalesce(F.last("_flying").over(earlier), zero))
+    opens = F.col("_began") & (F.col("_flying_before") == 0)
+    placed = placed.withColumn("_period", so_far(opens))
+
+    setups = placed.filter(is_setup).select(*[F.col(k).alias(f"_{k}_s") for k in unit], F.col("_nth").alias("_nth_s"), F.col("path").alias("_path"))
+    same = F.col("_nth") == F.col("_nth_s")
+    for k in unit:
+        same = same & F.col(k).eqNullSafe(F.col(f"_{k}_s"))
+    starts = placed.filter("_began").join(setups, same).select(
+        *unit, "_period", "line_number", F.col("_path").alias("path"), F.col("stamp_us").alias("start_us"),
+        F.concat_ws("|", prefix_class("_path", stages), prefix_class("_path", tags)).alias("class"),
+    )
+    expected = F.col("stamp_us") - F.rint(F.col("elapsed_s") * 1_000_000).cast("long")
+    ends = placed.filter(is_finish).select(
+        *unit, "_period", "line_number", (F.col("_flying_before") > 0).alias("_paired"), expected.alias("start_us"),
+        F.col("stamp_us").alias("end_us"), "elapsed_s",
+    )
+    out = [*unit, "path", "start_us", "end_us", "elapsed_s", "ambiguous"]
+    nobody = ends.filter("not _paired").select(*unit, F.lit(None).cast("string").alias("path"), "start_us", "end_us", "elapsed_s", F.lit(False).alias("ambiguous"))
+
+    period = [*unit, "_period"]
+    begin = F.struct("line_number", "path", "start_us", "class")
+    end = F.struct("line_number", "start_us", "end_us", "elapsed_s")
+    one = starts.groupBy(*period).agg(F.count(F.lit(1)).alias("_n"), F.first(begin).alias("_b"))
+    finishes = ends.filter("_paired").drop("_paired")
+    counted = finishes.join(one.select(*[F.col(c).alias(f"{c}_o") for c in period], "_n", "_b"), _equal(period, "_o")).drop(*[f"{c}_o" for c in period])
+    single = counted.filter("_n = 1").select(*unit, F.col("_b.path").alias("path"), "start_us", "end_us", "elapsed_s", F.lit(False).alias("ambiguous"))
+
+    crowd_starts = starts.select(*period, begin.alias("_b"), F.lit(None).cast(finishes.select(end).schema[0].dataType).alias("_e"))
+    crowd_ends = counted.filter("_n > 1").select(*period, F.lit(None).cast(starts.select(begin).schema[0].dataType).alias("_b"), end.alias("_e"))
+    crowds = one.filter("_n > 1").select(*[F.col(c).alias(f"{c}_o") for c in period])
+    crowd_starts = crowd_starts.join(crowds, _equal(period, "_o"), "left_semi")
     types = {f.name: f.dataType.simpleString() for f in events.schema.fields}
-    schema = ", ".join(f"{k} {types[k]}" for k in keys) + ", node string, path string, start_us bigint, end_us bigint, elapsed_s double, ambiguous boolean"
-    rules = dict(stages or {})
-
-    def stage(path):
-        best = max((p for p in rules if path == p or path.startswith(p + ".")), key=len, default=None)
-        return rules.get(best, UNMAPPED)
-
-    def pair(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        current, waiting, running = None, [], []
-        for pdf in batches:
-            rows = []
-            for r in pdf[[*keys, "node", "event", "stamp_us", "path", "elapsed_s"]].itertuples(index=False, name=None):
-                unit, (event, stamp, path, elapsed) = r[:-4], r[-4:]
-                if unit != current:
-                    current, waiting, running = unit, [], []
-                timed = not pd.isna(stamp)
-                if event == "setup":
-                    waiting.append(path)
-                elif event in ("execute", "cached") and waiting:
-                    first = waiting.pop(0)
-                    if event == "execute":
-                        running.append((first, stamp if timed else None))
-                elif event == "finish":
-                    began = int(stamp) - round(elapsed * 1e6) if timed else None
-                    if not running:
-                        rows.append((*unit, None, began, stamp, elapsed, False))
-                        continue
-                    gaps = [abs(s - began) / 1e6 if timed and s is not None else math.inf for _, s in running]
-                    i = min(range(len(gaps)), key=gaps.__getitem__)
-                    mine = stage(running[i][0])
-                    close = any(j != i and stage(p) != mine and gaps[j] - gaps[i] <= AMBIGUITY_S for j, (p, _) in enumerate(running))
-                    rows.append((*unit, running.pop(i)[0], began, stamp, elapsed, close))
-            yield pd.DataFrame(rows, columns=[*keys, "node", "path", "start_us", "end_us", "elapsed_s", "ambiguous"])
-
-    placed = events.repartition(*keys, "node").sortWithinPartitions(*keys, "node", "line_number")
-    return placed.mapInPandas(pair, schema)
+    schema = ", ".join(f"{k} {types[k]}" for k in unit) + ", path string, start_us bigint, end_us bigint, elapsed_s double, ambiguous boolean"
+    crowded = crowd_starts.unionByName(crowd_ends).groupBy(*period).applyInPandas(lambda p: _match_crowd(p, unit), schema)
+    return nobody.unionByName(single).unionByName(crowded.select(*out))
+
+
+def _equal(columns: Sequence[str], suffix: str) -> Column:
+    """Null-safe equality of columns and their copies."""
+    same = F.lit(True)
+    for c in columns:
+        same = same & F.col(c).eqNullSafe(F.col(f"{c}{suffix}"))
+    return same
+
+
+def _match_crowd(period: pd.DataFrame, unit: list[str]) -> pd.DataFrame:
+    """Finishes of one busy period, in line order, each with the nearest execution before it that is still free."""
+    begins = pd.DataFrame(list(period["_b"].dropna())).sort_values("line_number", ignore_index=True)
+    ends = pd.DataFrame(list(period["_e"].dropna()), columns=["line_number", "start_us", "end_us", "elapsed_s"])
+    ends = ends.sort_values("line_number", ignore_index=True)
+    at, kind = begins["line_number"].to_numpy(), begins["class"].to_numpy()
+    # far[i, j]: seconds between the expected start of finish i and execution j; unknown stamps and later ones are far off
+    far = np.abs(ends["start_us"].to_numpy(float)[:, None] - begins["start_us"].to_numpy(float)[None, :]) / 1e6
+    far = np.where(np.isnan(far), np.inf, far)
+    free = np.ones(len(begins), bool)
+    chosen, unsure = [], []
+    for seconds, line in zip(far, ends["line_number"].to_numpy(), strict=True):
+        open_ = np.flatnonzero(free & (at < line))
+        pick = open_[seconds[open_].argmin()]
+        rival = (kind[open_] != kind[pick]) & (seconds[open_] <= seconds[pick] + AMBIGUITY_S) & np.isfinite(seconds[open_])
+        chosen.append(pick)
+        unsure.append(bool(rival.any()))
+        free[pick] = False
+    made = ends.assign(path=begins["path"].to_numpy()[chosen], ambiguous=unsure)
+    for c in unit:
+        made[c] = period[c].iloc[0]
+    return made[[*unit, "path", "start_us", "end_us", "elapsed_s", "ambiguous"]]
 
 
 def longest_prefix(df: DataFrame, path: str, rules: DataFrame, out: str, default: str | None = UNMAPPED) -> DataFrame:

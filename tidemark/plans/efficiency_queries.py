@@ -39,7 +39,7 @@ def _logs(t):
     SELECT event_id // 8 AS log, 'node_' || event_type AS node, event_type || '_wf.node_' || event_type AS path, COUNT(*) AS n, ROUND(SUM(floor(value * 1000) / 1000), 3) AS elapsed_s FROM events GROUP BY ALL""",
 )
 def executed_nodes(t):
-    nodes = E.executed_nodes(E.log_events(_logs(t), ["log"], "text"), ["log"])
+    nodes = E.executed_nodes(E.log_events(_logs(t), ["log"], "text"), ["log"], {"purchase_wf": "spend"}, {"click_wf.node_click": "press"})
     out = nodes.groupBy("log", "node", "path").agg(F.count(F.lit(1)).alias("n"), F.sum("elapsed_s").alias("elapsed_s"))
     return rounded(out, 3)
 
