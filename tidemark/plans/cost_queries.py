@@ -365,12 +365,12 @@ def drift_table(t):
 @query(
     "a35_partial_read_guard",
     """
-    WITH n AS (SELECT COUNT(DISTINCT workflow_name) AS n_new FROM costs WHERE pipeline = '1-URGENT'),
+    WITH n AS (SELECT COUNT(DISTINCT workflow_name) AS n_new FROM costs),
     s AS (SELECT COUNT(DISTINCT workflow_name) AS n_stored FROM pod_costs)
     SELECT n_new, n_stored, n_new < n_stored * 0.5 AS refuse FROM n, s""",
 )
 def partial_read_guard(t):
-    return C.partial_read_guard(t.costs.filter(F.col("pipeline") == "1-URGENT"), t.pod_costs, "workflow_name")
+    return C.partial_read_guard(t.costs, t.pod_costs, "workflow_name")
 
 
 @query(
@@ -431,27 +431,23 @@ def capture_by_day(t):
     "j16_orphan_pod_costs",
     """
     SELECT date, workflow_name, COUNT(*) AS n_pods, ROUND(SUM(total_cost_usd), 4) AS usd FROM pod_costs p
-    WHERE NOT EXISTS (SELECT 1 FROM costs c WHERE c.workflow_name = p.workflow_name AND c.date <= '1998-01-01')
+    WHERE NOT EXISTS (SELECT 1 FROM costs c WHERE c.workflow_name = p.workflow_name AND c.date = p.date)
     GROUP BY date, workflow_name""",
 )
 def orphan_pod_costs(t):
-    live = t.costs.filter(F.col("date") <= "1998-01-01").select("workflow_name")
-    pods = t.pod_costs.groupBy("date", "workflow_name").agg(
-        F.count(F.lit(1)).alias("n_pods"), F.sum("total_cost_usd").alias("usd")
-    )
-    return rounded(pods.join(live, "workflow_name", "left_anti"), 4)
+    return rounded(C.orphan_workflows(t.pod_costs, t.costs), 4)
 
 
 @query(
     "a33_cost_coverage",
     """
     WITH d AS (SELECT strftime(unnest(generate_series(DATE '1997-01-01', DATE '1997-12-31', INTERVAL 1 DAY)), '%Y-%m-%d') AS date),
-    c AS (SELECT date, COUNT(*) AS n, COUNT(*) FILTER (scrape_age_days < 3) AS p FROM costs WHERE pipeline = '5-LOW' GROUP BY date)
+    c AS (SELECT date, COUNT(*) AS n, COUNT(*) FILTER (scrape_age_days < 3) AS p FROM costs GROUP BY date)
     SELECT date, COALESCE(n, 0) AS n_rows, COALESCE(p, 0) AS n_provisional, COALESCE(n, 0) = 0 AS missing
     FROM d LEFT JOIN c USING (date)""",
 )
 def cost_coverage(t):
-    return C.cost_coverage(t.costs.filter(F.col("pipeline") == "5-LOW"), "1997-01-01", "1997-12-31")
+    return C.cost_coverage(t.costs, "1997-01-01", "1997-12-31")
 
 
 _CLAIMS = """

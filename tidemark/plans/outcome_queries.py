@@ -172,7 +172,7 @@ def identifying_words(t):
 @query(
     "p14_identifying_values",
     """
-    WITH v AS (SELECT DISTINCT conv_id AS doc_id, trim(string_split(text, ' ')[2]) AS value FROM conversations)
+    WITH v AS (SELECT DISTINCT conv_id AS doc_id, trim(unnest(string_split(text, ' '))) AS value FROM conversations)
     SELECT doc_id, value FROM documents JOIN v USING (doc_id)
     WHERE length(value) >= 5 AND NOT (regexp_full_match(value, '[\\d\\-/.: ]+') AND length(value) < 8) AND contains(lower(text), lower(value))""",
 )
@@ -180,7 +180,7 @@ def identifying_values(t):
     """Each document is searched, whole, for the values of its own unit."""
     from tidemark.sources.text import texts_with_values
 
-    values = t.conversations.select(F.col("conv_id").alias("doc_id"), F.try_element_at(F.split("text", " "), F.lit(2)).alias("value"))
+    values = t.conversations.select(F.col("conv_id").alias("doc_id"), F.explode(F.split("text", " ")).alias("value"))
     return texts_with_values(t.documents, ["doc_id"], "text", values, "value")
 
 

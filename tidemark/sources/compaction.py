@@ -6,6 +6,7 @@ run can be repeated and a lost executor only repeats its tasks. Nothing is writt
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Iterable, Mapping, Sequence
 from dataclasses import dataclass, field
 
@@ -68,11 +69,26 @@ def write_partitions(df: DataFrame, path: str, rows_per_file: int = 5_000_000) -
 
 
 def empty_partitions(spark: SparkSession, path: str, partitions: Iterable[tuple[str, str]], schema) -> None:
-    """Make partitions read as no rows, keeping their folder and schema: an overwrite of that folder with zero rows."""
+    """Make partitions read as no rows, keeping their folder and schema.
+
+    One file without rows is written and copied into each folder once its data files are gone, so many partitions cost file
+    system calls and no Spark job. A stop in between leaves a folder without files, which reads as no rows too."""
+    partitions = list(partitions)
+    if not partitions:
+        return
     data_fields = [f for f in schema.fields if f.name not in PARTITIONS]
-    empty = spark.createDataFrame([], type(schema)(data_fields))
+    model = f"{path.rstrip('/')}_empty/{uuid.uuid4().hex}"
+    spark.createDataFrame([], type(schema)(data_fields)).coalesce(1).write.parquet(model)
+    source, fs = _path(spark, model)
+    files = [s.getPath() for s in fs.listStatus(source) if s.getPath().getName().startswith("part-")]
+    conf, util = spark.sparkContext._jsc.hadoopConfiguration(), spark.sparkContext._jvm.org.apache.hadoop.fs.FileUtil
     for dt, version in partitions:
-        empty.write.mode("overwrite").parquet(f"{path}/dt={dt}/schema_version={version}")
+        folder, _ = _path(spark, f"{path}/dt={dt}/schema_version={version}")
+        for status in fs.listStatus(folder):
+            fs.delete(status.getPath(), True)
+        for file in files:
+            util.copy(fs, file, fs, folder, False, conf)
+    fs.delete(source, True)
 
 
 def compact_days(
