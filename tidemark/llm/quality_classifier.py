@@ -104,7 +104,7 @@ def fit(rows: list[tuple[np.ndarray, np.ndarray]], labels: np.ndarray, rank: int
     """AdaGrad on the logistic loss, in batches whose gradients are scattered onto the features they hold. No rows: score 0.5."""
     rng = np.random.default_rng(seed)
     width = WORD_BUCKETS + len(STATISTICS)
-    fm = FactorisationMachine(np.zeros(width), rng.normal(0, 0.02, (width, rank)))
+    fm = FactorisationMachine(np.zeros(width), rng.normal(0, 0.02 if rows else 0.0, (width, rank)))
     g_w, g_v, g_b = np.full(width, 1e-6), np.full((width, rank), 1e-6), 1e-6
     for _ in range(epochs if rows else 0):
         order = rng.permutation(len(rows))
