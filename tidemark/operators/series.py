@@ -210,32 +210,59 @@ def assign_by_window(
     start: str,
     end: str,
     slack_us: int = 120_000_000,
+    chunk_us: int = HOUR_US,
 ) -> DataFrame:
     """The run each pod belongs to, by start time: the one window (with slack) that holds it; several hits give none;
-    no hit falls back to the nearest run that had started; a pod without a time gets the only candidate."""
+    no hit falls back to the nearest run that had started; a pod without a time gets the only candidate.
+
+    Pods and runs never meet in pairs. On one chunked timeline a window adds one and its own number where it opens (slack
+    before its start) and takes both off where it has closed: a pod's running count is its number of hits, and where that is
+    one the running number is the run's. The nearest earlier start is a carried value. A window without an end stays open."""
     keys, pod_id = list(keys), list(pod_id)
-    candidates = runs.select(*keys, F.col(run_id).alias("_run"), F.col(start).alias("_s"), F.col(end).alias("_e"))
-    t = F.col(at)
-    inside = (t >= F.col("_s") - slack_us) & (t <= F.coalesce("_e", t) + slack_us)
-    started = F.when(F.col("_s") <= t, F.struct("_s", "_run"))
-    grouped = (
-        pods.select(*keys, *pod_id, at)
-        .join(candidates, keys, "left")
-        .groupBy(*keys, *pod_id)
-        .agg(
-            F.max(at).alias(at),
-            F.count("_run").alias("n_candidates"),
-            count_if(inside).alias("n_hits"),
-            F.max(F.when(inside, F.col("_run"))).alias("_hit"),
-            F.max(started).alias("_before"),
-            F.max("_run").alias("_only"),
-        )
+    known = runs.select(*keys, F.col(run_id).alias("_run"), F.col(start).alias("_s"), F.col(end).alias("_e"))
+    known = known.filter(F.col("_run").isNotNull()).dropna(subset=keys)
+    number = F.xxhash64(*keys, "_run", "_s", "_e").cast("decimal(20,0)")
+    known = known.withColumn("_no", number)
+    per_key = known.groupBy(*keys).agg(F.count("_run").alias("n_candidates"), F.max("_run").alias("_only"))
+
+    # order at one instant: windows open and runs start, pods look, windows close
+    none, run_type = F.lit(None), known.schema["_run"].dataType
+    nothing = none.cast("decimal(20,0)")
+
+    def event(us, order, ids, count, number, run):
+        return F.struct(us.cast("long").alias("_us"), F.lit(order).alias("_o"), *ids, F.lit(count).alias("_n"), number.alias("_no"), run.cast(run_type).alias("_r"))
+
+    units = pods.groupBy(*keys, *pod_id).agg(F.max(at).alias(at))
+    types = {f.name: f.dataType for f in units.schema.fields}
+    nobody = [none.cast(types[c]).alias(f"_p_{c}") for c in pod_id]
+    edges = F.array(
+        event(F.col("_s") - slack_us, 0, nobody, 1, F.col("_no"), none),
+        event(F.col("_s"), 0, nobody, 0, nothing, F.col("_run")),
+        event(F.col("_e") + slack_us, 2, nobody, -1, -F.col("_no"), none),
     )
+    marks = known.filter(F.col("_s").isNotNull()).select(*keys, F.inline(edges)).filter(F.col("_us").isNotNull())
+    mine = [F.col(c).alias(f"_p_{c}") for c in pod_id]
+    looks = units.filter(F.col(at).isNotNull()).dropna(subset=keys).select(*keys, F.inline(F.array(event(F.col(at), 1, mine, 0, nothing, none))))
+    line = marks.unionByName(looks).withColumn("_chunk", time_chunk("_us", chunk_us))
+    order = ["_us", "_o", "_r", "_no", *[f"_p_{c}" for c in pod_id]]
+    line = running_sum(line, keys, order, F.col("_n").cast("long"), "n_hits", "_chunk")
+    line = running_sum(line, keys, order, F.col("_no").cast("decimal(38,0)"), "_sum", "_chunk")
+    line = carry_last(line, keys, order, F.col("_r"), "_before", "_chunk", include_current=True)
+    seen = line.filter("_o = 1").select(*keys, *[F.col(f"_p_{c}").alias(c) for c in pod_id], "n_hits", F.col("_sum").cast("decimal(20,0)").alias("_no"), "_before")
+    hits = known.groupBy(*keys, "_no").agg(F.max("_run").alias("_hit"))
+    seen = seen.join(hits, [*keys, "_no"], "left").drop("_no")
+
+    placed = units.join(per_key, keys, "left").fillna(0, ["n_candidates"])
+    same = F.lit(True)
+    for c in [*keys, *pod_id]:
+        same = same & F.col(c).eqNullSafe(F.col(f"_q_{c}"))
+    seen = seen.select(*[F.col(c).alias(f"_q_{c}") for c in [*keys, *pod_id]], "n_hits", "_before", "_hit")
+    placed = placed.join(seen, same, "left").withColumn("n_hits", F.coalesce("n_hits", F.lit(0)).cast("long"))
     run = chain(
         [
-            (t.isNull(), F.when(F.col("n_candidates") == 1, F.col("_only"))),
+            (F.col(at).isNull(), F.when(F.col("n_candidates") == 1, F.col("_only"))),
             (F.col("n_hits") == 1, F.col("_hit")),
-            (F.col("n_hits") == 0, F.col("_before._run")),
+            (F.col("n_hits") == 0, F.col("_before")),
         ]
     )
-    return grouped.withColumn(run_id, run).drop("_hit", "_before", "_only")
+    return placed.select(*keys, *pod_id, at, "n_candidates", "n_hits", run.alias(run_id))
