@@ -1,4 +1,4 @@
-"""Connected components by minimum labels and pointer jumping."""
+"""Connected components by pointing to the first neighbour, pointer jumping and contraction."""
 
 from __future__ import annotations
 
@@ -9,29 +9,39 @@ from tidemark.llm.common import cut_lineage
 
 
 def components(edges: DataFrame, a: str = "a", b: str = "b") -> DataFrame:
-    """(node, label) for every node of `edges` (LONG ends); label: the smallest node reachable.
+    """(node, label) for every node of `edges` (LONG ends); label: one node of the component, the same for all its nodes.
 
-    Each round takes the smallest label next to a node (partial aggregates, so a hub is no hot task) and jumps twice along
-    the labels, so a chain of n nodes ends after about log n rounds. Rows are cut with a reliable checkpoint per round and
-    nothing but the "anything moved" bit reaches the driver. The joins ask for a merge: labels are neither small for sure nor
-    worth a broadcast per round. No edges: no rows.
+    Each round orders the nodes anew by a hash, points a node to the first among itself and its neighbours (partial
+    aggregates, so a hub is no hot task), jumps twice along the pointers and contracts: edges between nodes that now have one
+    label are gone, the others are merged. In a hashed order pointers form short chains, so a path of n nodes takes about
+    log n rounds, and a dense family of copies is one node after the first. Rows are cut with a reliable checkpoint per round
+    and nothing but the "edges left" bit reaches the driver. The joins ask for a merge: labels are neither small for sure
+    nor worth a broadcast per round. No edges: no rows, and an edge from a node to itself is none.
     """
-    both = edges.select(F.col(a).alias("u"), F.col(b).alias("v"))
-    both = both.unionByName(both.select(F.col("v").alias("u"), F.col("u").alias("v"))).filter("u <> v").distinct()
-    both = cut_lineage(both)
-    labels = both.groupBy(F.col("u").alias("node")).agg(F.min("v").alias("near"))
-    labels = cut_lineage(labels.select("node", F.least("node", "near").alias("label")))
+    left = edges.select(F.least(a, b).alias("u"), F.greatest(a, b).alias("v")).filter("u <> v").distinct()
+    left = cut_lineage(left)
+    labels, turn = None, 0
     while True:
-        near = (
-            both.join(labels.hint("merge"), F.col("v") == F.col("node"))
-            .groupBy(F.col("u").alias("node"))
-            .agg(F.min("label").alias("near"))
-        )
-        step = labels.join(near.hint("merge"), "node").select("node", F.col("label").alias("was"), F.least("label", "near").alias("label"))
+        turn += 1
+
+        def place(node: str, at: int = turn):
+            return F.struct(F.xxhash64(node, F.lit(at)).alias("h"), F.col(node).alias("n"))
+
+        both = left.unionByName(left.select(F.col("v").alias("u"), F.col("u").alias("v")))
+        step = both.groupBy(F.col("u").alias("node")).agg(F.min(place("v")).alias("near"))
+        step = step.select("node", F.least(place("node"), "near").alias("label"))
         for _ in range(2):
-            to = step.select(F.col("node").alias("label"), F.col("label").alias("next"))
-            step = step.join(to.hint("merge"), "label").select("node", "was", F.least("label", "next").alias("label"))
-        step = cut_lineage(step)
-        labels = step.select("node", "label")
-        if step.filter("label <> was").isEmpty():
+            to = step.select(F.col("node").alias("at"), F.col("label").alias("next"))
+            step = step.join(to.hint("merge"), F.col("label")["n"] == F.col("at")).select("node", F.least("label", "next").alias("label"))
+        step = cut_lineage(step.select("node", F.col("label")["n"].alias("label")))
+        to = step.select(F.col("node").alias("was"), F.col("label").alias("next"))
+        if labels is None:
+            labels = step
+        else:
+            labels = labels.join(to.hint("merge"), F.col("label") == F.col("was"), "left")
+            labels = cut_lineage(labels.select("node", F.coalesce("next", "label").alias("label")))
+        moved = left.join(to.hint("merge"), F.col("u") == F.col("was")).select(F.col("next").alias("x"), "v")
+        moved = moved.join(to.hint("merge"), F.col("v") == F.col("was")).select("x", F.col("next").alias("y"))
+        left = cut_lineage(moved.filter("x <> y").select(F.least("x", "y").alias("u"), F.greatest("x", "y").alias("v")).distinct())
+        if left.isEmpty():
             return labels
