@@ -384,6 +384,11 @@ def drift_by_age(costs: DataFrame, keys: Sequence[str] = ("date",), ages: Sequen
     return wide.withColumn("overstatement_pct", F.when(settled > 0, (first / settled - 1) * 100))
 
 
+def median_overstatement(drift: DataFrame, column: str = "overstatement_pct") -> DataFrame:
+    """One row: the median overstatement over the report dates that have one."""
+    return exact_quantiles(drift, [], column, {"median_overstatement_pct": 0.5})
+
+
 def settled_versions(costs: DataFrame, keys: Sequence[str], age: str = "scrape_age_days", tie=("completed_at",)):
     """The oldest scrape of each cost row wins: its figure has settled furthest."""
     return latest(costs, keys, age, tie)

@@ -413,13 +413,13 @@ def noisy_voxels(df: DataFrame, run: Sequence[str], series: str = "series", top:
 
     def detrended_sd(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for pdf in batches:
-            sds = []
-            for s in pdf[series]:
-                y = np.asarray(s, dtype=np.float64)
-                t = np.linspace(-1, 1, y.size)
-                basis = np.polynomial.legendre.legvander(t, 2)
-                sd = float(np.std(y - basis @ (np.linalg.pinv(basis) @ y)))
-                sds.append(0.0 if math.isnan(sd) else sd)
+            sds = np.zeros(len(pdf))
+            lengths = pdf[series].map(len).to_numpy()
+            for length in np.unique(lengths):  # one product per series length in the batch
+                where = np.flatnonzero(lengths == length)
+                y = np.stack(pdf[series].to_numpy()[where]).astype(np.float64)
+                trend, _ = np.linalg.qr(np.polynomial.legendre.legvander(np.linspace(-1, 1, length), 2))
+                sds[where] = np.nan_to_num(np.std(y - (y @ trend) @ trend.T, axis=1), nan=0.0)
             yield pdf.drop(columns=[series]).assign(detrended_sd=sds)
 
     keep = [f for f in df.schema.fields if f.name != series]
@@ -508,24 +508,29 @@ def framewise_displacement(
 
 
 def confounds_frame(
-    voxels: DataFrame, run: Sequence[str], n_nss: int, timestep: float, n_frames: int, series: str = "series", period: float = 128.0
+    voxels: DataFrame, run: Sequence[str], n_nss: int | str, timestep: float, n_frames: int, series: str = "series", period: float = 128.0
 ) -> DataFrame:
     """Per frame: global signal, DVARS (rms of the voxels' differences to the frame before), steady-state flag, and the
-    slow cosines over the steady-state frames (0 before them)."""
+    slow cosines over the steady-state frames (0 before them).
+
+    Every run has the basis of its own length; `n_nss` is one count or the column that holds a run's. `n_frames`, the longest
+    run, sets how many cosine columns there are: those a shorter run does not have are NULL in it, and a longer run raises."""
+    skipped = F.col(n_nss) if isinstance(n_nss, str) else F.lit(n_nss)
     value = F.posexplode(
         F.transform(
             series,
             lambda v, i: F.struct(v.alias("v"), F.when(i > 0, F.pow(v - F.get(F.col(series), i - 1), 2)).alias("d")),
         )
     ).alias("frame", "_p")
-    frames = voxels.select(*run, value).groupBy(*run, "frame").agg(
-        F.avg("_p.v").alias("global_signal"), F.sqrt(F.avg("_p.d")).alias("dvars")
+    frames = voxels.select(*run, F.size(series).alias("_length"), skipped.alias("_skip"), value).groupBy(*run, "frame").agg(
+        F.avg("_p.v").alias("global_signal"), F.sqrt(F.avg("_p.d")).alias("dvars"), F.max("_length").alias("_length"), F.max("_skip").alias("_skip")
     )
-    out = frames.withColumn("non_steady_state", (F.col("frame") < n_nss).cast("int"))
-    used = n_frames - n_nss
-    for k in range(cosine_basis(used, timestep, period).shape[1] - 1):
-        angle = F.lit(math.pi / used * (k + 1)) * (F.col("frame") - n_nss + 0.5)
-        out = out.withColumn(
-            f"cosine_{k:02d}", F.when(F.col("frame") >= n_nss, F.lit(math.sqrt(2.0 / used)) * F.cos(angle)).otherwise(0.0)
-        )
-    return out
+    fits = F.when(F.col("_length") <= n_frames, F.col("_length")).otherwise(F.raise_error(F.lit(f"a run is longer than {n_frames} frames")))
+    out = frames.withColumn("non_steady_state", (F.col("frame") < F.col("_skip")).cast("int")).withColumn("_used", fits - F.col("_skip"))
+    least = 0 if isinstance(n_nss, str) else n_nss
+    order = F.greatest(F.floor(2 * F.col("_used") * timestep / period), F.lit(1))
+    for k in range(cosine_basis(n_frames - least, timestep, period).shape[1] - 1):
+        angle = F.lit(math.pi) / F.col("_used") * (k + 1) * (F.col("frame") - F.col("_skip") + 0.5)
+        wave = F.when(F.col("frame") >= F.col("_skip"), F.sqrt(F.lit(2.0) / F.col("_used")) * F.cos(angle)).otherwise(0.0)
+        out = out.withColumn(f"cosine_{k:02d}", F.when(F.lit(k + 1) < order, wave))
+    return out.drop("_length", "_skip", "_used")

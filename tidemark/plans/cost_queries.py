@@ -362,6 +362,17 @@ def drift_table(t):
     return rounded(C.drift_by_age(t.costs), 4)
 
 
+@query(
+    "a34_median_overstatement",
+    """
+    WITH g AS (SELECT date, SUM(CASE WHEN scrape_age_days = 1 THEN total_cost_usd END) AS c1,
+                      SUM(CASE WHEN scrape_age_days = 3 THEN total_cost_usd END) AS c3 FROM costs GROUP BY date)
+    SELECT ROUND(quantile_cont((c1 / c3 - 1) * 100, 0.5) FILTER (c3 > 0 AND c1 IS NOT NULL), 4) AS median_overstatement_pct FROM g""",
+)
+def median_overstatement(t):
+    return rounded(C.median_overstatement(C.drift_by_age(t.costs)), 4)
+
+
 @query(
     "a35_partial_read_guard",
     """
