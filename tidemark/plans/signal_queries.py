@@ -270,7 +270,17 @@ def noise_components(t):
     return rounded(out.select("label", "component", "cumulative_variance"), 8)
 
 
-@query("v17_noisy_voxels")
+@query(
+    "v17_noisy_voxels",
+    _V
+    + """, r AS (SELECT vec_id, label, x, -1 + 2.0 * frame / (COUNT(*) OVER (PARTITION BY vec_id) - 1) AS t FROM l),
+         m AS (SELECT vec_id, label, AVG(x) AS mean, AVG(t * t) AS tt, SUM(x * t) / SUM(t * t) AS slope FROM r GROUP BY ALL),
+         c AS (SELECT vec_id, SUM(x * (t * t - tt)) / SUM((t * t - tt) * (t * t - tt)) AS bend FROM r JOIN m USING (vec_id) GROUP BY vec_id),
+         d AS (SELECT r.vec_id, r.label, STDDEV_POP(x - mean - slope * t - bend * (t * t - tt)) AS sd
+               FROM r JOIN m USING (vec_id) JOIN c USING (vec_id) GROUP BY ALL),
+         b AS (SELECT label, quantile_cont(sd, 0.98) AS bound FROM d GROUP BY label)
+         SELECT vec_id AS voxel, d.label, ROUND(sd, 8) AS detrended_sd, TRUE AS selected FROM d JOIN b USING (label) WHERE sd >= bound""",
+)
 def noisy_voxels(t):
     return rounded(S.noisy_voxels(_voxels(t), ["label"]).filter("selected"), 8)
 
