@@ -123,6 +123,53 @@ def reconcile(t):
     return K.reconcile(compacted, raw, proven).select("event_id")
 
 
+_STORED = """WITH s AS (SELECT dt, subject, session, metric, CASE WHEN k % 7 = 0 THEN 'unknown' ELSE '1.' || (k % 3) END AS schema_version FROM records)"""
+_REPORT = " GROUP BY dt, schema_version"
+
+
+def _rewritten(t, name: str, keep):
+    """Every day compacted, rewritten in place by a row rule, and read back."""
+    root = write_raw(t, name)
+    K.compact_days(t.spark, root, "func_preproc", all_days(t))
+    table = R.record_table("func_preproc")
+    K.rewrite_partitions(t.spark, table.compacted_path(root), table.partitioned_schema, keep, f"{root}/staging")
+    return _compacted_report(t, root)
+
+
+@query(
+    "s9_drop_rewritten",
+    _STORED
+    + """, d AS (SELECT DISTINCT subject, session FROM s WHERE dt = '2024-01-03')
+    SELECT dt, schema_version, COUNT(*) AS n, ROUND(SUM(metric), 4) AS total FROM s WHERE (subject, session) NOT IN (SELECT subject, session FROM d)"""
+    + _REPORT,
+)
+def drop_rewritten(t):
+    keys = func_records(t).filter(F.col("dt") == "2024-01-03").select("subject", "session")
+    return _rewritten(t, "s9", lambda df: K.drop_rows(df, ["subject", "session"], keys))
+
+
+@query(
+    "s10_reconcile_rewritten",
+    _STORED
+    + """ SELECT dt, schema_version, COUNT(*) AS n, ROUND(SUM(metric), 4) AS total FROM s
+    WHERE dt > '2024-01-20' OR EXISTS (SELECT 1 FROM s w WHERE w.dt = s.dt AND w.subject = s.subject AND w.session = 'click')"""
+    + _REPORT,
+)
+def reconcile_rewritten(t):
+    raw = func_records(t).filter(F.col("session") == "click").select("dt", "subject")
+    proven = func_records(t).filter(F.col("dt") <= "2024-01-20").select("dt")
+    return _rewritten(t, "s10", lambda df: K.reconcile(df, raw, proven, "subject"))
+
+
+@query(
+    "s20_flush_rewritten",
+    _STORED + " SELECT dt, schema_version, COUNT(*) AS n, ROUND(SUM(metric), 4) AS total FROM s WHERE subject % 2 = 1" + _REPORT,
+)
+def flush_rewritten(t):
+    gone = t.events.filter(F.col("user_id") % 2 == 0).select(F.col("user_id").cast("string").alias("subject")).distinct()
+    return _rewritten(t, "s20", lambda df: K.flush_subjects(df, gone))
+
+
 @query(
     "s20_flush_subjects",
     """

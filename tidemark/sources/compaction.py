@@ -7,11 +7,12 @@ run can be repeated and a lost executor only repeats its tasks. Nothing is writt
 from __future__ import annotations
 
 import uuid
-from collections.abc import Iterable, Mapping, Sequence
+from collections.abc import Callable, Iterable, Mapping, Sequence
 from dataclasses import dataclass, field
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from tidemark.schemas import TABLE_NAMES, record_table
 from tidemark.sources.records import CORRUPT, scan_raw_counting, version_or_unknown
@@ -19,10 +20,6 @@ from tidemark.sources.records import CORRUPT, scan_raw_counting, version_or_unkn
 PARTITIONS = ("dt", "schema_version")
 
 
-class IncompleteRead(RuntimeError):
-    """Raw could not be read whole; the compacted days were left as they were."""
-
-
 @dataclass
 class CompactionReport:
     """Rows written per (dt, schema_version), days left alone and partitions emptied."""
@@ -186,18 +183,35 @@ def flush_subjects(
     return drop_rows(df, [key], per_workflow.filter("_all").select(key))
 
 
-def replace_days(df: DataFrame, path: str, staging: str) -> None:
-    """Overwrite the (dt, schema_version) partitions of `df`, which may have been read from `path` itself.
+def rewrite_partitions(
+    spark: SparkSession, path: str, schema: T.StructType, keep: Callable[[DataFrame], DataFrame], staging: str
+) -> list[tuple[str, str]]:
+    """Apply a row rule (:func:`drop_rows`, :func:`reconcile`, :func:`flush_subjects`) to a compacted tree in place.
+
+    The rows that stay are staged as a table first, so that no partition is read while it is replaced and a lost executor
+    cannot need a file that is already gone. Only partitions that lost rows are replaced, those that lost all are emptied; the
+    staged table is removed once that is done. Returns the partitions touched; one count per partition reaches the driver."""
+    stored = spark.read.schema(schema).parquet(path)
+    keep(stored).select(*stored.columns).write.mode("overwrite").partitionBy(*PARTITIONS).parquet(staging)
+    staged = spark.read.schema(schema).parquet(staging)
+
+    def sizes(df: DataFrame) -> dict[tuple[str, str], int]:
+        return {(r["dt"], r["schema_version"]): r["n"] for r in df.groupBy(*PARTITIONS).agg(F.count(F.lit(1)).alias("n")).collect()}
 
-    The rows are staged as a table first, so that no partition is read while it is replaced and a lost executor cannot
-    need a file that is already gone."""
-    spark = df.sparkSession
-    df.write.mode("overwrite").partitionBy(*PARTITIONS).parquet(staging)
-    staged = spark.read.schema(df.schema).parquet(staging)
-    write_partitions(staged, path)
+    before, after = sizes(stored), sizes(staged)
+    touched = sorted(p for p, n in before.items() if after.get(p, 0) != n)
+    part = F.struct(F.col("dt"), F.col("schema_version"))
+    rewritten = [F.struct(F.lit(d), F.lit(v)) for d, v in touched if (d, v) in after]
+    if rewritten:
+        rows = staged.filter(F.col("dt").isin(sorted({d for d, _ in touched})) & part.isin(rewritten))
+        write_partitions(rows.hint("rebalance", F.col("dt"), F.col("schema_version")), path)
+    empty_partitions(spark, path, [p for p in touched if p not in after], schema)
+    folder, fs = _path(spark, staging)
+    fs.delete(folder, True)
+    return touched
 
 
 __all__ = [
-    "CompactionReport", "IncompleteRead", "UnattributableRows", "compact_days", "compact_lookback", "drop_rows",
-    "empty_partitions", "flush_subjects", "reconcile", "replace_days", "stored_partitions", "write_partitions",
+    "CompactionReport", "UnattributableRows", "compact_days", "compact_lookback", "drop_rows",
+    "empty_partitions", "flush_subjects", "reconcile", "rewrite_partitions", "stored_partitions", "write_partitions",
 ]
