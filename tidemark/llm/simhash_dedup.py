@@ -204,7 +204,7 @@ def bits_at(similarity: float, margin: float = 0.5) -> int:
 
 
 def near_groups(
-    docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", size: int = 5, similarity: float = 0.8, dense: int = 64
+    docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", size: int = 5, similarity: float = 0.8, dense: int = 8
 ) -> DataFrame:
     """(_id, key, winner STRUCT<_id, key>), one row per row of `docs`: groups of texts with about `similarity` and more.
 
@@ -212,8 +212,8 @@ def near_groups(
     STAIRS random staircases of references on them. Texts of similarity 0.8 agree on some staircase with 94 %, of 0.85 with
     over 99 %; agreeing pairs are verified by their differing bits over all lanes, see :func:`bits_at`. Equal
     fingerprints are one node. A staircase distance that more than `dense` fingerprints share (families of edited copies)
-    links each to the family's least and to its next three in fingerprint order, in every staircase anew,
-    instead of all pairs. The winner is the least (id, key) of the group; `key` is a hash of the text.
+    links each to the least of those that share it and to the next one in hash order, in every staircase anew,
+    instead of all pairs: a family of n costs rows in proportion to n. The winner is the least (id, key) of the group; `key` is a hash of the text.
 
     Null or wordless texts are one group. No rows: no rows.
     """
@@ -247,9 +247,9 @@ def near_groups(
     few = shared.filter(F.col("n") <= dense)
     pairs = few.select("stair", F.col("node").alias("a")).join(few.select("stair", F.col("node").alias("b")).hint("merge"), "stair")
     many = shared.filter(F.col("n") > dense)
-    nexts = F.array(*(F.expr(f"lead(node, {i}) over (partition by stair order by node)") for i in (1, 2, 3)))
-    chain = many.select(F.col("node").alias("a"), "lead", nexts.alias("nexts"))
-    chain = chain.select("a", F.explode(F.array_append("nexts", F.col("lead"))).alias("b"))
+    after = F.expr("lead(node) over (partition by stair order by node)")
+    chain = many.select(F.col("node").alias("a"), "lead", after.alias("after"))
+    chain = chain.select("a", F.explode(F.array("after", "lead")).alias("b"))
     pairs = pairs.filter("a < b").select("a", "b").unionByName(chain.filter("b is not null and a <> b")).distinct()
     ends = [reps.select(F.col("node").alias(e), *(F.col(n).alias(f"{e}_{n}") for n in lanes)).hint("merge") for e in "ab"]
     apart = sum((F.bit_count(F.col(f"a_{n}").bitwiseXOR(F.col(f"b_{n}"))) for n in lanes), F.lit(0))
