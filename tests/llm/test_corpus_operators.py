@@ -140,6 +140,30 @@ def test_near_groups_take_edited_copies_and_leave_others(spark):
     assert winner[21] == 20 and len(got) == len(rows)
 
 
+def test_near_groups_are_the_components_of_exact_similarity(spark):
+    rng, rows = np.random.default_rng(11), []
+    for family in range(3):
+        base = words(200, 900 + family).split()
+        for i in range(30):
+            edited = list(base)
+            for at in rng.choice(200, rng.integers(1, 9), replace=False):
+                edited[at] = f"new{family}x{i}x{at}"
+            # a line said again and again: it counts once in a set
+            rows.append((100 * family + i, " ".join(edited + (ALPHA * 12 if i % 5 == 0 else []))))
+    passage = words(30, 999)
+    rows += [(1000 + i, passage + " " + words(40, 2000 + i)) for i in range(20)]
+    sets = [{tuple(w[k : k + 5]) for k in range(len(w) - 4)} for w in (t.split() for _, t in rows)]
+    root = list(range(len(rows)))
+    for a in range(len(rows)):
+        for b in range(a):
+            if len(sets[a] & sets[b]) >= 0.8 * len(sets[a] | sets[b]) and root[a] != root[b]:
+                root = [root[b] if r == root[a] else r for r in root]
+    want = {i: min(rows[k][0] for k in range(len(rows)) if root[k] == root[n]) for n, (i, _) in enumerate(rows)}
+    got = simhash_dedup.near_groups(spark.createDataFrame(rows, "doc_id long, text string")).collect()
+    assert {r["_id"]: r["winner"]["_id"] for r in got} == want
+    assert 20 < len(set(want.values())) < len(rows) - 20
+
+
 def test_components_of_a_long_chain_and_a_hub(spark):
     edges = [(i, i + 1) for i in range(60)] + [(100, 100 + i) for i in range(1, 40)] + [(500, 500)]
     got = dict(map(tuple, components(spark.createDataFrame(edges, "a long, b long")).collect()))

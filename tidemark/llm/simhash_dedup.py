@@ -1,4 +1,4 @@
-"""SimHash near-duplicates found through a table of Hamming distances to reference fingerprints."""
+"""SimHash near-duplicates through distances to reference fingerprints; groups at a similarity by shingle prefixes."""
 
 from __future__ import annotations
 
@@ -6,7 +6,7 @@ from itertools import accumulate, combinations
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from xxhash import xxh64_intdigest
 
@@ -156,105 +156,155 @@ def simhash_groups(
     )
 
 
-# -- groups at a similarity, for texts that differ in more than a few bits -----------------------------------------------
+# -- groups at a similarity of shingle sets, exactly ---------------------------------------------------------------------
 
-LANES = 8
-WIDE = BITS * LANES
-#: Staircases of references per fingerprint, and bits of each: two texts share a key where they agree on one's distances.
-STAIRS, STEPS = 120, 23
+#: Cells in which shingles are counted for the order of prefixes; a shared cell costs candidates, never a pair.
+SHINGLE_CELLS = 1 << 18
+#: Rounds that compare neighbours only, before all pairs that are still in different groups.
+NEIGHBOUR_ROUNDS = 2
 
 
-def wide_fingerprint(text: bytes | None, size: int) -> np.ndarray:
-    """LANES 64-bit fingerprints of one text: lane 0 as in :func:`fingerprint`, the others from remixed shingle hashes."""
+def shingle_set(text: bytes | None, size: int) -> np.ndarray:
+    """The distinct hashes of `size`-word shingles of one text, sorted; words as in :func:`fingerprint`. No words: none."""
     words = (text or b"").lower().split()
     if not words:
-        return np.zeros(LANES, np.uint64)
+        return np.zeros(0, np.int64)
     joined = b" ".join(words)
     if len(words) <= size:
-        hashes = np.array([xxh64_intdigest(joined, 42)], np.uint64)
-    else:
-        lengths = np.fromiter(map(len, words), np.int64, len(words))
-        ends = np.cumsum(lengths + 1) - 1
-        starts = (ends - lengths)[: len(words) - size + 1].tolist()
-        hashes = np.fromiter(
-            (xxh64_intdigest(joined[s:e], 42) for s, e in zip(starts, ends[size - 1 :].tolist(), strict=True)),
-            np.uint64,
-            len(starts),
-        )
-    made = np.empty(LANES, np.uint64)
-    for lane in range(LANES):
-        mixed = hashes
-        if lane:
-            mixed = (hashes + np.uint64(lane)) * np.uint64(0x9E3779B97F4A7C15)
-            mixed = (mixed ^ (mixed >> np.uint64(32))) * np.uint64(0xD6E8FEB86659FD93)
-            mixed = mixed ^ (mixed >> np.uint64(29))
-        votes = np.zeros(BITS, np.int64)
-        for at in range(0, len(mixed), 65_536):
-            part = mixed[at : at + 65_536].astype(">u8").view(np.uint8).reshape(-1, 8)
-            votes += np.unpackbits(part, axis=1).sum(axis=0, dtype=np.int64)
-        made[lane] = int.from_bytes(np.packbits(votes * 2 > len(mixed)).tobytes(), "big")
-    return made
-
-
-def bits_at(similarity: float, margin: float = 0.5) -> int:
-    """Differing bits up to which WIDE-bit fingerprints link: the number expected at a Jaccard similarity of shingles, and
-    `margin` standard deviations more. The cosine at Jaccard J is 2J / (1 + J) for sets of equal size."""
-    share = float(np.arccos(2 * similarity / (1 + similarity)) / np.pi)
-    return int(WIDE * share + margin * np.sqrt(WIDE * share * (1 - share)))
+        return np.array([xxh64_intdigest(joined, 42)], np.uint64).view(np.int64)
+    ends = np.cumsum(np.fromiter(map(len, words), np.int64, len(words)) + 1) - 1
+    starts = np.concatenate(([0], ends[: len(words) - size] + 1)).tolist()
+    stops = ends[size - 1 :].tolist()
+    hashes = np.fromiter((xxh64_intdigest(joined[s:e], 42) for s, e in zip(starts, stops, strict=True)), np.uint64, len(starts))
+    return np.unique(hashes.view(np.int64))
+
+
+def least_shared(similarity: float, total: Column) -> Column:
+    """Shingles that two sets of `total` shingles together must share for a Jaccard similarity of `similarity`."""
+    return F.ceil(total * (similarity / (1 + similarity)) - 1e-9)
+
+
+def shingle_prefixes(reps: DataFrame, similarity: float) -> DataFrame:
+    """(gram, node, at, n): of each set the rarest n - ceil(similarity * n) + 1 of its n shingles, with their places.
+
+    Two sets of that similarity share a shingle of both prefixes under any order of all shingles. The order is by a count of
+    hashed cells, then by hash, so shingles of common passages come last and meet in few prefixes.
+    """
+
+    def count(batches):
+        total = np.zeros(SHINGLE_CELLS, np.int64)
+        for batch in batches:
+            total += np.bincount(batch.column("grams").flatten().to_numpy() & (SHINGLE_CELLS - 1), minlength=SHINGLE_CELLS)
+        hit = np.flatnonzero(total)
+        yield pa.RecordBatch.from_arrays([pa.array(hit), pa.array(total[hit])], names=["cell", "n"])
+
+    cells = reps.select("grams").mapInArrow(count, "cell bigint, n bigint").groupBy("cell").agg(F.sum("n").alias("n")).toArrow()
+    often = np.zeros(SHINGLE_CELLS, np.int64)
+    often[cells.column("cell").to_numpy()] = cells.column("n").to_numpy()
+
+    def cut(batches):
+        for batch in batches:
+            for part in (batch.slice(at, 256) for at in range(0, batch.num_rows, 256)):
+                grams, sizes = [], []
+                for scalar in part.column("grams"):
+                    held = scalar.values.to_numpy()
+                    kept = min(len(held), len(held) - int(np.ceil(similarity * len(held) - 1e-9)) + 1)
+                    grams.append(held[np.lexsort((held, often[held & (SHINGLE_CELLS - 1)]))[:kept]])
+                    sizes.append(len(held))
+                lengths = np.fromiter(map(len, grams), np.int64, len(grams))
+                places = [np.arange(n, dtype=np.int32) for n in lengths]
+                made = {
+                    "gram": np.concatenate(grams),
+                    "node": np.repeat(part.column("node").to_numpy(), lengths),
+                    "at": np.concatenate(places),
+                    "n": np.repeat(np.array(sizes, np.int32), lengths),
+                }
+                yield pa.RecordBatch.from_arrays([pa.array(v) for v in made.values()], names=list(made))
+
+    return reps.select("node", "grams").mapInArrow(cut, "gram bigint, node bigint, at int, n int")
+
+
+def may_reach(a: Column, b: Column, similarity: float) -> Column:
+    """False only where the sizes, or the places of a shared prefix shingle, rule the similarity out. It is asked of each
+    shingle; the first one shared by a similar pair passes."""
+    sizes = F.least(a["n"], b["n"]) >= similarity * F.greatest(a["n"], b["n"]) - 1e-9
+    return sizes & (F.least(a["n"] - a["at"], b["n"] - b["at"]) >= least_shared(similarity, a["n"] + b["n"]))
+
+
+def similar_pairs(pairs: DataFrame, reps: DataFrame, similarity: float) -> DataFrame:
+    """Those of `pairs` (a, b) whose shingle sets have the similarity, counted on the sets themselves."""
+    one, two = (reps.select(F.col("node").alias(e), F.col("grams").alias(f"{e}_grams")).hint("merge") for e in "ab")
+    met = pairs.distinct().join(one, "a").join(two, "b")
+    shared = F.size(F.array_intersect("a_grams", "b_grams"))
+    return met.filter(shared >= least_shared(similarity, F.size("a_grams") + F.size("b_grams"))).select("a", "b")
+
+
+def similar_components(reps: DataFrame, similarity: float) -> DataFrame:
+    """(node, label) of the nodes linked to another one: components of "Jaccard similarity of `similarity` or more".
+
+    Candidates are the pairs that share a prefix shingle. Rounds first verify neighbours in an order by size, then in hashed
+    orders, which joins most of a family at a cost in proportion to its size; pairs inside a component need no
+    comparison. Last, every candidate pair that still is in two components is verified: none is lost or capped.
+    """
+    prefixes = cut_lineage(shingle_prefixes(reps, similarity))
+    several = prefixes.groupBy("gram").agg(F.count("*").alias("members")).filter("members > 1").select("gram")
+    left = cut_lineage(prefixes.join(several.hint("merge"), "gram").withColumn("label", F.col("node")))
+    links, labels = None, None
+    for turn in range(NEIGHBOUR_ROUNDS + 1):
+        one = F.struct("node", "at", "n", "label").alias("x")
+        if turn < NEIGHBOUR_ROUNDS:
+            order = [F.col("n"), F.col("node")] if turn == 0 else [F.xxhash64("node", F.lit(turn))]
+            after = F.lead(F.struct("node", "at", "n", "label")).over(Window.partitionBy("gram").orderBy(*order)).alias("y")
+            both = left.select(one, after).filter("y is not null and x.label <> y.label")
+            both = both.filter(may_reach(F.col("x"), F.col("y"), similarity))
+        else:
+            sides = left.groupBy("gram", "label").agg(F.collect_list(F.struct("node", "at", "n")).alias("held"))
+            first, second = (sides.select("gram", F.col("label").alias(f"l{e}"), F.col("held").alias(f"h{e}")) for e in "xy")
+            met = first.join(second.hint("merge"), "gram").filter("lx < ly")
+            met = met.select("hy", F.explode("hx").alias("x"))
+            reached = F.filter("hy", lambda y: may_reach(F.col("x"), y, similarity))
+            both = met.select("x", F.explode(reached).alias("y"))
+        pairs = both.select(F.least("x.node", "y.node").alias("a"), F.greatest("x.node", "y.node").alias("b"))
+        new = cut_lineage(similar_pairs(pairs, reps, similarity))
+        if new.isEmpty() and labels is not None:
+            if turn == NEIGHBOUR_ROUNDS:
+                return labels.withColumnRenamed("member", "node")
+            continue
+        links = new if links is None else links.unionByName(new)
+        labels = components(links).withColumnRenamed("node", "member")
+        if turn == NEIGHBOUR_ROUNDS:
+            return labels.withColumnRenamed("member", "node")
+        named = left.drop("label").join(labels.hint("merge"), F.col("node") == F.col("member"), "left")
+        named = cut_lineage(named.select("gram", "node", "at", "n", F.coalesce("label", "node").alias("label")))
+        open_ = named.groupBy("gram").agg(F.min("label").alias("low"), F.max("label").alias("high")).filter("low <> high").select("gram")
+        left = cut_lineage(named.join(open_.hint("merge"), "gram"))
 
 
 def near_groups(
-    docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", size: int = 5, similarity: float = 0.8, dense: int = 8
+    docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", size: int = 5, similarity: float = 0.8
 ) -> DataFrame:
-    """(_id, key, winner STRUCT<_id, key>), one row per row of `docs`: groups of texts with about `similarity` and more.
+    """(_id, key, winner STRUCT<_id, key>), one row per row of `docs`: groups of texts linked at `similarity` and more.
 
-    As in :func:`simhash_groups`, but for far more differing bits: LANES fingerprints of `size`-word shingles per text and
-    STAIRS random staircases of references on them. Texts of similarity 0.8 agree on some staircase with 94 %, of 0.85 with
-    over 99 %; agreeing pairs are verified by their differing bits over all lanes, see :func:`bits_at`. Equal
-    fingerprints are one node. A staircase distance that more than `dense` fingerprints share (families of edited copies)
-    links each to the least of those that share it and to the next one in hash order, in every staircase anew,
-    instead of all pairs: a family of n costs rows in proportion to n. The winner is the least (id, key) of the group; `key` is a hash of the text.
+    The similarity is the Jaccard similarity of the sets of `size`-word shingles, counted exactly (on 64-bit hashes), and every pair of that
+    similarity is in one group, see :func:`similar_components`. Texts with equal sets are one node. The winner is
+    the least (id, key) of the group; `key` is a hash of the text.
 
     Null or wordless texts are one group. No rows: no rows.
     """
-    lanes = [f"f{i}" for i in range(LANES)]
     view = row_view(docs, id_col, text_col).withColumn("key", F.xxhash64("_text"))
 
-    def prints(texts, _):
-        made = np.array([wide_fingerprint(t, size) for t in texts], dtype=np.uint64).reshape(-1, LANES).view(np.int64)
-        return {name: pa.array(np.ascontiguousarray(made[:, i])) for i, name in enumerate(lanes)}
-
-    rows = cut_lineage(map_texts(view, ", ".join(f"{n} bigint" for n in lanes), prints, ("_id", "key")).withColumn("node", F.xxhash64(*lanes)))
-    reps = cut_lineage(
-        rows.groupBy("node").agg(F.min(F.struct("_id", "key")).alias("least"), *(F.first(n).alias(n) for n in lanes))
-    )
-    chosen = np.stack([np.random.default_rng(s).choice(WIDE, STEPS, replace=False) for s in range(STAIRS)])
-
-    def stairs(batches):
-        weights = 1 << np.arange(STEPS, dtype=np.int64)
-        for batch in batches:
-            for part in (batch.slice(at, 512) for at in range(0, batch.num_rows, 512)):
-                words = np.stack([part.column(n).to_numpy().view(np.uint64) for n in lanes], axis=1)
-                bits = np.unpackbits(words.astype(">u8").view(np.uint8).reshape(len(words), -1), axis=1)
-                keys = bits[:, chosen].astype(np.int64) @ weights + (np.arange(STAIRS, dtype=np.int64) << 32)
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array(np.repeat(part.column("node").to_numpy(), STAIRS)), pa.array(keys.ravel())], names=["node", "stair"]
-                )
-
-    stair = reps.select("node", *lanes).mapInArrow(stairs, "node bigint, stair bigint")
-    sizes = stair.groupBy("stair").agg(F.count("*").alias("n"), F.min("node").alias("lead")).filter("n > 1")
-    shared = cut_lineage(stair.join(sizes.hint("merge"), "stair"))
-    few = shared.filter(F.col("n") <= dense)
-    pairs = few.select("stair", F.col("node").alias("a")).join(few.select("stair", F.col("node").alias("b")).hint("merge"), "stair")
-    many = shared.filter(F.col("n") > dense)
-    after = F.expr("lead(node) over (partition by stair order by node)")
-    chain = many.select(F.col("node").alias("a"), "lead", after.alias("after"))
-    chain = chain.select("a", F.explode(F.array("after", "lead")).alias("b"))
-    pairs = pairs.filter("a < b").select("a", "b").unionByName(chain.filter("b is not null and a <> b")).distinct()
-    ends = [reps.select(F.col("node").alias(e), *(F.col(n).alias(f"{e}_{n}") for n in lanes)).hint("merge") for e in "ab"]
-    apart = sum((F.bit_count(F.col(f"a_{n}").bitwiseXOR(F.col(f"b_{n}"))) for n in lanes), F.lit(0))
-    links = pairs.join(ends[0], "a").join(ends[1], "b").filter(apart <= bits_at(similarity)).select("a", "b")
-    labels = components(links).withColumnRenamed("node", "member")
+    def sets(texts, _):
+        made = [shingle_set(t, size) for t in texts]
+        offsets = np.concatenate(([0], np.cumsum([len(m) for m in made]))).astype(np.int32)
+        nodes = [xxh64_intdigest(m.tobytes(), 7) for m in made]
+        return {
+            "node": pa.array(np.array(nodes, np.uint64).view(np.int64)),
+            "grams": pa.ListArray.from_arrays(pa.array(offsets), pa.array(np.concatenate(made))),
+        }
+
+    rows = cut_lineage(map_texts(view, "node bigint, grams array<bigint>", sets, ("_id", "key")))
+    reps = cut_lineage(rows.groupBy("node").agg(F.min(F.struct("_id", "key")).alias("least"), F.first("grams").alias("grams")))
+    labels = similar_components(reps.select("node", "grams"), similarity).withColumnRenamed("node", "member")
     linked = reps.join(labels.hint("merge"), F.col("node") == F.col("member"), "left").select("node", "least", F.coalesce("label", "node").alias("label"))
     winners = linked.groupBy("label").agg(F.min("least").alias("winner"))
     named = linked.join(winners.hint("merge"), "label").select("node", "winner")
