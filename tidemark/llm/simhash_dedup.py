@@ -10,7 +10,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from xxhash import xxh64_intdigest
 
-from tidemark.llm.common import cut_lineage, map_texts, row_view
+from tidemark.llm.common import cut_lineage, map_texts, measured, row_view
 from tidemark.llm.components import components
 
 BITS = 64
@@ -184,7 +184,7 @@ def least_shared(similarity: float, total: Column) -> Column:
     return F.ceil(total * (similarity / (1 + similarity)) - 1e-9)
 
 
-def shingle_prefixes(reps: DataFrame, similarity: float) -> DataFrame:
+def shingle_prefixes(sets: DataFrame, similarity: float) -> DataFrame:
     """(gram, node, at, n): of each set the rarest n - ceil(similarity * n) + 1 of its n shingles, with their places.
 
     Two sets of that similarity share a shingle of both prefixes under any order of all shingles. The order is by a count of
@@ -198,7 +198,7 @@ def shingle_prefixes(reps: DataFrame, similarity: float) -> DataFrame:
         hit = np.flatnonzero(total)
         yield pa.RecordBatch.from_arrays([pa.array(hit), pa.array(total[hit])], names=["cell", "n"])
 
-    cells = reps.select("grams").mapInArrow(count, "cell bigint, n bigint").groupBy("cell").agg(F.sum("n").alias("n")).toArrow()
+    cells = sets.select("grams").mapInArrow(count, "cell bigint, n bigint").groupBy("cell").agg(F.sum("n").alias("n")).toArrow()
     often = np.zeros(SHINGLE_CELLS, np.int64)
     often[cells.column("cell").to_numpy()] = cells.column("n").to_numpy()
 
@@ -221,7 +221,7 @@ def shingle_prefixes(reps: DataFrame, similarity: float) -> DataFrame:
                 }
                 yield pa.RecordBatch.from_arrays([pa.array(v) for v in made.values()], names=list(made))
 
-    return reps.select("node", "grams").mapInArrow(cut, "gram bigint, node bigint, at int, n int")
+    return sets.select("node", "grams").mapInArrow(cut, "gram bigint, node bigint, at int, n int")
 
 
 def may_reach(a: Column, b: Column, similarity: float) -> Column:
@@ -239,16 +239,21 @@ def similar_pairs(pairs: DataFrame, reps: DataFrame, similarity: float) -> DataF
     return met.filter(shared >= least_shared(similarity, F.size("a_grams") + F.size("b_grams"))).select("a", "b")
 
 
-def similar_components(reps: DataFrame, similarity: float) -> DataFrame:
+def similar_components(sets: DataFrame, similarity: float) -> DataFrame:
     """(node, label) of the nodes linked to another one: components of "Jaccard similarity of `similarity` or more".
 
     Candidates are the pairs that share a prefix shingle. Rounds first verify neighbours in an order by size, then in hashed
     orders, which joins most of a family at a cost in proportion to its size; pairs inside a component need no
     comparison. Last, every candidate pair that still is in two components is verified: none is lost or capped.
+
+    `sets` (node, grams), equal ones may repeat, is read anew for counts, prefixes and the sets of candidates: making
+    it again costs less than a table of all shingles on disk.
     """
-    prefixes = cut_lineage(shingle_prefixes(reps, similarity))
-    several = prefixes.groupBy("gram").agg(F.count("*").alias("members")).filter("members > 1").select("gram")
-    left = cut_lineage(prefixes.join(several.hint("merge"), "gram").withColumn("label", F.col("node")))
+    prefixes = shingle_prefixes(sets, similarity).repartition("gram").dropDuplicates(["gram", "node"])
+    prefixes = prefixes.withColumn("members", F.count("*").over(Window.partitionBy("gram"))).filter("members > 1")
+    left = cut_lineage(prefixes.select("gram", "node", "at", "n", F.col("node").alias("label")))
+    reps = sets.join(measured(left.select("node").distinct()), "node", "left_semi")
+    reps = cut_lineage(reps.groupBy("node").agg(F.first("grams").alias("grams")))
     links, labels = None, None
     for turn in range(NEIGHBOUR_ROUNDS + 1):
         one = F.struct("node", "at", "n", "label").alias("x")
@@ -293,18 +298,19 @@ def near_groups(
     """
     view = row_view(docs, id_col, text_col).withColumn("key", F.xxhash64("_text"))
 
-    def sets(texts, _):
+    def nodes(made):
+        return pa.array(np.array([xxh64_intdigest(m.tobytes(), 7) for m in made], np.uint64).view(np.int64))
+
+    def with_sets(texts, _):
         made = [shingle_set(t, size) for t in texts]
         offsets = np.concatenate(([0], np.cumsum([len(m) for m in made]))).astype(np.int32)
-        nodes = [xxh64_intdigest(m.tobytes(), 7) for m in made]
-        return {
-            "node": pa.array(np.array(nodes, np.uint64).view(np.int64)),
-            "grams": pa.ListArray.from_arrays(pa.array(offsets), pa.array(np.concatenate(made))),
-        }
-
-    rows = cut_lineage(map_texts(view, "node bigint, grams array<bigint>", sets, ("_id", "key")))
-    reps = cut_lineage(rows.groupBy("node").agg(F.min(F.struct("_id", "key")).alias("least"), F.first("grams").alias("grams")))
-    labels = similar_components(reps.select("node", "grams"), similarity).withColumnRenamed("node", "member")
+        return {"node": nodes(made), "grams": pa.ListArray.from_arrays(pa.array(offsets), pa.array(np.concatenate(made)))}
+
+    rows = map_texts(view, "node bigint", lambda texts, _: {"node": nodes([shingle_set(t, size) for t in texts])}, ("_id", "key"))
+    rows = cut_lineage(rows)
+    reps = cut_lineage(rows.groupBy("node").agg(F.min(F.struct("_id", "key")).alias("least")))
+    sets = map_texts(view, "node bigint, grams array<bigint>", with_sets, ())
+    labels = similar_components(sets, similarity).withColumnRenamed("node", "member")
     linked = reps.join(labels.hint("merge"), F.col("node") == F.col("member"), "left").select("node", "least", F.coalesce("label", "node").alias("label"))
     winners = linked.groupBy("label").agg(F.min("least").alias("winner"))
     named = linked.join(winners.hint("merge"), "label").select("node", "winner")
