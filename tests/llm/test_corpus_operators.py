@@ -320,6 +320,14 @@ def test_licences_against_brute_force(spark):
     assert by[4]["n_words"] == by[5]["n_words"] == 0 and by[4]["first_word"] is None and by[None]["n_base"] == 0
 
 
+def test_wrapped_notice_in_a_text_without_empty_lines(spark):
+    notice = license_scan.TEMPLATES[2][1].split()
+    rows = [(1, "# header\n# " + "\n# ".join(" ".join(notice[i : i + 6]) for i in range(0, len(notice), 6)) + "\ncode"), (2, "a\nb")]
+    by = {r["doc_id"]: r for r in license_scan.scan_licenses(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    assert by[1]["labels"] == ["bsd"] and by[1]["score"] == 1.0
+    assert by[2]["labels"] == [] and by[2]["score"] == 0.0
+
+
 def test_decontamination_against_brute_force(spark):
     items = [(1, " ".join(ALPHA[:12])), (2, "Short Item!"), (3, ""), (None, None), (2, "Short Item!"), (4, "x " * 15)]
     rows = [

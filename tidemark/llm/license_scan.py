@@ -34,7 +34,7 @@ TEMPLATES = (
     ("mpl-2.0", "this source code form is subject to the terms of the mozilla public license v 2.0"),
 )
 
-#: A block is a line, or a paragraph of wrapped lines between empty ones. Both cuts are looked at.
+#: A block is a line, or a paragraph of wrapped lines between empty ones or the ends of the text. Both cuts are looked at.
 LINES, PARAGRAPHS = r"\n", r"\n[\x20\t\r]*\n"
 BREAK = r"[\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+"
 
@@ -85,7 +85,7 @@ def blocks_of(view: DataFrame, vocabulary: list[str], least: int) -> DataFrame:
     """
     known = F.array(*(F.lit(v) for v in vocabulary))
     lines = F.split("_text", LINES)
-    paragraphs = F.when(F.col("_text").rlike(PARAGRAPHS), F.split("_text", PARAGRAPHS)).otherwise(F.array().cast("array<string>"))
+    paragraphs = F.when(F.col("_text").contains("\n"), F.split("_text", PARAGRAPHS)).otherwise(F.array().cast("array<string>"))
     cut = view.filter(F.col("_text").isNotNull()).select("_id", "key", F.posexplode(F.concat(lines, paragraphs)).alias("block", "b"))
     return cut.select("_id", "key", "block", F.array_intersect(words_of(F.col("b")), known).alias("words")).filter(
         F.size("words") >= least
