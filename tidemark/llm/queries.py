@@ -194,3 +194,67 @@ def op10(spark, folder):
     pages = table(spark, folder, "pages").select("page_id", "url")
     listed = pages.filter(F.col("url").rlike(LISTED_HOSTS)).select("url")
     return filter_urls(pages, listed, URL_RULES).drop("listed")
+
+
+OP11_SQL = r"""
+WITH RECURSIVE crc AS (
+  SELECT list(v ORDER BY i) AS t FROM (
+    SELECT i, list_reduce([i] || range(8), lambda c, k: CASE WHEN c % 2 = 1 THEN xor(c >> 1, 3988292384) ELSE c >> 1 END) AS v
+    FROM range(256) r(i))),
+d AS (
+  SELECT row_number() OVER () AS rid, *, CAST(doc_id AS VARCHAR) AS id_text,
+         xor(list_reduce([4294967295] || list_transform(string_split(CAST(doc_id AS VARCHAR), ''), lambda x: CAST(ascii(x) AS BIGINT)),
+                         lambda c, b: xor(c >> 8, crc.t[xor(c & 255, b) + 1])), 4294967295) % 2 = 0 AS changed
+  FROM documents, crc),
+e AS (
+  SELECT rid, doc_id, source,
+         coalesce(strlen(id_text) || ':' || id_text, '-') || coalesce(strlen(source) || ':' || source, '-')
+         || coalesce(strlen(lang) || ':' || lang, '-') || coalesce(strlen(CAST(n_chars AS VARCHAR)) || ':' || CAST(n_chars AS VARCHAR), '-') AS head,
+         text, CASE WHEN changed THEN replace(text, chr(10), '') ELSE text END AS given
+  FROM d),
+l AS (
+  SELECT rid, doc_id, source, sha256(head || coalesce(strlen(text) || ':' || text, '-')) AS leaf,
+         sha256(head || coalesce(strlen(given) || ':' || given, '-')) AS given FROM e),
+s AS (SELECT source, row_number() OVER (ORDER BY source NULLS FIRST) - 1 AS tree FROM (SELECT DISTINCT source FROM l)),
+p AS (
+  SELECT rid, doc_id, tree, leaf, given, count(*) OVER (PARTITION BY tree) AS n,
+         row_number() OVER (PARTITION BY tree ORDER BY doc_id NULLS FIRST, leaf) - 1 AS pos
+  FROM l JOIN s ON l.source IS NOT DISTINCT FROM s.source),
+nodes AS (
+  SELECT tree, 0 AS lvl, pos, leaf AS h, n FROM p
+  UNION ALL
+  SELECT tree, lvl + 1, pos // 3, sha256(string_agg(h, '' ORDER BY pos)), (n + 2) // 3 FROM nodes WHERE n > 1
+  GROUP BY tree, lvl, pos // 3, n),
+subs AS (SELECT tree, h FROM nodes WHERE n = 1),
+tops AS (
+  SELECT 0 AS lvl, tree AS pos, h, (SELECT count(*) FROM subs) AS n FROM subs
+  UNION ALL
+  SELECT lvl + 1, pos // 3, sha256(string_agg(h, '' ORDER BY pos)), (n + 2) // 3 FROM tops WHERE n > 1 GROUP BY lvl, pos // 3, n),
+fold AS (
+  SELECT rid, tree, 0 AS lvl, pos, n, given AS f, '' AS proof FROM p
+  UNION ALL
+  SELECT a.rid, a.tree, a.lvl + 1, a.pos // 3, (a.n + 2) // 3,
+         sha256(string_agg(CASE WHEN b.pos = a.pos THEN a.f ELSE b.h END, '' ORDER BY b.pos)),
+         a.proof || coalesce(string_agg(b.h, '' ORDER BY b.pos) FILTER (WHERE b.pos <> a.pos), '')
+  FROM fold a JOIN nodes b ON b.tree = a.tree AND b.lvl = a.lvl AND b.pos // 3 = a.pos // 3
+  WHERE a.n > 1 GROUP BY a.rid, a.tree, a.lvl, a.pos, a.n, a.f, a.proof),
+up AS (
+  SELECT rid, 0 AS lvl, tree AS pos, (SELECT count(*) FROM subs) AS n, f, proof FROM fold WHERE n = 1
+  UNION ALL
+  SELECT a.rid, a.lvl + 1, a.pos // 3, (a.n + 2) // 3,
+         sha256(string_agg(CASE WHEN b.pos = a.pos THEN a.f ELSE b.h END, '' ORDER BY b.pos)),
+         a.proof || coalesce(string_agg(b.h, '' ORDER BY b.pos) FILTER (WHERE b.pos <> a.pos), '')
+  FROM up a JOIN tops b ON b.lvl = a.lvl AND b.pos // 3 = a.pos // 3
+  WHERE a.n > 1 GROUP BY a.rid, a.lvl, a.pos, a.n, a.f, a.proof)
+SELECT p.doc_id, p.leaf, subs.h AS subroot, r.h AS root, sha256(up.proof) AS proof_sha256, up.f AS folded_root, up.f = r.h AS verified
+FROM p JOIN subs USING (tree) JOIN up ON up.rid = p.rid AND up.n = 1 CROSS JOIN (SELECT h FROM tops WHERE n = 1) r
+"""
+
+
+@query("op11_merkle_manifest", OP11_SQL)
+def op11(spark, folder):
+    from tidemark.llm.merkle_manifest import manifest_proofs
+
+    changed = F.crc32(F.col("doc_id").cast("string").cast("binary")) % 2 == 0
+    handed_in = F.when(changed, F.translate("text", "\n", "")).otherwise(F.col("text"))
+    return manifest_proofs(table(spark, folder, "documents"), changed_text=handed_in)
