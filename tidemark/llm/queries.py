@@ -258,3 +258,12 @@ def op11(spark, folder):
     changed = F.crc32(F.col("doc_id").cast("string").cast("binary")) % 2 == 0
     handed_in = F.when(changed, F.translate("text", "\n", "")).otherwise(F.col("text"))
     return manifest_proofs(table(spark, folder, "documents"), changed_text=handed_in)
+
+
+@query("op12_token_counts")
+def op12(spark, folder):
+    import public_tokenizers
+
+    from tidemark.llm.token_counts import token_counts
+
+    return token_counts(table(spark, folder, "documents"), public_tokenizers.path("word_bpe_49k.json"), limit=2048)
