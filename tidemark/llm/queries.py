@@ -267,3 +267,33 @@ def op12(spark, folder):
     from tidemark.llm.token_counts import token_counts
 
     return token_counts(table(spark, folder, "documents"), public_tokenizers.path("word_bpe_49k.json"), limit=2048)
+
+
+OP13_SQL = r"""
+WITH d AS (
+  SELECT row_number() OVER () AS rid, doc_id, regexp_extract_all(
+    translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+    '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+') AS w FROM documents),
+b AS (
+  SELECT row_number() OVER () AS no, item_id, unnest(list_distinct(regexp_extract_all(
+    translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+    '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+'))) AS term FROM benchmark),
+c AS (SELECT count(*) AS n_docs, CAST(sum(len(w)) AS BIGINT) AS n_terms FROM d WHERE len(w) > 0),
+t AS (SELECT rid, doc_id, len(w) AS n, term, count(*) AS tf FROM (SELECT rid, doc_id, w, unnest(w) AS term FROM d) GROUP BY ALL),
+f AS (SELECT term, count(*) AS df FROM t GROUP BY term),
+i AS (
+  SELECT rid, doc_id, term,
+         CAST(floor(1000 * ln(CAST(2 * n_docs + 2 AS DOUBLE) / (2 * df + 1))) AS BIGINT)
+         * ((1000000000 * tf) // (1000 * tf + 20 * (50 + (50 * n * n_docs) // n_terms))) AS amount
+  FROM t JOIN f USING (term), c),
+s AS (SELECT no, item_id, rid, doc_id, CAST(sum(amount) AS BIGINT) AS score FROM b JOIN i USING (term) GROUP BY ALL),
+r AS (SELECT *, row_number() OVER (PARTITION BY no ORDER BY score DESC, doc_id) AS rank FROM s WHERE score > 0)
+SELECT item_id, CAST(rank AS INTEGER) AS rank, doc_id, score FROM r WHERE rank <= 50
+"""
+
+
+@query("op13_ranked_search", OP13_SQL)
+def op13(spark, folder):
+    from tidemark.llm.lexical_search import ranked_search
+
+    return ranked_search(table(spark, folder, "documents"), table(spark, folder, "benchmark"), k=50)
