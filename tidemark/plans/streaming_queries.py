@@ -8,6 +8,7 @@ from tidemark.plans.records_queries import scratch, write_raw
 from tidemark.plans.registry import query, rounded
 from tidemark.sources.records import record_table
 from tidemark.streaming import jobs as J
+from tidemark.streaming import sightings as S
 
 
 def _stream(t, name: str):
@@ -28,41 +29,51 @@ def incremental_compaction(t):
     return rounded(stored.groupBy("dt").agg(F.count(F.lit(1)).alias("n"), F.sum("mean_fd").alias("total")), 4)
 
 
+def _feed(t, name: str, columns):
+    """The events as a feed in two deliveries, the second after the first was worked off: the job is started again from its
+    checkpoint. `columns` are selected from each row; `arrival` is the time the row's file was written."""
+    events = t.events.withColumn("ts", F.col("ts").cast("timestamp"))
+    middle = events.agg(F.expr("timestamp_micros((min(unix_micros(ts)) + max(unix_micros(ts))) div 2)").alias("m")).first()["m"]
+    path = scratch(t, name)
+    for part, rows in (("a", F.col("ts") <= F.lit(middle)), ("b", (F.col("ts") > F.lit(middle)) | F.col("ts").isNull())):
+        events.filter(rows).write.parquet(f"{path}/part={part}")
+        stream = t.spark.readStream.schema(events.schema).option("maxFilesPerTrigger", 4).parquet(f"{path}/part=*")
+        yield stream.select(*columns, F.col("_metadata.file_modification_time").alias("arrival"))
+
+
+def _sightings(t, name: str, keys, columns, last: bool):
+    path, checkpoint = scratch(t, f"{name}-out"), scratch(t, f"{name}-checkpoint")
+    for stream in _feed(t, name, columns):
+        best = S.best_sightings(stream, keys, "ts", "finished", "arrival", ["event_id"], last, keep="1 second")
+        S.run_sightings(best, path, checkpoint).awaitTermination()
+    return S.read_sightings(t.spark, path, keys, "ts", "finished", ["event_id"], last)
+
+
 @query(
     "r2_most_complete_sighting",
     """
-    SELECT user_id, d, event_id, sightings FROM (SELECT user_id, strftime(ts, '%Y-%m-%d') AS d, event_id, COUNT(*) OVER (PARTITION BY user_id, date_trunc('day', ts)) AS sightings,
-        ROW_NUMBER() OVER (PARTITION BY user_id, date_trunc('day', ts) ORDER BY value > 40 DESC, ts DESC, event_id DESC) AS rn FROM events) WHERE rn = 1""",
+    SELECT user_id, event_id, finished, sightings FROM (SELECT user_id, event_id, CASE WHEN value > 40 THEN value END AS finished, COUNT(*) OVER (PARTITION BY user_id) AS sightings,
+        ROW_NUMBER() OVER (PARTITION BY user_id ORDER BY value > 40 DESC, ts DESC, event_id DESC) AS rn FROM events) WHERE rn = 1""",
 )
 def most_complete_sighting(t):
-    stream = _stream(t, "events").select(
-        "user_id", "event_id", F.col("ts").cast("timestamp").alias("ts"), F.when(F.col("value") > 40, F.col("value")).alias("finished")
-    )
-    best = J.most_complete_sighting(stream, ["user_id"], "ts", "finished", tie=["event_id"])
-    flat = best.select("user_id", F.date_format("window.start", "yyyy-MM-dd").alias("d"), "event_id", "sightings")
-    path = scratch(t, "r2")
-    J.write_updates(flat, path, scratch(t, "r2-checkpoint")).awaitTermination()
-    return J.read_updates(t.spark, path, ["user_id", "d"]).select("user_id", "d", "event_id", "sightings")
+    """One row per key over the whole feed: a later sighting replaces it only if it is at least as complete."""
+    columns = ["user_id", "event_id", "ts", F.when(F.col("value") > 40, F.col("value")).alias("finished")]
+    return _sightings(t, "r2", ["user_id"], columns, True).select("user_id", "event_id", "finished", "sightings")
 
 
 @query(
     "r3_snapshot_dedupe",
     """
-    SELECT event_type, k, d, COUNT(*) AS sightings, BOOL_OR(value > 40) AS has_end FROM (SELECT event_type, CAST(json_extract(props, '$.k') AS BIGINT) AS k, strftime(ts, '%Y-%m-%d') AS d, value FROM events) GROUP BY ALL""",
+    SELECT event_type, k, event_id, has_end, sightings FROM (SELECT event_type, k, event_id, value > 40 AS has_end, COUNT(*) OVER (PARTITION BY event_type, k) AS sightings,
+        ROW_NUMBER() OVER (PARTITION BY event_type, k ORDER BY value > 40 DESC, ts, event_id) AS rn FROM (SELECT *, CAST(json_extract(props, '$.k') AS BIGINT) AS k FROM events)) WHERE rn = 1""",
 )
 def snapshot_dedupe(t):
-    """Repeats of one (pod, start) collapse to the sighting that has its end time."""
-    stream = _stream(t, "events").select(
-        "event_type", F.get_json_object("props", "$.k").cast("long").alias("k"), F.col("ts").cast("timestamp").alias("ts"),
-        F.when(F.col("value") > 40, F.col("value")).alias("finished"),
-    )
-    best = J.most_complete_sighting(stream, ["event_type", "k"], "ts", "finished")
-    flat = best.select(
-        "event_type", "k", F.date_format("window.start", "yyyy-MM-dd").alias("d"), "sightings", F.col("finished").isNotNull().alias("has_end")
-    )
-    path = scratch(t, "r3")
-    J.write_updates(flat, path, scratch(t, "r3-checkpoint")).awaitTermination()
-    return J.read_updates(t.spark, path, ["event_type", "k", "d"])
+    """Repeats of one (id, start) collapse to the first sighting that has its end, else to the first."""
+    columns = [
+        "event_type", F.get_json_object("props", "$.k").cast("long").alias("k"), "event_id", "ts", F.when(F.col("value") > 40, F.col("value")).alias("finished"),
+    ]
+    rows = _sightings(t, "r3", ["event_type", "k"], columns, False)
+    return rows.select("event_type", "k", "event_id", F.col("finished").isNotNull().alias("has_end"), "sightings")
 
 
 @query(

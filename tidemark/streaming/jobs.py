@@ -41,23 +41,11 @@ def incremental_compaction(
     return (writer.trigger(availableNow=True) if available_now else writer).start()
 
 
-def most_complete_sighting(
-    stream: DataFrame, keys: Sequence[str], event_time: str, complete: str, watermark: str = "2 hours", tie: Sequence[str] = ()
-) -> DataFrame:
-    """One row per key with its most complete sighting so far: one that has `complete`, then the newest. Update mode; state
-    older than the watermark is dropped because the event time is part of the key's window."""
-    rank = F.struct(F.col(complete).isNotNull(), F.col(event_time), *tie)
-    row = F.struct(*[c for c in stream.columns if c not in keys])
-    return (
-        stream.withWatermark(event_time, watermark)
-        .groupBy(*keys, F.window(event_time, "1 day"))
-        .agg(F.max_by(row, rank).alias("_r"), F.count(F.lit(1)).alias("sightings"))
-        .select(*keys, "window", "_r.*", "sightings")
-    )
-
-
 def hourly_costs(stream: DataFrame, event_time: str, keys: Sequence[str], amounts: Sequence[str], watermark: str = "2 hours") -> DataFrame:
-    """Hourly cost windows; late rows are taken up to the watermark."""
+    """Hourly cost windows; rows are taken up to `watermark` behind the newest one.
+
+    A later row is not in its hour: :func:`late_rows` counts those, and `costs.hourly_to_day` over the stored rows of the day
+    is the batch form that repairs it."""
     return (
         stream.withWatermark(event_time, watermark)
         .groupBy(F.window(event_time, "1 hour"), *keys)
@@ -66,6 +54,11 @@ def hourly_costs(stream: DataFrame, event_time: str, keys: Sequence[str], amount
     )
 
 
+def late_rows(query: StreamingQuery) -> int:
+    """Rows that came behind the watermark, over the micro-batches whose progress the query still holds."""
+    return sum(op["numRowsDroppedByWatermark"] for p in query.recentProgress for op in p["stateOperators"])
+
+
 def write_updates(
     df: DataFrame, path: str, checkpoint: str, available_now: bool = True, mode: str = "update"
 ) -> StreamingQuery:
