@@ -1,8 +1,10 @@
 """Signal measures, agreement, tails, sampling and outcome rules against numpy or values worked out by hand."""
 
 import math
+import random
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -290,6 +292,66 @@ def test_log_pairing_of_ties_cached_and_lost_lines(frame):
     assert ("d_wf.n", True) in tagged
 
 
+def _pair_plainly(lines):
+    """Set-ups in a queue, executions in a list: the rules as they are stated, at quadratic cost."""
+    waiting, flight, out = [], [], []
+    for _, event, path, kind, start in lines:
+        if event == "setup":
+            waiting.append((path, kind))
+        elif event in ("execute", "cached") and waiting:
+            taken = waiting.pop(0)
+            if event == "execute":
+                flight.append((*taken, start))
+        elif event == "finish":
+            if not flight:
+                out.append((None, False))
+                continue
+
+            def gap(c, at=start):
+                return abs(c[2] - at) if c[2] is not None and at is not None else math.inf
+
+            best = min(range(len(flight)), key=lambda i: (gap(flight[i]), i))
+            near = gap(flight[best])
+            rival = any(c[1] != flight[best][1] and gap(c) <= near + 2_000_000 for c in flight if near < math.inf)
+            out.append((flight.pop(best)[0], rival))
+    return out
+
+
+def _stream(lines, size):
+    """The matcher over one unit in Arrow batches of `size` rows."""
+    names = ["node", "line_number", "event", "path", "class", "start_us", "end_us", "elapsed_s"]
+    kinds = [pa.string(), pa.int64(), pa.string(), pa.string(), pa.string(), pa.int64(), pa.int64(), pa.float64()]
+
+    def batches():
+        for at in range(0, len(lines), size):
+            held = [("n", *row, row[-1], None) for row in lines[at : at + size]]
+            yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*held, strict=True), kinds, strict=True)], names=names)
+
+    made = E._match_stream(["node"])(batches())
+    return [(r["path"], r["ambiguous"]) for b in made for r in b.to_pylist()]
+
+
+def test_log_pairing_equals_the_plain_rules():
+    rnd = random.Random(8)
+    for _ in range(200):
+        lines = []
+        for n in range(rnd.randrange(1, 60)):
+            event = rnd.choice(["setup", "setup", "execute", "execute", "cached", "finish", "finish"])
+            stamp = rnd.choice([None, rnd.randrange(12) * 1_000_000, rnd.randrange(12) * 1_000_000])
+            path = f"p{n}" if event == "setup" else None
+            lines.append((n, event, path, rnd.choice("ab") if path else None, stamp))
+        assert _stream(lines, rnd.choice([1, 7, 100])) == _pair_plainly(lines)
+
+
+def test_a_long_log_with_an_execution_that_never_ends():
+    lines, n = [], 50_000
+    for i in range(n):
+        lines += [(3 * i, "setup", f"p{i}", "ab"[i % 2], None), (3 * i + 1, "execute", None, None, i * 10_000_000)]
+        if i:  # the first one stays in flight
+            lines.append((3 * i + 2, "finish", None, None, i * 10_000_000))
+    assert _stream(lines, 1000) == [(f"p{i}", False) for i in range(1, n)]
+
+
 def test_critical_path_waits_for_both(frame):
     df = frame([("s", "a", 2.0), ("s", "b", 5.0), ("s", "d", 1.0)], "k string, step string, seconds double")
     out = E.critical_path(df, ["k"], {"a": [], "b": [], "c": ["a"], "d": ["b", "c"]})

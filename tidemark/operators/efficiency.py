@@ -2,15 +2,17 @@
 
 from __future__ import annotations
 
-from collections.abc import Mapping, Sequence
+from bisect import bisect_left, insort
+from collections import deque
+from collections.abc import Iterator, Mapping, Sequence
 
-import numpy as np
-import pandas as pd
-from pyspark.sql import Column, DataFrame, Window
+import pyarrow as pa
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tidemark.functions.columns import col, count_if, finite, micros, strict_sum
 from tidemark.operators.intervals import concurrency_shares, union_length
+from tidemark.operators.ordered import carry_last
 from tidemark.operators.quantiles import with_quantiles
 
 # ---- fixed values: log line patterns ----------------------------------------------------------------------------
@@ -26,6 +28,9 @@ AMBIGUITY_S = 2.0
 UNMAPPED = "unmapped"
 # ---- end of fixed values ----------------------------------------------------------------------------------------
 
+#: Lines of a log that one window holds.
+LINES = 10_000
+
 
 def normalised_path(workdir: str | Column) -> Column:
     """Workflow path of a working directory: parts below the workflow root, without subject, mapped and iterable parts; run
@@ -49,9 +54,7 @@ def log_events(logs: DataFrame, keys: Sequence[str], text: str) -> DataFrame:
     useful = exploded.filter(line.rlike(STAMP_PATTERN) | line.contains("[Node]"))
     stamp = F.when(F.col("_z.s").isNotNull(), F.concat(F.col("_z.s"), F.lit("."), F.substring("_z.f", 1, 6)))
     useful = useful.withColumn("_us", micros(F.try_to_timestamp(stamp, F.lit("yyMMdd-HH:mm:ss.SSSSSS"))))
-    from tidemark.operators.ordered import carry_last
-
-    chunked = useful.withColumn("_chunk", F.floor(F.col("line_number") / 10_000))
+    chunked = useful.withColumn("_chunk", F.floor(F.col("line_number") / LINES))
     carried = carry_last(chunked, keys, ["line_number"], F.col("_us"), "stamp_us", "_chunk", include_current=True)
     event = (
         F.when(line.rlike(SETUP_PATTERN), "setup").when(line.rlike(EXECUTE_PATTERN), "execute")
@@ -78,98 +81,101 @@ def executed_nodes(
     """Executed nodes: each finish line with the in-flight node of that name that started nearest to finish − elapsed.
 
     A second candidate of another stage or tag about as near makes the pairing ambiguous; a finish without a candidate is
-    unpaired (NULL path). Running sums place every event in the JVM: the k-th set-up meets the k-th execution that found
-    one waiting, and a busy period runs from nothing in flight to nothing in flight. Most periods hold one execution and are
-    paired by a join; only the finishes of a crowded period go through :func:`_match_crowd`, period by period."""
-    keys = list(keys)
+    unpaired (NULL path). One shuffle puts the lines of a (log, node) in order and they are streamed through :class:`_InFlight`
+    batch by batch: it holds the set-ups that wait and the executions in flight, so neither a long log nor an execution that
+    never ends is ever in memory as a whole."""
     unit = [*keys, "node"]
-    upto = Window.partitionBy(*unit).orderBy("line_number").rowsBetween(Window.unboundedPreceding, 0)
-    earlier = Window.partitionBy(*unit).orderBy("line_number").rowsBetween(Window.unboundedPreceding, -1)
-    zero = F.lit(0).cast("long")
-
-    def so_far(kind: Column, window=upto) -> Column:
-        return F.coalesce(F.sum(F.when(kind, 1).otherwise(0)).over(window), zero)
-
-    is_setup, is_finish = F.col("event") == "setup", F.col("event") == "finish"
-    takes = F.col("event").isin("execute", "cached")
-    placed = events.withColumn("_set", so_far(is_setup)).withColumn("_took", so_far(takes))
-    # executions that found no set-up waiting: the running surplus
-    placed = placed.withColumn("_lost", F.greatest(F.max(F.col("_took") - F.col("_set")).over(upto), zero))
-    placed = placed.withColumn("_lost_before", F.coalesce(F.max("_lost").over(earlier), zero))
-    matched = takes & (F.col("_lost") == F.col("_lost_before"))
-    placed = placed.withColumn("_nth", F.when(is_setup, F.col("_set")).when(matched, F.col("_took") - F.col("_lost")))
-    began = (F.col("event") == "execute") & matched
-    placed = placed.withColumn("_began", began).withColumn("_ran", so_far(began)).withColumn("_ended", so_far(is_finish))
-    placed = placed.withColumn("_idle", F.greatest(F.max(F.col("_ended") - F.col("_ran")).over(upto), zero))
-    placed = placed.withColumn("_flying", F.col("_ran") - F.col("_ended") + F.col("_idle"))
-    placed = placed.withColumn("_flying_before", F.coalesce(F.last("_flying").over(earlier), zero))
-    opens = F.col("_began") & (F.col("_flying_before") == 0)
-    placed = placed.withColumn("_period", so_far(opens))
-
-    setups = placed.filter(is_setup).select(*[F.col(k).alias(f"_{k}_s") for k in unit], F.col("_nth").alias("_nth_s"), F.col("path").alias("_path"))
-    same = F.col("_nth") == F.col("_nth_s")
-    for k in unit:
-        same = same & F.col(k).eqNullSafe(F.col(f"_{k}_s"))
-    starts = placed.filter("_began").join(setups, same).select(
-        *unit, "_period", "line_number", F.col("_path").alias("path"), F.col("stamp_us").alias("start_us"),
-        F.concat_ws("|", prefix_class("_path", stages), prefix_class("_path", tags)).alias("class"),
-    )
+    kind = F.concat_ws("|", prefix_class("path", stages), prefix_class("path", tags))
     expected = F.col("stamp_us") - F.rint(F.col("elapsed_s") * 1_000_000).cast("long")
-    ends = placed.filter(is_finish).select(
-        *unit, "_period", "line_number", (F.col("_flying_before") > 0).alias("_paired"), expected.alias("start_us"),
-        F.col("stamp_us").alias("end_us"), "elapsed_s",
+    lines = events.select(
+        *unit, "line_number", "event", "path", F.when(F.col("event") == "setup", kind).alias("class"),
+        F.when(F.col("event") == "finish", expected).otherwise(F.col("stamp_us")).alias("start_us"), F.col("stamp_us").alias("end_us"), "elapsed_s",
     )
-    out = [*unit, "path", "start_us", "end_us", "elapsed_s", "ambiguous"]
-    nobody = ends.filter("not _paired").select(*unit, F.lit(None).cast("string").alias("path"), "start_us", "end_us", "elapsed_s", F.lit(False).alias("ambiguous"))
-
-    period = [*unit, "_period"]
-    begin = F.struct("line_number", "path", "start_us", "class")
-    end = F.struct("line_number", "start_us", "end_us", "elapsed_s")
-    one = starts.groupBy(*period).agg(F.count(F.lit(1)).alias("_n"), F.first(begin).alias("_b"))
-    finishes = ends.filter("_paired").drop("_paired")
-    counted = finishes.join(one.select(*[F.col(c).alias(f"{c}_o") for c in period], "_n", "_b"), _equal(period, "_o")).drop(*[f"{c}_o" for c in period])
-    single = counted.filter("_n = 1").select(*unit, F.col("_b.path").alias("path"), "start_us", "end_us", "elapsed_s", F.lit(False).alias("ambiguous"))
-
-    crowd_starts = starts.select(*period, begin.alias("_b"), F.lit(None).cast(finishes.select(end).schema[0].dataType).alias("_e"))
-    crowd_ends = counted.filter("_n > 1").select(*period, F.lit(None).cast(starts.select(begin).schema[0].dataType).alias("_b"), end.alias("_e"))
-    crowds = one.filter("_n > 1").select(*[F.col(c).alias(f"{c}_o") for c in period])
-    crowd_starts = crowd_starts.join(crowds, _equal(period, "_o"), "left_semi")
     types = {f.name: f.dataType.simpleString() for f in events.schema.fields}
-    schema = ", ".join(f"{k} {types[k]}" for k in unit) + ", path string, start_us bigint, end_us bigint, elapsed_s double, ambiguous boolean"
-    crowded = crowd_starts.unionByName(crowd_ends).groupBy(*period).applyInPandas(lambda p: _match_crowd(p, unit), schema)
-    return nobody.unionByName(single).unionByName(crowded.select(*out))
-
-
-def _equal(columns: Sequence[str], suffix: str) -> Column:
-    """Null-safe equality of columns and their copies."""
-    same = F.lit(True)
-    for c in columns:
-        same = same & F.col(c).eqNullSafe(F.col(f"{c}{suffix}"))
-    return same
-
-
-def _match_crowd(period: pd.DataFrame, unit: list[str]) -> pd.DataFrame:
-    """Finishes of one busy period, in line order, each with the nearest execution before it that is still free."""
-    begins = pd.DataFrame(list(period["_b"].dropna())).sort_values("line_number", ignore_index=True)
-    ends = pd.DataFrame(list(period["_e"].dropna()), columns=["line_number", "start_us", "end_us", "elapsed_s"])
-    ends = ends.sort_values("line_number", ignore_index=True)
-    at, kind = begins["line_number"].to_numpy(), begins["class"].to_numpy()
-    # far[i, j]: seconds between the expected start of finish i and execution j; unknown stamps and later ones are far off
-    far = np.abs(ends["start_us"].to_numpy(float)[:, None] - begins["start_us"].to_numpy(float)[None, :]) / 1e6
-    far = np.where(np.isnan(far), np.inf, far)
-    free = np.ones(len(begins), bool)
-    chosen, unsure = [], []
-    for seconds, line in zip(far, ends["line_number"].to_numpy(), strict=True):
-        open_ = np.flatnonzero(free & (at < line))
-        pick = open_[seconds[open_].argmin()]
-        rival = (kind[open_] != kind[pick]) & (seconds[open_] <= seconds[pick] + AMBIGUITY_S) & np.isfinite(seconds[open_])
-        chosen.append(pick)
-        unsure.append(bool(rival.any()))
-        free[pick] = False
-    made = ends.assign(path=begins["path"].to_numpy()[chosen], ambiguous=unsure)
-    for c in unit:
-        made[c] = period[c].iloc[0]
-    return made[[*unit, "path", "start_us", "end_us", "elapsed_s", "ambiguous"]]
+    schema = ", ".join(f"`{k}` {types[k]}" for k in unit) + ", path string, start_us bigint, end_us bigint, elapsed_s double, ambiguous boolean"
+    return lines.repartition(*unit).sortWithinPartitions(*unit, "line_number").mapInArrow(_match_stream(unit), schema)
+
+
+class _InFlight:
+    """Set-ups not executed yet, first in, first out, and executions that have not finished: per class sorted by start and line,
+    those without a stamp apart in line order."""
+
+    def __init__(self):
+        self.waiting: deque[tuple[str, str]] = deque()
+        self.timed: dict[str, list[tuple[int, int, str]]] = {}
+        self.untimed: list[tuple[int, str]] = []
+
+    def begin(self, line: int, start: int | None):
+        if not self.waiting:
+            return
+        path, kind = self.waiting.popleft()
+        if start is None:
+            self.untimed.append((line, path))
+        else:
+            insort(self.timed.setdefault(kind, []), (start, line, path))
+
+    def finish(self, expected: int | None) -> tuple[str | None, bool]:
+        """Take the execution nearest to `expected`, the first one among equals; whether one of another class is about as near.
+        None: nothing is in flight."""
+        if not self.timed and not self.untimed:
+            return None, False
+        near = {}
+        for kind, held in self.timed.items():
+            if expected is None:
+                near[kind] = min((x[1], i) for i, x in enumerate(held))
+                continue
+            at = bisect_left(held, (expected,))
+            found = [(held[at][0] - expected, held[at][1], at)] if at < len(held) else []
+            if at:
+                first = bisect_left(held, (held[at - 1][0],))
+                found.append((expected - held[first][0], held[first][1], first))
+            near[kind] = min(found)
+        if expected is None or not near:
+            kind = min(near, key=near.get, default=None)
+            if kind is None or self.untimed and self.untimed[0][0] < near[kind][0]:
+                return self.untimed.pop(0)[1], False
+            return self.take(kind, near[kind][1]), False
+        kind = min(near, key=near.get)
+        nearest = near.pop(kind)
+        rival = any(x[0] <= nearest[0] + AMBIGUITY_S * 1e6 for x in near.values())
+        return self.take(kind, nearest[2]), rival
+
+    def take(self, kind: str, at: int) -> str:
+        held = self.timed[kind]
+        path = held.pop(at)[2]
+        if not held:
+            del self.timed[kind]
+        return path
+
+
+def _match_stream(unit: list[str]):
+    """A map over rows sorted by unit and line: the state goes on from batch to batch and starts anew with each unit."""
+
+    def match(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        now, flight = None, _InFlight()
+        for batch in batches:
+            columns = [batch.column(c).to_pylist() for c in (*unit, "line_number", "event", "path", "class", "start_us")]
+            place, paths, unsure = [], [], []
+            for i, (*key, line, event, path, kind, start) in enumerate(zip(*columns, strict=True)):
+                if key != now:
+                    now, flight = key, _InFlight()
+                if event == "setup":
+                    flight.waiting.append((path, kind))
+                elif event == "execute":
+                    flight.begin(line, start)
+                elif event == "cached":
+                    if flight.waiting:
+                        flight.waiting.popleft()
+                elif event == "finish":
+                    path, rival = flight.finish(start)
+                    place.append(i)
+                    paths.append(path)
+                    unsure.append(rival)
+            kept = batch.take(pa.array(place, pa.int64()))
+            made = [*(kept.column(k) for k in unit), pa.array(paths, pa.string()), *(kept.column(c) for c in ("start_us", "end_us", "elapsed_s")), pa.array(unsure, pa.bool_())]
+            yield pa.RecordBatch.from_arrays(made, names=[*unit, "path", "start_us", "end_us", "elapsed_s", "ambiguous"])
+
+    return match
 
 
 def longest_prefix(df: DataFrame, path: str, rules: DataFrame, out: str, default: str | None = UNMAPPED) -> DataFrame:

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 from tidemark.functions.columns import micros
 from tidemark.operators import efficiency as E
 from tidemark.operators.joins import paired_ratios
+from tidemark.operators.ordered import row_position
 from tidemark.plans.registry import query, rounded
 
 
@@ -44,6 +45,38 @@ def executed_nodes(t):
     return rounded(out, 3)
 
 
+@query(
+    "f1_crowded_log",
+    """
+    WITH e AS (SELECT event_id AS i, event_type, CASE event_type WHEN 'purchase' THEN 'spend' WHEN 'click' THEN 'press' ELSE 'unmapped' END AS class, 7 * event_id AS s, 7 * event_id + 3 + 10 * CAST(floor(value * 10) AS BIGINT) AS f, event_id > 0 AS ends FROM events),
+    r AS (SELECT DISTINCT a.i FROM e a JOIN e b ON b.i BETWEEN a.i - 2 AND a.i + 2 AND b.class <> a.class AND b.s <= a.f AND (NOT b.ends OR b.f > a.f OR (b.f = a.f AND b.i > a.i)) WHERE a.ends)
+    SELECT 'work' AS node, event_type || '_wf.n' AS path, COUNT(*) AS n, ROUND(SUM((f - s) / 10.0), 1) AS elapsed_s, COUNT(r.i) AS n_ambiguous FROM e LEFT JOIN r USING (i) WHERE ends GROUP BY ALL
+    UNION ALL SELECT 'ghost', NULL, COUNT(*), ROUND(SUM((f - s) / 10.0), 1), 0 FROM e WHERE i % 50 = 7 HAVING COUNT(*) > 0""",
+)
+def crowded_log(t):
+    """All events in one log: hundreds in flight at any time, one that never ends, and finishes that nothing was begun for."""
+    i = F.col("event_id")
+    start = 7 * i
+    finish = start + 3 + 10 * F.floor(F.col("value") * 10).cast("long")
+    path, no_path, no_time = F.concat("event_type", F.lit("_wf.n")), F.lit(None).cast("string"), F.lit(None).cast("double")
+
+    def row(at, o, event, node, where, elapsed):
+        return F.struct(at.alias("at"), F.lit(o).alias("o"), F.lit(event).alias("event"), F.lit(node).alias("node"), where.alias("path"), elapsed.alias("elapsed_s"))
+
+    elapsed = (finish - start) / 10
+    rows = [
+        row(start, 0, "setup", "work", path, no_time), row(start, 1, "execute", "work", no_path, no_time),
+        F.when(i > 0, row(finish, 2, "finish", "work", no_path, elapsed)), F.when(i % 50 == 7, row(finish, 3, "finish", "ghost", no_path, elapsed)),
+    ]
+    events = t.events.select(F.lit("all").alias("log"), "event_id", F.explode(F.filter(F.array(*rows), lambda x: x.isNotNull())).alias("e"))
+    events = events.select("log", "event_id", "e.*").withColumn("chunk", F.floor(F.col("at") / 20_000))
+    lines = row_position(events, ["log"], ["at", "o", "event_id"], "line_number", "chunk")
+    lines = lines.select("log", "line_number", (F.col("at") * 100_000).alias("stamp_us"), "event", "node", "path", "elapsed_s")
+    nodes = E.executed_nodes(lines, ["log"], {"purchase_wf": "spend", "click_wf": "press"})
+    out = nodes.groupBy("node", "path").agg(F.count(F.lit(1)).alias("n"), F.sum("elapsed_s").alias("elapsed_s"), F.count_if("ambiguous").alias("n_ambiguous"))
+    return rounded(out, 1)
+
+
 @query(
     "f2_longest_prefix",
     """
