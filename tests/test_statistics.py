@@ -13,6 +13,7 @@ from tidemark.functions import tails
 from tidemark.operators import agreement as A
 from tidemark.operators import efficiency as E
 from tidemark.operators import outcomes as O
+from tidemark.operators import quantiles
 from tidemark.operators import sampling as Q
 from tidemark.operators import signal as S
 from tidemark.operators import statistics as ST
@@ -68,7 +69,7 @@ def test_outliers_and_quality(voxels, volume):
 
 def test_ties_share_their_rank(frame):
     df = frame([("k", 1.0), ("k", 2.0), ("k", 2.0), ("k", 9.0)], "k string, x double")
-    assert [r["r"] for r in S.mid_ranks(df, ["k"], "x", "r").orderBy("x").collect()] == [1.0, 2.5, 2.5, 4.0]
+    assert [r["r"] for r in quantiles.mid_ranks(df, ["k"], "x", "r").orderBy("x").collect()] == [1.0, 2.5, 2.5, 4.0]
 
 
 def test_noise_components_are_left_singular_vectors(voxels, volume):

@@ -16,7 +16,7 @@ from pyspark.sql import functions as F
 
 from tidemark.functions import tails
 from tidemark.functions.columns import chain, count_if, finite
-from tidemark.operators.quantiles import cell_counts, rank_cells, with_quantiles
+from tidemark.operators.quantiles import trimmed_sums, with_quantiles
 from pyspark.sql import Window
 
 # ---- fixed values: verdict texts and study constants ------------------------------------------------------------
@@ -96,28 +96,14 @@ def tost(df: DataFrame, keys: Sequence[str], difference: str | Column, margin: f
 def trimmed_moments(df: DataFrame, keys: Sequence[str], difference: str | Column, trim: float = TRIM) -> DataFrame:
     """Trimmed mean and the standard error from the winsorised variance, per endpoint.
 
-    The k-th smallest and largest value split every endpoint; between them plain sums suffice. They come from the
-    distributed order statistics, so an endpoint's values are never sorted in one task."""
-    x = df.select(*keys, finite(difference).alias("_d")).filter(F.col("_d").isNotNull())
-    cells = rank_cells(x, keys, "_d")
-    inside = Window.partitionBy("_k", "_cell").orderBy("_x").rowsBetween(Window.unboundedPreceding, 0)
-    placed = cells.join(cell_counts(cells).select("_k", "_cell", "_before", "_n"), ["_k", "_cell"]).withColumn(
-        "_to", F.col("_before") + F.sum("_c").over(inside)
-    )
-    k = F.floor(F.lit(trim) * F.col("_n")).cast("long")
-    start = F.col("_to") - F.col("_c")
-    kept = F.greatest(F.least(F.col("_to"), F.col("_n") - k) - F.greatest(start, k), F.lit(0))
-    grouped = placed.withColumn("_kept", kept).withColumn("_trim", k).groupBy("_k").agg(
-        F.max("_n").alias("n"), F.max("_trim").alias("k"),
-        F.sum(F.col("_kept") * F.col("_x")).alias("_s1"), F.sum(F.col("_kept") * F.col("_x") * F.col("_x")).alias("_s2"),
-        F.min(F.when(F.col("_kept") > 0, F.col("_x"))).alias("_lo"), F.max(F.when(F.col("_kept") > 0, F.col("_x"))).alias("_hi"),
-    )
-    n, k = F.col("n"), F.col("k")
-    mean_w = (F.col("_s1") + k * (F.col("_lo") + F.col("_hi"))) / n
-    ss_w = F.col("_s2") + k * (F.col("_lo") * F.col("_lo") + F.col("_hi") * F.col("_hi")) - n * mean_w * mean_w
+    Sums over the kept values and the two cut values suffice, see :func:`quantiles.trimmed_sums`."""
+    sums = trimmed_sums(df, keys, finite(difference), trim)
+    n, k = F.col("n"), F.col("cut")
+    mean_w = (F.col("s1") + k * (F.col("low") + F.col("high"))) / n
+    ss_w = F.col("s2") + k * (F.col("low") * F.col("low") + F.col("high") * F.col("high")) - n * mean_w * mean_w
     sd_w = F.sqrt(F.greatest(ss_w, F.lit(0.0)) / (n - 1))
-    return grouped.filter(n - 2 * k >= 3).select(
-        "_k.*", "n", "k", (F.col("_s1") / (n - 2 * k)).alias("estimate"), (sd_w / ((1 - 2 * k / n) * F.sqrt(n))).alias("se")
+    return sums.filter(n - 2 * k >= 3).select(
+        *keys, "n", k.alias("k"), (F.col("s1") / (n - 2 * k)).alias("estimate"), (sd_w / ((1 - 2 * k / n) * F.sqrt(n))).alias("se")
     )
 
 

@@ -13,6 +13,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tidemark.functions.columns import col
+from tidemark.session import cut_lineage, measured
 
 HOUR_US = 3_600_000_000
 DAY_US = 24 * HOUR_US
@@ -88,6 +89,21 @@ def running_sum(df, keys, order: Sequence[str], value: Column, out: str, chunk:
     return df.withColumn(out, total).drop("_v", "_carried")
 
 
+def upto_here(df: DataFrame, key: str, order: Sequence[str], weight: str, out: str) -> DataFrame:
+    """Sum of `weight` over the key's rows up to and including the current one, for an order without natural chunks.
+
+    Rows are dealt out by sampled ranges of (key, order) and sorted there, so a hot key spreads over tasks of equal size; one
+    row per (range, key) carries the sum before it. The rows are checkpointed once, because a range must keep its number."""
+    sorted_ = cut_lineage(df.repartitionByRange(key, *order).sortWithinPartitions(key, *order))
+    sorted_ = sorted_.withColumn("_part", F.spark_partition_id()).withColumn("_at", F.monotonically_increasing_id())
+    sums = sorted_.groupBy("_part", F.col(key).alias("_of")).agg(F.sum(weight).alias("_w"))
+    before = Window.partitionBy("_of").orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)
+    carry = sums.select(F.col("_part").alias("_p"), "_of", F.coalesce(F.sum("_w").over(before), F.lit(0)).alias("_carried"))
+    inside = Window.partitionBy("_part", key).orderBy("_at").rowsBetween(Window.unboundedPreceding, 0)
+    held = sorted_.join(measured(carry), (F.col("_part") == F.col("_p")) & F.col(key).eqNullSafe(F.col("_of")))
+    return held.withColumn(out, F.col("_carried") + F.sum(weight).over(inside)).drop("_part", "_at", "_p", "_of", "_carried")
+
+
 def row_position(df, keys, order: Sequence[str], out: str, chunk: str) -> DataFrame:
     """1-based position inside the key: `row_number` with the key split into chunks."""
     return running_sum(df, keys, order, F.lit(1).cast("long"), out, chunk)

@@ -1,10 +1,10 @@
 """Exact interpolating quantiles of groups of any size.
 
 The built-in exact `percentile` keeps all distinct values of a group in one aggregation buffer. That is right for
-small groups (frames of a voxel), and wrong where one group may hold a third of the table. Here three passes narrow a rank
-down: rows are counted in logarithmic cells, those of the cells that hold wanted ranks in linear cells between the cell's
-own ends, and only the values of the linear cells hit are shuffled, equal ones as one. Counting is a partial aggregate, so
-no pass but the last moves values; an outlier or a heavy tail stretches no cell.
+small groups (frames of a voxel), and wrong where one group may hold a third of the table. Here passes narrow a rank down:
+rows are counted in logarithmic cells, those of large cells that hold wanted ranks in linear cells between the cell's own
+ends, and only the values of the cells hit are shuffled, equal ones as one. Counting is a partial aggregate, so no pass
+but the last moves values; an outlier or a heavy tail stretches no cell.
 """
 
 from __future__ import annotations
@@ -15,12 +15,15 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tidemark.functions.columns import col
-from tidemark.session import cut_lineage, measured
+from tidemark.operators.ordered import upto_here
+from tidemark.session import BROADCAST_ROWS, cut_lineage, measured
 
 #: Cells per group. A cell of an evenly spread group holds 1/4096 of its distinct values.
 GRID = 4096
 #: Logarithmic cells per factor e. Costs from a cent to a million take about 3,500.
 LOG_CELLS = 256
+#: Rows of a logarithmic cell that are fetched without a look at its linear cells.
+CELL_ROWS = 200_000
 
 
 def packed_key(keys: Sequence[str]) -> Column:
@@ -28,42 +31,6 @@ def packed_key(keys: Sequence[str]) -> Column:
     return F.struct(*keys) if keys else F.struct(F.lit(0).alias("_all"))
 
 
-def rank_cells(df: DataFrame, keys: Sequence[str], value: str | Column) -> DataFrame:
-    """Distinct values per key `_k` with their count `_c` and grid cell `_cell` (monotone in the value)."""
-    x = col(value).cast("double")
-    counts = (
-        df.select(packed_key(keys).alias("_k"), x.alias("_x"))
-        .filter(F.col("_x").isNotNull() & ~F.isnan("_x"))
-        .groupBy("_k", "_x")
-        .agg(F.count(F.lit(1)).alias("_c"))
-    )
-    if keys:
-        span = counts.groupBy("_k").agg(F.min("_x").alias("_min"), F.max("_x").alias("_max"))
-        spanned = counts.join(span, "_k")
-    else:  # one pair of numbers: a scalar subquery instead of a join without a key
-        ends = counts.agg(F.struct(F.min("_x").alias("lo"), F.max("_x").alias("hi"))).scalar()
-        spanned = counts.withColumn("_ends", ends).select("*", F.col("_ends.lo").alias("_min"), F.col("_ends.hi").alias("_max"))
-    width = F.col("_max") - F.col("_min")
-    cell = F.when(width > 0, F.least(F.floor((F.col("_x") - F.col("_min")) / width * GRID), F.lit(GRID - 1)))
-    return spanned.select("_k", "_x", "_c", F.coalesce(cell, F.lit(0)).cast("int").alias("_cell"))
-
-
-def cell_counts(cells: DataFrame) -> DataFrame:
-    """Per (key, cell): rows before the cell (`_before`), rows up to it (`_upto`), rows of the key (`_n`).
-
-    At most :data:`GRID` rows per key, so this window is small whatever the size of the key.
-    """
-    upto = Window.partitionBy("_k").orderBy("_cell").rowsBetween(Window.unboundedPreceding, 0)
-    return (
-        cells.groupBy("_k", "_cell")
-        .agg(F.sum("_c").alias("_cc"))
-        .withColumn("_upto", F.sum("_cc").over(upto))
-        .withColumn("_n", F.sum("_cc").over(Window.partitionBy("_k")))
-        .withColumn("_before", F.col("_upto") - F.col("_cc"))
-        .drop("_cc")
-    )
-
-
 def exact_quantiles(
     df: DataFrame, keys: Sequence[str], value: str | Column, probs: Mapping[str, float]
 ) -> DataFrame:
@@ -98,31 +65,87 @@ def values_at_ranks(
         extra = [c for c in per_key.columns if c not in keys]
         grid = grid.join(per_key.select(packed_key(keys).alias("_k"), *extra), "_k")
     hit = _hit(grid.withColumn("_before", F.col("_upto") - F.col("_cc")).withColumn("_wanted", ranks))
-    hit = cut_lineage(hit.select("_k", "_a", "_lo", "_hi", "_before", "_n", "_wanted"))
-
-    # inside a hit cell: linear cells between its own ends
-    fine = F.least(F.floor((F.col("_x") - F.col("_low")) / (F.col("_high") - F.col("_low")) * GRID), F.lit(GRID - 1)).cast("int")
-    wide = hit.filter("_lo < _hi").select("_k", "_a", F.col("_lo").alias("_low"), F.col("_hi").alias("_high"))
-    inner = rows.join(measured(wide), ["_k", "_a"]).withColumn("_b", fine)
-    upto = Window.partitionBy("_k", "_a").orderBy("_b").rowsBetween(Window.unboundedPreceding, 0)
-    cells = inner.groupBy("_k", "_a", "_b").agg(*ends).withColumn("_upto", F.sum("_cc").over(upto))
-    cells = cells.join(hit.select("_k", "_a", F.col("_before").alias("_base"), "_n", "_wanted"), ["_k", "_a"])
-    cells = cells.withColumn("_upto", F.col("_base") + F.col("_upto")).withColumn("_before", F.col("_upto") - F.col("_cc"))
-    hit2 = cut_lineage(_hit(cells).select("_k", "_a", "_b", "_lo", "_hi", "_before", "_n", "_wanted"))
-
-    last = hit2.filter("_lo < _hi").select("_k", "_a", "_b", "_before", "_n", "_wanted")
-    values = inner.join(measured(last.select("_k", "_a", "_b")), ["_k", "_a", "_b"])
+    hit = hit.select("_k", "_a", "_lo", "_hi", "_cc", "_before", "_n", "_wanted")
+    wide = hit.filter("_lo < _hi").select("_k", "_a", F.col("_lo").alias("_low"), F.col("_hi").alias("_high"), "_cc")
+    size = wide.agg(F.count(F.lit(1)).alias("n"), F.max("_cc").alias("rows")).first()
+    few = F.broadcast(wide.drop("_cc")) if size["n"] <= BROADCAST_ROWS else wide.drop("_cc")
+    inner = rows.join(few, ["_k", "_a"])
+    settled = [hit]  # one value in the whole cell
+    if (size["rows"] or 0) <= CELL_ROWS:
+        inner, last = inner.withColumn("_b", F.lit(0)), hit.withColumn("_b", F.lit(0))
+    else:
+        inner, last = _linear_cells(inner, hit, ends)
+        settled.append(last)
+    last = last.filter("_lo < _hi").select("_k", "_a", "_b", "_before", "_n", "_wanted")
+    values = inner.join(measured(last.select("_k", "_a", "_b")), ["_k", "_a", "_b"]) if len(settled) > 1 else inner
     values = values.groupBy("_k", "_a", "_b", "_x").agg(F.count(F.lit(1)).alias("_c")).join(last, ["_k", "_a", "_b"])
     inside = Window.partitionBy("_k", "_a", "_b").orderBy("_x").rowsBetween(Window.unboundedPreceding, 0)
     values = values.withColumn("_to", F.col("_before") + F.sum("_c").over(inside))
     mine = F.filter("_wanted", lambda r: (r >= F.col("_to") - F.col("_c")) & (r < F.col("_to")))
     found = values.select("_k", "_n", "_x", F.explode(mine).alias("_r"))
-    for settled in (hit, hit2):  # one value in the whole cell
-        one = settled.filter("_lo = _hi").select("_k", "_n", F.col("_lo").alias("_x"), F.explode("_wanted").alias("_r"))
+    for cells in settled:
+        one = cells.filter("_lo = _hi").select("_k", "_n", F.col("_lo").alias("_x"), F.explode("_wanted").alias("_r"))
         found = found.unionByName(one)
     return found.groupBy("_k").agg(F.max("_n").alias("_n"), F.map_from_entries(F.collect_list(F.struct("_r", "_x"))).alias("_at"))
 
 
+def _linear_cells(inner: DataFrame, hit: DataFrame, ends: Sequence[Column]) -> tuple[DataFrame, DataFrame]:
+    """Rows of the logarithmic cells hit with their linear cell `_b`, and the linear cells hit: the second pass."""
+    fine = F.least(F.floor((F.col("_x") - F.col("_low")) / (F.col("_high") - F.col("_low")) * GRID), F.lit(GRID - 1)).cast("int")
+    inner = inner.withColumn("_b", fine)
+    upto = Window.partitionBy("_k", "_a").orderBy("_b").rowsBetween(Window.unboundedPreceding, 0)
+    cells = inner.groupBy("_k", "_a", "_b").agg(*ends).withColumn("_upto", F.sum("_cc").over(upto))
+    cells = cells.join(hit.select("_k", "_a", F.col("_before").alias("_base"), "_n", "_wanted"), ["_k", "_a"])
+    cells = cells.withColumn("_upto", F.col("_base") + F.col("_upto")).withColumn("_before", F.col("_upto") - F.col("_cc"))
+    return inner, cut_lineage(_hit(cells).select("_k", "_a", "_b", "_lo", "_hi", "_before", "_n", "_wanted"))
+
+
+def trimmed_sums(df: DataFrame, keys: Sequence[str], value: str | Column, trim: float) -> DataFrame:
+    """Per key: `n`, `cut` = floor(trim · n), the cut-th value from either end (`low`, `high`) and, over the n − 2 cut values between
+    them, `s1` = Σx and `s2` = Σx².
+
+    Two ranks are looked up; then one partial aggregate adds the values between the cuts, and those equal to a cut by their
+    number, so no value is shuffled or sorted. Values that are not finite are left out; keys without any are absent."""
+    k = F.floor(F.lit(trim) * F.col("_n")).cast("long")
+    cuts = values_at_ranks(df, keys, value, F.array_distinct(F.array(k, F.col("_n") - 1 - k)))
+    cuts = cuts.filter(F.col("_n") > 2 * k).select(
+        F.col("_k").alias("_of"), F.col("_n").alias("n"), k.alias("cut"), F.element_at("_at", k).alias("low"), F.element_at("_at", F.col("_n") - 1 - k).alias("high")
+    )
+    x = F.col("_x")
+    rows = df.select(packed_key(keys).alias("_k"), col(value).cast("double").alias("_x"))
+    rows = rows.filter(x.isNotNull() & ~F.isnan("_x") & (F.abs("_x") != F.lit(float("inf"))))
+    met = rows.join(measured(cuts), F.col("_k") == F.col("_of"))
+    between = (x > F.col("low")) & (x < F.col("high"))
+    sums = met.groupBy("_k", "n", "cut", "low", "high").agg(
+        F.sum(F.when(between, x)).alias("_s1"), F.sum(F.when(between, x * x)).alias("_s2"),
+        F.count_if(x <= F.col("low")).alias("_to_low"), F.count_if(x < F.col("high")).alias("_below_high"),
+    )
+    kept = F.col("n") - 2 * F.col("cut")
+    same = F.col("low") == F.col("high")
+    at_low = F.when(same, kept).otherwise(F.col("_to_low") - F.col("cut"))
+    at_high = F.when(same, F.lit(0)).otherwise(F.col("n") - F.col("cut") - F.col("_below_high"))
+    zero = F.lit(0.0)
+    return sums.select(
+        *(["_k.*"] if keys else []), "n", "cut", "low", "high",
+        (F.coalesce("_s1", zero) + at_low * F.col("low") + at_high * F.col("high")).alias("s1"),
+        (F.coalesce("_s2", zero) + at_low * F.col("low") ** 2 + at_high * F.col("high") ** 2).alias("s2"),
+    )
+
+
+def mid_ranks(df: DataFrame, keys: Sequence[str], value: str, out: str) -> DataFrame:
+    """Average ranks (1-based) of a value inside each key; equal values share their mean rank, missing ones have none.
+
+    Distinct values are dealt out by ranges of their order (sampled, so each task gets an equal share wherever the values
+    lie), and a task's first rank is the number of rows in the tasks before it."""
+    x = F.col(value).cast("double")
+    counts = df.select(packed_key(keys).alias("_k"), x.alias("_x")).filter(F.col("_x").isNotNull() & ~F.isnan("_x"))
+    counts = counts.groupBy("_k", "_x").agg(F.count(F.lit(1)).alias("_c"))
+    placed = upto_here(counts, "_k", ["_x"], "_c", "_to")
+    ranked = placed.select(F.col("_k"), F.col("_x"), (F.col("_to") - (F.col("_c") - 1) / 2.0).alias(out))
+    keyed = df.withColumn("_k", packed_key(keys)).withColumn("_x", x)
+    return keyed.join(ranked, ["_k", "_x"], "left").drop("_k", "_x")
+
+
 def _hit(cells: DataFrame) -> DataFrame:
     """Cells in which wanted ranks lie, with those ranks."""
     here = F.filter("_wanted", lambda r: (r >= F.col("_before")) & (r < F.col("_upto")))

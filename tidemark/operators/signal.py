@@ -17,7 +17,7 @@ from pyspark.sql import functions as F
 
 from tidemark.functions import tails
 from tidemark.functions.columns import count_if, finite
-from tidemark.operators.quantiles import cell_counts, exact_quantiles, rank_cells, with_quantiles
+from tidemark.operators.quantiles import exact_quantiles, mid_ranks, with_quantiles
 from pyspark.sql import Window
 
 
@@ -108,19 +108,6 @@ def outlier_fraction(df: DataFrame, run: Sequence[str], series: str = "series")
     return frames.groupBy(*run, "frame").agg(F.avg("_o").alias("outlier_frac"))
 
 
-def mid_ranks(df: DataFrame, keys: Sequence[str], value: str, out: str) -> DataFrame:
-    """Average ranks (1-based) of a value inside each key; equal values share their mean rank."""
-    cells = rank_cells(df, keys, value)
-    inside = Window.partitionBy("_k", "_cell").orderBy("_x").rowsBetween(Window.unboundedPreceding, 0)
-    ranked = cells.join(cell_counts(cells).select("_k", "_cell", "_before"), ["_k", "_cell"]).select(
-        F.col("_k"),
-        F.col("_x"),
-        (F.col("_before") + F.sum("_c").over(inside) - (F.col("_c") - 1) / 2.0).alias(out),
-    )
-    keyed = df.withColumn("_k", F.struct(*keys)).withColumn("_x", F.col(value).cast("double"))
-    return keyed.join(ranked, ["_k", "_x"], "left").drop("_k", "_x")
-
-
 def correlation_or_zero(x: str, y: str) -> Column:
     """Pearson correlation of the group, 0 where one side is constant."""
     return F.coalesce(F.nanvl(F.corr(x, y), F.lit(0.0)), F.lit(0.0))

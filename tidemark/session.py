@@ -22,6 +22,10 @@ SETTINGS = {
 }
 
 
+#: Narrow rows up to which a join side is broadcast.
+BROADCAST_ROWS = 100_000
+
+
 def build_session(app: str = "tidemark", master: str | None = None, **extra: str) -> SparkSession:
     """A session with :data:`SETTINGS`; `master` only for local runs, a cluster supplies its own."""
     builder = SparkSession.builder.appName(app)
@@ -55,7 +59,7 @@ def checkpoint_dir(spark: SparkSession) -> str:
     return named
 
 
-def measured(df: DataFrame, rows: int = 100_000) -> DataFrame:
+def measured(df: DataFrame, rows: int = BROADCAST_ROWS) -> DataFrame:
     """`df` marked for a broadcast if it has no more than `rows` (narrow) rows; beyond that the join stays a shuffle join."""
     return F.broadcast(df) if df.limit(rows + 1).count() <= rows else df
 
