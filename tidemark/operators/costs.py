@@ -327,28 +327,6 @@ def session_cost_report(
     return out.withColumn("usd_per_run", F.when(F.col("n_runs") > 0, F.col("session_usd") / F.col("n_runs")))
 
 
-def calibrate_rates(observed: DataFrame, billed: DataFrame, keys: Sequence[str], minimum_hours: float = 0.0) -> DataFrame:
-    """Price per observed hour, by group and pooled: median of billed over observed of substantial workflows.
-
-    Both frames have one row per (group keys, workflow_name); `observed` carries `hours`, `billed` `usd`."""
-    keys = list(keys)
-    joined = observed.filter(F.col("hours") > minimum_hours).join(billed, [*keys, "workflow_name"])
-    rates = joined.withColumn("rate", F.when(F.col("hours") > 0, F.col("usd") / F.col("hours")))
-    rates = rates.filter(F.col("rate") > 0)
-    return exact_quantiles(rates, keys, "rate", {"usd_per_hour": 0.5})
-
-
-def priced_usage(usage: DataFrame, rates: DataFrame, keys: Sequence[str], pooled: DataFrame) -> DataFrame:
-    """Usage × calibrated rate, with the pooled rate where a group has none of its own."""
-    fallback = pooled.select(F.col("usd_per_hour").alias("_pooled")).scalar()
-    return (
-        usage.join(rates.select(*keys, F.col("usd_per_hour").alias("_rate")), list(keys), "left")
-        .withColumn("usd_per_hour", F.coalesce("_rate", fallback))
-        .drop("_rate")
-        .withColumn("rebuilt_usd", F.col("hours") * F.col("usd_per_hour"))
-    )
-
-
 def hourly_to_day(hours: DataFrame, keys: Sequence[str] = ("workflow_name",), hour: str = "hour") -> DataFrame:
     """Hourly allocations to one row per workflow: component sums, first named subject, total rebuilt from the
     components (adjustments are not final by the hour and are zeroed)."""

@@ -6,6 +6,8 @@ from pyspark.sql import functions as F
 
 from tidemark.functions.columns import micros
 from tidemark.operators import costs as C
+from tidemark.operators import reconstruction as RC
+from tidemark.operators.ordered import DAY_US
 from tidemark.plans.registry import query, rounded
 
 
@@ -256,57 +258,105 @@ def session_cost_report(t):
     return rounded(C.session_cost_report(pods, "own_session", sessions=sessions), 4)
 
 
-_RATES = """
-    WITH o AS (SELECT step, workflow_name, SUM(runtime_minutes) AS hours FROM pod_costs GROUP BY ALL),
-    b AS (SELECT step, workflow_name, SUM(total_cost_usd) AS usd FROM pod_costs WHERE phase = 'F' GROUP BY ALL),
-    r AS (SELECT step, usd / hours AS rate FROM o JOIN b USING (step, workflow_name) WHERE hours > 10 AND usd > 0)"""
-
-
-def _rate_inputs(t):
-    observed = t.pod_costs.groupBy("step", "workflow_name").agg(F.sum("runtime_minutes").alias("hours"))
-    billed = (
-        t.pod_costs.filter(F.col("phase") == "F")
-        .groupBy("step", "workflow_name")
-        .agg(F.sum("total_cost_usd").alias("usd"))
+_RECONSTRUCTION = """
+    WITH base AS (SELECT *, 'w' || (l_orderkey % 3000) AS workflow_name, epoch_us(l_shipdate) + l_linenumber * 10800000000 AS start_us FROM lineitem),
+    pods AS (SELECT workflow_name, l_orderkey || '-' || l_linenumber || '-' || l_partkey || '-' || l_suppkey || '-' || start_us AS pod, start_us,
+                    CASE WHEN l_returnflag <> 'R' OR l_linenumber < 7 THEN start_us + CAST(l_quantity AS BIGINT) * 3600000000 END AS end_us,
+                    CASE WHEN l_linenumber % 2 = 0 THEN 'p' || l_partkey END AS subject, CASE WHEN l_suppkey % 10 > 0 THEN 'type' || (l_suppkey % 7) END AS kind,
+                    l_quantity * 3600 * (1 + l_discount) AS rd_cpu, l_extendedprice AS rd_mem, CASE WHEN l_linenumber = 1 THEN l_quantity * 60 ELSE 0 END AS rd_gpu FROM base),
+    billed AS (SELECT workflow_name, start_us // 86400000000 * 86400000000 AS day_us, CASE WHEN l_suppkey % 10 > 0 THEN 'type' || (l_suppkey % 5) ELSE '' END AS kind,
+                      l_quantity * (1 + l_tax) AS cpu_h, l_extendedprice / 36000 * (1 + l_tax) AS mem_h, CASE WHEN l_linenumber = 1 THEN l_quantity / 60 * (1 + l_tax) ELSE 0 END AS gpu_h,
+                      l_quantity * (1 + l_tax) * (0.03 + l_suppkey * 0.0001) AS cpu_usd, l_extendedprice * 0.0001 AS mem_usd, CASE WHEN l_linenumber = 1 THEN l_quantity * 0.02 ELSE 0 END AS gpu_usd
+               FROM base WHERE l_linestatus = 'F'),
+    ended AS (SELECT *, COALESCE(end_us, start_us // 86400000000 * 86400000000 + 86400000000) AS until FROM pods),
+    cut AS (SELECT *, unnest(range(start_us // 86400000000, GREATEST(start_us // 86400000000, (until - 1) // 86400000000) + 1)) * 86400000000 AS day_us FROM ended),
+    days AS (SELECT *, CASE WHEN until > start_us THEN (LEAST(until, day_us + 86400000000) - GREATEST(start_us, day_us)) / (until - start_us) ELSE 1.0 END AS fraction,
+                    (LEAST(until, day_us + 86400000000) - GREATEST(start_us, day_us)) / 60000000 AS minutes FROM cut),
+    asked AS (SELECT day_us, workflow_name, SUM(rd_cpu * fraction) AS s_cpu, SUM(rd_mem * fraction) AS s_mem, SUM(rd_gpu * fraction) AS s_gpu FROM days GROUP BY ALL),
+    paid AS (SELECT day_us, workflow_name, SUM(cpu_h) AS h_cpu, SUM(mem_h) AS h_mem, SUM(gpu_h) AS h_gpu FROM billed GROUP BY ALL),
+    ratio AS (SELECT COALESCE(NULLIF(QUANTILE_CONT(h_cpu / (s_cpu / 3600), 0.5) FILTER (s_cpu > 3600 AND h_cpu > 1), 0), 1.0) AS cpu,
+                     COALESCE(NULLIF(QUANTILE_CONT(h_mem / (s_mem / 3600), 0.5) FILTER (s_mem > 3600 AND h_mem > 1), 0), 0.0958) AS mem,
+                     COALESCE(NULLIF(QUANTILE_CONT(h_gpu / (s_gpu / 3600), 0.5) FILTER (s_gpu > 60 AND h_gpu > 0.1), 0), 1.0) AS gpu FROM asked JOIN paid USING (day_us, workflow_name)),
+    rates AS (SELECT kind, COALESCE(SUM(cpu_usd) / NULLIF(SUM(cpu_h), 0), 0) AS cpu, COALESCE(SUM(mem_usd) / NULLIF(SUM(mem_h), 0), 0) AS mem, COALESCE(SUM(gpu_usd) / NULLIF(SUM(gpu_h), 0), 0) AS gpu FROM billed GROUP BY kind),
+    pooled AS (SELECT COALESCE(SUM(cpu_usd) / NULLIF(SUM(cpu_h), 0), 0) AS cpu, COALESCE(SUM(mem_usd) / NULLIF(SUM(mem_h), 0), 0) AS mem, COALESCE(SUM(gpu_usd) / NULLIF(SUM(gpu_h), 0), 0) AS gpu FROM billed)"""
+
+
+def _clean_days(t):
+    """(pods by day, billed rows): line items as pods whose requests are known, half of them billed."""
+    number, quantity = F.col("l_linenumber"), F.col("l_quantity")
+    base = t.lineitem.withColumn("workflow_name", F.concat(F.lit("w"), F.col("l_orderkey") % 3000))
+    base = base.withColumn("start_us", micros("l_shipdate") + number * 10_800_000_000)
+
+    def kind(n: int):
+        return F.when(F.col("l_suppkey") % 10 > 0, F.concat(F.lit("type"), F.col("l_suppkey") % n)).alias("kind")
+
+    first = number == 1
+    pods = base.select(
+        "workflow_name", F.concat_ws("-", "l_orderkey", number, "l_partkey", "l_suppkey", "start_us").alias("pod"), "start_us",
+        F.when((F.col("l_returnflag") != "R") | (number < 7), F.col("start_us") + quantity.cast("long") * 3_600_000_000).alias("end_us"),
+        F.when(number % 2 == 0, F.concat(F.lit("p"), "l_partkey")).alias("subject"), kind(7),
+        (quantity * 3600 * (1 + F.col("l_discount"))).alias("rd_cpu"), F.col("l_extendedprice").alias("rd_mem"), F.when(first, quantity * 60).otherwise(0.0).alias("rd_gpu"),
     )
-    return observed, billed
+    more = 1 + F.col("l_tax")
+    billed = base.filter("l_linestatus = 'F'").select(
+        "workflow_name", (F.floor(F.col("start_us") / DAY_US) * DAY_US).alias("day_us"), kind(5),
+        (quantity * more).alias("cpu_core_hours"), (F.col("l_extendedprice") / 36000 * more).alias("ram_gb_hours"), F.when(first, quantity / 60 * more).otherwise(0.0).alias("gpu_hours"),
+        (quantity * more * (0.03 + F.col("l_suppkey") * 0.0001)).alias("cpu_cost_usd"), (F.col("l_extendedprice") * 0.0001).alias("memory_cost_usd"),
+        F.when(first, quantity * 0.02).otherwise(0.0).alias("gpu_cost_usd"),
+    )
+    return RC.pod_days(pods, "start_us", "end_us"), billed
 
 
 @query(
     "a14_rate_calibration",
-    _RATES + " SELECT step, ROUND(QUANTILE_CONT(rate, 0.5), 6) AS usd_per_hour FROM r GROUP BY step",
+    _RECONSTRUCTION
+    + """
+    SELECT 'ratio' AS what, NULL AS kind, ROUND(cpu, 8) AS cpu, ROUND(mem, 8) AS mem, ROUND(gpu, 8) AS gpu FROM ratio
+    UNION ALL SELECT 'rate', kind, ROUND(cpu, 8), ROUND(mem, 8), ROUND(gpu, 8) FROM rates UNION ALL SELECT 'pooled', NULL, ROUND(cpu, 8), ROUND(mem, 8), ROUND(gpu, 8) FROM pooled""",
 )
 def rate_calibration(t):
-    observed, billed = _rate_inputs(t)
-    return rounded(C.calibrate_rates(observed, billed, ["step"], 10.0), 6)
+    """Hours per requested hour, dollars per hour and instance type, and the pooled fallback, for three components."""
+    days, billed = _clean_days(t)
+    sums = RC.type_sums(billed, "kind")
+    nobody = F.lit(None).cast("string").alias("kind")
+    ratios = RC.unit_ratios(days, billed, ["day_us", "workflow_name"]).select(F.lit("ratio").alias("what"), nobody, "cpu", "mem", "gpu")
+    rates = RC.type_rates(sums, "kind").select(F.lit("rate").alias("what"), "kind", "cpu", "mem", "gpu")
+    pooled = RC.pooled_rates(sums).select(F.lit("pooled").alias("what"), nobody, "cpu", "mem", "gpu")
+    return rounded(ratios.unionByName(rates).unionByName(pooled), 8)
 
 
 @query(
     "a15_cost_reconstruction",
-    _RATES
+    _RECONSTRUCTION
     + """,
-    g AS (SELECT step, QUANTILE_CONT(rate, 0.5) AS usd_per_hour FROM r WHERE step <> 'R' GROUP BY step),
-    u AS (SELECT workflow_name, subject, step, SUM(runtime_minutes) AS hours FROM pod_costs GROUP BY ALL)
-    SELECT workflow_name, subject, ROUND(SUM(hours), 4) AS hours,
-           ROUND(SUM(hours * COALESCE(usd_per_hour, (SELECT QUANTILE_CONT(rate, 0.5) FROM r))), 4) AS rebuilt_usd
-    FROM u LEFT JOIN g USING (step) GROUP BY workflow_name, subject""",
+    runs AS (SELECT 'w' || (o_orderkey % 3000) AS workflow_name, o_orderkey AS run, 'c' || o_custkey AS subject, epoch_us(o_orderdate) AS s, CASE WHEN o_orderstatus <> 'P' THEN epoch_us(o_orderdate) + 5 * 86400000000 END AS e FROM orders),
+    seen AS (SELECT DISTINCT workflow_name, pod, start_us AS at_us FROM pods),
+    hits AS (SELECT pod, COUNT(*) FILTER (at_us >= s - 120000000 AND (e IS NULL OR at_us <= e + 120000000)) AS n_hits, MAX(run) FILTER (at_us >= s - 120000000 AND (e IS NULL OR at_us <= e + 120000000)) AS hit,
+                    arg_max(run, s * 1000000::HUGEINT + run) FILTER (s <= at_us) AS earlier FROM seen JOIN runs USING (workflow_name) GROUP BY pod),
+    placed AS (SELECT pod, CASE WHEN n_hits = 1 THEN hit WHEN n_hits = 0 THEN earlier END AS run FROM hits),
+    priced AS (SELECT d.*, COALESCE(runs.subject, d.subject, '') AS who, rd_cpu / 3600 * ratio.cpu * fraction AS h_cpu, rd_mem / 3600 * ratio.mem * fraction AS h_mem, rd_gpu / 3600 * ratio.gpu * fraction AS h_gpu,
+                      COALESCE(rates.cpu, pooled.cpu) AS p_cpu, COALESCE(rates.mem, pooled.mem) AS p_mem, COALESCE(rates.gpu, pooled.gpu) AS p_gpu
+               FROM days d LEFT JOIN placed USING (pod) LEFT JOIN runs ON runs.run = placed.run LEFT JOIN rates ON rates.kind = COALESCE(d.kind, '') CROSS JOIN ratio CROSS JOIN pooled),
+    scraped AS (SELECT epoch_us(o_orderdate) AS day_us, 'w' || (o_orderkey % 3000) AS workflow_name, SUM(o_totalprice) AS usd FROM orders GROUP BY ALL)
+    SELECT day_us, workflow_name, who AS subject, COUNT(*) AS pods, ROUND(SUM(minutes), 4) AS pod_minutes, ROUND(SUM(h_cpu), 4) AS cpu_core_hours, ROUND(SUM(h_mem), 4) AS ram_gb_hours, ROUND(SUM(h_gpu), 4) AS gpu_hours,
+           ROUND(SUM(h_cpu * p_cpu), 6) AS cpu_cost_usd, ROUND(SUM(h_mem * p_mem), 6) AS memory_cost_usd, ROUND(SUM(h_gpu * p_gpu), 6) AS gpu_cost_usd, COUNT(*) FILTER (kind IS NULL) AS pods_without_instance_type,
+           ROUND(SUM(h_cpu * p_cpu) + SUM(h_mem * p_mem) + SUM(h_gpu * p_gpu), 6) AS total_cost_usd, ROUND(MAX(usd), 4) AS scraped_total_cost_usd
+    FROM priced LEFT JOIN scraped USING (day_us, workflow_name) GROUP BY day_us, workflow_name, who""",
 )
 def cost_reconstruction(t):
-    observed, billed = _rate_inputs(t)
-    rates = C.calibrate_rates(observed, billed, ["step"], 10.0).filter(F.col("step") != "R")
-    pooled = C.exact_quantiles(
-        observed.filter(F.col("hours") > 10).join(billed, ["step", "workflow_name"]).filter(F.col("usd") > 0),
-        [],
-        F.col("usd") / F.col("hours"),
-        {"usd_per_hour": 0.5},
+    """Orders as the runs of reused workflow names: some pods are in one run's window, some in several, some in none."""
+    days, billed = _clean_days(t)
+    name = F.concat(F.lit("w"), F.col("o_orderkey") % 3000).alias("workflow_name")
+    start = micros("o_orderdate")
+    runs = t.orders.select(
+        name, F.col("o_orderkey").alias("run"), F.concat(F.lit("c"), "o_custkey").alias("subject"), start.alias("start_us"),
+        F.when(F.col("o_orderstatus") != "P", start + 5 * DAY_US).alias("end_us"),
     )
-    usage = t.pod_costs.groupBy("workflow_name", "subject", "step").agg(F.sum("runtime_minutes").alias("hours"))
-    out = (
-        C.priced_usage(usage, rates, ["step"], pooled)
-        .groupBy("workflow_name", "subject")
-        .agg(F.sum("hours").alias("hours"), F.sum("rebuilt_usd").alias("rebuilt_usd"))
-    )
-    return rounded(out, 4)
+    scraped = t.orders.select(start.alias("day_us"), name, "o_totalprice").groupBy("day_us", "workflow_name").agg(F.sum("o_totalprice").alias("usd"))
+    ratios = RC.unit_ratios(days, billed, ["day_us", "workflow_name"])
+    out = RC.reconstruct_costs(days, runs, ratios, RC.type_sums(billed, "kind"), "kind", scraped)
+    dollars = {c: 6 for c in ("cpu_cost_usd", "memory_cost_usd", "gpu_cost_usd", "total_cost_usd")}
+    return rounded(out, 4, **dollars)
 
 
 @query(
