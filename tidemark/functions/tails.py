@@ -162,3 +162,24 @@ def smallest_n(power_at, power: float) -> int:
         mid = (lo + hi) // 2
         lo, hi = (lo, mid) if power_at(mid) >= power else (mid + 1, hi)
     return lo
+
+
+def ceiling_size(ceiling: float, share: float, power: float, alpha: float, most: int, block: int = 256) -> int:
+    """Smallest n of 2 and more at which the exact one-sided binomial test of "share under the ceiling" has the power, searched up to
+    `most`; `most` + 1 if none. The power is a saw-tooth of n, so every n is looked at."""
+
+    def upto(n, p):
+        """P(X <= k) for each n (rows) and k (columns)."""
+        k = np.arange(n.max() + 1)
+        inside = np.clip(n[:, None] - k[None, :], 0, None)
+        log = _log_gamma(n + 1.0)[:, None] - _log_gamma(k + 1.0)[None, :] - _log_gamma(inside + 1.0) + k * math.log(p) + inside * math.log1p(-p)
+        return np.cumsum(np.where(k[None, :] <= n[:, None], np.exp(log), 0.0), axis=1)
+
+    for first in range(2, most + 1, block):
+        n = np.arange(first, min(first + block, most + 1))
+        allowed = (upto(n, ceiling) <= alpha).sum(axis=1) - 1  # the largest count that rejects, -1 if none does
+        reached = np.where(allowed >= 0, np.take_along_axis(upto(n, share), np.maximum(allowed, 0)[:, None], axis=1)[:, 0], 0.0)
+        hit = np.flatnonzero(reached >= power)
+        if len(hit):
+            return int(n[hit[0]])
+    return most + 1

@@ -395,19 +395,3 @@ def session_gate(sessions: DataFrame, gated: DataFrame, keys: Sequence[str]) ->
     g = gated.groupBy(*keys).agg(F.count(F.lit(1)).alias("n_runs"), F.bool_and("passed").alias("_all"), count_if(~F.col("passed")).alias("n_failed"))
     j = sessions.select(*keys).distinct().join(g, list(keys), "left").fillna(0, ["n_runs", "n_failed"])
     return j.withColumn("passed", F.coalesce(F.col("_all"), F.lit(False))).drop("_all")
-
-
-def analyse_endpoints(values: DataFrame, margins: DataFrame) -> DataFrame:
-    """Every endpoint against its row of the margin table, on its scale: ratio (log), share or exact difference.
-
-    `values`: endpoint, cluster, arm_a, arm_b. `margins`: endpoint, scale ('ratio', 'difference'), margin. Clusters are
-    averaged first; a ratio's margin m is tested as ±ln(1 + m)."""
-    joined = values.join(margins, "endpoint")
-    ratio_ = F.col("scale") == "ratio"
-    positive = (F.col("arm_a") > 0) & (F.col("arm_b") > 0)
-    d = F.when(ratio_, F.when(positive, F.log("arm_a") - F.log("arm_b"))).otherwise(F.col("arm_a") - F.col("arm_b"))
-    m = F.when(ratio_, F.log(1.0 + F.col("margin"))).otherwise(F.col("margin"))
-    per_cluster = joined.withColumn("_d", d).withColumn("_m", m).groupBy("endpoint", "cluster").agg(
-        F.avg(finite("_d")).alias("_d"), F.max("_m").alias("tested_margin")
-    )
-    return tost(per_cluster, ["endpoint"], "_d", "tested_margin")
