@@ -5,10 +5,13 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from tidemark.functions.columns import micros
+from tidemark.operators import allocations as AL
 from tidemark.operators import costs as C
 from tidemark.operators import reconstruction as RC
 from tidemark.operators.ordered import DAY_US
+from tidemark.plans.records_queries import scratch
 from tidemark.plans.registry import query, rounded
+from tidemark.sources.wide_runs import export_csv
 
 
 @query(
@@ -645,20 +648,118 @@ def allocation_parse(t):
     return C.explode_allocations(_allocation_sets(t), "body", adjustments=["cpuCostAdjustment"])
 
 
+def _pod_responses(t):
+    """One response per ship date: a set of all pods of that day, of which some have no workflow, are reserved or not recorded."""
+    n, supp, order = F.col("l_linenumber"), F.col("l_suppkey"), F.col("l_orderkey")
+    pod = F.concat_ws("-", order, n, "l_partkey", supp)
+    workflow = F.when(n == 6, F.lit(None)).when(order % 50 == 0, F.concat(F.lit("confounds-rerun-"), order)).otherwise(F.concat(F.lit("wf-"), order))
+    kind = F.when(n == 3, "tx").when(n == 4, F.lit(None)).otherwise(F.concat(F.lit("t"), supp % 2))
+    labels = F.struct(
+        workflow.alias("workflows_argoproj_io_workflow"), F.col("l_returnflag").alias("cloudpipe_io_step"), F.col("l_linestatus").alias("cloudpipe_io_phase"),
+        F.concat(F.lit("h"), supp).alias("kubernetes_io_hostname"), kind.alias("node_kubernetes_io_instance_type"), n.cast("string").alias("session"),
+    )
+    price = F.col("l_extendedprice")
+
+    def iso(c):
+        return F.date_format(c, "yyyy-MM-dd'T'HH:mm:ss'Z'")
+
+    start = F.col("l_shipdate").cast("timestamp")
+    value = F.struct(
+        F.struct(pod.alias("pod"), labels.alias("labels")).alias("properties"), iso(start).alias("start"),
+        iso(F.timestamp_micros(micros(start) + F.col("l_quantity").cast("long") * 3_600_000_000)).alias("end"), (F.col("l_quantity") * 60).alias("minutes"),
+        price.alias("totalCost"), (price * 0.5).alias("cpuCost"), (price * 0.25).alias("ramCost"), F.when(n == 1, price * 0.2).alias("gpuCost"),
+        (price * -0.01).alias("cpuCostAdjustment"), F.when(n != 2, price * 0.02).alias("pvCostAdjustment"), F.col("l_quantity").alias("cpuCoreHours"),
+        (F.col("l_quantity") * 3 * 1024**3).alias("ramByteHours"), F.when(n != 7, F.col("l_discount")).alias("cpuEfficiency"), F.col("l_tax").alias("ramEfficiency"),
+        (F.col("l_quantity") * 1e9).alias("ramByteRequestAverage"),
+    )
+    member = F.concat(F.when((n == 5) & (F.col("l_returnflag") == "R"), "__unallocated__").otherwise(""), pod)
+    idle = F.struct(F.lit("__idle__").alias("k"), F.lit(None).cast(t.lineitem.select(value).schema[0].dataType).alias("v"))
+    sets = t.lineitem.select(F.date_format("l_shipdate", "yyyy-MM-dd").alias("date"), F.struct(member.alias("k"), value.alias("v")).alias("m"))
+    sets = sets.groupBy("date").agg(F.map_from_entries(F.array_append(F.collect_list("m"), idle)).alias("members"))
+    return sets.select("date", F.to_json(F.struct(F.array("members").alias("data"))).alias("body"))
+
+
+def _instances(t):
+    """One or two instances per host name: apart in time, overlapping, or not known at all."""
+    s, k = F.col("s_suppkey"), F.col("k")
+    rows = t.supplier.filter(s % 11 != 5).select("s_suppkey", F.explode(F.sequence(F.lit(1), F.when(s % 3 == 0, 1).otherwise(2))).alias("k"))
+    first, later = F.lit("1995-01-01").cast("timestamp"), F.lit("1998-01-01").cast("timestamp")
+    until = F.when((k == 1) & (s % 3 == 1), later).otherwise(F.lit("2003-01-01").cast("timestamp"))
+    return rows.select(
+        F.concat(F.lit("h"), s).alias("node"), F.concat_ws("-", F.lit("i"), s, k).alias("instance_id"), F.concat(F.lit("t"), (s + k + 1) % 2).alias("instance_type"),
+        F.when(s % 7 == 0, "t9").otherwise("").alias("labelled_type"), micros(F.when(k == 1, first).otherwise(later)).alias("start_us"), micros(until).alias("end_us"),
+        F.when(k == 1, "spot").otherwise("on-demand").alias("capacity_type"), (s * 0.01 + k).alias("effective_usd_per_hour"), (s * 0.02 + k).alias("ondemand_usd_per_hour"),
+    )
+
+
+def _proven_pods(t):
+    n = F.col("l_linenumber")
+    stored = t.lineitem.filter(n.isin(2, 3)).select(
+        F.concat(F.lit("wf-"), "l_orderkey").alias("workflow_name"), F.concat_ws("-", "l_orderkey", n, "l_partkey", "l_suppkey").alias("pod"),
+        F.concat(F.lit("i-"), "l_suppkey", F.lit("-1")).alias("node_instance_id"), F.lit("stored").alias("node_instance_type"), F.lit("spot").alias("node_capacity_type"),
+        F.lit(9.5).alias("node_ondemand_usd_per_hour"),
+    )
+    return AL.with_node_columns(AL.pod_allocations(_pod_responses(t), "body"), _instances(t), stored)
+
+
+_PODS_SQL = """
+    WITH base AS (SELECT *, strftime(l_shipdate, '%Y-%m-%d') AS date, l_orderkey || '-' || l_linenumber || '-' || l_partkey || '-' || l_suppkey AS pod, 'wf-' || l_orderkey AS workflow_name, 'h' || l_suppkey AS node,
+                         CASE l_linenumber WHEN 3 THEN 'tx' WHEN 4 THEN '' ELSE 't' || (l_suppkey % 2) END AS kind, epoch_us(l_shipdate) AS s, epoch_us(l_shipdate) + CAST(l_quantity AS BIGINT) * 3600000000 AS e FROM lineitem),
+    pods AS (SELECT * FROM base WHERE l_linenumber <> 6 AND l_orderkey % 50 <> 0 AND NOT (l_linenumber = 5 AND l_returnflag = 'R')),
+    inst AS (SELECT 'h' || s_suppkey AS node, 'i-' || s_suppkey || '-' || k AS id, 't' || ((s_suppkey + k + 1) % 2) AS kind, CASE WHEN s_suppkey % 7 = 0 THEN 't9' ELSE '' END AS lab,
+                    CASE k WHEN 1 THEN epoch_us(TIMESTAMP '1995-01-01') ELSE epoch_us(TIMESTAMP '1998-01-01') END AS s, CASE WHEN k = 1 AND s_suppkey % 3 = 1 THEN epoch_us(TIMESTAMP '1998-01-01') ELSE epoch_us(TIMESTAMP '2003-01-01') END AS e,
+                    CASE k WHEN 1 THEN 'spot' ELSE 'on-demand' END AS capacity, s_suppkey * 0.01 + k AS eff, s_suppkey * 0.02 + k AS od
+             FROM supplier, range(1, 3) r(k) WHERE s_suppkey % 11 <> 5 AND (k = 1 OR s_suppkey % 3 > 0)),
+    hosts AS (SELECT a.node, COUNT(DISTINCT a.id) AS n, BOOL_OR(a.id < b.id AND b.s < a.e) AS clash FROM inst a JOIN inst b USING (node) GROUP BY a.node),
+    cand AS (SELECT p.*, h.n, h.clash, list(i.id) FILTER (h.n = 1 OR (p.s >= i.s AND p.e <= i.e)) AS ids FROM pods p LEFT JOIN hosts h USING (node) LEFT JOIN inst i USING (node) GROUP BY ALL),
+    pick AS (SELECT * EXCLUDE (ids, n, clash), CASE WHEN n IS NULL THEN 'NO_ASSET' WHEN n > 1 AND (clash OR len(ids) IS DISTINCT FROM 1) THEN 'AMBIGUOUS' ELSE 'FOUND' END AS how, ids[1] AS id FROM cand),
+    proof AS (SELECT pick.*, i.kind AS ikind, i.capacity, i.eff, i.od,
+                     CASE WHEN how <> 'FOUND' THEN how WHEN i.lab <> '' AND i.lab <> i.kind THEN 'INCONSISTENT_ASSET' WHEN pick.kind <> '' AND i.kind <> '' AND pick.kind <> i.kind THEN 'TYPE_MISMATCH' ELSE 'MATCHED' END AS why
+              FROM pick LEFT JOIN inst i ON i.id = pick.id AND how = 'FOUND'),
+    prior AS (SELECT workflow_name, pod, 'i-' || l_suppkey || '-1' AS pid, 'stored' AS pkind, 'spot' AS pcap, 9.5 AS prate FROM base WHERE l_linenumber IN (2, 3)),
+    told AS (SELECT proof.*, pid, pkind, pcap, prate, why = 'MATCHED' AND (pid IS NULL OR pid = id) AS own, pid IS NOT NULL AS had FROM proof LEFT JOIN (SELECT DISTINCT * FROM prior) USING (workflow_name, pod)),
+    fin AS (SELECT *, CASE WHEN own THEN id WHEN had THEN pid ELSE '' END AS node_instance_id, CASE WHEN own THEN COALESCE(NULLIF(kind, ''), ikind) WHEN had THEN pkind ELSE kind END AS node_instance_type,
+                   CASE WHEN own THEN capacity WHEN had THEN pcap ELSE '' END AS node_capacity_type, CASE WHEN own THEN eff END AS node_effective_usd_per_hour, CASE WHEN own THEN od WHEN had THEN prate END AS node_ondemand_usd_per_hour,
+                   CASE WHEN own OR NOT had THEN why ELSE 'CARRIED' END AS match_reason FROM told)"""
+
+
+@query(
+    "a36_pod_allocations",
+    _PODS_SQL
+    + """
+    SELECT date, pod, workflow_name, l_returnflag AS step, l_linestatus AS phase, '' AS subject, CAST(l_linenumber AS VARCHAR) AS session, node, ROUND(l_extendedprice, 6) AS total_cost_usd, ROUND(l_extendedprice * 0.5, 6) AS cpu_cost_usd,
+           ROUND(l_extendedprice * 0.25, 6) AS memory_cost_usd, ROUND(CASE WHEN l_linenumber = 1 THEN l_extendedprice * 0.2 ELSE 0 END, 6) AS gpu_cost_usd, 0.0 AS pv_cost_usd, 0.0 AS network_cost_usd,
+           ROUND(l_extendedprice * -0.01 + CASE WHEN l_linenumber <> 2 THEN l_extendedprice * 0.02 ELSE 0 END, 4) AS total_adjustment_usd, l_quantity * 60 AS runtime_minutes, l_quantity AS cpu_core_hours, 0.0 AS gpu_hours,
+           CASE WHEN l_linenumber = 7 THEN 0 ELSE l_discount END AS cpu_efficiency, l_tax AS ram_efficiency, l_quantity * 3 AS ram_gb_hours,
+           node_instance_id, node_instance_type, node_capacity_type, ROUND(node_effective_usd_per_hour, 6) AS node_effective_usd_per_hour, ROUND(node_ondemand_usd_per_hour, 6) AS node_ondemand_usd_per_hour, match_reason FROM fin""",
+)
+def pod_allocations(t):
+    """Every pod of every set with its node proven by its window, or carried over from the stored rows of some pods."""
+    return rounded(_proven_pods(t).drop("start_us", "end_us"), 6, total_adjustment_usd=4)
+
+
+@query(
+    "a36_match_report",
+    _PODS_SQL + " SELECT match_reason, COUNT(*) AS n_pods, ROUND(SUM(l_extendedprice), 4) AS usd, ROUND(SUM(CASE WHEN node_ondemand_usd_per_hour IS NULL THEN l_extendedprice ELSE 0 END), 4) AS unpriced_usd FROM fin GROUP BY match_reason",
+)
+def match_report(t):
+    return rounded(AL.match_report(_proven_pods(t)), 4)
+
+
 @query(
     "a44_allocation_harvest",
-    _ALLOCATION_SQL
-    + """ SELECT subject, COUNT(*) AS n_workflows, ROUND(SUM(total_cost_usd), 4) AS total_cost_usd,
-                 ROUND(SUM(cpu_cost_usd) / SUM(total_cost_usd), 6) AS cpu_share FROM a GROUP BY subject""",
+    """
+    WITH m AS (SELECT strftime(l_shipdate, '%Y-%m-%d') AS date, l_extendedprice AS usd, l_quantity AS q, CASE WHEN l_linenumber <> 7 THEN l_discount END AS ce, l_tax AS re FROM lineitem)
+    SELECT date, COUNT(*) AS n_members, ROUND(SUM(usd), 4) AS total_usd, ROUND(MIN(usd), 4) AS min_usd, ROUND(MAX(usd), 4) AS max_usd, ROUND(AVG(usd), 8) AS mean_usd, ROUND(SUM(usd * 0.5), 4) AS cpu_usd,
+           ROUND(SUM(ce * q) / NULLIF(SUM(CASE WHEN ce IS NOT NULL THEN q END), 0), 6) AS cpu_efficiency, ROUND(SUM(q), 4) AS ram_request_gb, ROUND(SUM(re * q) / SUM(q), 6) AS ram_efficiency FROM m GROUP BY date""",
 )
 def allocation_harvest(t):
-    rows = C.explode_allocations(_allocation_sets(t), "body", adjustments=["cpuCostAdjustment"])
-    out = rows.groupBy("subject").agg(
-        F.count(F.lit(1)).alias("n_workflows"),
-        F.sum("total_cost_usd").alias("total_cost_usd"),
-        (F.sum("cpu_cost_usd") / F.sum("total_cost_usd")).alias("cpu_share"),
-    )
-    return rounded(out, 4, cpu_share=6)
+    """Scalar fields of every member written as CSV and read back, then cost and efficiency per day."""
+    fields = ["start", "end", "minutes", "cpuCoreHours", "cpuCost", "cpuEfficiency", "ramByteHours", "ramByteRequestAverage", "ramCost", "ramEfficiency", "gpuCost", "totalCost"]
+    rows = AL.harvest(_pod_responses(t), "body", "pod", fields)
+    path = export_csv({"pods": rows}, scratch(t, "a44"))["pods"]
+    back = t.spark.read.schema(rows.schema).csv(path, header=True)
+    return rounded(AL.harvest_summary(back, ["date"]), 4, cpu_efficiency=6, ram_efficiency=6, mean_usd=8)
 
 
 @query(
