@@ -751,7 +751,7 @@ def match_report(t):
     """
     WITH m AS (SELECT strftime(l_shipdate, '%Y-%m-%d') AS date, l_extendedprice AS usd, l_quantity AS q, CASE WHEN l_linenumber <> 7 THEN l_discount END AS ce, l_tax AS re FROM lineitem)
     SELECT date, COUNT(*) AS n_members, ROUND(SUM(usd), 4) AS total_usd, ROUND(MIN(usd), 4) AS min_usd, ROUND(MAX(usd), 4) AS max_usd, ROUND(AVG(usd), 8) AS mean_usd, ROUND(SUM(usd * 0.5), 4) AS cpu_usd,
-           ROUND(SUM(ce * q) / NULLIF(SUM(CASE WHEN ce IS NOT NULL THEN q END), 0), 6) AS cpu_efficiency, ROUND(SUM(q), 4) AS ram_request_gb, ROUND(SUM(re * q) / SUM(q), 6) AS ram_efficiency FROM m GROUP BY date""",
+           ROUND(SUM(ce * q) / NULLIF(SUM(CASE WHEN ce IS NOT NULL THEN q END), 0), 12) AS cpu_efficiency, ROUND(SUM(q), 4) AS ram_request_gb, ROUND(SUM(re * q) / SUM(q), 12) AS ram_efficiency FROM m GROUP BY date""",
 )
 def allocation_harvest(t):
     """Scalar fields of every member written as CSV and read back, then cost and efficiency per day."""
@@ -759,7 +759,7 @@ def allocation_harvest(t):
     rows = AL.harvest(_pod_responses(t), "body", "pod", fields)
     path = export_csv({"pods": rows}, scratch(t, "a44"))["pods"]
     back = t.spark.read.schema(rows.schema).csv(path, header=True)
-    return rounded(AL.harvest_summary(back, ["date"]), 4, cpu_efficiency=6, ram_efficiency=6, mean_usd=8)
+    return rounded(AL.harvest_summary(back, ["date"]), 4, cpu_efficiency=12, ram_efficiency=12, mean_usd=8)
 
 
 @query(

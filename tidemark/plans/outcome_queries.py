@@ -6,8 +6,10 @@ from pyspark.sql import functions as F
 
 from tidemark.functions import predicates as P
 from tidemark.functions.columns import count_if, micros, version_at_least
+from tidemark.operators import inventory as IV
 from tidemark.operators import outcomes as O
 from tidemark.plans.registry import query, rounded
+from tidemark.sources.identifiers import identifying_headers, identifying_keys
 
 
 @query("p2_flagged_runs", "SELECT event_id, subject, session, metric FROM records WHERE metric > 20.0")
@@ -155,6 +157,39 @@ def identifying_fields(t):
     return found.groupBy("field").agg(F.count(F.lit(1)).alias("n"))
 
 
+@query(
+    "p14_nested_fields",
+    """
+    WITH d AS (SELECT l_orderkey AS o, l_linenumber AS n, l_partkey AS p FROM lineitem),
+    f AS (SELECT o, n, p, '$.study.series[1].header[0].' || CASE n % 3 WHEN 0 THEN 'Patient_Name' WHEN 1 THEN 'PATIENT ID' ELSE 'position' END AS path, CASE n % 3 WHEN 0 THEN 'PatientName' WHEN 1 THEN 'PatientID' END AS field FROM d
+          UNION ALL SELECT o, n, p, '$.accession-number', 'AccessionNumber' FROM d WHERE n = 2 UNION ALL SELECT o, n, p, '$.study.Patients_Age', 'PatientsAge' FROM d WHERE n > 4)
+    SELECT path, field, COUNT(*) AS n, COUNT(DISTINCT p) AS n_parts FROM f WHERE field IS NOT NULL GROUP BY ALL""",
+)
+def nested_fields(t):
+    """Field names four and more containers deep, beside others at the top; some documents hold none."""
+    n = F.col("l_linenumber")
+    deep = F.when(n % 3 == 0, "Patient_Name").when(n % 3 == 1, "PATIENT ID").otherwise("position")
+    series = F.array(F.lit("{}"), F.concat(F.lit('{"header": [{"'), deep, F.lit('": "x"}, 3], "note": null}')))
+    study = F.concat(F.lit('{"series": ['), F.array_join(series, ", "), F.lit("]"), F.when(n > 4, ', "Patients_Age": 7').otherwise(""), F.lit("}"))
+    body = F.concat(F.lit('{"study": '), study, F.when(n == 2, ', "accession-number": [1, [2]]').otherwise(""), F.lit("}"))
+    docs = t.lineitem.select("l_orderkey", "l_linenumber", "l_partkey", body.alias("body"))
+    found = identifying_keys(docs, ["l_orderkey", "l_linenumber", "l_partkey"], "body")
+    return found.groupBy("path", "field").agg(F.count(F.lit(1)).alias("n"), F.count_distinct("l_partkey").alias("n_parts"))
+
+
+@query(
+    "p14_table_headers",
+    """SELECT o_orderpriority AS unit, CASE WHEN o_orderstatus = 'F' THEN 'patients sex' ELSE 'Patient.Birth.Date' END AS "column", CASE WHEN o_orderstatus = 'F' THEN 'PatientsSex' ELSE 'PatientBirthDate' END AS field, COUNT(*) AS n
+       FROM orders WHERE o_orderstatus <> 'P' GROUP BY ALL""",
+)
+def table_headers(t):
+    """Header lines of tab-separated texts; a name in a later line is no column."""
+    name = F.when(F.col("o_orderstatus") == "F", "patients sex").when(F.col("o_orderstatus") == "O", "Patient.Birth.Date").otherwise("x")
+    text = F.concat(F.lit('run\t"'), name, F.lit('"\tvalue\r\n1\tPatientName\t2\n'))
+    found = identifying_headers(t.orders.select(F.col("o_orderpriority").alias("unit"), text.alias("text")), ["unit"], "text")
+    return found.groupBy("unit", "column", "field").agg(F.count(F.lit(1)).alias("n"))
+
+
 @query(
     "p14_identifying_words",
     """SELECT conv_id, turn, 2 + len(string_split(text, chr(10))) - 1 AS line_number, CASE WHEN turn % 2 = 0 THEN 'PatientsName' ELSE 'AccessionNumber' END AS field
@@ -571,6 +606,71 @@ def completion_inventory(t):
     return O.completion_inventory(listing, ["l_orderkey"], parts, {"func": 10})
 
 
+def _staged(t):
+    """(runs, listing, markers, sessions): line items as runs of the orders as sessions, with the files that steps have left so far."""
+    sub, ses = F.concat(F.lit("sub-"), F.col("l_orderkey") % 100), F.concat(F.lit("ses-"), F.col("l_orderkey"))
+    run = F.concat(F.lit("task-rest_run-0"), F.col("l_linenumber"))
+    rows = t.lineitem.withColumns({"subject": sub, "session": ses, "run": run})
+    prefix = F.concat_ws("_", "subject", "session", "run")
+
+    def key(folder: str, ending: str, *between):
+        return F.concat(F.lit(f"derivatives/{folder}/"), F.col("subject"), F.lit("/"), F.col("session"), F.lit("/"), *between, prefix, F.lit(ending))
+
+    files = F.array(
+        F.when(F.col("l_returnflag") != "A", key("registration", "_desc-bold2t1w_itk.txt", F.lit("bold_to_t1w_"), F.col("run"), F.lit("/"))),
+        F.when(F.col("l_linenumber") % 3 == 0, key("func", "_space-MNI152NLin2009cAsym_bold.tar.gz")),
+        F.when(F.col("l_discount") > 0.05, key("func_surf", "_desc-grayordcomponents_bold.tar.gz", F.lit("components/"))),
+        F.when(F.col("l_tax") > 0.05, key("func_surf", "_space-fsLR32k_bold.dtseries.nii", F.lit("fsLR32k/"))),
+        F.when(F.col("l_tax") < 0.02, key("func_surf", "_space-fsLR32k_desc-newmsm_bold.dtseries.nii", F.lit("fsLR32k/"))),
+        F.when(F.col("l_quantity") > 45, F.concat(F.lit("derivatives/registration/"), F.col("subject"), F.lit("/"), F.col("session"), F.lit("/t1w_to_mni/"), F.concat_ws("_", "subject", "session", F.lit("desc-t1w2mni_affine.mat")))),
+        F.concat(F.lit("derivatives/func/"), F.col("subject"), F.lit("/other_"), prefix, F.lit(".json")),
+    )
+    listing = rows.select(F.explode(F.filter(files, lambda f: f.isNotNull())).alias("path"))
+    kind = F.when(F.col("l_orderkey") % 10 == 3, "anat").otherwise("func-session")
+    markers = rows.groupBy("subject", "session", kind.alias("kind")).agg(F.collect_set(F.when(F.col("l_linenumber") % 2 == 0, F.col("run"))).alias("runs"))
+    sessions = rows.groupBy("subject", "session").agg((F.max("l_linenumber") > 2).alias("has_t1w"), F.first("l_orderkey").alias("order"))
+    return rows.select("subject", "session", "run"), listing, markers, sessions
+
+
+def _runs_sql(target: str, proof: str) -> str:
+    return f"""
+    SELECT 'sub-' || (l_orderkey % 100) AS subject, 'ses-' || l_orderkey AS session, 'task-rest_run-0' || l_linenumber AS run, BOOL_OR(l_returnflag <> 'A') AS b2t_exists,
+           BOOL_OR((l_linenumber % 2 = 0 AND l_orderkey % 10 <> 3) OR l_linenumber % 3 = 0) AS func_exists, BOOL_OR(l_discount > 0.05) AS components_exist, BOOL_OR({target}) AS surf_target_exists, BOOL_OR(l_discount > 0.05 OR {target}) AS surf_exists
+    FROM lineitem GROUP BY ALL"""
+
+
+@query("a40_run_inventory_fs", _runs_sql("(l_tax > 0.05 OR l_tax < 0.02)", "fs"))
+def run_inventory_fs(t):
+    """Marker list or legacy object, components or finished surface of either route, in one pass over the listing."""
+    runs, listing, markers, _ = _staged(t)
+    return IV.run_inventory(runs, listing, markers, "fs")
+
+
+@query("a40_run_inventory_newmsm", _runs_sql("l_tax < 0.02", "newmsm"))
+def run_inventory_newmsm(t):
+    """Only surfaces of the newMSM route count."""
+    runs, listing, markers, _ = _staged(t)
+    return IV.run_inventory(runs, listing, markers, "newmsm")
+
+
+@query(
+    "a40_session_inventory",
+    """
+    WITH s AS (SELECT l_orderkey AS o, MAX(l_linenumber) > 2 AS t1w, BOOL_OR(l_quantity > 45) AS mni FROM lineitem GROUP BY 1)
+    SELECT 'sub-' || (o % 100) AS subject, 'ses-' || o AS session, mni AS t1w_to_mni_exists, t1w AND o % 17 > 0 AS t1w_available, o % 17 = 0 AS excluded, CASE WHEN o % 9 = 0 THEN '' ELSE CAST(o % 9 AS VARCHAR) END AS nss_frames,
+           t1w AND o % 17 > 0 AND o % 4 <> 1 AS published, t1w AND o % 17 > 0 AND o % 4 = 1 AS rejected FROM s""",
+)
+def session_inventory(t):
+    """Candidates split into published and rejected ones; excluded sessions stay visible."""
+    _, listing, _, sessions = _staged(t)
+    order = F.col("order")
+    keys = sessions.select("subject", "session", "order")
+    lookup = keys.select("subject", "session", F.when(order % 9 == 0, "").otherwise((order % 9).cast("string")).alias("nss_frames"))
+    return IV.session_inventory(
+        sessions.drop("order"), listing, lookup, keys.filter(order % 4 != 1).select("subject", "session"), keys.filter(order % 17 == 0).select("subject", "session")
+    )
+
+
 @query(
     "a41_audit_rows",
     """SELECT subject, session, COUNT(*) AS n_rows, ROUND(SUM(total_cost_usd), 4) AS usd FROM pod_costs WHERE workflow_name LIKE '1%' AND workflow_name NOT LIKE '12%' GROUP BY ALL""",
