@@ -2,13 +2,14 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable, Iterator
 
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.session import cut_lineage
+from tidemark.session import checkpoint_dir, cut_lineage
 
 #: Rows of a key table (one id and one hash each) up to which it is broadcast; a larger one is joined by a shuffle.
 BROADCAST_ROWS = 500_000
@@ -17,7 +18,7 @@ BROADCAST_ROWS = 500_000
 WORD_CLASS = r"0-9A-Za-z\x{80}-\x{10FFFF}"
 WORD = rf"[{WORD_CLASS}]+"
 
-__all__ = ["BROADCAST_ROWS", "WORD", "WORD_CLASS", "ascii_lower", "cut_lineage", "map_texts", "measured", "row_view"]
+__all__ = ["BROADCAST_ROWS", "WORD", "WORD_CLASS", "ascii_lower", "cut_lineage", "map_texts", "measured", "row_view", "written"]
 
 
 def row_view(docs: DataFrame, id_col: str, text_col: str, **more: str) -> DataFrame:
@@ -32,6 +33,18 @@ def measured(df: DataFrame, rows: int = BROADCAST_ROWS) -> DataFrame:
     return F.broadcast(df) if df.limit(rows + 1).count() <= rows else df
 
 
+def written(df: DataFrame) -> DataFrame:
+    """`df` as a Parquet table in the shared checkpoint folder, read again.
+
+    For loops: a checkpoint hands the sort order and the constraints known of its rows on to the next plan, with every column
+    that was ever joined equal to them, and over some rounds of merge joins the driver plans for minutes. A table read
+    from files carries nothing but its rows."""
+    spark = df.sparkSession
+    path = f"{checkpoint_dir(spark).rstrip('/')}/table-{uuid.uuid4().hex}"
+    df.write.parquet(path)
+    return spark.read.schema(df.schema).parquet(path)
+
+
 def ascii_lower(text: Column) -> Column:
     """A-Z to lower case and nothing else; whole-ASCII texts take the fast way."""
     upper = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.llm.common import cut_lineage
+from tidemark.llm.common import written
 
 
 def components(edges: DataFrame, a: str = "a", b: str = "b") -> DataFrame:
@@ -14,12 +14,12 @@ def components(edges: DataFrame, a: str = "a", b: str = "b") -> DataFrame:
     Each round orders the nodes anew by a hash, points a node to the first among itself and its neighbours (partial
     aggregates, so a hub is no hot task), jumps twice along the pointers and contracts: edges between nodes that now have one
     label are gone, the others are merged. In a hashed order pointers form short chains, so a path of n nodes takes about
-    log n rounds, and a dense family of copies is one node after the first. Rows are cut with a reliable checkpoint per round
+    log n rounds, and a dense family of copies is one node after the first. Rows are cut as written tables in each round
     and nothing but the "edges left" bit reaches the driver. The joins ask for a merge: labels are neither small for sure
     nor worth a broadcast per round. No edges: no rows, and an edge from a node to itself is none.
     """
     left = edges.select(F.least(a, b).alias("u"), F.greatest(a, b).alias("v")).filter("u <> v").distinct()
-    left = cut_lineage(left)
+    left = written(left)
     labels, turn = None, 0
     while True:
         turn += 1
@@ -33,15 +33,15 @@ def components(edges: DataFrame, a: str = "a", b: str = "b") -> DataFrame:
         for _ in range(2):
             to = step.select(F.col("node").alias("at"), F.col("label").alias("next"))
             step = step.join(to.hint("merge"), F.col("label")["n"] == F.col("at")).select("node", F.least("label", "next").alias("label"))
-        step = cut_lineage(step.select("node", F.col("label")["n"].alias("label")))
+        step = written(step.select("node", F.col("label")["n"].alias("label")))
         to = step.select(F.col("node").alias("was"), F.col("label").alias("next"))
         if labels is None:
             labels = step
         else:
             labels = labels.join(to.hint("merge"), F.col("label") == F.col("was"), "left")
-            labels = cut_lineage(labels.select("node", F.coalesce("next", "label").alias("label")))
+            labels = written(labels.select("node", F.coalesce("next", "label").alias("label")))
         moved = left.join(to.hint("merge"), F.col("u") == F.col("was")).select(F.col("next").alias("x"), "v")
         moved = moved.join(to.hint("merge"), F.col("v") == F.col("was")).select("x", F.col("next").alias("y"))
-        left = cut_lineage(moved.filter("x <> y").select(F.least("x", "y").alias("u"), F.greatest("x", "y").alias("v")).distinct())
+        left = written(moved.filter("x <> y").select(F.least("x", "y").alias("u"), F.greatest("x", "y").alias("v")).distinct())
         if left.isEmpty():
             return labels

@@ -177,9 +177,11 @@ def train(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col:
     table = map_texts(sample, "features array<int>, amounts array<float>", work, ("_id", "label"), ("chars",))
     # a copied row of a document must not outgrow the bound
     table = table.groupBy("_id").agg(*(F.first(c).alias(c) for c in ("label", "features", "amounts")))
-    got = table.select("_id", "label", "features", "amounts").toArrow().sort_by("_id")
-    index = [np.asarray(x, dtype=np.int64) for x in got.column("features").to_pylist()]
-    value = [np.asarray(x, dtype=np.float64) for x in got.column("amounts").to_pylist()]
+    got = table.select("_id", "label", "features", "amounts").toArrow().sort_by("_id").combine_chunks()
+    # views of the Arrow buffers: no Python object per feature
+    features, amounts = (got.column(c).combine_chunks() for c in ("features", "amounts"))
+    ends = np.cumsum(features.value_lengths().to_numpy())[:-1] if got.num_rows else []
+    index, value = (np.split(x.flatten().to_numpy(), ends) if got.num_rows else [] for x in (features, amounts))
     return fit(list(zip(index, value, strict=True)), got.column("label").to_numpy().astype(float))
 
 

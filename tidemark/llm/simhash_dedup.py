@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import math
 from itertools import accumulate, combinations
 
 import numpy as np
@@ -10,7 +11,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from xxhash import xxh64_intdigest
 
-from tidemark.llm.common import cut_lineage, map_texts, measured, row_view
+from tidemark.llm.common import cut_lineage, map_texts, measured, row_view, written
 from tidemark.llm.components import components
 
 BITS = 64
@@ -156,12 +157,21 @@ def simhash_groups(
     )
 
 
-# -- groups at a similarity of shingle sets, exactly ---------------------------------------------------------------------
+# -- groups at a similarity of shingle sets --------------------------------------------------------------------------------
 
 #: Cells in which shingles are counted for the order of prefixes; a shared cell costs candidates, never a pair.
 SHINGLE_CELLS = 1 << 18
+#: Words of 64 bits in the sketch of a shingle set, and the multipliers that make their hashes from a shingle's.
+SKETCH = 4
+_MIX = (0x9E3779B97F4A7C15, 0xBF58476D1CE4E5B9, 0x94D049BB133111EB, 0xD6E8FEB86659FD93)
+#: Reference sketches that distances are tabulated to.
+REFERENCES = 24
+#: Deviations beyond the expected distance that the screens allow, and the size of sets under which no screen is asked.
+DEVIATIONS, SMALL_SET = 6.0, 64
 #: Rounds that compare neighbours only, before all pairs that are still in different groups.
 NEIGHBOUR_ROUNDS = 2
+#: Members of a shingle that one window or one cell of the last comparison takes.
+WINDOW_ROWS, BLOCK_ROWS = 4096, 256
 
 
 def shingle_set(text: bytes | None, size: int) -> np.ndarray:
@@ -179,110 +189,156 @@ def shingle_set(text: bytes | None, size: int) -> np.ndarray:
     return np.unique(hashes.view(np.int64))
 
 
+def sketch(grams: np.ndarray) -> np.ndarray:
+    """The SimHash of a set in SKETCH words: a bit is 1 if it is set in over half of the hashes."""
+    votes = np.zeros(64 * SKETCH, np.int64)
+    plain = grams.view(np.uint64)
+    for at in range(0, len(plain), 16_384):
+        part = plain[at : at + 16_384]
+        mixed = []
+        for m in _MIX[:SKETCH]:
+            x = (part ^ (part >> np.uint64(31))) * np.uint64(m)
+            mixed.append(x ^ (x >> np.uint64(29)))
+        votes += np.unpackbits(np.stack(mixed, axis=1).view(np.uint8), axis=1).sum(axis=0, dtype=np.int64)
+    return np.packbits(votes * 2 > len(grams)).view(np.int64)
+
+
+def widest(similarity: float) -> int:
+    """Differing bits that two sketches of sets of the similarity may have: the expected number of the angle between the sets, and
+    DEVIATIONS beyond it."""
+    bits = 64 * SKETCH
+    p = math.acos(2 * similarity / (1 + similarity)) / math.pi
+    return math.ceil(bits * p + DEVIATIONS * math.sqrt(bits * p * (1 - p)))
+
+
 def least_shared(similarity: float, total: Column) -> Column:
     """Shingles that two sets of `total` shingles together must share for a Jaccard similarity of `similarity`."""
     return F.ceil(total * (similarity / (1 + similarity)) - 1e-9)
 
 
-def shingle_prefixes(sets: DataFrame, similarity: float) -> DataFrame:
-    """(gram, node, at, n): of each set the rarest n - ceil(similarity * n) + 1 of its n shingles, with their places.
+def may_reach(a: Column, b: Column, similarity: float) -> Column:
+    """False only where the sizes, or the places of a shared prefix shingle, rule the similarity out. It is asked of each
+    shingle; the first one shared by a similar pair passes."""
+    sizes = F.least(a["n"], b["n"]) >= similarity * F.greatest(a["n"], b["n"]) - 1e-9
+    return sizes & (F.least(a["n"] - a["at"], b["n"] - b["at"]) >= least_shared(similarity, a["n"] + b["n"]))
 
-    Two sets of that similarity share a shingle of both prefixes under any order of all shingles. The order is by a count of
-    hashed cells, then by hash, so shingles of common passages come last and meet in few prefixes.
-    """
 
-    def count(batches):
-        total = np.zeros(SHINGLE_CELLS, np.int64)
+def _texts_to_nodes(view: DataFrame, size: int) -> DataFrame:
+    """One pass over the texts: (_id, key, node, n, sketch) per row, and at the end of each task (cell, times): how many
+    shingles fell into each cell."""
+    kind = view.schema["_id"].dataType.simpleString()
+    names = ["_id", "key", "node", "n", "sketch", "cell", "times"]
+
+    def run(batches):
+        total, id_type = np.zeros(SHINGLE_CELLS, np.int64), None
         for batch in batches:
-            total += np.bincount(batch.column("grams").flatten().to_numpy() & (SHINGLE_CELLS - 1), minlength=SHINGLE_CELLS)
+            id_type = batch.column("_id").type
+            for part in (batch.slice(at, 256) for at in range(0, batch.num_rows, 256)):
+                made = [shingle_set(t, size) for t in part.column("_text").to_pylist()]
+                for m in made:
+                    np.add.at(total, m & (SHINGLE_CELLS - 1), 1)
+                bits = np.concatenate([sketch(m) for m in made])
+                nothing = pa.nulls(len(made), pa.int64())
+                yield pa.RecordBatch.from_arrays(
+                    [part.column("_id"), part.column("key"), _nodes(made), pa.array([len(m) for m in made], pa.int32()),
+                     pa.ListArray.from_arrays(pa.array(np.arange(len(made) + 1) * SKETCH, pa.int32()), pa.array(bits)), nothing, nothing],
+                    names=names,
+                )
         hit = np.flatnonzero(total)
-        yield pa.RecordBatch.from_arrays([pa.array(hit), pa.array(total[hit])], names=["cell", "n"])
+        if len(hit):
+            n = len(hit)
+            empty = [pa.nulls(n, t) for t in (id_type, pa.int64(), pa.int64(), pa.int32(), pa.list_(pa.int64()))]
+            yield pa.RecordBatch.from_arrays([*empty, pa.array(hit), pa.array(total[hit])], names=names)
+
+    texts = view.select("_id", "key", F.col("_text").cast("binary").alias("_text"))
+    return texts.mapInArrow(run, f"_id {kind}, key bigint, node bigint, n int, sketch array<bigint>, cell bigint, times bigint")
+
 
-    cells = sets.select("grams").mapInArrow(count, "cell bigint, n bigint").groupBy("cell").agg(F.sum("n").alias("n")).toArrow()
-    often = np.zeros(SHINGLE_CELLS, np.int64)
-    often[cells.column("cell").to_numpy()] = cells.column("n").to_numpy()
+def _nodes(made: list[np.ndarray]) -> pa.Array:
+    """One number per set, the same for equal sets."""
+    return pa.array(np.array([xxh64_intdigest(m.tobytes(), 7) for m in made], np.uint64).view(np.int64))
+
+
+def _prefixes(view: DataFrame, size: int, similarity: float, often) -> DataFrame:
+    """(gram, node, at, n): of each set the rarest n - ceil(similarity * n) + 1 of its n shingles, with their places.
+
+    Two sets of that similarity share a shingle of both prefixes under any order of all shingles. The order is by the count of
+    their cells, then by hash, so shingles of common passages come last and meet in few prefixes."""
 
     def cut(batches):
+        counts = often.value
         for batch in batches:
             for part in (batch.slice(at, 256) for at in range(0, batch.num_rows, 256)):
-                grams, sizes = [], []
-                for scalar in part.column("grams"):
-                    held = scalar.values.to_numpy()
+                made = [shingle_set(t, size) for t in part.column("_text").to_pylist()]
+                grams = []
+                for held in made:
                     kept = min(len(held), len(held) - int(np.ceil(similarity * len(held) - 1e-9)) + 1)
-                    grams.append(held[np.lexsort((held, often[held & (SHINGLE_CELLS - 1)]))[:kept]])
-                    sizes.append(len(held))
-                lengths = np.fromiter(map(len, grams), np.int64, len(grams))
-                places = [np.arange(n, dtype=np.int32) for n in lengths]
-                made = {
+                    grams.append(held[np.lexsort((held, counts[held & (SHINGLE_CELLS - 1)]))[:kept]])
+                lengths = np.array([len(g) for g in grams], np.int64)
+                columns = {
                     "gram": np.concatenate(grams),
-                    "node": np.repeat(part.column("node").to_numpy(), lengths),
-                    "at": np.concatenate(places),
-                    "n": np.repeat(np.array(sizes, np.int32), lengths),
+                    "node": np.repeat(_nodes(made).to_numpy(), lengths),
+                    "at": np.concatenate([np.arange(n, dtype=np.int32) for n in lengths]),
+                    "n": np.repeat(np.array([len(m) for m in made], np.int32), lengths),
                 }
-                yield pa.RecordBatch.from_arrays([pa.array(v) for v in made.values()], names=list(made))
+                yield pa.RecordBatch.from_arrays([pa.array(v) for v in columns.values()], names=list(columns))
 
-    return sets.select("node", "grams").mapInArrow(cut, "gram bigint, node bigint, at int, n int")
+    rows = view.select(F.col("_text").cast("binary").alias("_text")).mapInArrow(cut, "gram bigint, node bigint, at int, n int")
+    # copies are one node: they are merged before the shuffle
+    return rows.groupBy("gram", "node").agg(F.min("at").alias("at"), F.min("n").alias("n"))
 
 
-def may_reach(a: Column, b: Column, similarity: float) -> Column:
-    """False only where the sizes, or the places of a shared prefix shingle, rule the similarity out. It is asked of each
-    shingle; the first one shared by a similar pair passes."""
-    sizes = F.least(a["n"], b["n"]) >= similarity * F.greatest(a["n"], b["n"]) - 1e-9
-    return sizes & (F.least(a["n"] - a["at"], b["n"] - b["at"]) >= least_shared(similarity, a["n"] + b["n"]))
+def distance_table(nodes: DataFrame, references: list[list[int]]) -> DataFrame:
+    """`nodes` (node, sketch, ...) with `coords` ARRAY<SMALLINT>: the Hamming distances to all reference sketches."""
+    made = [_differing(F.col("sketch"), F.array(*(F.lit(w).cast("long") for w in r))).cast("smallint") for r in references]
+    return nodes.withColumn("coords", F.array(*made) if made else F.array().cast("array<smallint>"))
+
+
+def _differing(a: Column, b: Column) -> Column:
+    return sum((F.bit_count(a[i].bitwiseXOR(b[i])) for i in range(1, SKETCH)), F.bit_count(a[0].bitwiseXOR(b[0])))
+
+
+def screened(pairs: DataFrame, table: DataFrame, similarity: float) -> DataFrame:
+    """Those of `pairs` (a, b) whose coordinates differ nowhere by more than the allowed distance, and whose sketches do not either.
+
+    |d(a, r) - d(b, r)| <= d(a, b) for every reference r, so the first test discards nothing that the second would keep. Sets too
+    small for a sketch to be near its expectation pass."""
+    one, two = (table.select(F.col("node").alias(e), *(F.col(c).alias(f"{e}_{c}") for c in ("coords", "sketch", "n"))).hint("merge") for e in "ab")
+    met = pairs.join(one, "a").join(two, "b")
+    apart = F.array_max(F.zip_with("a_coords", "b_coords", lambda x, y: F.abs(x - y)))
+    near = (F.coalesce(apart, F.lit(0)) <= widest(similarity)) & (_differing(F.col("a_sketch"), F.col("b_sketch")) <= widest(similarity))
+    return met.filter((F.least("a_n", "b_n") < SMALL_SET) | near).select("a", "b")
 
 
-def similar_pairs(pairs: DataFrame, reps: DataFrame, similarity: float) -> DataFrame:
+def similar_pairs(pairs: DataFrame, sets: DataFrame, similarity: float) -> DataFrame:
     """Those of `pairs` (a, b) whose shingle sets have the similarity, counted on the sets themselves."""
-    one, two = (reps.select(F.col("node").alias(e), F.col("grams").alias(f"{e}_grams")).hint("merge") for e in "ab")
-    met = pairs.distinct().join(one, "a").join(two, "b")
+    one, two = (sets.select(F.col("node").alias(e), F.col("grams").alias(f"{e}_grams")).hint("merge") for e in "ab")
+    met = pairs.join(one, "a").join(two, "b")
     shared = F.size(F.array_intersect("a_grams", "b_grams"))
     return met.filter(shared >= least_shared(similarity, F.size("a_grams") + F.size("b_grams"))).select("a", "b")
 
 
-def similar_components(sets: DataFrame, similarity: float) -> DataFrame:
-    """(node, label) of the nodes linked to another one: components of "Jaccard similarity of `similarity` or more".
+def _neighbours(left: DataFrame, turn: int, similarity: float) -> DataFrame:
+    """Pairs next to each other among the members of a shingle: by size, then in hashed orders. The members of a frequent
+    shingle are spread over windows by another hash."""
+    spread = F.pmod(F.xxhash64("node", F.lit(turn + 100)), F.ceil(F.col("members") / WINDOW_ROWS))
+    order = [F.col("n"), F.col("node")] if turn == 0 else [F.xxhash64("node", F.lit(turn))]
+    one = F.struct("node", "at", "n", "label")
+    after = F.lead(one).over(Window.partitionBy("gram", spread).orderBy(*order))
+    both = left.select(one.alias("x"), after.alias("y")).filter("y is not null and x.label <> y.label")
+    return both.filter(may_reach(F.col("x"), F.col("y"), similarity))
 
-    Candidates are the pairs that share a prefix shingle. Rounds first verify neighbours in an order by size, then in hashed
-    orders, which joins most of a family at a cost in proportion to its size; pairs inside a component need no
-    comparison. Last, every candidate pair that still is in two components is verified: none is lost or capped.
 
-    `sets` (node, grams), equal ones may repeat, is read anew for counts, prefixes and the sets of candidates: making
-    it again costs less than a table of all shingles on disk.
-    """
-    prefixes = shingle_prefixes(sets, similarity).repartition("gram").dropDuplicates(["gram", "node"])
-    prefixes = prefixes.withColumn("members", F.count("*").over(Window.partitionBy("gram"))).filter("members > 1")
-    left = cut_lineage(prefixes.select("gram", "node", "at", "n", F.col("node").alias("label")))
-    reps = sets.join(measured(left.select("node").distinct()), "node", "left_semi")
-    reps = cut_lineage(reps.groupBy("node").agg(F.first("grams").alias("grams")))
-    links, labels = None, None
-    for turn in range(NEIGHBOUR_ROUNDS + 1):
-        one = F.struct("node", "at", "n", "label").alias("x")
-        if turn < NEIGHBOUR_ROUNDS:
-            order = [F.col("n"), F.col("node")] if turn == 0 else [F.xxhash64("node", F.lit(turn))]
-            after = F.lead(F.struct("node", "at", "n", "label")).over(Window.partitionBy("gram").orderBy(*order)).alias("y")
-            both = left.select(one, after).filter("y is not null and x.label <> y.label")
-            both = both.filter(may_reach(F.col("x"), F.col("y"), similarity))
-        else:
-            sides = left.groupBy("gram", "label").agg(F.collect_list(F.struct("node", "at", "n")).alias("held"))
-            first, second = (sides.select("gram", F.col("label").alias(f"l{e}"), F.col("held").alias(f"h{e}")) for e in "xy")
-            met = first.join(second.hint("merge"), "gram").filter("lx < ly")
-            met = met.select("hy", F.explode("hx").alias("x"))
-            reached = F.filter("hy", lambda y: may_reach(F.col("x"), y, similarity))
-            both = met.select("x", F.explode(reached).alias("y"))
-        pairs = both.select(F.least("x.node", "y.node").alias("a"), F.greatest("x.node", "y.node").alias("b"))
-        new = cut_lineage(similar_pairs(pairs, reps, similarity))
-        if new.isEmpty() and labels is not None:
-            if turn == NEIGHBOUR_ROUNDS:
-                return labels.withColumnRenamed("member", "node")
-            continue
-        links = new if links is None else links.unionByName(new)
-        labels = components(links).withColumnRenamed("node", "member")
-        if turn == NEIGHBOUR_ROUNDS:
-            return labels.withColumnRenamed("member", "node")
-        named = left.drop("label").join(labels.hint("merge"), F.col("node") == F.col("member"), "left")
-        named = cut_lineage(named.select("gram", "node", "at", "n", F.coalesce("label", "node").alias("label")))
-        open_ = named.groupBy("gram").agg(F.min("label").alias("low"), F.max("label").alias("high")).filter("low <> high").select("gram")
-        left = cut_lineage(named.join(open_.hint("merge"), "gram"))
+def _all_pairs(left: DataFrame, similarity: float) -> DataFrame:
+    """All pairs of members of a shingle that are in different groups. A frequent shingle is a square of cells of BLOCK_ROWS by
+    BLOCK_ROWS members, each a join key of its own, so no task takes all its pairs."""
+    blocks = F.ceil(F.col("members") / BLOCK_ROWS)
+    mine = F.pmod(F.xxhash64("node", F.lit(77)), blocks)
+    every = F.sequence(F.lit(0).cast("long"), blocks.cast("long") - 1)
+    base = left.select("gram", F.struct("node", "at", "n", "label").alias("x"), mine.alias("own"), F.explode(every).alias("other"))
+    rows, columns = (base.select("gram", F.col("x").alias(e), F.col(a).alias("i"), F.col(b).alias("j")) for e, a, b in (("x", "own", "other"), ("y", "other", "own")))
+    both = rows.join(columns.hint("merge"), ["gram", "i", "j"]).filter("x.node < y.node and x.label <> y.label")
+    return both.filter(may_reach(F.col("x"), F.col("y"), similarity))
 
 
 def near_groups(
@@ -290,28 +346,74 @@ def near_groups(
 ) -> DataFrame:
     """(_id, key, winner STRUCT<_id, key>), one row per row of `docs`: groups of texts linked at `similarity` and more.
 
-    The similarity is the Jaccard similarity of the sets of `size`-word shingles, counted exactly (on 64-bit hashes), and every pair of that
-    similarity is in one group, see :func:`similar_components`. Texts with equal sets are one node. The winner is
-    the least (id, key) of the group; `key` is a hash of the text.
+    The similarity is the Jaccard similarity of the sets of `size`-word shingles. Candidates share one of their rarest shingles
+    (:func:`_prefixes`), which no pair of the similarity fails to do. A pair is discarded where the distances of its sketches to
+    REFERENCES reference sketches, a stored table, differ too much (:func:`screened`); survivors are counted on the sets
+    themselves. The screens lose a pair of the similarity with a chance of about 1e-9 and keep all pairs of small sets.
+
+    Texts with equal sets are one node. Rounds compare neighbours first, which joins most of a family at a cost in
+    proportion to its size; pairs inside a group need no comparison. Last, every candidate pair still in two groups is compared,
+    so no link is lost or capped; a family of which most pairs are candidates under the similarity costs its pairs. The
+    winner is the least (id, key) of the group; `key` is a 64-bit hash of the text.
 
     Null or wordless texts are one group. No rows: no rows.
     """
+    spark = docs.sparkSession
     view = row_view(docs, id_col, text_col).withColumn("key", F.xxhash64("_text"))
+    first = written(_texts_to_nodes(view, size))
+    rows = first.filter("cell is null").select("_id", "key", "node", "n", "sketch")
+    cells = first.filter("cell is not null").groupBy("cell").agg(F.sum("times").alias("times")).toArrow()
+    counts = np.zeros(SHINGLE_CELLS, np.int64)
+    counts[cells.column("cell").to_numpy()] = cells.column("times").to_numpy()
+    prefixes = written(_prefixes(view, size, similarity, spark.sparkContext.broadcast(counts)))
+    shared = prefixes.groupBy("gram").agg(F.count("*").alias("members")).filter("members > 1")
+    left = written(prefixes.join(shared.hint("merge"), "gram").withColumn("label", F.col("node")))
+    reps = written(
+        rows.groupBy("node").agg(F.min(F.struct("_id", "key")).alias("least"), F.first("n").alias("n"), F.first("sketch").alias("sketch"))
+    )
+    candidates = reps.join(left.select("node").distinct().hint("merge"), "node", "left_semi")
+    references = [r["sketch"] for r in candidates.orderBy(F.xxhash64("node"), "node").limit(REFERENCES).select("sketch").collect()]
+    table = written(distance_table(candidates, references))
+    sets = _sets_of(view, table, size)
+    labels = table.select("node", F.col("node").alias("label"))
+    for turn in range(NEIGHBOUR_ROUNDS + 1):
+        last = turn == NEIGHBOUR_ROUNDS
+        both = _all_pairs(left, similarity) if last else _neighbours(left, turn, similarity)
+        pairs = both.select(F.least("x.node", "y.node").alias("a"), F.greatest("x.node", "y.node").alias("b")).distinct()
+        links = written(similar_pairs(screened(pairs, table, similarity), sets, similarity))
+        if links.isEmpty():
+            continue
+        # only what is new: links between groups, and the groups that they join
+        ends = links.join(labels.select(F.col("node").alias("a"), F.col("label").alias("u")).hint("merge"), "a")
+        ends = ends.join(labels.select(F.col("node").alias("b"), F.col("label").alias("v")).hint("merge"), "b")
+        joined = components(ends.select("u", "v"), "u", "v").select(F.col("node").alias("was"), F.col("label").alias("now"))
+        labels = _renamed(labels, joined)
+        if not last:
+            left = _renamed(left, joined)
+            open_ = left.groupBy("gram").agg(F.min("label").alias("low"), F.max("label").alias("high")).filter("low <> high").select("gram")
+            left = written(left.join(open_.hint("merge"), "gram"))
+    labels = labels.select(F.col("node").alias("member"), "label")
+    linked = reps.join(labels.hint("merge"), F.col("node") == F.col("member"), "left").select("node", "least", F.coalesce("label", "node").alias("label"))
+    winners = linked.groupBy("label").agg(F.min("least").alias("winner"))
+    named = written(linked.join(winners.hint("merge"), "label").select("node", "winner"))
+    return rows.select("_id", "key", "node").join(named.hint("merge"), "node").select("_id", "key", "winner")
+
+
+def _renamed(rows: DataFrame, joined: DataFrame) -> DataFrame:
+    """`rows` with `label` replaced where `joined` (was, now) has another."""
+    met = rows.join(joined.hint("merge"), F.col("label") == F.col("was"), "left")
+    return written(met.withColumn("label", F.coalesce("now", "label")).select(*rows.columns))
 
-    def nodes(made):
-        return pa.array(np.array([xxh64_intdigest(m.tobytes(), 7) for m in made], np.uint64).view(np.int64))
 
-    def with_sets(texts, _):
+def _sets_of(view: DataFrame, table: DataFrame, size: int) -> DataFrame:
+    """(node, grams) of the nodes of `table`, made from the text of one row of each."""
+    wanted = measured(table.select(F.col("least._id").alias("least_id"), F.col("least.key").alias("least_key")))
+    texts = view.join(wanted, (F.col("key") == F.col("least_key")) & F.col("_id").eqNullSafe(F.col("least_id")), "left_semi")
+
+    def work(texts, _):
         made = [shingle_set(t, size) for t in texts]
         offsets = np.concatenate(([0], np.cumsum([len(m) for m in made]))).astype(np.int32)
-        return {"node": nodes(made), "grams": pa.ListArray.from_arrays(pa.array(offsets), pa.array(np.concatenate(made)))}
+        return {"node": _nodes(made), "grams": pa.ListArray.from_arrays(pa.array(offsets), pa.array(np.concatenate(made)))}
 
-    rows = map_texts(view, "node bigint", lambda texts, _: {"node": nodes([shingle_set(t, size) for t in texts])}, ("_id", "key"))
-    rows = cut_lineage(rows)
-    reps = cut_lineage(rows.groupBy("node").agg(F.min(F.struct("_id", "key")).alias("least")))
-    sets = map_texts(view, "node bigint, grams array<bigint>", with_sets, ())
-    labels = similar_components(sets, similarity).withColumnRenamed("node", "member")
-    linked = reps.join(labels.hint("merge"), F.col("node") == F.col("member"), "left").select("node", "least", F.coalesce("label", "node").alias("label"))
-    winners = linked.groupBy("label").agg(F.min("least").alias("winner"))
-    named = linked.join(winners.hint("merge"), "label").select("node", "winner")
-    return rows.select("_id", "key", "node").join(named.hint("merge"), "node").select("_id", "key", "winner")
+    made = map_texts(texts, "node bigint, grams array<bigint>", work, ())
+    return written(made.groupBy("node").agg(F.first("grams").alias("grams")))
