@@ -170,6 +170,8 @@ REFERENCES = 24
 DEVIATIONS, SMALL_SET = 6.0, 64
 #: Rounds that compare neighbours only, before all pairs that are still in different groups.
 NEIGHBOUR_ROUNDS = 2
+#: Nodes that a task remembers in order to write the prefix of copies once.
+SEEN_NODES = 200_000
 #: Members of a shingle that one window or one cell of the last comparison takes.
 WINDOW_ROWS, BLOCK_ROWS = 4096, 256
 
@@ -266,10 +268,19 @@ def _prefixes(view: DataFrame, size: int, similarity: float, often) -> DataFrame
     their cells, then by hash, so shingles of common passages come last and meet in few prefixes."""
 
     def cut(batches):
-        counts = often.value
+        counts, seen = often.value, set()
         for batch in batches:
             for part in (batch.slice(at, 256) for at in range(0, batch.num_rows, 256)):
-                made = [shingle_set(t, size) for t in part.column("_text").to_pylist()]
+                made = []
+                for t in part.column("_text").to_pylist():
+                    held = shingle_set(t, size)
+                    name = xxh64_intdigest(held.tobytes(), 7)
+                    if name not in seen:  # copies in one task are one node
+                        made.append(held)
+                        if len(seen) < SEEN_NODES:
+                            seen.add(name)
+                if not made:
+                    continue
                 grams = []
                 for held in made:
                     kept = min(len(held), len(held) - int(np.ceil(similarity * len(held) - 1e-9)) + 1)
@@ -283,9 +294,7 @@ def _prefixes(view: DataFrame, size: int, similarity: float, often) -> DataFrame
                 }
                 yield pa.RecordBatch.from_arrays([pa.array(v) for v in columns.values()], names=list(columns))
 
-    rows = view.select(F.col("_text").cast("binary").alias("_text")).mapInArrow(cut, "gram bigint, node bigint, at int, n int")
-    # copies are one node: they are merged before the shuffle
-    return rows.groupBy("gram", "node").agg(F.min("at").alias("at"), F.min("n").alias("n"))
+    return view.select(F.col("_text").cast("binary").alias("_text")).mapInArrow(cut, "gram bigint, node bigint, at int, n int")
 
 
 def distance_table(nodes: DataFrame, references: list[list[int]]) -> DataFrame:
@@ -310,12 +319,30 @@ def screened(pairs: DataFrame, table: DataFrame, similarity: float) -> DataFrame
     return met.filter((F.least("a_n", "b_n") < SMALL_SET) | near).select("a", "b")
 
 
-def similar_pairs(pairs: DataFrame, sets: DataFrame, similarity: float) -> DataFrame:
-    """Those of `pairs` (a, b) whose shingle sets have the similarity, counted on the sets themselves."""
-    one, two = (sets.select(F.col("node").alias(e), F.col("grams").alias(f"{e}_grams")).hint("merge") for e in "ab")
-    met = pairs.join(one, "a").join(two, "b")
-    shared = F.size(F.array_intersect("a_grams", "b_grams"))
-    return met.filter(shared >= least_shared(similarity, F.size("a_grams") + F.size("b_grams"))).select("a", "b")
+def similar_pairs(pairs: DataFrame, table: DataFrame, view: DataFrame, size: int, similarity: float) -> DataFrame:
+    """Those of `pairs` (a, b) whose shingle sets have the similarity, counted on the sets themselves.
+
+    Sets are made anew from the texts of the nodes that stand in a pair, and only they are shuffled, to their pair. They travel as
+    32 bits a shingle, so a count may be off by one with a chance of about 1e-4 a pair."""
+    pair = F.struct("a", "b").alias("pair")
+    ends = pairs.select(F.col("a").alias("node"), pair, F.lit(True).alias("first")).unionByName(pairs.select(F.col("b").alias("node"), pair, F.lit(False).alias("first")))
+    wanted = table.join(ends.select("node").distinct().hint("merge"), "node", "left_semi")
+    wanted = measured(wanted.select(F.col("least._id").alias("least_id"), F.col("least.key").alias("least_key")))
+    texts = view.join(wanted, (F.col("key") == F.col("least_key")) & F.col("_id").eqNullSafe(F.col("least_id")), "left_semi")
+
+    def work(texts, _):
+        made = [shingle_set(t, size) for t in texts]
+        offsets = np.concatenate(([0], np.cumsum([len(m) for m in made]))).astype(np.int32)
+        short = np.concatenate(made).astype(np.int32)
+        return {"node": _nodes(made), "grams": pa.ListArray.from_arrays(pa.array(offsets), pa.array(short))}
+
+    sets = map_texts(texts, "node bigint, grams array<int>", work, ())
+    met = sets.join(measured(ends), "node")
+    both = met.groupBy("pair").agg(
+        F.first(F.when(F.col("first"), F.col("grams")), ignorenulls=True).alias("x"), F.first(F.when(~F.col("first"), F.col("grams")), ignorenulls=True).alias("y")
+    )
+    shared = F.size(F.array_intersect("x", "y"))
+    return both.filter(shared >= least_shared(similarity, F.size("x") + F.size("y"))).select("pair.*")
 
 
 def _neighbours(left: DataFrame, turn: int, similarity: float) -> DataFrame:
@@ -366,21 +393,26 @@ def near_groups(
     counts = np.zeros(SHINGLE_CELLS, np.int64)
     counts[cells.column("cell").to_numpy()] = cells.column("times").to_numpy()
     prefixes = written(_prefixes(view, size, similarity, spark.sparkContext.broadcast(counts)))
-    shared = prefixes.groupBy("gram").agg(F.count("*").alias("members")).filter("members > 1")
-    left = written(prefixes.join(shared.hint("merge"), "gram").withColumn("label", F.col("node")))
+    # most shingles have one node; the others are told by its least and greatest, partial sums that need no list of nodes
+    ends = prefixes.groupBy("gram").agg(F.min("node").alias("low"), F.max("node").alias("high"))
+    shared = written(ends.filter("low <> high").select("gram"))
+    members = prefixes.join(measured(shared), "gram").groupBy("gram", "node").agg(F.min("at").alias("at"), F.min("n").alias("n"))
+    members = written(members.withColumn("label", F.col("node")))
+    sizes = members.groupBy("gram").agg(F.count("*").alias("members"))
+    left = written(members.join(sizes.hint("merge"), "gram"))
     reps = written(
         rows.groupBy("node").agg(F.min(F.struct("_id", "key")).alias("least"), F.first("n").alias("n"), F.first("sketch").alias("sketch"))
     )
     candidates = reps.join(left.select("node").distinct().hint("merge"), "node", "left_semi")
     references = [r["sketch"] for r in candidates.orderBy(F.xxhash64("node"), "node").limit(REFERENCES).select("sketch").collect()]
     table = written(distance_table(candidates, references))
-    sets = _sets_of(view, table, size)
     labels = table.select("node", F.col("node").alias("label"))
     for turn in range(NEIGHBOUR_ROUNDS + 1):
         last = turn == NEIGHBOUR_ROUNDS
         both = _all_pairs(left, similarity) if last else _neighbours(left, turn, similarity)
         pairs = both.select(F.least("x.node", "y.node").alias("a"), F.greatest("x.node", "y.node").alias("b")).distinct()
-        links = written(similar_pairs(screened(pairs, table, similarity), sets, similarity))
+        pairs = written(screened(pairs, table, similarity))
+        links = written(similar_pairs(pairs, table, view, size, similarity))
         if links.isEmpty():
             continue
         # only what is new: links between groups, and the groups that they join
@@ -403,17 +435,3 @@ def _renamed(rows: DataFrame, joined: DataFrame) -> DataFrame:
     """`rows` with `label` replaced where `joined` (was, now) has another."""
     met = rows.join(joined.hint("merge"), F.col("label") == F.col("was"), "left")
     return written(met.withColumn("label", F.coalesce("now", "label")).select(*rows.columns))
-
-
-def _sets_of(view: DataFrame, table: DataFrame, size: int) -> DataFrame:
-    """(node, grams) of the nodes of `table`, made from the text of one row of each."""
-    wanted = measured(table.select(F.col("least._id").alias("least_id"), F.col("least.key").alias("least_key")))
-    texts = view.join(wanted, (F.col("key") == F.col("least_key")) & F.col("_id").eqNullSafe(F.col("least_id")), "left_semi")
-
-    def work(texts, _):
-        made = [shingle_set(t, size) for t in texts]
-        offsets = np.concatenate(([0], np.cumsum([len(m) for m in made]))).astype(np.int32)
-        return {"node": _nodes(made), "grams": pa.ListArray.from_arrays(pa.array(offsets), pa.array(np.concatenate(made)))}
-
-    made = map_texts(texts, "node bigint, grams array<bigint>", work, ())
-    return written(made.groupBy("node").agg(F.first("grams").alias("grams")))
