@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-import math
-
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -19,21 +17,24 @@ BASE = tuple(f[0] for f in FORMS)
 TOKEN = r"[A-Za-z0-9+/_=-]{20,}"
 QUICK = r"(?i:password|passwd|secret|token|api_?key)|" + TOKEN
 
-#: Inferred encodings, smallest alphabet first: kind, pattern, symbols, and how much likelier than under a uniform draw two
-#: symbols of ordinary writing in that alphabet are equal. Model values of this method.
+#: Inferred encodings, smallest alphabet first: kind, pattern, and the share of steps at which ordinary writing in it goes over
+#: from letters to digits, back, or to another capitalised word. Model values of this method, like those below.
 ENCODINGS = (
-    ("random_hex", "^([0-9a-f]+|[0-9A-F]+)$", 16, 3.0),
-    ("random_letters", "^([a-z]+|[A-Z]+)$", 26, 1.75),
-    ("random_base32", "^[A-Z2-7]+=*$", 32, 2.1),
-    ("random_base36", "^([a-z0-9]+|[A-Z0-9]+)$", 36, 2.35),
-    ("random_base62", "^[A-Za-z0-9]+$", 62, 4.0),
-    ("random_base64", "^", 64, 4.2),
+    ("random_hex", "^([0-9a-f]+|[0-9A-F]+)$", 0.05),
+    ("random_letters", "^([a-z]+|[A-Z]+)$", 0.05),
+    ("random_base32", "^[A-Z2-7]+=*$", 0.05),
+    ("random_base36", "^([a-z0-9]+|[A-Z0-9]+)$", 0.05),
+    ("random_base62", "^[A-Za-z0-9]+$", 0.08),
+    ("random_base64", "^", 0.08),
 )
-ALPHABET = "ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789+/-_="
+SIGNS = "ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789"
+#: Ordinary writing: chance that two symbols are equal and that three are, and that a letter is followed by one of the other
+#: kind, vowel or consonant.
+EQUAL, EQUAL_THREE, ALTERNATES = 0.065, 0.0055, 0.6
 #: Lower ends of the length classes; each is a family of its own in the false-discovery control.
 LENGTHS = (20, 28, 40, 64, 128)
-#: Cells of the normal scale on which p-values are counted: CELL wide, from 0 down to -CELLS * CELL.
-CELL, CELLS = 0.05, 400
+#: Cells of the logarithmic scale on which p-values are counted: CELL decades wide.
+CELL, CELLS = 0.05, 1200
 
 
 def pieces_of(text: Column, pattern: str, group: int) -> Column:
@@ -64,55 +65,58 @@ def places(view: DataFrame) -> DataFrame:
 
 def encoding_of(token: Column) -> Column:
     """Number of the smallest encoding that holds the token."""
-    return F.coalesce(*(F.when(token.rlike(p), F.lit(n)) for n, (_, p, _, _) in enumerate(ENCODINGS)))
+    return F.coalesce(*(F.when(token.rlike(p), F.lit(n)) for n, (_, p, _) in enumerate(ENCODINGS)))
 
 
 def by_encoding(column: str, values: list[float]) -> Column:
     return F.element_at(F.array(*(F.lit(float(v)) for v in values)), F.col(column) + 1)
 
 
-def battery(tokens: DataFrame) -> DataFrame:
-    """`tokens` (with `hit`) and `encoding`, `uniform`, `runs`, `serial`, `z`.
+def _divergence(share: Column, model: Column) -> Column:
+    """Kullback-Leibler divergence of two chances: exp(-n times it) bounds the tail of n trials (Chernoff)."""
+    yes = F.when(share > 0, share * F.log(share / model)).otherwise(0.0)
+    return yes + F.when(share < 1, (1 - share) * F.log((1 - share) / (1 - model))).otherwise(0.0)
+
 
-    uniform: standardised chi-squared of the symbol counts against a uniform draw from the encoding's alphabet; runs: of the
-    number of runs above and below the mean symbol; serial: of the lag-one correlation. All three are about standard normal
-    for random symbols. Their sum of squares (chi-squared only where it is too large) is compared with what ordinary writing
-    of that length would give: z is the normal score of seeing a token this even if it were writing.
+def battery(tokens: DataFrame) -> DataFrame:
+    """`tokens` (with `hit`) and `encoding`, `uniform`, `runs`, `serial`, `p`.
+
+    Each test asks how likely ordinary writing, words and numbers joined in the inferred encoding, is to look as random as the
+    token; `uniform`, `runs` and `serial` are natural logarithms of bounds of these p-values, 0 where it looks like writing.
+    uniform: symbols are as evenly used as by a uniform draw (pairs of equal symbols, which is the chi-squared statistic up to
+    constants, against those of writing). runs: runs of digits, small and capital letters are short. serial: vowels and consonants
+    do not alternate at lag one. `p` is Fisher's combination of the three.
+    Signs that join words (+/_=-) are no symbols. All counts are of one token, so the tests hold at any length.
     """
-    n = F.length("hit").cast("double")
-    counted = tokens.withColumn("encoding", encoding_of(F.col("hit"))).withColumn("len", n)
+    core = F.translate("hit", "+/_=-", "")
+    counted = tokens.withColumn("encoding", encoding_of(F.col("hit"))).withColumn("core", core).withColumn("n", F.length("core").cast("double"))
     squares = None
-    for c in ALPHABET:
-        times = F.col("len") - F.length(F.replace("hit", F.lit(c), F.lit("")))
+    for c in SIGNS:
+        times = F.col("n") - F.length(F.replace("core", F.lit(c), F.lit("")))
         squares = times * times if squares is None else squares + times * times
-    counted = counted.withColumn("k", by_encoding("encoding", [e[2] for e in ENCODINGS]))
-    chi = F.col("k") / F.col("len") * squares - F.col("len")
-    spread = F.sqrt(2 * (F.col("k") - 1) * (F.col("len") - 1) / F.col("len"))
-    counted = counted.withColumn("uniform", (chi - (F.col("k") - 1)) / spread)
-    codes = F.expr(f"transform(filter(split(hit, ''), c -> c <> ''), c -> cast(instr('{ALPHABET}', c) as double))")
-    counted = counted.withColumn("codes", codes).withColumn(
-        "mean", F.aggregate("codes", F.lit(0.0), lambda a, x: a + x) / F.col("len")
-    )
-    counted = counted.withColumn("codes", F.transform("codes", lambda x: x - F.col("mean")))
-    later = F.slice("codes", 2, F.size("codes"))
-    earlier = F.slice("codes", 1, F.size("codes") - 1)
-    steps = F.zip_with(earlier, later, lambda a, b: F.struct((a * b).alias("p"), F.when((a > 0) != (b > 0), 1.0).otherwise(0.0).alias("r")))
-    none = F.struct(F.lit(0.0).alias("p"), F.lit(0.0).alias("r"))
-    counted = counted.withColumn(
-        "steps", F.aggregate(steps, none, lambda a, x: F.struct((a["p"] + x["p"]).alias("p"), (a["r"] + x["r"]).alias("r")))
-    )
-    counted = counted.withColumn("power", F.aggregate("codes", F.lit(0.0), lambda a, x: a + x * x))
-    counted = counted.withColumn("above", F.aggregate("codes", F.lit(0.0), lambda a, x: a + F.when(x > 0, 1.0).otherwise(0.0)))
-    expected = 2 * F.col("above") * (F.col("len") - F.col("above")) / F.col("len") + 1
-    variance = (expected - 1) * (expected - 2) / (F.col("len") - 1)
-    counted = counted.withColumn("serial", F.when(F.col("power") > 0, F.sqrt("len") * F.col("steps")["p"] / F.col("power")).otherwise(F.sqrt("len")))
-    counted = counted.withColumn(
-        "runs", F.when(variance > 0, (F.col("steps")["r"] + 1 - expected) / F.sqrt(variance)).otherwise(F.sqrt("len"))
+    lower, upper, digits = SIGNS[26:52], SIGNS[:26], SIGNS[52:]
+    kinds = F.translate("core", lower + upper + digits, "l" * 26 + "u" * 26 + "d" * 10)
+    sounds = F.translate(F.lower("core"), lower + digits, "".join("v" if c in "aeiou" else "c" for c in lower) + "d" * 10)
+    counted = counted.withColumns(
+        {
+            "pairs": (squares - F.col("n")) / 2,
+            "turns": F.regexp_count(kinds, F.lit("l(?=[ud])|d(?=[lu])|u(?=d)")),
+            "letters": F.regexp_count(sounds, F.lit("[vc](?=[vc])")),
+            "changes": F.regexp_count(sounds, F.lit("v(?=c)|c(?=v)")),
+        }
     )
-    even = F.sqrt(F.pow(F.greatest("uniform", F.lit(0.0)), 2) + (F.pow("runs", 2) + F.pow("serial", 2)) / 2)
-    writing = (by_encoding("encoding", [e[3] for e in ENCODINGS]) - 1) * (F.col("len") - 1) / F.sqrt(2 * (F.col("k") - 1))
-    counted = counted.withColumn("z", (even - writing) / F.sqrt(5 + writing))
-    return counted.drop("codes", "mean", "steps", "power", "above", "len", "k")
+    n, model = F.col("n"), by_encoding("encoding", [e[2] for e in ENCODINGS])
+    possible = n * (n - 1) / 2
+    spread = possible * (EQUAL - EQUAL**2) + n * (n - 1) * (n - 2) * (EQUAL_THREE - EQUAL**2)
+    uniform = F.when(F.col("pairs") < EQUAL * possible, -F.pow(EQUAL * possible - F.col("pairs"), F.lit(2)) / (2 * spread)).otherwise(0.0)
+    turned = F.when(n > 1, F.col("turns") / (n - 1)).otherwise(0.0)
+    runs = F.when(turned > model, -(n - 1) * _divergence(turned, model)).otherwise(0.0)
+    changed = F.when(F.col("letters") > 0, F.col("changes") / F.col("letters")).otherwise(1.0)
+    serial = F.when(changed < ALTERNATES, -F.col("letters") * _divergence(changed, F.lit(ALTERNATES))).otherwise(0.0)
+    counted = counted.withColumns({"uniform": uniform, "runs": runs, "serial": serial})
+    half = -(F.col("uniform") + F.col("runs") + F.col("serial"))
+    counted = counted.withColumn("p", F.exp(-half) * (1 + half + half * half / 2))
+    return counted.drop("core", "n", "pairs", "turns", "letters", "changes")
 
 
 def length_class(hit: Column) -> Column:
@@ -123,20 +127,17 @@ def length_class(hit: Column) -> Column:
 def discoveries(scored: DataFrame, rate: float) -> DataFrame:
     """The rows of `scored` that pass the step-up control at `rate` inside their length class.
 
-    p-values are counted on a fixed grid of the normal scale (rounded to the unfavourable side), so the control over all
-    tokens of the corpus needs one small table and no global sort. A class's cut is its last cell where
-    tokens x p <= rate x tokens found so far.
+    p-values are counted on a fixed logarithmic grid (rounded to the unfavourable side), so the control over all tokens of
+    the corpus needs one small table and no global sort. A class's cut is its last cell where tokens x p <= rate x tokens
+    found so far.
     """
-    cell = F.least(F.floor(-F.col("z") / CELL), F.lit(CELLS)).cast("int")
-    celled = scored.withColumn("family", length_class(F.col("hit"))).withColumn("cell", F.greatest(cell, F.lit(-1)))
+    cell = F.least(F.floor(-F.log10(F.greatest("p", F.lit(1e-300))) / CELL), F.lit(CELLS)).cast("int")
+    celled = scored.withColumn("family", length_class(F.col("hit"))).withColumn("cell", F.greatest(cell, F.lit(0)))
     counts = celled.groupBy("family", "cell").agg(F.count("*").alias("n"))
-    # the value of a cell is its edge nearer to zero: 1/2 erfc(x / sqrt 2)
-    tails = F.array(*(F.lit(0.5 * math.erfc(i * CELL / math.sqrt(2))) for i in range(CELLS + 1)))
-    p = F.when(F.col("cell") < 0, F.lit(1.0)).otherwise(F.element_at(tails, F.greatest("cell", F.lit(0)) + 1))
-    steps = counts.withColumn("p", p).select(
+    steps = counts.select(
         "family",
         "cell",
-        "p",
+        F.pow(F.lit(10.0), -F.col("cell") * CELL).alias("p"),  # the edge of the cell nearer to one
         F.expr("sum(n) over (partition by family order by cell desc)").alias("found"),
         F.expr("sum(n) over (partition by family)").alias("all"),
     )
