@@ -297,6 +297,85 @@ def test_random_tokens_are_found_and_words_are_not(spark):
     assert not any(got[i] for i in range(30, 50))
 
 
+SIGNS = {
+    "base64": "ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789+/", "base62": "ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789",
+    "base36": "abcdefghijklmnopqrstuvwxyz0123456789", "base32": "ABCDEFGHIJKLMNOPQRSTUVWXYZ234567", "hex": "0123456789ABCDEF", "letters": "abcdefghijklmnopqrstuvwxyz",
+}
+#: Least share of 40 random tokens found among 3,000 written ones, by encoding and length.
+POWER = {
+    "base64": {20: 0.4, 24: 0.7, 32: 0.9, 40: 0.9, 64: 0.95}, "base62": {20: 0.4, 24: 0.7, 32: 0.9, 40: 0.9, 64: 0.95}, "base36": {20: 0.3, 24: 0.6, 32: 0.9, 40: 0.9, 64: 0.95},
+    "base32": {20: 0.05, 24: 0.2, 32: 0.7, 40: 0.9, 64: 0.95}, "hex": {20: 0.7, 22: 0.8, 32: 0.95, 40: 0.95, 64: 0.95}, "letters": {64: 0.3, 128: 0.9},
+}
+WRITTEN = "get user account response status from remote server configuration manager with default timeout value and retry policy for each request handler".split()
+
+
+def written_token(rng):
+    """A token of the kind that code and addresses hold: words in snake, kebab or camel case, with a number here and there."""
+    words = [str(w) for w in rng.choice(WRITTEN, rng.integers(4, 8))]
+    if rng.random() < 0.3:
+        words.insert(int(rng.integers(len(words) + 1)), str(rng.integers(1, 3000)))
+    style = rng.integers(4)
+    if style == 3:
+        return "".join([words[0], *(w.capitalize() for w in words[1:])])
+    return ["_", "-", "/"][style].join(words)
+
+
+def test_power_of_the_battery_by_encoding_and_length(spark):
+    rng = np.random.default_rng(12)
+    rows = [(f"written {i}", written_token(rng)) for i in range(3000)]
+    for name, lengths in POWER.items():
+        rows += [(f"{name} {n} {i}", "".join(rng.choice(list(SIGNS[name]), n))) for n in lengths for i in range(40)]
+    got = secret_scan.find_secrets(spark.createDataFrame([(i, f"x {t} y") for i, t in rows], "doc_id string, text string")).collect()
+    hit = collections.Counter(r["doc_id"].rsplit(" ", 1)[0] for r in got if any(not s["base"] for s in r["spans"]))
+    assert hit["written"] <= 0.01 * sum(hit.values()) + 3
+    shares = {name: {n: hit[f"{name} {n}"] / 40 for n in lengths} for name, lengths in POWER.items()}
+    for name, lengths in POWER.items():
+        for n, least in lengths.items():
+            assert shares[name][n] >= least, shares
+
+
+def test_combined_p_values_against_plain_python(spark):
+    """The battery recomputed symbol by symbol."""
+    rng = np.random.default_rng(2)
+    tokens = [written_token(rng) for _ in range(30)] + ["".join(rng.choice(list(a), n)) for a in SIGNS.values() for n in (20, 33)] + ["0" * 25, "aA" * 12, "+" * 22]
+    models = [e[2] for e in secret_scan.ENCODINGS]
+    for r in secret_scan.battery(spark.createDataFrame([(t,) for t in tokens], "hit string")).collect():
+        core = re.sub(r"[+/_=-]", "", r["hit"])
+        n, kind = len(core), ["d" if c.isdigit() else "u" if c.isupper() else "l" for c in core]
+        sound = ["d" if c.isdigit() else "v" if c in "aeiou" else "c" for c in core.lower()]
+        pairs = sum(v * (v - 1) / 2 for v in collections.Counter(core).values())
+        turns = sum(a != b and (a, b) != ("u", "l") for a, b in zip(kind, kind[1:]))
+        spoken = [(a, b) for a, b in zip(sound, sound[1:]) if "d" not in (a, b)]
+
+        def tail(hits, trials, model, above):
+            share = hits / trials if trials > 0 else (0 if above else 1)
+            if (share > model) != above or share == model:
+                return 0.0
+            return -trials * sum(x * np.log(x / y) for x, y in ((share, model), (1 - share, 1 - model)) if x > 0)
+
+        possible = n * (n - 1) / 2
+        spread = possible * (0.065 - 0.065**2) + n * (n - 1) * (n - 2) * (0.0055 - 0.065**2)
+        uniform = -((0.065 * possible - pairs) ** 2) / (2 * spread) if pairs < 0.065 * possible else 0.0
+        logs = [uniform, tail(turns, n - 1, models[r["encoding"]], True), tail(sum(a != b for a, b in spoken), len(spoken), 0.6, False)]
+        assert [r["uniform"], r["runs"], r["serial"]] == pytest.approx(logs), r["hit"]
+        half = -sum(logs)
+        assert r["p"] == pytest.approx(np.exp(-half) * (1 + half + half**2 / 2))
+
+
+def test_near_matches_do_not_need_the_rarest_word(spark):
+    item = "the quick brown fox jumps over one lazy sleeping zyzzyva"
+    docs = [
+        (1, f"intro {item} outro"), (2, "a text where " + item.replace("zyzzyva", "creature") + " ends"), (3, item.replace("fox", "wolf").replace("lazy", "idle")),
+        (4, "sleeping lazy one over jumps fox brown quick the zyzzyva"), (5, "the the the quick"), (6, None),
+    ]
+    docs, items = spark.createDataFrame(docs, "doc_id long, text string"), spark.createDataFrame([(7, item), (8, None), (9, "")], "item_id long, text string")
+    got = {(r["_id"], r["kind"]) for r in decontamination.benchmark_matches(docs, items, 10, proximity=9).collect()}
+    assert {x for x in got if x[1] == "phrase"} == {(1, "phrase")}
+    assert {i for i, kind in got if kind == "near"} >= {2, 4} and not {i for i, _ in got} & {3, 5, 6}
+    looser = {r["_id"] for r in decontamination.benchmark_matches(docs, items, 10, proximity=8).collect()}
+    assert looser == {1, 2, 3, 4}
+
+
 def test_licences_against_brute_force(spark):
     notice = license_scan.TEMPLATES[5 - 1][1]
     rows = [

@@ -50,6 +50,17 @@ def with_anchors(windows: DataFrame, counts: DataFrame) -> DataFrame:
     return phrases.join(picked, "window")
 
 
+def near_anchors(windows: DataFrame, counts: DataFrame, proximity: int) -> DataFrame:
+    """(window, item, phrase, term, offset): for windows with at least `proximity` terms that documents have, those terms but for
+    the `proximity` - 1 most frequent: whatever `proximity` of its words a passage holds, one of these is among them."""
+    phrases = windows.withColumn("window", F.xxhash64("phrase"))
+    spread = phrases.select("window", F.posexplode("phrase").alias("offset", "term")).groupBy("window", "term").agg(F.min("offset").alias("offset"))
+    order = F.sort_array(F.collect_list(F.struct("n", "term", "offset")))
+    held = spread.join(counts, "term").groupBy("window").agg(order.alias("o")).filter(F.size("o") >= proximity)
+    picked = held.select("window", F.explode(F.slice("o", F.lit(1), F.size("o") - proximity + 1)).alias("a"))
+    return phrases.join(picked.select("window", "a.term", "a.offset"), "window")
+
+
 def positional_index(view: DataFrame, terms: DataFrame, reach: int) -> DataFrame:
     """(term, _id, key, pos, first, around): postings of `terms` in all documents, with the words up to `reach` places away.
 
@@ -71,14 +82,20 @@ def benchmark_matches(
     """(_id, key, item, start, length, kind): where an item's window stands in a document.
 
     kind `phrase`: its words stand there one after another. With `proximity` = p also `near`: at least p of the window's
-    distinct words stand within the window's length around its rarest term, in any order. `key` is a hash of the text: rows
-    with the same id and text are one document here.
+    distinct words stand around one of them, less than the window's length away, in any order; `start` is where the window would
+    begin by the place of that word. Any word may be missing, the rarest too. `key` is a hash of the text: rows with the
+    same id and text are one document here.
     """
     view = row_view(docs, id_col, text_col).select("_id", "_text", F.xxhash64("_text").alias("key"))
     windows = cut_lineage(windows_of(items, item_col, item_text_col, size))
     terms = windows.select(F.explode("phrase").alias("term")).distinct()
-    anchored = cut_lineage(with_anchors(windows, term_counts(view, terms)))
-    postings = cut_lineage(positional_index(view, anchored.select("term").distinct(), size - 1))
+    counts = cut_lineage(term_counts(view, terms)) if proximity is not None else term_counts(view, terms)
+    anchored = cut_lineage(with_anchors(windows, counts))
+    rarest = anchored.select("term")
+    if proximity is not None:
+        loose = cut_lineage(near_anchors(windows, counts, proximity))
+        rarest = rarest.unionByName(loose.select("term"))
+    postings = cut_lineage(positional_index(view, rarest.distinct(), size - 1))
     met = postings.join(measured(anchored), "term")
     start = F.col("pos") - F.col("offset")
     met = met.withColumn("start", start).withColumn("length", F.size("phrase")).withColumn("at", start - F.col("first"))
@@ -88,9 +105,10 @@ def benchmark_matches(
     out = ["_id", "key", "item", "start", "length"]
     found = exact.select(*out, F.lit("phrase").alias("kind"))
     if proximity is not None:
-        near = met.filter(F.size(F.array_intersect("around", "phrase")) >= proximity)
-        near = near.join(exact.select(*out), out, "left_anti").select(*out, F.lit("near").alias("kind"))
-        found = found.unionByName(near)
+        around = postings.join(measured(loose), "term").filter(F.size(F.array_intersect("around", "phrase")) >= proximity)
+        near = around.withColumns({"start": F.col("pos") - F.col("offset"), "length": F.size("phrase")}).select(*out).distinct()
+        near = near.join(exact.select(*out).distinct(), out, "left_anti")
+        found = found.unionByName(near.withColumn("kind", F.lit("near")))
     return found.distinct()
 
 
