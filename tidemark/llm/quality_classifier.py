@@ -23,6 +23,8 @@ SPACE = b" \t\n\r\x0b\x0c"
 
 #: Rows of labels that a model is fitted on at most, chosen by a hash of the id. Scoring has no such bound.
 FIT_ROWS = 12_000
+#: Words whose hashes a worker remembers.
+KNOWN_WORDS = 100_000
 
 
 def statistics_of(text: bytes, words: list[bytes], ids: np.ndarray, chars: int | None) -> list[float]:
@@ -64,7 +66,7 @@ class Features:
         text = text or b""
         words = text.split()
         known = self.known
-        if len(known) > 500_000:
+        if len(known) > KNOWN_WORDS:
             known.clear()
         for w in set(words).difference(known):
             known[w] = xxh32_intdigest(w.lower().strip(b".,;:!?"), 7) % WORD_BUCKETS
