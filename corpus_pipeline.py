@@ -17,20 +17,35 @@ from tidemark.llm.simhash_dedup import near_groups
 from tidemark.session import checkpoint_dir
 
 
+#: Whole texts are long rows: batches of no more of them bound what the JVM and Python workers hold beside the heap.
+BATCH_ROWS = 1000
+
+
+def _small_batches(spark: SparkSession) -> None:
+    name = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    if not 0 < int(spark.conf.get(name)) <= BATCH_ROWS:
+        spark.conf.set(name, BATCH_ROWS)
+
+
 def _without(docs: DataFrame, rows: DataFrame) -> DataFrame:
-    """`docs` less those whose id and text hash are in `rows` (_id, key); null ids are equal to each other."""
+    """`docs` less those whose id and text hash are in `rows` (_id, key); null ids are equal to each other. Texts of one id count as
+    equal if their 64-bit hashes are."""
     gone = measured(rows.select(F.col("_id").alias("gone_id"), F.col("key").alias("gone_key")).distinct())
     return docs.join(gone, F.col("doc_id").eqNullSafe(F.col("gone_id")) & (F.xxhash64("text") == F.col("gone_key")), "left_anti")
 
 
 def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents that the classifier scores 0.3 or more; null and empty texts are scored like any other."""
+    """Documents that the classifier scores 0.3 or more; null and empty texts are scored like any other. Columns of any name are kept."""
+    _small_batches(spark)
     model = train(docs, spark.read.parquet(f"{sf_dir}/labels.parquet"))
     return keep_good(docs, model)
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group of about 0.8 and more similar five-word shingles, the one with the least id."""
+    """One document of each group linked at a similarity of 0.8 and more of five-word shingles, the one with the least id.
+
+    Texts without words, null and empty ones too, are one group. A null id is the least; of rows equal in id and text one stays."""
+    _small_batches(spark)
     groups = near_groups(docs, size=5, similarity=0.8)
     groups = groups.select("_id", "key", F.struct("_id", "key").eqNullSafe(F.col("winner")).alias("wins"))
     kept = _without(docs, groups.filter("not wins"))
@@ -43,12 +58,12 @@ def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
 
 
 def decontaminate(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents in which no ten-word window of a benchmark item stands."""
+    """Documents in which no ten-word window of a benchmark item stands; null and empty texts stay, as do all without items."""
     return _without(docs, benchmark_matches(docs, spark.read.parquet(f"{sf_dir}/benchmark.parquet"), size=10))
 
 
 def mask_secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """All documents; each secret found is replaced by `[secret]`, and n_chars follows. Texts without one stay as they are."""
+    """All documents; each secret found is replaced by `[secret]`, and n_chars follows. Texts without one, and null ones, stay as they are."""
     found = find_secrets(docs).filter(F.size("spans") > 0).distinct()
     found = measured(found.select(F.col("doc_id").alias("hit_id"), F.col("key").alias("hit_key"), "spans"))
     joined = docs.join(found, F.col("doc_id").eqNullSafe(F.col("hit_id")) & (F.xxhash64("text") == F.col("hit_key")), "left")
@@ -71,7 +86,8 @@ def mask_secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame
 
 
 def packing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Every document kept, cut and packed into sequences of at most 1024 tokens."""
+    """Every document kept, null and empty texts too, cut and packed into sequences of at most 1024 tokens."""
+    _small_batches(spark)
     return pack_documents(docs, public_tokenizers.path("byte_bpe_50k.tiktoken"), size=1024)
 
 
