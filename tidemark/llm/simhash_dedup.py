@@ -423,7 +423,7 @@ def near_groups(
         if not last:
             left = _renamed(left, joined)
             open_ = left.groupBy("gram").agg(F.min("label").alias("low"), F.max("label").alias("high")).filter("low <> high").select("gram")
-            left = written(left.join(open_.hint("merge"), "gram"))
+            left = left.join(open_.hint("merge"), "gram")
     labels = labels.select(F.col("node").alias("member"), "label")
     linked = reps.join(labels.hint("merge"), F.col("node") == F.col("member"), "left").select("node", "least", F.coalesce("label", "node").alias("label"))
     winners = linked.groupBy("label").agg(F.min("least").alias("winner"))
