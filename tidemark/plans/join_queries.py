@@ -350,13 +350,12 @@ def pair_calibration(t):
 @query(
     "j21_presence",
     """
-    SELECT doc_id, CASE WHEN d.doc_id IS NULL THEN 'missing_in_a' WHEN l.doc_id IS NULL THEN 'missing_in_b' ELSE 'both' END AS presence
-    FROM (SELECT DISTINCT doc_id FROM documents WHERE doc_id % 10 <> 3) d FULL JOIN (SELECT DISTINCT doc_id FROM labels) l USING (doc_id)""".replace(
-        "SELECT doc_id, CASE", "SELECT COALESCE(d.doc_id, l.doc_id) AS doc_id, CASE"
-    ),
+    SELECT COALESCE(d.doc_id, p.page_id) AS doc_id, CASE WHEN d.doc_id IS NULL THEN 'missing_in_a' WHEN p.page_id IS NULL THEN 'missing_in_b' ELSE 'both' END AS presence
+    FROM (SELECT DISTINCT doc_id FROM documents) d FULL JOIN (SELECT DISTINCT page_id FROM pages) p ON d.doc_id = p.page_id""",
 )
 def presence(t):
-    return J.presence(t.documents.filter(F.col("doc_id") % 10 != 3), t.labels, ["doc_id"])
+    """Documents and pages by number: two whole tables that differ by themselves."""
+    return J.presence(t.documents, t.pages.select(F.col("page_id").alias("doc_id")), ["doc_id"])
 
 
 _ELIGIBLE = """
