@@ -65,7 +65,7 @@ def values_at_ranks(
         extra = [c for c in per_key.columns if c not in keys]
         grid = grid.join(per_key.select(packed_key(keys).alias("_k"), *extra), "_k")
     hit = _hit(grid.withColumn("_before", F.col("_upto") - F.col("_cc")).withColumn("_wanted", ranks))
-    hit = hit.select("_k", "_a", "_lo", "_hi", "_cc", "_before", "_n", "_wanted")
+    hit = cut_lineage(hit.select("_k", "_a", "_lo", "_hi", "_cc", "_before", "_n", "_wanted"))
     wide = hit.filter("_lo < _hi").select("_k", "_a", F.col("_lo").alias("_low"), F.col("_hi").alias("_high"), "_cc")
     size = wide.agg(F.count(F.lit(1)).alias("n"), F.max("_cc").alias("rows")).first()
     few = F.broadcast(wide.drop("_cc")) if size["n"] <= BROADCAST_ROWS else wide.drop("_cc")
