@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 
 from tidemark.functions.columns import micros
 from tidemark.operators import allocations as AL
+from tidemark.operators import audit_report as AR
 from tidemark.operators import costs as C
 from tidemark.operators import reconstruction as RC
 from tidemark.operators.ordered import DAY_US
@@ -261,6 +262,85 @@ def session_cost_report(t):
     return rounded(C.session_cost_report(pods, "own_session", sessions=sessions), 4)
 
 
+def _audit_sql(age: int) -> str:
+    """The report in SQL; `age` is added to the ages of the scrapes."""
+    usd = f"CASE WHEN (SELECT MIN(scrape_age_days) + {age} >= 3 FROM pod_costs) THEN {{}} END".format
+    step_usd = usd("CASE WHEN COUNT(on_demand) = COUNT(*) THEN SUM(on_demand) END")
+    names = [f"{m}_{s}" for m in ("operated", "on_demand") for s in ("full", "1k", "1k_per_run")]
+    shares = ", ".join(
+        f"COALESCE(o.{m}, 0) + COALESCE(h.{m}, 0) AS {m}_full, COALESCE(o.{m}, 0) + COALESCE(h.{m}, 0) / k AS {m}_1k" for m in ("operated", "on_demand")
+    )
+    gate = "CASE WHEN COALESCE(o.no_{m}, FALSE) OR COALESCE(h.no_{m}, FALSE) THEN NULL ELSE 1 END AS ok_{m}"
+    spent = ", ".join(f"SUM({m}) AS {m}, COUNT({m}) < COUNT(*) AS no_{m}" for m in ("operated", "on_demand"))
+
+    def measure(name: str) -> str:
+        m = "operated" if name.startswith("operated") else "on_demand"
+        return f"{m}_1k * ok_{m} / NULLIF(n_runs, 0)" if name.endswith("per_run") else f"{name} * ok_{m}"
+
+    long = " UNION ALL ".join(f"SELECT '{n}' AS item, {measure(n)} AS x FROM shares" for n in names)
+    return (
+        _PRICED
+        + f""",
+    z AS (SELECT *, l_pod AS pod2, node_h * node_ondemand_usd_per_hour + pv_cost_usd + network_cost_usd AS ondemand_usd,
+                 CASE WHEN session % 2 = 0 THEN CAST(session AS VARCHAR) ELSE '' END AS ses, CASE step WHEN 'R' THEN 'globus-transfer' ELSE step END AS stp,
+                 CASE WHEN node_effective_usd_per_hour > 0 AND node_ondemand_usd_per_hour IS NOT NULL THEN TRUE ELSE FALSE END AS rated
+          FROM (SELECT *, workflow_name || '/' || session || '/' || step AS l_pod FROM q)),
+    pods AS (SELECT workflow_name, pod2, MIN(stp) AS step, MIN(subject) AS subject, MIN(ses) AS session, BOOL_OR(gpu_hours > 0) AS gpu, SUM(runtime_minutes) AS minutes,
+                    SUM(total_cost_usd) AS operated, CASE WHEN COUNT(ondemand_usd) = COUNT(*) THEN SUM(ondemand_usd) END AS on_demand, MIN(problem) AS problem, COUNT(*) AS n,
+                    COUNT(node_effective_usd_per_hour) < COUNT(*) AS carried, SUM(total_cost_usd) FILTER (rated) AS cov,
+                    SUM((cpu_cost_usd + memory_cost_usd + gpu_cost_usd) * (node_ondemand_usd_per_hour / node_effective_usd_per_hour) + pv_cost_usd + network_cost_usd) FILTER (rated) AS lst
+             FROM z GROUP BY ALL),
+    spent AS (SELECT subject, session, {spent} FROM pods WHERE step <> 'globus-transfer' GROUP BY ALL),
+    given AS (SELECT subject, unnest(['2', '4', '8']) AS session, n_runs FROM (SELECT o_custkey AS subject, COUNT(*) AS n_runs FROM orders WHERE o_custkey % 3 > 0 AND o_custkey IN (SELECT subject FROM spent) GROUP BY o_custkey)),
+    units AS (SELECT * FROM given UNION ALL SELECT subject, session, 0 FROM spent WHERE session <> '' AND subject NOT IN (SELECT subject FROM given)),
+    shares AS (SELECT u.subject, u.session, n_runs, {shares}, {gate.format(m="operated")}, {gate.format(m="on_demand")}
+               FROM (SELECT *, COUNT(*) OVER (PARTITION BY subject) AS k FROM units) u LEFT JOIN (SELECT * FROM spent WHERE session <> '') o USING (subject, session)
+               LEFT JOIN (SELECT * FROM spent WHERE session = '') h ON h.subject = u.subject),
+    long AS ({long}),
+    flat AS (
+        SELECT 'scope' AS section, '' AS item, unnest(['n_workflows', 'n_pod_rows', 'settled']) AS measure, unnest([COUNT(DISTINCT workflow_name), SUM(n), {usd("1")[:-3]} ELSE 0 END]) AS value FROM pods
+        UNION ALL SELECT 'coverage', '', unnest(['pods', 'priced_at_list', 'unpriced', 'carried_instance_no_effective_rate']), unnest([COUNT(*), COUNT(on_demand), COUNT(*) - COUNT(on_demand), COUNT(*) FILTER (carried)]) FROM pods
+        UNION ALL SELECT 'coverage', COALESCE(problem, 'unknown'), 'unpriced', COUNT(*) FROM pods WHERE on_demand IS NULL GROUP BY problem
+        UNION ALL SELECT 'spot_savings', '', unnest(['operated_usd_covered', 'on_demand_usd_covered', 'multiple', 'coverage_frac']),
+                         unnest([{usd("SUM(cov)")}, {usd("SUM(lst)")}, {usd("SUM(lst) / SUM(cov)")}, {usd("SUM(cov) / SUM(operated)")}]) FROM pods
+        UNION ALL SELECT 'ingress', '', unnest(['operated_usd', 'runtime_min_total']), unnest([{usd("SUM(operated) FILTER (step = 'globus-transfer')")}, SUM(minutes) FILTER (step = 'globus-transfer')]) FROM pods
+        UNION ALL SELECT 'total', '', unnest(['operated_usd', 'on_demand_usd_priced']), unnest([{usd("SUM(operated)")}, {usd("SUM(on_demand)")}]) FROM pods
+        UNION ALL SELECT 'per_step', step, unnest(['n_pods', 'gpu', 'ingress', 'runtime_min_total', 'operated_usd', 'on_demand_usd', 'runtime_min_p50', 'runtime_min_p95']),
+                         unnest([COUNT(*), CAST(BOOL_OR(gpu) AS INTEGER), CAST(step = 'globus-transfer' AS INTEGER), SUM(minutes), {usd("SUM(operated)")}, {step_usd}, QUANTILE_CONT(minutes, 0.5), QUANTILE_CONT(minutes, 0.95)]) FROM pods GROUP BY step
+        UNION ALL SELECT 'per_session', '', 'n_sessions', COUNT(*) FROM shares
+        UNION ALL SELECT 'per_session', item, unnest(['median', 'p5', 'p95', 'n']), unnest([{usd("QUANTILE_CONT(x, 0.5)")}, {usd("QUANTILE_CONT(x, 0.05)")}, {usd("QUANTILE_CONT(x, 0.95)")}, COUNT(x)]) FROM long GROUP BY item
+        UNION ALL SELECT 'workflow_wall_clock_h', '', unnest(['n', 'p50', 'p95', 'max']),
+                         unnest([COUNT(total_duration_s), QUANTILE_CONT(total_duration_s / 3600.0, 0.5), QUANTILE_CONT(total_duration_s / 3600.0, 0.95), MAX(total_duration_s / 3600.0)]) FROM workflow_runs)
+    SELECT section, item, measure, ROUND(CAST(value AS DOUBLE), 4) AS value FROM flat"""
+    )
+
+
+def _audit(t, age: int):
+    """Pods of line items: one per workflow, session and step, so some have several cost rows; odd sessions are shared work."""
+    even = F.col("session") % 2 == 0
+    rows = _priced_rows(t).withColumns({
+        "pod": F.concat_ws("/", "workflow_name", "session", "step"),
+        "session": F.when(even, F.col("session").cast("string")).otherwise(""),
+        "step": F.when(F.col("step") == "R", "globus-transfer").otherwise(F.col("step")),
+        "node_instance_id": F.col("node_instance_type"),
+        "scrape_age_days": F.col("scrape_age_days") + age,
+    })
+    names = F.explode(F.array(*map(F.lit, "248"))).alias("session")
+    sessions = t.orders.filter(F.col("o_custkey") % 3 > 0).groupBy(F.col("o_custkey").alias("subject")).agg(F.count(F.lit(1)).alias("n_runs")).select("subject", names, "n_runs")
+    return rounded(AR.audit_report(rows, sessions, t.workflow_runs), 4)
+
+
+@query("a13_audit_report", _audit_sql(3))
+def settled_audit(t):
+    return _audit(t, 3)
+
+
+@query("a13_audit_report_refused", _audit_sql(0))
+def refused_audit(t):
+    """Some rows are not settled: performance is reported, no dollar figure is."""
+    return _audit(t, 0)
+
+
 _RECONSTRUCTION = """
     WITH base AS (SELECT *, 'w' || (l_orderkey % 3000) AS workflow_name, epoch_us(l_shipdate) + l_linenumber * 10800000000 AS start_us FROM lineitem),
     pods AS (SELECT workflow_name, l_orderkey || '-' || l_linenumber || '-' || l_partkey || '-' || l_suppkey || '-' || start_us AS pod, start_us,
