@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from tidemark.functions.columns import chain, count_if
@@ -107,59 +107,54 @@ def match_series(
     session = list(session)
     key = [*session, table]
     known = tables.select(*key).distinct().withColumn("_row", F.lit(True))
-    by_uid = runs.groupBy(*key, "uid").agg(
-        F.count(F.lit(1)).alias("_hits"),
-        F.max("run_index").alias("run_index"),
-        F.max("acquired_us").alias("_run_us"),
+    one = series.join(known, key, "left").withColumn("_marks", F.lit(0))
+    # a UID's runs are one marker row among its series, a matched series three among the lone ones, so every table is read
+    # once; rows that take no part in a count are dealt out by their own hash
+    marker = runs.filter(F.col("uid").isNotNull()).groupBy(*key, "uid").agg(
+        F.count(F.lit(1)).alias("_marks"), F.max("run_index").alias("_index"), F.max("acquired_us").alias("_at_us")
     )
-    joined = series.join(known, key, "left").join(by_uid, [*key, "uid"], "left")
+    own = F.xxhash64("series_id", "acquired_us")
+    lines = one.unionByName(marker, allowMissingColumns=True)
+    by_uid = Window.partitionBy(*key, "uid", F.when(F.col("uid").isNull(), own))
+    lines = lines.withColumns({"_hits": F.max("_marks").over(by_uid), "run_index": F.max("_index").over(by_uid), "_run_us": F.max("_at_us").over(by_uid)})
+    lines = lines.filter(F.col("_marks") == 0)
     off = F.round((F.col("acquired_us") - F.col("_run_us")) / 1_000_000, 3)
     status = chain(
         [
             (F.col("_row").isNull(), "no_qc_row"),
             (F.col("uid").isNull(), "no_uid"),
-            (F.col("_hits").isNull(), "unmatched"),
+            (F.col("_hits") == 0, "unmatched"),
             (F.col("_hits") > 1, "ambiguous"),
             (F.abs(off) > tolerance_s, "timestamp_mismatch"),
         ],
         "matched",
     )
-    one = joined.withColumn("status", status).withColumn("seconds_off", off)
+    lines = lines.withColumn("status", status).withColumn("seconds_off", off)
     hit = F.col("status").isin("matched", "timestamp_mismatch")
-    claims = one.filter(hit).groupBy(*key, "run_index").agg(F.count(F.lit(1)).alias("_claims")).filter(F.col("_claims") > 1)
-    one = one.join(claims, [*key, "run_index"], "left")
-    shared = hit & F.col("_claims").isNotNull()
-    one = (
-        one.withColumn("status", F.when(shared, "ambiguous").otherwise(F.col("status")))
-        .withColumn("run_index", F.when(F.col("status").isin("matched", "timestamp_mismatch"), F.col("run_index")))
-        .withColumn("seconds_off", F.when(F.col("run_index").isNotNull(), F.col("seconds_off")))
-        .drop("_row", "_hits", "_run_us", "_claims")
-    )
+    by_run = Window.partitionBy(*key, "run_index", F.when(~hit, own))
+    lines = lines.withColumn("_claims", F.count(F.when(hit, 1)).over(by_run))
+    lines = lines.withColumn("status", F.when(hit & (F.col("_claims") > 1), "ambiguous").otherwise(F.col("status")))
+    lines = lines.withColumn("run_index", F.when(hit, F.col("run_index"))).withColumn("seconds_off", F.when(hit, F.col("seconds_off")))
     # a twin lies within twin_s: look only into the own and the two neighbouring slots of that width
     width = int(twin_s * 1_000_000) or 1
-    slot = F.floor(F.col("acquired_us") / width)
-    matched = one.filter((F.col("status") == "matched") & F.col("acquired_us").isNotNull())
-    twins = (
-        matched.groupBy(*session, "kind", "norm", slot.alias("_at"))
-        .agg(F.min("acquired_us").alias("_lo"), F.max("acquired_us").alias("_hi"))
-        .withColumn("_off", F.explode(F.array(F.lit(-1), F.lit(0), F.lit(1))))
-        .withColumn("_slot", F.col("_at") + F.col("_off"))
-    )
-    near = (
-        F.when(F.col("_off") == 0, True)
-        .when(F.col("_off") == 1, F.col("acquired_us") - F.col("_hi") <= width)
-        .otherwise(F.col("_lo") - F.col("acquired_us") <= width)
-    )
-    lone = one.filter((F.col("status") == "unmatched") & F.col("kind").isin(*structural) & F.col("acquired_us").isNotNull())
-    lone = lone.select(*session, "series_id", "kind", (~F.col("norm")).alias("norm"), "acquired_us", slot.alias("_slot"))
-    covered = (
-        lone.join(twins, [*session, "kind", "norm", "_slot"])
-        .filter(near)
-        .select(*session, "series_id", F.lit(True).alias("_twin"))
-        .distinct()
-    )
-    out = one.join(covered, [*session, "series_id"], "left")
-    return out.withColumn("status", F.when(F.col("_twin").isNotNull(), "twin_matched").otherwise(F.col("status"))).drop("_twin")
+    known_twin = F.col("acquired_us").isNotNull() & F.col("norm").isNotNull() & F.col("kind").isin(*structural)
+    offers = (F.col("status") == "matched") & known_twin
+    itself = F.lit(None).cast("int")
+    lines = lines.withColumn("_shift", F.explode(F.when(offers, F.array(itself, F.lit(-1), F.lit(0), F.lit(1))).otherwise(F.array(itself))))
+    mark = F.col("_shift").isNotNull()
+    lone = ~mark & (F.col("status") == "unmatched") & known_twin
+    slot = F.floor(F.col("acquired_us") / width) + F.coalesce("_shift", F.lit(0))
+    takes_part = F.coalesce(mark | lone, F.lit(False))
+    by_slot = Window.partitionBy(*session, "kind", F.when(mark, F.col("norm")).otherwise(~F.col("norm")), slot, F.when(~takes_part, own))
+    us = F.col("acquired_us")
+    lines = lines.withColumns({
+        "_same": F.max(F.col("_shift") == 0).over(by_slot),
+        "_before": F.max(F.when(F.col("_shift") == 1, us)).over(by_slot),
+        "_after": F.min(F.when(F.col("_shift") == -1, us)).over(by_slot),
+    })
+    near = F.col("_same") | (us - F.col("_before") <= width) | (F.col("_after") - us <= width)
+    out = lines.withColumn("status", F.when(lone & F.coalesce(near, F.lit(False)), "twin_matched").otherwise(F.col("status"))).filter(~mark)
+    return out.select(*series.columns, "run_index", "status", "seconds_off")
 
 
 def pair_verdicts(attached: DataFrame, keys: Sequence[str], passes: str, agrees: str) -> DataFrame:
