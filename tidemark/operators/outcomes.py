@@ -185,28 +185,34 @@ def phase_split(records: DataFrame, keys: Sequence[str], init: str, main: str, c
 
 
 def staged_flow(df: DataFrame, stages: Sequence[tuple[str, Column]], count: Mapping[str, Sequence[str]]) -> DataFrame:
-    """Participant flow in one pass: per stage what remains and per exclusion what it removed.
+    """Participant flow: per stage what remains and per exclusion what it removed.
 
     `stages` are (name, condition) in order; a row leaves at its first condition that does not hold. `count` maps an
-    output name to the columns whose distinct combinations are counted."""
+    output name to the columns whose distinct combinations are counted. A combination is one number whose bits say where its rows
+    left, so it is shuffled once and no row is multiplied by the boxes."""
+    if len(stages) > 61:
+        raise ValueError("at most 61 stages")
     left_at = F.lit(len(stages))
     for i, (_, keep) in reversed(list(enumerate(stages))):
         left_at = F.when(F.coalesce(keep, F.lit(False)), left_at).otherwise(i)
-    # one row per counted combination and level before the boxes multiply the rows
-    units = list(dict.fromkeys(c for cols in count.values() for c in cols))
-    marked = df.withColumn("_left", left_at).groupBy(*units, "_left").agg(F.count(F.lit(1)).alias("_n"))
-    boxes = F.array(
-        F.struct(F.lit("enrolled").alias("box"), F.lit("stage").alias("kind"), F.lit(True).alias("keep")),
-        *[
-            F.struct(F.lit(name).alias("box"), F.lit(kind).alias("kind"), keep.alias("keep"))
-            for i, (name, _) in enumerate(stages)
-            for kind, keep in (("excluded", F.col("_left") == i), ("stage", F.col("_left") > i))
-        ],
-    )
-    exploded = marked.select("*", F.inline(boxes)).filter("keep")
-    return exploded.groupBy("box", "kind").agg(
-        *[F.countDistinct(F.struct(*cols)).alias(name) for name, cols in count.items()], F.sum("_n").alias("n_rows")
-    )
+    everyone = (1 << (len(stages) + 1)) - 1
+    boxes = [("enrolled", "stage", everyone)]
+    for i, (name, _) in enumerate(stages):
+        boxes += [(name, "excluded", 1 << i), (name, "stage", everyone & ~((2 << i) - 1))]
+    marked = df.withColumn("_left", left_at)
+    bit = F.expr("shiftleft(1L, _left)")
+
+    def by_box(units: DataFrame, name: str, amount: Column) -> DataFrame:
+        inside = [F.col("_bit").bitwiseAND(F.lit(mask).cast("long")) != 0 for _, _, mask in boxes]
+        sums = units.agg(*[F.sum(F.when(c, amount)).alias(f"_{i}") for i, c in enumerate(inside)])
+        cells = [F.struct(F.lit(b).alias("box"), F.lit(k).alias("kind"), F.coalesce(f"_{i}", F.lit(0)).cast("long").alias(name)) for i, (b, k, _) in enumerate(boxes)]
+        return sums.select(F.inline(F.array(*cells)))
+
+    out = by_box(marked.groupBy(bit.alias("_bit")).agg(F.count(F.lit(1)).alias("_n")), "n_rows", F.col("_n"))
+    for name, cols in count.items():
+        units = marked.groupBy(*cols).agg(F.bit_or(bit).alias("_bit"))
+        out = out.join(by_box(units, name, F.lit(1)), ["box", "kind"])
+    return out.filter("n_rows > 0").select("box", "kind", *count, "n_rows")
 
 
 def grain_coverage(grains: Mapping[str, DataFrame], subject: str = "subject", ratio: float = COVERAGE_RATIO) -> DataFrame:
@@ -267,6 +273,66 @@ def required_fields_check(name: str, df: DataFrame, required: Sequence[str]) ->
     )
 
 
+def expected_names_check(name: str, df: DataFrame, column: str, expected: Sequence[str]) -> DataFrame:
+    """Names that must occur at least once, and those that do not: one partial aggregate over the rows, one flag per name."""
+    here = df.agg(*[F.coalesce(F.bool_or(F.col(column) == n), F.lit(False)).alias(f"_{i}") for i, n in enumerate(expected)])
+    flags = F.array(*[F.struct(F.lit(n).alias("n"), F.col(f"_{i}").alias("f")) for i, n in enumerate(expected)])
+    missing = F.transform(F.filter(flags, lambda x: ~x["f"]), lambda x: x["n"])
+    found = F.size(F.filter(flags, lambda x: x["f"]))
+    return here.select(
+        F.lit(name).alias("check"), F.lit(len(expected)).alias("expected"), found.alias("found"),
+        F.array_join(F.array_sort(missing), ",").alias("missing"), (found == len(expected)).alias("passed"),
+    )
+
+
+def newest_version_check(
+    name: str, records: DataFrame, keys: Sequence[str], time: str, version: str, wanted: str, tie: Sequence[str] = ()
+) -> DataFrame:
+    """Units whose newest record has the wanted version; older records of other versions do not count. No units: passed."""
+    newest = records.groupBy(*keys).agg(F.max_by(F.coalesce(version, F.lit("")), F.struct(time, *tie)).alias("_v"))
+    wrong = F.col("_v") != wanted
+    out = newest.agg(
+        F.count(F.lit(1)).alias("expected"), count_if(~wrong).alias("found"),
+        F.array_join(F.array_sort(F.collect_set(F.when(wrong, F.col("_v")))), ",").alias("other_versions"),  # versions, not units
+    )
+    return out.select(F.lit(name).alias("check"), "*", (F.col("found") == F.col("expected")).alias("passed"))
+
+
+def anatomy_only_delivery(
+    subjects: DataFrame, outcomes: DataFrame, markers: DataFrame, functional: Column, no_session: str = "na", template: str = "long-template"
+) -> DataFrame:
+    """One row per subject without functional evidence: (subject, n_sessions, n_gaps, has_template, verdict).
+
+    Coverage counts functional runs, so a subject without any is invisible to it; its anatomy must still have been delivered.
+    Expected sessions are those that the subject's own `outcomes` (subject, session, ...) name, and only a completion marker
+    (`markers`: subject, session) proves one. Verdicts: `lost` (no session on record), `gaps`, `no_template` (a warning, not a
+    failure), `delivered`. Outcomes and markers meet in one grouping by (subject, session)."""
+    seen = outcomes.groupBy("subject", "session").agg(F.coalesce(F.bool_or(functional), F.lit(False)).alias("_func"))
+    seen = seen.select("subject", "session", "_func", F.lit(True).alias("_seen"), F.lit(False).alias("_marked"))
+    marked = markers.select("subject", "session", F.lit(False).alias("_func"), F.lit(False).alias("_seen"), F.lit(True).alias("_marked"))
+    units = seen.unionByName(marked).groupBy("subject", "session").agg(*[F.bool_or(c).alias(c) for c in ("_func", "_seen", "_marked")])
+    session = F.col("_seen") & F.col("session").isNotNull() & ~F.col("session").isin(no_session, template)
+    per = units.groupBy("subject").agg(
+        F.bool_or("_func").alias("_func"), count_if(session).alias("n_sessions"), count_if(session & ~F.col("_marked")).alias("n_gaps"),
+        F.coalesce(F.bool_or((F.col("session") == template) & F.col("_marked")), F.lit(False)).alias("has_template"),
+    )
+    zero = F.lit(0).cast("long")
+    out = subjects.select("subject").distinct().join(per, "subject", "left").filter(~F.coalesce("_func", F.lit(False)))
+    out = out.select("subject", F.coalesce("n_sessions", zero).alias("n_sessions"), F.coalesce("n_gaps", zero).alias("n_gaps"), F.coalesce("has_template", F.lit(False)).alias("has_template"))
+    verdict = chain([(F.col("n_sessions") == 0, "lost"), (F.col("n_gaps") > 0, "gaps"), (~F.col("has_template"), "no_template")], "delivered")
+    return out.withColumn("verdict", verdict)
+
+
+def anatomy_only_check(delivery: DataFrame, name: str = "anatomy_only_delivery") -> DataFrame:
+    """The check row of :func:`anatomy_only_delivery`: a missing template warns, a lost subject or a gap fails."""
+    bad = F.col("verdict").isin("lost", "gaps")
+    out = delivery.agg(
+        F.count(F.lit(1)).alias("expected"), count_if(~bad).alias("found"), count_if(F.col("verdict") == "lost").alias("lost"),
+        count_if(F.col("verdict") == "gaps").alias("with_gaps"), count_if(F.col("verdict") == "no_template").alias("without_template"),
+    )
+    return out.select(F.lit(name).alias("check"), "*", (F.col("without_template") > 0).alias("warning"), (F.col("found") == F.col("expected")).alias("passed"))
+
+
 def terminal_phase(workflows: DataFrame, subject: str = "subject", phase: str = "phase", time: str = "started_at"):
     """Newest phase per subject, how many workflows it took, and whether a later success recovered a failure."""
     return (

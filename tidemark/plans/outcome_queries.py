@@ -547,6 +547,77 @@ def batch_checks(t):
     )
 
 
+@query(
+    "a38_manifests",
+    """
+    WITH u AS (SELECT c_custkey AS s, c_custkey IN (SELECT subject FROM workflow_runs) AS f FROM customer)
+    SELECT 'manifests' AS "check", COUNT(*) AS expected, COUNT(*) FILTER (f) AS found, 0 AS no_evidence, 0 AS gated, COUNT(*) FILTER (NOT f) AS missing, COUNT(*) FILTER (NOT f) = 0 AS passed FROM u""",
+)
+def batch_manifests(t):
+    """Every subject of the batch has a manifest, built from its workflows and their step outcomes."""
+    steps = t.step_outcomes.select("workflow_name", "subject", "step", "session", "task", "run", "status", "failure_category")
+    runs = t.workflow_runs.select("workflow_name", "subject", F.col("status").alias("workflow_status"))
+    manifests = O.build_manifests(steps, runs, ["workflow_name", "subject"], outputs=None)
+    return O.coverage_check("manifests", t.customer.select(F.col("c_custkey").alias("subject")), manifests, ["subject"])
+
+
+@query(
+    "a38_expected_steps",
+    """
+    WITH e AS (SELECT unnest(['A', 'N', 'R', 'X', 'B']) AS n), u AS (SELECT n, n IN (SELECT step FROM step_outcomes) AS f FROM e)
+    SELECT 'outcome_steps' AS "check", COUNT(*) AS expected, COUNT(*) FILTER (f) AS found, string_agg(n, ',' ORDER BY n) FILTER (NOT f) AS missing, BOOL_AND(f) AS passed FROM u""",
+)
+def expected_steps(t):
+    return O.expected_names_check("outcome_steps", t.step_outcomes, "step", ["A", "N", "R", "X", "B"])
+
+
+@query(
+    "a38_newest_version",
+    """
+    WITH w AS (SELECT subject, CASE message WHEN '5-LOW' THEN NULL WHEN '1-URGENT' THEN '1.0' ELSE '1.1' END AS v, ROW_NUMBER() OVER (PARTITION BY subject ORDER BY finished_at DESC, CAST(workflow_name AS BIGINT) DESC) AS rn FROM workflow_runs)
+    SELECT 'run_versions' AS "check", COUNT(*) AS expected, COUNT(*) FILTER (v = '1.1') AS found, COALESCE(string_agg(DISTINCT COALESCE(v, ''), ',' ORDER BY COALESCE(v, '')) FILTER (v IS DISTINCT FROM '1.1'), '') AS other_versions,
+           COUNT(*) FILTER (v = '1.1') = COUNT(*) AS passed FROM w WHERE rn = 1""",
+)
+def newest_version(t):
+    version = F.when(F.col("message") == "1-URGENT", "1.0").when(F.col("message") != "5-LOW", "1.1")
+    runs = t.workflow_runs.withColumn("version", version).withColumn("number", F.col("workflow_name").cast("long"))
+    return O.newest_version_check("run_versions", runs, ["subject"], "finished_at", "version", "1.1", ["number"])
+
+
+_DELIVERY = """
+    WITH o AS (SELECT subject, CASE WHEN session = 7 THEN 'na' ELSE 'ses-' || session END AS ses, step = 'R' AND task % 20 = 0 AS func FROM step_outcomes),
+    m AS (SELECT DISTINCT subject, CASE WHEN session = 6 THEN 'long-template' ELSE 'ses-' || session END AS ses FROM step_outcomes WHERE run % 9 > 0),
+    n AS (SELECT c_custkey AS subject FROM customer WHERE c_custkey NOT IN (SELECT subject FROM o WHERE func)),
+    e AS (SELECT DISTINCT subject, ses FROM o WHERE ses <> 'na' AND ses <> 'long-template'),
+    p AS (SELECT n.subject, COUNT(e.ses) AS n_sessions, COUNT(CASE WHEN (n.subject, e.ses) NOT IN (SELECT (subject, ses) FROM m) THEN e.ses END) AS n_gaps FROM n LEFT JOIN e USING (subject) GROUP BY n.subject),
+    d AS (SELECT *, subject IN (SELECT subject FROM m WHERE ses = 'long-template') AS has_template FROM p),
+    v AS (SELECT *, CASE WHEN n_sessions = 0 THEN 'lost' WHEN n_gaps > 0 THEN 'gaps' WHEN NOT has_template THEN 'no_template' ELSE 'delivered' END AS verdict FROM d)"""
+
+
+def _delivery(t):
+    s = F.col("session")
+    named = F.concat(F.lit("ses-"), s.cast("string"))
+    outcomes = t.step_outcomes.withColumn("session", F.when(s == 7, "na").otherwise(named))
+    markers = t.step_outcomes.filter(F.col("run") % 9 > 0).select("subject", F.when(s == 6, "long-template").otherwise(named).alias("session")).distinct()
+    functional = (F.col("step") == "R") & (F.col("task") % 20 == 0)
+    return O.anatomy_only_delivery(t.customer.select(F.col("c_custkey").alias("subject")), outcomes, markers, functional)
+
+
+@query("a38_anatomy_only_subjects", _DELIVERY + " SELECT subject, n_sessions, n_gaps, has_template, verdict FROM v")
+def anatomy_only_subjects(t):
+    return _delivery(t)
+
+
+@query(
+    "a38_anatomy_only_check",
+    _DELIVERY
+    + """ SELECT 'anatomy_only_delivery' AS "check", COUNT(*) AS expected, COUNT(*) FILTER (verdict NOT IN ('lost', 'gaps')) AS found, COUNT(*) FILTER (verdict = 'lost') AS lost, COUNT(*) FILTER (verdict = 'gaps') AS with_gaps,
+          COUNT(*) FILTER (verdict = 'no_template') AS without_template, COUNT(*) FILTER (verdict = 'no_template') > 0 AS warning, COUNT(*) FILTER (verdict NOT IN ('lost', 'gaps')) = COUNT(*) AS passed FROM v""",
+)
+def anatomy_only_check(t):
+    return O.anatomy_only_check(_delivery(t))
+
+
 @query(
     "a38_required_fields",
     """SELECT 'workflow_runs' AS "check", COUNT(*) AS n_rows, 'status' AS field, COUNT(*) FILTER (status IS NULL) AS n_empty, COUNT(*) FILTER (status IS NULL) = 0 AS passed FROM workflow_runs
