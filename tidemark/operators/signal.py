@@ -12,13 +12,12 @@ from collections.abc import Iterator, Mapping, Sequence
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tidemark.functions import tails
 from tidemark.functions.columns import count_if, finite
 from tidemark.operators.quantiles import exact_quantiles, mid_ranks, with_quantiles
-from pyspark.sql import Window
 
 
 def series_of(long: DataFrame, keys: Sequence[str], frame: str = "frame", value: str = "value") -> DataFrame:
@@ -171,6 +170,29 @@ def tissue_means(voxels: DataFrame, masks: DataFrame, run: Sequence[str], voxel:
     return frames.groupBy(*run, tissue, "frame").agg(F.avg("_v").alias("mean_signal"), F.count(F.lit(1)).alias("n_voxels"))
 
 
+def tissue_columns(
+    voxels: DataFrame, masks: DataFrame, run: Sequence[str], voxel: str, tissue: str, tissues: Sequence[str], series: str = "series"
+) -> DataFrame:
+    """Per (run, tissue, frame) the mean signal, the mask's voxel count and the run's status, a row for every frame of every run.
+
+    Statuses: `unavailable` (the run has no mask at all), `empty-mask` (a tissue has no voxel in the brain: its mean is NULL and
+    its count 0), `ok`. Means of frames are partial aggregates; voxels meet masks in one join, and a run's frames are counted
+    from the voxels themselves."""
+    labelled = voxels.join(masks.select(*run, voxel, tissue).distinct(), [*run, voxel], "left")
+    lengths = labelled.groupBy(*run).agg(F.max(F.size(series)).alias("_length"), *[count_if(F.col(tissue) == n).alias(f"_n{i}") for i, n in enumerate(tissues)])
+    drawn = masks.select(*run).distinct().withColumn("_drawn", F.lit(True))
+    empty = F.lit(False)
+    for i in range(len(tissues)):
+        empty = empty | (F.col(f"_n{i}") == 0)
+    status = F.when(F.col("_drawn").isNull(), "unavailable").when(empty, "empty-mask").otherwise("ok")
+    cells = F.array(*[F.struct(F.lit(n).alias(tissue), F.col(f"_n{i}").alias("n_voxels")) for i, n in enumerate(tissues)])
+    grid = lengths.join(drawn, list(run), "left").select(*run, "_length", status.alias("status"), F.inline(cells))
+    grid = grid.select(*run, tissue, "n_voxels", "status", F.explode(F.sequence(F.lit(0), F.col("_length") - 1)).alias("frame"))
+    frames = labelled.filter(F.col(tissue).isin(*tissues)).select(*run, tissue, F.posexplode(series).alias("frame", "_v"))
+    means = frames.groupBy(*run, tissue, "frame").agg(F.avg("_v").alias("mean_signal"))
+    return grid.join(means, [*run, tissue, "frame"], "left").select(*run, tissue, "frame", "mean_signal", "n_voxels", "status")
+
+
 def dice_by_label(a: DataFrame, b: DataFrame, keys: Sequence[str], voxel: str, label: str) -> DataFrame:
     """Dice overlap per label of two labelled voxel tables; two empty sets agree fully."""
     marked = a.select(*keys, voxel, label, F.lit(1).alias("_a"), F.lit(0).alias("_b")).unionByName(
@@ -521,3 +543,50 @@ def confounds_frame(
         wave = F.when(F.col("frame") >= F.col("_skip"), F.sqrt(F.lit(2.0) / F.col("_used")) * F.cos(angle)).otherwise(0.0)
         out = out.withColumn(f"cosine_{k:02d}", F.when(F.lit(k + 1) < order, wave))
     return out.drop("_length", "_skip", "_used")
+
+
+def motion_terms(motion: DataFrame, run: Sequence[str], frame: str, columns: Sequence[str]) -> DataFrame:
+    """Each motion column with its difference to the frame before (`_derivative1`, NULL in the first frame) and the squares of both
+    (`_power2`, `_derivative1_power2`). The previous frame is an equi-join on its number, as in :func:`framewise_displacement`."""
+    before = motion.select(*run, (F.col(frame) + 1).alias(frame), *[F.col(c).alias(f"_p_{c}") for c in columns])
+    joined = motion.join(before, [*run, frame], "left")
+    terms = []
+    for c in columns:
+        d = F.col(c) - F.col(f"_p_{c}")
+        terms += [F.col(c), d.alias(f"{c}_derivative1"), (F.col(c) * F.col(c)).alias(f"{c}_power2"), (d * d).alias(f"{c}_derivative1_power2")]
+    return joined.select(*run, frame, *terms)
+
+
+def full_confounds(
+    voxels: DataFrame,
+    motion: DataFrame,
+    run: Sequence[str],
+    n_nss: int | str,
+    most_nss: int,
+    timestep: float,
+    n_frames: int,
+    rotations: Sequence[str],
+    translations: Sequence[str],
+    series: str = "series",
+    period: float = 128.0,
+    radius: float = 50.0,
+) -> DataFrame:
+    """The whole confounds table, one row per frame: frame number, one column per non-steady-state frame (1 in it, 0 elsewhere),
+    motion with derivatives and squares, framewise displacement, DVARS, global signal and slow cosines.
+
+    `motion` has (run, frame, rotations in degrees, translations in mm). `most_nss`, the largest count of a run, sets how many
+    indicator columns there are; those beyond a run's own count are NULL in it. A frame without motion has NULLs there. The
+    frame before is joined once for the derivatives, and the displacement is the sum of their sizes."""
+    columns = [*rotations, *translations]
+    moved = motion_terms(motion.select(*run, "frame", *columns), run, "frame", columns)
+    size = F.lit(0.0)
+    for c in columns:
+        size = size + F.abs(F.col(f"{c}_derivative1")) * (math.pi / 180.0 * radius if c in rotations else 1.0)
+    moved = moved.withColumn("framewise_displacement", size)
+    signal = confounds_frame(voxels, run, n_nss, timestep, n_frames, series, period)
+    cosines = [c for c in signal.columns if c.startswith("cosine_")]
+    terms = [c for c in moved.columns if c not in (*run, "frame")]
+    count = F.sum("non_steady_state").over(Window.partitionBy(*run)) if isinstance(n_nss, str) else F.lit(n_nss)  # one row per frame of a run
+    flags = [F.when(F.lit(i) < F.col("_nss"), (F.col("frame") == i).cast("int")).alias(f"non_steady_state_outlier_{i:02d}") for i in range(most_nss)]
+    out = signal.withColumn("_nss", count).join(moved, [*run, "frame"], "left")
+    return out.select(*run, F.col("frame").alias("t_indx"), *flags, *terms, "dvars", "global_signal", *cosines)

@@ -142,6 +142,26 @@ def tissue_means(t):
     return rounded(S.tissue_means(v, masks, ["label"], "voxel", "tissue"), 9)
 
 
+@query(
+    "v8_tissue_columns",
+    _V
+    + """,
+    m AS (SELECT vec_id, label, CASE WHEN vec_id % 3 = 0 THEN 'wm' ELSE 'csf' END AS tissue FROM embeddings WHERE label % 4 <> 0 AND vec_id % 5 <> 0 AND NOT (label % 4 = 1 AND vec_id % 3 <> 0)),
+    g AS (SELECT label, tissue, frame FROM (SELECT DISTINCT label, frame FROM l), (SELECT unnest(['wm', 'csf']) AS tissue)),
+    c AS (SELECT label, tissue, COUNT(*) AS n FROM m GROUP BY ALL), k AS (SELECT label, COUNT(*) AS k FROM c GROUP BY label),
+    a AS (SELECT l.label, m.tissue, l.frame, AVG(x) AS mean FROM l JOIN m ON l.vec_id = m.vec_id AND l.label = m.label GROUP BY ALL)
+    SELECT g.label, g.tissue, g.frame, ROUND(mean, 9) AS mean_signal, COALESCE(n, 0) AS n_voxels, CASE WHEN k IS NULL THEN 'unavailable' WHEN k < 2 THEN 'empty-mask' ELSE 'ok' END AS status
+    FROM g LEFT JOIN a USING (label, tissue, frame) LEFT JOIN c ON c.label = g.label AND c.tissue = g.tissue LEFT JOIN k ON k.label = g.label""",
+)
+def tissue_columns(t):
+    """Every fourth label has no masks, another fourth only one of the two tissues."""
+    v = _voxels(t)
+    label, voxel = F.col("label"), F.col("voxel")
+    drawn = v.filter((label % 4 != 0) & (voxel % 5 != 0) & ~((label % 4 == 1) & (voxel % 3 != 0)))
+    masks = drawn.select("label", "voxel", F.when(voxel % 3 == 0, "wm").otherwise("csf").alias("tissue"))
+    return rounded(S.tissue_columns(v, masks, ["label"], "voxel", "tissue", ["wm", "csf"]), 9)
+
+
 @query(
     "v9_dice_by_label",
     """
@@ -337,3 +357,35 @@ def framewise_displacement(t):
 )
 def confounds_frame(t):
     return rounded(S.confounds_frame(_voxels(t), ["label"], 4, 0.8, 64, period=32.0), 9)
+
+
+_FLAGS = ", ".join(f"CASE WHEN {i} < nss THEN CASE WHEN g.frame = {i} THEN 1 ELSE 0 END END AS non_steady_state_outlier_{i:02d}" for i in range(4))
+_TERMS = ", ".join(
+    f"ROUND({c}, 9) AS {c}, ROUND({c} - p_{c}, 9) AS {c}_derivative1, ROUND({c} * {c}, 9) AS {c}_power2, ROUND(({c} - p_{c}) * ({c} - p_{c}), 9) AS {c}_derivative1_power2"
+    for c in ("rot_z", "trans_x")
+)
+_WAVES = ", ".join(
+    f"ROUND(CASE WHEN g.frame >= nss THEN sqrt(2.0 / (64 - nss)) * cos(pi() / (64 - nss) * {k + 1} * (g.frame - nss + 0.5)) ELSE 0 END, 9) AS cosine_{k:02d}" for k in range(2)
+)
+
+
+@query(
+    "v22_confounds_table",
+    _V
+    + f""",
+    d AS (SELECT label, frame, x, x - LAG(x) OVER (PARTITION BY vec_id ORDER BY frame) AS dx FROM l),
+    g AS (SELECT label, frame, label % 3 + 2 AS nss, AVG(x) AS global_signal, sqrt(AVG(dx * dx)) AS dvars FROM d GROUP BY ALL),
+    m AS (SELECT label, frame, AVG(CASE WHEN vec_id % 2 = 1 THEN x END) AS rot_z, AVG(CASE WHEN vec_id % 2 = 0 THEN x END) AS trans_x FROM l WHERE frame <> 40 GROUP BY ALL),
+    p AS (SELECT label, frame + 1 AS frame, rot_z AS p_rot_z, trans_x AS p_trans_x FROM m)
+    SELECT g.label, g.frame AS t_indx, {_FLAGS}, {_TERMS}, ROUND(abs(rot_z - p_rot_z) * {math.pi / 180 * 50!r} + abs(trans_x - p_trans_x), 9) AS framewise_displacement,
+           ROUND(dvars, 9) AS dvars, ROUND(global_signal, 9) AS global_signal, {_WAVES}
+    FROM g LEFT JOIN m USING (label, frame) LEFT JOIN p ON p.label = g.label AND p.frame = g.frame AND m.label IS NOT NULL""",
+)
+def confounds_table(t):
+    """Motion from the voxels' own means (frame 40 has none), two to four non-steady-state frames by run."""
+    v = _voxels(t).withColumn("nss", F.col("label") % 3 + 2)
+    frames = v.select("label", "voxel", F.posexplode("series").alias("frame", "x")).filter("frame <> 40")
+    motion = frames.groupBy("label", "frame").agg(
+        F.avg(F.when(F.col("voxel") % 2 == 1, F.col("x"))).alias("rot_z"), F.avg(F.when(F.col("voxel") % 2 == 0, F.col("x"))).alias("trans_x")
+    )
+    return rounded(S.full_confounds(v, motion, ["label"], "nss", 4, 0.8, 64, ["rot_z"], ["trans_x"], period=32.0), 9)
