@@ -72,17 +72,22 @@ def column_plan(
 
 
 def pivot_wide(long: DataFrame, unit: Sequence[str], plan: DataFrame, version: str | None = "fs_version") -> DataFrame:
-    """One row per unit, one column per planned (structure, measure), in plan order.
+    """One row per unit, one column per planned (structure, measure), in plan order; a unit without planned rows has NULLs.
 
-    The pivot values are given, so the long table is read once, and each unit is one partial aggregate."""
-    planned = plan.orderBy("column_order").select("column", "structure", "measure").collect()  # the dictionary
+    The dictionary, a row per column, is fetched for the column names. Then the long table is read once: a unit is one map from
+    column to value and its version in one grouping. Two rows of a unit for one column raise, as a map takes a key once."""
+    spark = long.sparkSession
+    planned = plan.orderBy("column_order").select("column", "structure", "measure").collect()
     names = [r["column"] for r in planned]
-    keyed = long.join(plan.select("structure", "measure", F.col("column").alias("_column")), ["structure", "measure"])
-    wide = keyed.groupBy(*unit).pivot("_column", names).agg(F.first("value"))
-    if version is None:
-        return wide.select(*unit, *[F.col(f"`{n}`") for n in names])
-    versions = long.groupBy(*unit).agg(F.min(F.when(F.col(version) != "", F.col(version))).alias(version))
-    return versions.join(wide, list(unit), "left").select(*unit, version, *[F.col(f"`{n}`") for n in names])
+    named = spark.createDataFrame(
+        [(r["structure"], r["measure"], r["column"]) for r in planned], long.select("structure", "measure", F.lit("").alias("_column")).schema
+    )
+    cell = F.when(F.col("_column").isNotNull(), F.struct("_column", "value"))
+    held = [F.map_from_entries(F.collect_list(cell)).alias("_cells")]
+    if version is not None:
+        held.append(F.min(F.when(F.col(version) != "", F.col(version))).alias(version))
+    wide = long.join(F.broadcast(named), ["structure", "measure"], "left").groupBy(*unit).agg(*held)  # a dictionary, bounded by the file formats
+    return wide.select(*unit, *([version] if version is not None else []), *[F.col("_cells")[n].alias(n) for n in names])
 
 
 def build_wide(long: DataFrame, unit: Sequence[str], source: str, out: str, bare_sources: Sequence[str] = ()) -> DataFrame:

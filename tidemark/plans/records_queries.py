@@ -219,20 +219,37 @@ def rekey_partitions(t):
     return R.rekey_by_time(flat, "completed_at", "dt").groupBy("dt").agg(F.count(F.lit(1)).alias("n"))
 
 
+_EXPORTED = {
+    "costs": ("date", "total_cost_usd"), "workflow_runs": ("finished_at", "total_duration_s"), "pod_costs": ("date", "runtime_minutes"), "step_outcomes": ("recorded_at", "outputs"),
+}
+
+
 @query(
     "s14_batch_export",
-    """SELECT 'costs' AS exported, COUNT(*) AS n_rows FROM costs WHERE date >= '1998-01-01' UNION ALL SELECT 'workflow_runs', COUNT(*) FROM workflow_runs WHERE status = 'Failed'""",
+    "WITH s AS (SELECT c_custkey AS subject FROM customer WHERE c_acctbal > 0) "
+    + " UNION ALL ".join(
+        f"SELECT '{name}' AS exported, COUNT(*) AS n_rows, COUNT(DISTINCT subject) AS n_subjects, MIN({day}) AS first_day, MAX({day}) AS last_day, ROUND(SUM({amount}), 2) AS total "
+        f"FROM {name} WHERE subject IN (SELECT subject FROM s) AND {day} BETWEEN '1995-06-01' AND '1997-12-31'"
+        for name, (day, amount) in _EXPORTED.items()
+    ),
 )
 def batch_export(t):
-    from tidemark.operators.costs import cost_scope
-    from tidemark.sources.wide_runs import export_csv
-
-    paths = export_csv(
-        {"costs": cost_scope(t.costs, date_from="1998-01-01"), "workflow_runs": t.workflow_runs.filter(F.col("status") == "Failed")},
-        scratch(t, "s14"),
-    )
-    parts = [t.spark.read.csv(p, header=True).agg(F.count(F.lit(1)).alias("n_rows")).select(F.lit(n).alias("exported"), "n_rows") for n, p in paths.items()]
-    return parts[0].unionByName(parts[1])
+    """Four tables scoped to the subjects of a batch and its days, written as CSV and read again as text."""
+    from tidemark.sources.wide_runs import export_csv, scoped_tables
+
+    subjects = t.customer.filter(F.col("c_acctbal") > 0).select(F.col("c_custkey").alias("subject"))
+    tables = {name: getattr(t, name) for name in _EXPORTED}
+    paths = export_csv(scoped_tables(tables, subjects, {n: d for n, (d, _) in _EXPORTED.items()}, "1995-06-01", "1997-12-31"), scratch(t, "s14"))
+    out = None
+    for name, (day, amount) in _EXPORTED.items():
+        # the reader takes empty folders too: columns by the table's own names
+        text = t.spark.read.csv(paths[name], header=True, schema=", ".join(f"`{c}` string" for c in tables[name].columns))
+        part = text.agg(
+            F.count(F.lit(1)).alias("n_rows"), F.countDistinct("subject").alias("n_subjects"), F.min(day).alias("first_day"), F.max(day).alias("last_day"),
+            F.round(F.sum(F.col(amount).cast("double")), 2).alias("total"),
+        ).select(F.lit(name).alias("exported"), "*")
+        out = part if out is None else out.unionByName(part)
+    return out
 
 
 @query(

@@ -4,7 +4,9 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
+from tidemark.functions.columns import micros
 from tidemark.operators import statistics as ST
+from tidemark.plans.records_queries import scratch
 from tidemark.plans.registry import query, rounded
 from tidemark.sources import stats_text as X
 from tidemark.sources import wide_runs as R
@@ -112,12 +114,39 @@ def statistics_text(t):
 
 @query(
     "s16_stable_shards",
-    "SELECT shard, COUNT(*) AS n_units FROM (SELECT DISTINCT l_orderkey, l_orderkey % 1 AS shard FROM lineitem) GROUP BY shard".replace("l_orderkey % 1", "0"),
+    """
+    WITH crc AS (SELECT list(v ORDER BY i) AS t FROM (SELECT i, list_reduce([i] || range(8), lambda c, k: CASE WHEN c % 2 = 1 THEN xor(c >> 1, 3988292384) ELSE c >> 1 END) AS v FROM range(256) r(i))),
+    u AS (SELECT 'sub-' || l_orderkey AS unit, COUNT(*) AS n, SUM(l_extendedprice) AS total FROM lineitem GROUP BY l_orderkey),
+    h AS (SELECT u.*, xor(list_reduce([4294967295] || list_transform(string_split(unit, ''), lambda x: CAST(ascii(x) AS BIGINT)), lambda c, b: xor(c >> 8, crc.t[xor(c & 255, b) + 1])), 4294967295) % 16 AS shard FROM u, crc)
+    SELECT shard, COUNT(*) AS n_units, CAST(SUM(n) AS BIGINT) AS n_rows, ROUND(SUM(total), 2) AS total FROM h GROUP BY shard""",
 )
 def stable_shards(t):
-    """CRC-32 is not a DuckDB function: the SQL checks the units of all shards together (one shard)."""
-    units = t.lineitem.select(F.col("l_orderkey").cast("string").alias("unit")).distinct()
-    return X.with_shard(units, "unit", 1).groupBy("shard").agg(F.count(F.lit(1)).alias("n_units"))
+    """Line items as long rows of units, written as 16 shards and read back; the SQL has CRC-32 bit by bit."""
+    rows = t.lineitem.select(F.concat(F.lit("sub-"), F.col("l_orderkey").cast("string")).alias("unit"), "l_extendedprice")
+    path = scratch(t, "s16")
+    X.write_shards(rows, "unit", 16, path)
+    back = t.spark.read.schema("unit string, l_extendedprice double, shard string").parquet(path)
+    out = back.groupBy(F.col("shard").cast("long").alias("shard"))
+    return rounded(out.agg(F.countDistinct("unit").alias("n_units"), F.count(F.lit(1)).alias("n_rows"), F.sum("l_extendedprice").alias("total")), 2)
+
+
+@query(
+    "s17_listed_tables",
+    """
+    WITH f AS (SELECT l_suppkey, l_partkey, COUNT(*) AS n, MAX(l_extendedprice) AS value FROM lineitem GROUP BY ALL)
+    SELECT l_suppkey AS supplier, 'part-' || l_partkey AS structure, n, value, CAST(1 AS BIGINT) AS n_files, TRUE AS listed FROM f""",
+)
+def listed_tables(t):
+    """A volume table per supplier, written as a file, listed without its content, then read whole and parsed."""
+    row = F.format_string("part-%d %.2f", "l_partkey", "l_extendedprice")
+    texts = t.lineitem.groupBy(F.col("l_suppkey").alias("supplier")).agg(F.array_join(F.array_sort(F.collect_list(row)), "\n").alias("text"))
+    root = scratch(t, "s17")
+    texts.select("text", "supplier").hint("rebalance", F.col("supplier")).write.partitionBy("supplier").text(root)
+    supplier = F.regexp_extract("path", "/supplier=([0-9]+)/", 1).cast("long").alias("supplier")
+    files = X.list_files(t.spark, root).select(supplier, "size").groupBy("supplier").agg(F.count(F.lit(1)).alias("n_files"), (F.min("size") > 0).alias("listed"))
+    named = X.read_texts(t.spark, root).select(supplier, "text", F.element_at(F.split("path", "/"), -1).alias("name"))
+    long = X.parse_all(named, ["supplier"], "name").groupBy("supplier", "structure").agg(F.count(F.lit(1)).alias("n"), F.max("value").alias("value"))
+    return long.join(files, "supplier")
 
 
 @query(
@@ -136,19 +165,35 @@ def complete_units(t):
 @query(
     "s13_numbered_runs",
     """
-    SELECT l_orderkey, l_linenumber AS run_index, MAX(l_partkey) AS uid, CAST(MAX(CASE WHEN l_linestatus = 'F' THEN 1 ELSE 0 END) AS INTEGER) AS indicator FROM lineitem GROUP BY ALL""",
+    WITH g AS (SELECT l_orderkey, l_linenumber AS run_index, MAX(l_partkey) AS uid, CAST(MAX(CASE WHEN l_linestatus = 'F' THEN 1 ELSE 0 END) AS INTEGER) AS indicator,
+                      CASE WHEN MAX(l_tax) <= 0.06 THEN 1 END AS comp, MIN(l_quantity) >= 10 AND MAX(l_discount) < 0.09 AS field_map_passes, MAX(l_shipdate) AS d FROM lineitem GROUP BY ALL)
+    SELECT l_orderkey, run_index, uid, indicator, indicator = 1 AND comp = 1 AS usable, field_map_passes,
+           epoch_us(d) // 86400000000 * 86400000000 + CASE WHEN run_index % 2 = 0 THEN 36642250000 ELSE 36642000000 END AS acquired_us FROM g""",
 )
 def numbered_runs(t):
-    """The numbered-column table is pivoted from the lines by Spark, then read back into one row per run."""
-    numbers = range(1, 8)
+    """The numbered-column table is pivoted from the lines, written as a delimited file with two spellings of the time and `n/a` for
+    what is missing, and read back into one row per run."""
     n = F.col("l_linenumber")
-    stem = "mr_y_qc__raw__rsfmri__r0"
-    wide = t.lineitem.groupBy("l_orderkey").agg(
-        *[F.max(F.when(n == i, F.col("l_partkey"))).cast("string").alias(f"{stem}{i}__series_uid") for i in numbers],
-        *[
-            F.max(F.when(n == i, F.when(F.col("l_linestatus") == "F", 1).otherwise(0))).cast("string").alias(f"{stem}{i}_indicator")
-            for i in numbers
-        ],
+    day = F.max("l_shipdate")
+    by_run = t.lineitem.groupBy("l_orderkey", n).agg(
+        F.max("l_partkey").alias("__series_uid"),
+        F.max(F.when(F.col("l_linestatus") == "F", 1).otherwise(0)).alias("_indicator"),
+        F.when(n % 2 == 0, F.date_format(day, "yyyyMMdd")).otherwise(F.date_format(day, "yyyy-MM-dd")).alias("__study_dt"),
+        F.when(n % 2 == 0, "101042.25").otherwise("10:10:42").alias("__series_t"),
+        F.lit(1).alias("__protcom_indicator"),
+        F.when(F.max("l_tax") <= 0.06, "1").otherwise("n/a").alias("__comp_indicator"),
+        F.when(F.min("l_quantity") >= 10, 1).otherwise(0).alias("__fm__fm_indicator"),
+        F.when(F.max("l_discount") >= 0.09, 1).otherwise(0).alias("__fm__invalid_indicator"),
+    )
+    by_run = by_run.withColumnRenamed("__fm__fm_indicator", "__fm_indicator").withColumns({f"__fm__{c}_indicator": F.lit(1) for c in ("protcom", "comp")})
+    fields = [c for c in by_run.columns if c.startswith("_")]
+    wide = by_run.groupBy("l_orderkey").agg(
+        *[F.max(F.when(n == i, F.col(c))).cast("string").alias(f"mr_y_qc__raw__rsfmri__r0{i}{c}") for i in range(1, 8) for c in fields]
+    )
+    path = scratch(t, "s13")
+    wide.write.csv(path, sep="\t", header=True)
+    long = R.runs_to_long(R.read_wide(t.spark, path), ("l_orderkey",), "rsfmri")
+    return long.select(
+        F.col("l_orderkey").cast("long").alias("l_orderkey"), "run_index", F.col("uid").cast("long").alias("uid"), "indicator",
+        R.usable().alias("usable"), R.field_map_passes().alias("field_map_passes"), micros("acquired").alias("acquired_us"),
     )
-    long = R.runs_to_long(wide, ("l_orderkey",), "rsfmri")
-    return long.select("l_orderkey", "run_index", F.col("uid").cast("long").alias("uid"), "indicator")

@@ -68,6 +68,23 @@ def field_map_passes():
     return (F.col("fm_indicator") == 1) & (F.col("fm_protcom") == 1) & (F.col("fm_comp") == 1) & (F.col("fm_invalid") == 0)
 
 
+def scoped_tables(
+    tables: Mapping[str, DataFrame], subjects: DataFrame, dates: Mapping[str, str], first: str | None = None, last: str | None = None
+) -> dict[str, DataFrame]:
+    """Tables restricted to a batch: rows of its subjects, and between `first` and `last` (inclusive days) of the column that
+    `dates` names for a table. The list of subjects joins by its key; it never becomes a literal in a query."""
+    units = subjects.select("subject").distinct()
+    out = {}
+    for name, df in tables.items():
+        day = dates.get(name)
+        if day and first:
+            df = df.filter(F.col(day) >= first)
+        if day and last:
+            df = df.filter(F.col(day) <= last)
+        out[name] = df.join(units, "subject", "left_semi").select(*df.columns)
+    return out
+
+
 def export_csv(tables: Mapping[str, DataFrame], out: str) -> dict[str, str]:
     """One CSV folder with header per table. Written by the tasks, part by part; nothing is gathered on the driver."""
     paths = {}
