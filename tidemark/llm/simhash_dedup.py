@@ -93,6 +93,16 @@ def block_keys(table: DataFrame, blocks: int, max_bits: int) -> DataFrame:
     return parts.select("fp", F.explode(F.array(*keys)).alias("key"))
 
 
+def blocks_for(distinct: int, max_bits: int, crowd: int = 8) -> int:
+    """The least number of blocks whose keys would hold no more than `crowd` of `distinct` fingerprints, were they spread evenly.
+
+    For 4 bits: 6 blocks give 15 keys of 20 bits or more (up to 8 million fingerprints), 7 give 35 of 27, 8 give 70 of 32."""
+    blocks = max_bits + 2
+    while blocks < BITS // 4 and distinct > crowd << sum(sorted(high - low for low, high in spans(blocks))[: blocks - max_bits]):
+        blocks += 1
+    return blocks
+
+
 def near_pairs(reps: DataFrame, max_bits: int = 4, blocks: int = 6, dense: int = 64, screen: int = 4) -> DataFrame:
     """(a, b) of distinct fingerprints: enough links for the components of "at most `max_bits` differing bits".
 
@@ -133,21 +143,22 @@ def simhash_groups(
     text_col: str = "text",
     size: int = 4,
     max_bits: int = 4,
-    blocks: int = 6,
+    blocks: int | None = None,
     dense: int = 64,
 ) -> DataFrame:
     """(id_col, fingerprint, component_id), one row per row of `docs`.
 
     Texts are lower-cased (A-Z), cut at ASCII white space and shingled by `size` words. Fingerprints link at `max_bits` or
     fewer differing bits; component_id is the smallest id reachable. Equal fingerprints are one node from the start, so a group
-    of copies costs one row. `blocks`: raise it with the corpus (6 gives 15 keys of 21 bits, 8 gives 70 of 32), which only
-    trades keys for candidates.
+    of copies costs one row. `blocks` follows the number of distinct fingerprints (:func:`blocks_for`) where none is given; it only
+    trades keys for candidates, and the components are the same.
 
     Null or wordless text: fingerprint 0, linked like any other. Null id: the row stays, its component is the smallest
     id that is not null (null if there is none). Repeated rows each get their row. No rows: no rows.
     """
     prints = cut_lineage(fingerprints(docs, id_col, text_col, size))
     reps = cut_lineage(prints.groupBy("fp").agg(F.min("_id").alias("least")))
+    blocks = blocks or blocks_for(reps.count(), max_bits)
     labels = components(near_pairs(reps.select("fp"), max_bits, blocks, dense))
     linked = reps.join(labels.hint("merge"), F.col("fp") == F.col("node"), "left").select("fp", "least", F.coalesce("label", "fp").alias("label"))
     roots = linked.groupBy("label").agg(F.min("least").alias("component_id"))
