@@ -139,6 +139,16 @@ def best_fit(sizes: list[int], capacity: int) -> list[list[int]]:
     return bins
 
 
+def dealt(waiting: DataFrame, level: int, groups: int) -> DataFrame:
+    """`waiting` with a `tie` and its partition `part`, by a hash of level, id, piece and the row's place.
+
+    The place, the same in every recomputation because `waiting` is read from a checkpoint, spreads rows that share a null or
+    repeated id."""
+    first = F.element_at("members", 1)
+    tie = F.xxhash64(F.lit(level), first["_id"], first["piece"], F.monotonically_increasing_id())
+    return waiting.withColumn("tie", tie).withColumn("part", F.pmod(F.col("tie"), F.lit(groups)))
+
+
 def residual_packing(items: DataFrame, capacity: int, leaf: int = 100_000, fan_in: int = 4, slack: int = 0) -> DataFrame:
     """(members ARRAY<STRUCT<_id, piece, length, ...>>, filled): bins of at most `capacity` from `items` (`member`, `length`).
 
@@ -170,11 +180,7 @@ def residual_packing(items: DataFrame, capacity: int, leaf: int = 100_000, fan_i
     levels = math.ceil(math.log(groups, fan_in)) + 1
     done = None
     for level in range(levels):
-        first = F.element_at("members", 1)
-        dealt = waiting.withColumn("tie", F.xxhash64(F.lit(level), first["_id"], first["piece"])).withColumn(
-            "part", F.pmod(F.col("tie"), F.lit(groups))
-        )
-        bins = cut_lineage(dealt.groupBy("part").applyInArrow(lambda t: pack_group(t), schema))
+        bins = cut_lineage(dealt(waiting, level, groups).groupBy("part").applyInArrow(lambda t: pack_group(t), schema))
         if level == levels - 1:
             return bins if done is None else done.unionByName(bins)
         least = bins.agg(F.min("filled")).first()[0] or 0
@@ -214,8 +220,8 @@ def pack_documents(
     """(id_col, piece, start, length, ids_crc32, sequence_id, offset): every piece of every document in its sequence.
 
     Full pieces are sequences by themselves and never move; the rest is packed by :func:`residual_packing`.
-    Null text: a document of the end id alone. Null ids and repeated rows are packed like any other row. Ties go by a hash
-    of id and piece, so a recomputed task packs alike. No rows: no rows.
+    Null text: a document of the end id alone. Null ids and repeated rows are packed like any other row and dealt over all partitions. Ties go
+    by a hash of id, piece and place in the checkpoint, so a recomputed task packs alike. No rows: no rows.
     """
     made = cut_lineage(pieces(docs, tokenizer, size, end_id, id_col, text_col))
     member = F.struct("_id", "piece", "start", "length", "ids_crc32")
