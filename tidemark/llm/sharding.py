@@ -37,12 +37,23 @@ def node_table(docs: DataFrame, shards: int, id_col: str, text_col: str) -> Data
 def split_hubs(nodes: DataFrame, most: int) -> DataFrame:
     """Hubs with more than `most` documents become several, each by a hash of the row; documents of no hub have null.
 
-    A hub of a third of all rows cannot fit into one shard, so it moves in parts that do.
+    A hub of a third of all rows cannot fit into one shard, so it moves in parts that do. Where a part still has more than
+    CHUNK_ROWS documents, `salt` (0 to `salts` - 1) divides it for joins and numbering, so no key is larger than that. Hubs
+    above either size are told by their counts first (there are at most rows / size of them) and do not meet the join that
+    finds the smaller ones.
     """
-    sizes = nodes.groupBy("hub").agg(F.count("*").alias("n")).filter("n > 1")
+    sizes = cut_lineage(nodes.groupBy("hub").agg(F.count("*").alias("n")).filter("n > 1"))
+    heavy = F.col("n") > min(most, CHUNK_ROWS)
+    names = [c for c in nodes.columns if c != "hub"]
+    met = nodes.join(measured(sizes.filter(heavy)), "hub", "left")
     parts = F.ceil(F.col("n") / most)
-    part = F.pmod(F.xxhash64("row"), parts)
-    return nodes.join(sizes, "hub", "left").withColumn("hub", F.when(F.col("n").isNotNull(), F.xxhash64("hub", part))).drop("n")
+    salts = F.ceil(F.col("n") / parts / CHUNK_ROWS)
+    crowd = met.filter("n is not null").select(
+        *names, F.xxhash64("hub", F.pmod(F.xxhash64("row"), parts)).alias("hub"), salts.alias("salts"), F.pmod(F.xxhash64("row", F.lit(1)), salts).alias("salt")
+    )
+    light = met.filter("n is null").drop("n").join(sizes.filter(~heavy), "hub", "left")
+    light = light.select(*names, F.when(F.col("n").isNotNull(), F.col("hub")).alias("hub"), F.lit(1).cast("long").alias("salts"), F.lit(0).cast("long").alias("salt"))
+    return crowd.unionByName(light)
 
 
 def propagate(nodes: DataFrame, shards: int, rows: int, rounds: int, slack: float) -> DataFrame:
@@ -57,11 +68,12 @@ def propagate(nodes: DataFrame, shards: int, rows: int, rounds: int, slack: floa
     linked = cut_lineage(nodes.filter("hub is not null"))
     still = {r["shard"]: r["n"] for r in alone.groupBy("shard").agg(F.count("*").alias("n")).collect()}
     for turn in range(rounds):
-        votes = linked.groupBy("hub", "shard").agg(F.count("*").alias("n"))
+        votes = linked.groupBy("hub", "shard").agg(F.count("*").alias("n"), F.max("salts").alias("salts"))
         # equal votes: by a hash, so that hubs do not all prefer the same shard
         vote = F.struct("n", F.xxhash64("hub", "shard").alias("tie"), "shard")
-        wants = votes.groupBy("hub").agg(F.max(vote)["shard"].alias("want"))
-        wished = cut_lineage(linked.join(wants, "hub"))
+        wants = votes.groupBy("hub").agg(F.max(vote)["shard"].alias("want"), F.max("salts").alias("n_salts"))
+        wants = wants.select("hub", "want", F.explode(F.sequence(F.lit(0).cast("long"), F.col("n_salts") - 1)).alias("salt"))
+        wished = cut_lineage(linked.join(wants, ["hub", "salt"]))
         flows = wished.groupBy("shard", "want").agg(F.count("*").alias("n")).collect()
         moving = [r for r in flows if r["shard"] != r["want"]]
         if not moving:
@@ -79,12 +91,12 @@ def propagate(nodes: DataFrame, shards: int, rows: int, rounds: int, slack: floa
 def even_out(nodes: DataFrame, shards: int, rows: int) -> DataFrame:
     """`nodes` with counts per shard at most one apart, and `slot`, gapless from 0 in each shard.
 
-    Rows of a shard are numbered in chunks of about CHUNK_ROWS: linked ones first, hub by hub, then the single ones. Numbers
+    Rows of a shard are numbered in chunks of about CHUNK_ROWS: linked ones first, hubs together, then the single ones. Numbers
     at or over the shard's even count move to the free places of other shards in order; so single documents go first.
     """
     chunks = max(1, -(-rows // (shards * CHUNK_ROWS)))
     chunk = F.when(F.col("hub").isNull(), F.pmod(F.xxhash64("row"), F.lit(chunks)) + chunks).otherwise(
-        F.pmod(F.xxhash64("hub", F.lit(1)), F.lit(chunks))
+        F.pmod(F.xxhash64("hub", "salt", F.lit(1)), F.lit(chunks))
     )
     nodes = nodes.withColumn("chunk", chunk)
     counts = cut_lineage(nodes.groupBy("shard", "chunk").agg(F.count("*").alias("n")))
