@@ -85,13 +85,16 @@ def filter_urls(
     names = names.select(canonical(F.col("_url")).alias("canon")).distinct()
     lanes, blocks = bloom_filter(names, "canon", bits_per_url)
 
-    placed = view.select("*", *_places("canon", blocks)).join(measured(lanes), "block", "left")
-    hit = F.coalesce(F.col("fit").isNull() & F.col("canon").isNotNull(), F.lit(False))
+    kept = ["_id", "host", "path", "fit"]
+    # what a rule decides, or has no canonical form, is set aside: it would share one key in a shuffle
+    asked = F.col("fit").isNull() & F.col("canon").isNotNull()
+    decided = view.filter(~asked).select(*kept, F.lit(False).alias("listed"))
+    placed = view.filter(asked).select("*", *_places("canon", blocks)).join(measured(lanes), "block", "left")
+    hit = F.lit(True)
     for i in range(LANES):
         hit = hit & F.coalesce(F.expr(f"shiftright(lane{i}, b{i}) & 1L") == 1, F.lit(False))
     placed = placed.withColumn("maybe", hit)
-    kept = ["_id", "host", "path", "fit"]
-    sure = placed.filter(~F.col("maybe")).select(*kept, F.lit(False).alias("listed"))
+    sure = decided.unionByName(placed.filter(~F.col("maybe")).select(*kept, F.lit(False).alias("listed")))
     exact = placed.filter("maybe").select(*kept, "canon").join(names.withColumn("found", F.lit(True)), "canon", "left")
     exact = exact.select(*kept, F.coalesce("found", F.lit(False)).alias("listed"))
     verdict = F.coalesce(F.col("fit")["verdict"], F.when(F.col("listed"), "block").otherwise("allow"))
