@@ -104,15 +104,15 @@ def test_simhash_against_brute_force(docs):
     assert collections.Counter(map(tuple, got)) == want
 
 
-@pytest.mark.parametrize("dense", [1, 64])
-def test_near_pairs_keep_every_component(spark, dense):
+@pytest.mark.parametrize(("dense", "blocks"), [(1, 6), (64, 6), (64, 7), (1, 8)])
+def test_near_pairs_keep_every_component(spark, dense, blocks):
     rng = np.random.default_rng(4)
     prints = set()
     for centre in rng.integers(0, 2**63, 12).tolist():
         for _ in range(25):
             prints.add(centre ^ sum(1 << int(b) for b in rng.choice(63, rng.integers(0, 5), replace=False)))
     prints = sorted(prints)
-    pairs = simhash_dedup.near_pairs(spark.createDataFrame([(p,) for p in prints], "fp long"), dense=dense)
+    pairs = simhash_dedup.near_pairs(spark.createDataFrame([(p,) for p in prints], "fp long"), blocks=blocks, dense=dense)
     got = {r["node"]: r["label"] for r in components(pairs).collect()}
     assert classes(got.get(p, p) for p in prints) == classes(linked(prints, 4))
 
@@ -458,6 +458,35 @@ def test_shards_are_even_gapless_and_keep_copies_together(spark):
     assert sizes[2000] == (19, zlib.crc32(b"hot")) and sizes[None] == (16, 0)
 
 
+def test_large_hubs_are_joined_and_numbered_in_parts(spark, monkeypatch):
+    monkeypatch.setattr(sharding, "CHUNK_ROWS", 20)
+    rows = [(i, "hot") for i in range(600)] + [(1000 + i, f"pair {i // 2}") for i in range(200)] + [(5000 + i, words(4, i)) for i in range(400)]
+    nodes = sharding.node_table(spark.createDataFrame(rows, "doc_id long, text string"), 4, "doc_id", "text")
+    split = sharding.split_hubs(nodes, 75).collect()
+    assert len(split) == len(rows) and sum(r["hub"] is None for r in split) == 400
+    hot = [r for r in split if r["_id"] < 600]
+    assert len({r["hub"] for r in hot}) == 8 and {r["salts"] for r in hot} == {4}
+    assert max(collections.Counter((r["hub"], r["salt"]) for r in hot).values()) < 45
+    got = sharding.balanced_shards(spark.createDataFrame(rows, "doc_id long, text string"), shards=4).collect()
+    slots = collections.defaultdict(list)
+    for r in got:
+        slots[r["shard"]].append(r["slot"])
+    assert len(got) == len(rows) and {len(v) for v in slots.values()} == {300} and all(sorted(v) == list(range(300)) for v in slots.values())
+    place = {r["doc_id"]: r["shard"] for r in got}
+    assert sum(place[1000 + i] == place[1001 + i] for i in range(0, 200, 2)) >= 85
+
+
+def test_blocks_follow_the_fingerprints():
+    assert [simhash_dedup.blocks_for(n, 4) for n in (0, 1000, 8 << 20, (8 << 20) + 1, 10**9, 10**10)] == [6, 6, 6, 7, 7, 8]
+
+
+def test_rows_without_an_id_are_dealt_over_all_groups(spark):
+    member = F.struct(F.lit(None).cast("long").alias("_id"), F.lit(0).alias("piece"))
+    waiting = spark.range(10_000).select(F.array(member).alias("members"), F.lit(3).alias("filled"))
+    sizes = best_fit_packing.dealt(waiting, 0, 20).groupBy("part").count().collect()
+    assert len(sizes) == 20 and max(r["count"] for r in sizes) < 700
+
+
 def test_classifier_learns_and_scores_every_text(spark):
     rng = np.random.default_rng(2)
     good = [" ".join(rng.choice(ALPHA, 40)) for _ in range(150)]

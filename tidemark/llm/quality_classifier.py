@@ -6,6 +6,7 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from xxhash import xxh32_intdigest
@@ -179,12 +180,22 @@ def train(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col:
     table = map_texts(sample, "features array<int>, amounts array<float>", work, ("_id", "label"), ("chars",))
     # a copied row of a document must not outgrow the bound
     table = table.groupBy("_id").agg(*(F.first(c).alias(c) for c in ("label", "features", "amounts")))
-    got = table.select("_id", "label", "features", "amounts").toArrow().sort_by("_id").combine_chunks()
-    # views of the Arrow buffers: no Python object per feature
-    features, amounts = (got.column(c).combine_chunks() for c in ("features", "amounts"))
-    ends = np.cumsum(features.value_lengths().to_numpy())[:-1] if got.num_rows else []
-    index, value = (np.split(x.flatten().to_numpy(), ends) if got.num_rows else [] for x in (features, amounts))
-    return fit(list(zip(index, value, strict=True)), got.column("label").to_numpy().astype(float))
+    model = _fitted(table.select("_id", "label", "features", "amounts").toArrow())
+    pa.default_memory_pool().release_unused()
+    return model
+
+
+def _fitted(got: pa.Table) -> FactorisationMachine:
+    """The fit over the fetched rows by id, through views of the Arrow buffers: no Python object per feature, no sorted copy."""
+    order = pc.sort_indices(got, sort_keys=[("_id", "ascending")]).to_numpy()
+    rows: list[list[np.ndarray]] = []
+    for name in ("features", "amounts"):
+        views = []
+        for chunk in got.column(name).chunks:
+            ends = np.cumsum(chunk.value_lengths().to_numpy(zero_copy_only=False))[:-1]
+            views += np.split(chunk.flatten().to_numpy(), ends) if len(chunk) else []
+        rows.append(views)
+    return fit([(rows[0][i], rows[1][i]) for i in order], got.column("label").to_numpy()[order].astype(float))
 
 
 def quality_scores(docs: DataFrame, model: FactorisationMachine, id_col: str = "doc_id", text_col: str = "text",
