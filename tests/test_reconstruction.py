@@ -59,3 +59,12 @@ def test_a_reused_name_is_told_apart_by_the_pods_start(frame):
     runs = frame(runs, "workflow_name string, run string, subject string, start_us bigint, end_us bigint")
     out = RC.reconstruct_costs(days, runs, frame([(1.0, 1.0, 1.0)], "cpu double, mem double, gpu double"), sums, "kind")
     assert {(r["day_us"] // DAY_US, r["subject"]): r["pods"] for r in out.collect()} == {(0, "A"): 1, (0, "pod"): 1, (0, "B"): 1, (1, "B"): 1}
+
+
+def test_many_open_windows_of_one_name_do_not_overflow(frame):
+    pods = [("w", p, s, s + H, "pod", "t", 3600.0, 0.0, 0.0) for p, s in (("lone", H), ("many", 5000 * H))]
+    runs = [("w", f"r{i}", f"s{i}", i * H, None) for i in range(1, 4000)]
+    pods = frame(pods, PODS).select("workflow_name", "pod", "start_us")
+    runs = frame(runs, "workflow_name string, run string, subject string, start_us bigint, end_us bigint")
+    got = RC.assign_by_window(pods, runs, ["workflow_name"], ["pod"], "start_us", "run", "start_us", "end_us")
+    assert {r["pod"]: (r["n_hits"], r["run"]) for r in got.collect()} == {"lone": (1, "r1"), "many": (3999, None)}

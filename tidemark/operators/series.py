@@ -243,7 +243,9 @@ def assign_by_window(
     line = running_sum(line, keys, order, F.col("_n").cast("long"), "n_hits", "_chunk")
     line = running_sum(line, keys, order, F.col("_no").cast("decimal(38,0)"), "_sum", "_chunk")
     line = carry_last(line, keys, order, F.col("_r"), "_before", "_chunk", include_current=True)
-    seen = line.filter("_o = 1").select(*keys, *[F.col(f"_p_{c}").alias(c) for c in pod_id], "n_hits", F.col("_sum").cast("decimal(20,0)").alias("_no"), "_before")
+    # the numbers of many open windows add up to more digits than one number has, and only a lone one is looked up
+    only = F.when(F.col("n_hits") == 1, F.col("_sum")).cast("decimal(20,0)")
+    seen = line.filter("_o = 1").select(*keys, *[F.col(f"_p_{c}").alias(c) for c in pod_id], "n_hits", only.alias("_no"), "_before")
     hits = known.groupBy(*keys, "_no").agg(F.max("_run").alias("_hit"))
     seen = seen.join(hits, [*keys, "_no"], "left").drop("_no")
 
