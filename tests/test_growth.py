@@ -4,6 +4,7 @@ import json
 
 
 from tidemark.operators import allocations as AL
+from tidemark.operators import inventory as IV
 
 
 def optimized(df):
@@ -20,3 +21,18 @@ def test_a_member_does_not_carry_the_names_of_all_members(frame):
 def test_a_set_that_names_a_member_twice_has_none(frame):
     body = '{"data": [{"p": {"totalCost": 1}, "p": {"totalCost": 2}}]}'
     assert AL.members(frame([(1, body), (2, "{'data': [{'p': {}}]}")], "date int, body string"), "body").count() == 0
+
+
+def test_a_key_meets_each_pattern_once(frame):
+    run = "sub-1_ses-1_task-rest_run-01"
+    paths = [f"derivatives/func_surf/sub-1/ses-1/fsLR32k/{run}_space-fsLR32k_bold.dtseries.nii", "derivatives/func/sub-1/other.json", None]
+    found = IV.located(frame([(p,) for p in paths], "path string"), "path", IV.RUN_PARTS, ["subject", "session", "run"])
+    assert [tuple(r) for r in found.collect()] == [("sub-1", "ses-1", "task-rest_run-01", "surf_fs")]
+    assert optimized(found).upper().count("RLIKE") == len(IV.RUN_PARTS)
+
+
+def test_patterns_with_an_optional_beginning_are_not_told_by_it(frame):
+    rows = frame([("a/x",), ("/x",), ("aa/y",), ("b/z",)], "path string")
+    parts = {"maybe": "^a?/(x)$", "either": "^b/(z)$|^aa/(y)$"}
+    got = {(r["n"], r["part"]) for r in IV.located(rows, "path", parts, ["n"]).collect()}
+    assert got == {("x", "maybe"), ("", "either"), ("z", "either")}

@@ -2,11 +2,14 @@
 
 from __future__ import annotations
 
+import re
 from collections.abc import Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from tidemark.functions.columns import col
+
 # ---- fixed values: names of terminal files and surface routes ----------------------------------------------------
 RUN_PARTS = {
     "b2t": r"^derivatives/registration/(sub-[^/]+)/(ses-[^/]+)/bold_to_t1w_[^/]+/\1_\2_(task-[^_/]+_run-[^_/]+)_desc-bold2t1w_itk\.txt$",
@@ -36,12 +39,17 @@ class InventoryError(LookupError):
 
 
 def located(listing: DataFrame, path: str, parts: Mapping[str, str], names: Sequence[str]) -> DataFrame:
-    """(names, part) of the keys that are one of `parts` (name -> pattern whose groups are `names`); other keys have no row."""
-    hits = [
-        F.when(F.col(path).rlike(p), F.struct(*[F.regexp_extract(path, p, i + 1).alias(n) for i, n in enumerate(names)], F.lit(part).alias("part")))
-        for part, p in parts.items()
-    ]
-    return listing.select(F.coalesce(*hits).alias("_hit")).filter(F.col("_hit").isNotNull()).select("_hit.*")
+    """(names, part) of the keys that are one of `parts` (name -> pattern whose groups are `names`); other keys have no row.
+
+    Only keys that begin like a pattern meet it, and the group texts are cut out once, behind a generator that is not repeated for
+    each column read from it."""
+    key = col(path)
+    hits = []
+    for part, p in parts.items():
+        start = re.match(r"\^([\w/ -]*)(?![\w/ -]|[?*{])|", p)[1] or ""
+        mine = key.startswith(start) & key.rlike(p) if start and "|" not in p else key.rlike(p)
+        hits.append(F.when(mine, F.struct(*[F.regexp_extract(key, p, i + 1).alias(n) for i, n in enumerate(names)], F.lit(part).alias("part"))))
+    return listing.select(F.inline(F.array_compact(F.array(F.coalesce(*hits)))))
 
 
 def listed_runs(markers: DataFrame, kind: str = FUNC_MARKER, part: str = "func_listed") -> DataFrame:
