@@ -2,9 +2,11 @@
 
 import json
 
+import pytest
 
 from tidemark.operators import allocations as AL
 from tidemark.operators import inventory as IV
+from tidemark.operators import signal as S
 
 
 def optimized(df):
@@ -36,3 +38,15 @@ def test_patterns_with_an_optional_beginning_are_not_told_by_it(frame):
     parts = {"maybe": "^a?/(x)$", "either": "^b/(z)$|^aa/(y)$"}
     got = {(r["n"], r["part"]) for r in IV.located(rows, "path", parts, ["n"]).collect()}
     assert got == {("x", "maybe"), ("", "either"), ("z", "either")}
+
+
+def test_spans_meet_voxels_without_a_shuffle(spark, frame):
+    rows = frame([("g", float(i % 5 + 1), float(i % 3)) for i in range(60)], "g string, a double, b double")
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        out = S.mutual_information(rows, ["g"], "a", "b")
+        assert "BroadcastHashJoin" in out._jdf.queryExecution().executedPlan().toString()
+        assert out.first()["mi"] == pytest.approx(0.0, abs=1e-12)
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)

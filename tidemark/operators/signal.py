@@ -18,6 +18,7 @@ from pyspark.sql import functions as F
 from tidemark.functions import tails
 from tidemark.functions.columns import count_if, finite
 from tidemark.operators.quantiles import exact_quantiles, mid_ranks, with_quantiles
+from tidemark.session import cut_lineage, measured
 
 
 def series_of(long: DataFrame, keys: Sequence[str], frame: str = "frame", value: str = "value") -> DataFrame:
@@ -240,6 +241,8 @@ def mutual_information(df: DataFrame, keys: Sequence[str], a: str, b: str, bins:
         # a constant image spans one unit around its value
         return F.when(width > 0, F.least(F.floor((F.col(c) - F.col(f"{c}_lo")) / width * bins), F.lit(bins - 1))).otherwise(bins // 2)
 
+    # one row per image pair meets its voxels where they are: a shuffle would put a pair's voxels into one task
+    span = measured(cut_lineage(span))
     cells = x.join(span, list(keys)).groupBy(*keys, bin_of("_a").alias("_i"), bin_of("_b").alias("_j")).agg(F.count(F.lit(1)).alias("_c"))
     total = cells.groupBy(*keys).agg(F.sum("_c").alias("_n"))
 
