@@ -5,8 +5,10 @@ import json
 import pytest
 
 from tidemark.operators import allocations as AL
+from tidemark.operators import costs as C
 from tidemark.operators import inventory as IV
 from tidemark.operators import signal as S
+from tidemark.sources import stats_text as X
 
 
 def optimized(df):
@@ -40,6 +42,13 @@ def test_patterns_with_an_optional_beginning_are_not_told_by_it(frame):
     assert got == {("x", "maybe"), ("", "either"), ("z", "either")}
 
 
+def test_a_table_line_is_split_once(frame):
+    text = "# ColHeaders Index StructName A B C\n1 hippo 1.5 2.5 nan\n# Measure Brain, BrainVol, Volume, 3, mm^3"
+    rows = X.parse_statistics(frame([(1, text)], "id int, text string"), ["id"])
+    assert {(r["structure"], r["measure"], r["value"]) for r in rows.collect()} == {("hippo", "A", 1.5), ("hippo", "B", 2.5), ("hippo", "C", None), ("Brain", "BrainVol", 3.0)}
+    assert optimized(rows).count("split(trim(line") == 1
+
+
 def test_spans_meet_voxels_without_a_shuffle(spark, frame):
     rows = frame([("g", float(i % 5 + 1), float(i % 3)) for i in range(60)], "g string, a double, b double")
     before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")

@@ -96,16 +96,25 @@ def parse_statistics(files: DataFrame, keys: Sequence[str], text: str = "text")
             ),
         )
     )
-    index = F.array_position(headers, STRUCTURE_COLUMN)
-    checked = F.when(has_table & (index == 0), F.raise_error(F.lit(f"ColHeaders without {STRUCTURE_COLUMN}"))).otherwise(index)
-    prepared = files.select(*keys, text, headers.alias("_h"), units.alias("_u"), checked.cast("int").alias("_i"), has_table.alias("_t"))
-    lines = _lines(prepared, [*keys, "_h", "_u", "_i", "_t"], text)
+    index = F.array_position("_h", STRUCTURE_COLUMN)
+    checked = F.when(F.col("_t") & (index == 0), F.raise_error(F.lit(f"ColHeaders without {STRUCTURE_COLUMN}"))).otherwise(index)
+    # the header is read once per file, and what a table's columns stand for is settled there
+    prepared = files.select(*keys, text, headers.alias("_h"), units.alias("_u"), has_table.alias("_t"))
+    columns = F.filter(
+        F.transform("_h", lambda h, i: F.struct(i.alias("item"), h.alias("measure"), F.try_element_at("_u", h).alias("unit"))),
+        lambda c: (c["item"] != F.col("_i") - 1) & ~c["measure"].isin(*DROPPED_COLUMNS),
+    )
+    columns = F.transform(columns, lambda c: F.struct(c["item"].alias("item"), c["measure"].alias("measure"), F.when(c["unit"] == "NA", "").otherwise(F.coalesce(c["unit"], F.lit(""))).alias("unit")))
+    prepared = prepared.withColumn("_i", checked.cast("int"))
+    prepared = prepared.withColumn("_c", columns)
+    lines = _lines(prepared, [*keys, "_h", "_c", "_i", "_t"], text)
     line = F.col("line")
     # measure lines: structure and measure from the left, value and unit from the right
-    body = F.transform(F.split(F.regexp_extract(line, MEASURE_PATTERN, 1), ","), lambda p: F.trim(p))
-    size = F.size(body)
+    is_measure = line.startswith("#") & line.rlike(MEASURE_PATTERN)
+    split = F.transform(F.split(F.regexp_extract(line, MEASURE_PATTERN, 1), ","), lambda p: F.trim(p))
+    body, size = F.col("_body"), F.size("_body")
     measure = F.when(
-        line.rlike(MEASURE_PATTERN) & (size >= 4) & (F.get(body, F.lit(0)) != "") & (F.get(body, F.lit(1)) != ""),
+        body.isNotNull() & (size >= 4) & (F.get(body, F.lit(0)) != "") & (F.get(body, F.lit(1)) != ""),
         F.array(
             F.struct(
                 F.lit(0).alias("item"), F.get(body, F.lit(0)).alias("structure"), F.get(body, F.lit(1)).alias("measure"),
@@ -113,22 +122,21 @@ def parse_statistics(files: DataFrame, keys: Sequence[str], text: str = "text")
             )
         ),
     )
-    fields = F.split(F.trim(line), r"\s+")
-    is_row = F.col("_t") & ~line.startswith("#") & (F.trim(line) != "") & (F.size(fields) == F.size("_h"))
-    cells = F.filter(
-        F.transform(
-            "_h",
-            lambda h, i: F.struct(
-                i.alias("item"),
-                F.get(fields, F.col("_i") - 1).alias("structure"),
-                h.alias("measure"),
-                to_number(F.get(fields, i)).alias("value"),
-                F.when(F.try_element_at("_u", h) == "NA", "").otherwise(F.coalesce(F.try_element_at("_u", h), F.lit(""))).alias("unit"),
-            ),
+    fields = F.col("_fields")
+    is_row = fields.isNotNull() & (F.size(fields) == F.size("_h"))
+    cells = F.transform(
+        "_c",
+        lambda c: F.struct(
+            c["item"].alias("item"), F.get(fields, F.col("_i") - 1).alias("structure"), c["measure"].alias("measure"),
+            to_number(F.get(fields, c["item"])).alias("value"), c["unit"].alias("unit"),
         ),
-        lambda c: (c["item"] != F.col("_i") - 1) & ~c["measure"].isin(*DROPPED_COLUMNS),
     )
-    return lines.select(*keys, "line_number", F.inline(F.coalesce(measure, F.when(is_row, cells))))
+    # a line is split once, before the generator that reads its parts for every cell
+    parts = lines.select(
+        *keys, "line_number", "_h", "_c", "_i", F.when(is_measure, split).alias("_body"),
+        F.when(F.col("_t") & ~line.startswith("#") & (F.trim(line) != ""), F.split(F.trim(line), r"\s+")).alias("_fields"),
+    )
+    return parts.select(*keys, "line_number", F.inline(F.coalesce(measure, F.when(is_row, cells))))
 
 
 def parse_curvature(files: DataFrame, keys: Sequence[str], text: str = "text") -> DataFrame:
