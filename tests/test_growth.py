@@ -6,6 +6,7 @@ import pytest
 
 from tidemark.operators import allocations as AL
 from tidemark.operators import costs as C
+from tidemark.operators import efficiency as E
 from tidemark.operators import inventory as IV
 from tidemark.operators import signal as S
 from tidemark.sources import stats_text as X
@@ -59,3 +60,12 @@ def test_spans_meet_voxels_without_a_shuffle(spark, frame):
         assert out.first()["mi"] == pytest.approx(0.0, abs=1e-12)
     finally:
         spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
+
+
+def test_the_text_of_a_line_is_not_carried(frame):
+    text = '260101-10:00:00,5 nipype.workflow INFO:\n\t [Node] Setting-up "wf.n" in "/w/fmriprep_25_2_wf/sub_1_wf/a_wf/n".\nnoise'
+    events = E.log_events(frame([("x", text)], "log string, text string"), ["log"], "text")
+    assert [(r["line_number"], r["event"], r["node"], r["path"]) for r in events.collect()] == [(1, "setup", "n", "a_wf.n")]
+    plan = optimized(events)
+    assert "_z" in plan and "_z" not in plan[: plan.index("Window")]
+    assert all("_z" not in line for line in plan.splitlines() if "Window" in line or "Join" in line or "Aggregate" in line)

@@ -54,18 +54,21 @@ def log_events(logs: DataFrame, keys: Sequence[str], text: str) -> DataFrame:
     useful = exploded.filter(line.rlike(STAMP_PATTERN) | line.contains("[Node]"))
     stamp = F.when(F.col("_z.s").isNotNull(), F.concat(F.col("_z.s"), F.lit("."), F.substring("_z.f", 1, 6)))
     useful = useful.withColumn("_us", micros(F.try_to_timestamp(stamp, F.lit("yyMMdd-HH:mm:ss.SSSSSS"))))
-    chunked = useful.withColumn("_chunk", F.floor(F.col("line_number") / LINES))
-    carried = carry_last(chunked, keys, ["line_number"], F.col("_us"), "stamp_us", "_chunk", include_current=True)
     event = (
         F.when(line.rlike(SETUP_PATTERN), "setup").when(line.rlike(EXECUTE_PATTERN), "execute")
         .when(line.rlike(CACHED_PATTERN), "cached").when(line.rlike(FINISH_PATTERN), "finish")
     )
     name = F.coalesce(*[F.nullif(F.regexp_extract(line, p, 1), F.lit("")) for p in (SETUP_PATTERN, EXECUTE_PATTERN, CACHED_PATTERN, FINISH_PATTERN)])
-    return carried.select(
-        *keys, "line_number", "stamp_us", event.alias("event"), F.substring_index(name, ".", -1).alias("node"),
-        F.when(event == "setup", normalised_path(F.regexp_extract(line, SETUP_PATTERN, 2))).alias("path"),
-        F.when(event == "finish", F.regexp_extract(line, FINISH_PATTERN, 2).cast("double")).alias("elapsed_s"),
-    ).filter(F.col("event").isNotNull())
+    # what a line says is read before the stamps are carried, so its text is never sorted or shuffled
+    useful = useful.withColumn("event", event).select(
+        *keys, "line_number", "_us", "event", F.when(F.col("event").isNotNull(), F.substring_index(name, ".", -1)).alias("node"),
+        F.when(F.col("event") == "setup", normalised_path(F.regexp_extract(line, SETUP_PATTERN, 2))).alias("path"),
+        F.when(F.col("event") == "finish", F.regexp_extract(line, FINISH_PATTERN, 2).cast("double")).alias("elapsed_s"),
+    )
+    useful = useful.filter(F.col("event").isNotNull() | F.col("_us").isNotNull())
+    chunked = useful.withColumn("_chunk", F.floor(F.col("line_number") / LINES))
+    carried = carry_last(chunked, keys, ["line_number"], F.col("_us"), "stamp_us", "_chunk", include_current=True)
+    return carried.select(*keys, "line_number", "stamp_us", "event", "node", "path", "elapsed_s").filter(F.col("event").isNotNull())
 
 
 def prefix_class(path: str | Column, rules: Mapping[str, str] | None) -> Column:
