@@ -62,6 +62,19 @@ def test_spans_meet_voxels_without_a_shuffle(spark, frame):
         spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
 
 
+def test_subjects_are_counted_on_their_own_rows(frame, monkeypatch):
+    numbers = ["total_cost_usd", "cpu_cost_usd", "memory_cost_usd", "gpu_cost_usd", "pv_cost_usd", "runtime_minutes", "cpu_efficiency", "ram_efficiency"]
+    rows = [(s, p, u, *[1.0] * len(numbers)) for s, p, u in (("a", "F", 1), ("a", "F", 1), ("a", "F", 2), ("a", None, None), (None, None, 3))]
+    plans = []
+    kept = C.cut_lineage
+    monkeypatch.setattr(C, "cut_lineage", lambda df: plans.append(optimized(df)) or kept(df))
+    out = C.step_costs(frame(rows, "step string, phase string, subject int, " + ", ".join(f"{n} double" for n in numbers)))
+    assert {(r["step"], r["phase"]): (r["n_pods"], r["n_subjects"], r["pct_of_total"], r["median_cost_usd"]) for r in out.collect()} == {
+        ("a", "F"): (3, 2, 60.0, 1.0), ("a", None): (1, 0, 20.0, 1.0), (None, None): (1, 1, 20.0, 1.0),
+    }
+    assert len(plans) == 1 and "distinct" not in plans[0].lower()
+
+
 def test_the_text_of_a_line_is_not_carried(frame):
     text = '260101-10:00:00,5 nipype.workflow INFO:\n\t [Node] Setting-up "wf.n" in "/w/fmriprep_25_2_wf/sub_1_wf/a_wf/n".\nnoise'
     events = E.log_events(frame([("x", text)], "log string, text string"), ["log"], "text")

@@ -9,7 +9,8 @@ from pyspark.sql import functions as F
 
 from tidemark.functions.columns import any_of, col, count_if, finite, first_day, last_day
 from tidemark.operators.latest import latest
-from tidemark.operators.quantiles import exact_quantiles, with_quantiles
+from tidemark.operators.quantiles import exact_quantiles, packed_key, with_quantiles
+from tidemark.session import cut_lineage
 
 #: Columns `list_price_savings` may be broken out by.
 SAVINGS_GROUPS = ("step", "phase", "subject", "node_instance_type", "date")
@@ -70,11 +71,15 @@ def share_of_total(grouped: DataFrame, value: str, out: str, scale: float = 100.
 
 
 def step_costs(pods: DataFrame, keys: Sequence[str] = ("step", "phase")) -> DataFrame:
-    """Where the money goes: one row per component with size, spread and request efficiency."""
+    """Where the money goes: one row per component with size, spread and request efficiency.
+
+    Subjects are counted on their own narrow rows: counted beside the sums, every subject of every component would carry all the
+    sums through a shuffle. The sums are kept for the grand total, so they are taken once."""
     keys = list(keys)
+    component = packed_key(keys)
+    subjects = pods.select(component.alias("_of"), "subject").distinct().groupBy("_of").agg(F.count("subject").alias("n_subjects"))
     grouped = pods.groupBy(*keys).agg(
         F.count(F.lit(1)).alias("n_pods"),
-        F.countDistinct("subject").alias("n_subjects"),
         F.sum("total_cost_usd").alias("total_cost_usd"),
         F.avg("total_cost_usd").alias("mean_cost_usd"),
         F.max("total_cost_usd").alias("max_cost_usd"),
@@ -83,6 +88,9 @@ def step_costs(pods: DataFrame, keys: Sequence[str] = ("step", "phase")) -> Data
         F.avg("cpu_efficiency").alias("mean_cpu_efficiency"),
         F.avg("ram_efficiency").alias("mean_ram_efficiency"),
     )
+    grouped = grouped.withColumn("_of", component).join(subjects, "_of").drop("_of")
+    own = [*keys, "n_pods", "n_subjects"]
+    grouped = cut_lineage(grouped.select(*own, *[c for c in grouped.columns if c not in own]))
     grouped = share_of_total(grouped, "total_cost_usd", "pct_of_total")
     return with_quantiles(
         grouped, pods, keys, "total_cost_usd", {"median_cost_usd": 0.5, "p95_cost_usd": 0.95}
