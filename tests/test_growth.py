@@ -1,6 +1,7 @@
 """Work per row that stays the same however many rows there are: members, keys, lines, spans and subjects."""
 
 import json
+import random
 
 import pytest
 
@@ -82,3 +83,37 @@ def test_the_text_of_a_line_is_not_carried(frame):
     plan = optimized(events)
     assert "_z" in plan and "_z" not in plan[: plan.index("Window")]
     assert all("_z" not in line for line in plan.splitlines() if "Window" in line or "Join" in line or "Aggregate" in line)
+
+
+def _crowd(n, seed):
+    """Lines of one log: set-ups that wait across others, executions hundreds of lines long, one that never ends, finishes of nothing."""
+    rnd, lines = random.Random(seed), []
+    for i in range(n):
+        start = 1_000_000 * i
+        lines += [(start, 0, "setup", f"{'ab'[i % 2]}_wf.n{i}", None), (start + rnd.choice([0, 0, 0, 2_500_000]), 1, "execute", None, None)]
+        if i:
+            took = rnd.randrange(1, 40)
+            lines.append((start + took * 1_000_000, 2, "finish", None, took + rnd.choice([0.0, 0.0, 0.0, 0.4])))
+        if i % 9 == 4:
+            lines.append((start + 5_500_000, 3, rnd.choice(["finish", "cached", "execute"]), None, 2.0))
+    stamped = [(at if rnd.random() > 0.02 else None, event, path, took) for at, _, event, path, took in sorted(lines, key=lambda x: x[:2])]
+    return [("l", number, at, event, "n", path, took) for number, (at, event, path, took) in enumerate(stamped)]
+
+
+@pytest.mark.parametrize(("seed", "put_off"), [(1, 1000), (2, 1000), (3, 0)])
+def test_a_long_log_is_matched_in_pieces(frame, monkeypatch, seed, put_off):
+    schema = "log string, line_number long, stamp_us long, event string, node string, path string, elapsed_s double"
+    lines = _crowd(150, seed)
+    events = frame([*lines, *((None, *x[1:]) for x in lines[:40]), ("short", *lines[0][1:]), ("short", *lines[3][1:])], schema)
+
+    def matched():
+        return sorted(map(str, E.executed_nodes(events, ["log"], {"a_wf": "one", "b_wf": "two"}).collect()))
+
+    whole = matched()
+    monkeypatch.setattr(E, "PIECE_LINES", 60)
+    monkeypatch.setattr(E, "PUT_OFF", put_off)
+    tasks = []
+    pieces = E._in_pieces
+    monkeypatch.setattr(E, "_in_pieces", lambda *a: tasks.append(a) or pieces(*a))
+    assert matched() == whole and len(tasks) == 1
+    assert any("ambiguous=True" in r for r in whole) and any("path=None" in r for r in whole)

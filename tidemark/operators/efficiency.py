@@ -2,18 +2,20 @@
 
 from __future__ import annotations
 
+import json
 from bisect import bisect_left, insort
 from collections import deque
 from collections.abc import Iterator, Mapping, Sequence
 
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tidemark.functions.columns import col, count_if, finite, micros, strict_sum
 from tidemark.operators.intervals import concurrency_shares, union_length
 from tidemark.operators.ordered import carry_last
-from tidemark.operators.quantiles import with_quantiles
+from tidemark.operators.quantiles import packed_key, with_quantiles
+from tidemark.session import measured, written_once
 
 # ---- fixed values: log line patterns ----------------------------------------------------------------------------
 STAMP_PATTERN = r"^(\d{6}-\d\d:\d\d:\d\d),(\d+) nipype\."
@@ -30,6 +32,12 @@ UNMAPPED = "unmapped"
 
 #: Lines of a log that one window holds.
 LINES = 10_000
+#: Lines of a log that are matched in one go; a longer log is matched in pieces.
+PIECE_LINES = 200_000
+#: Events of a piece that are put off until the state before it is known.
+PUT_OFF = 20_000
+#: The event of the row that tells a piece's state at its beginning.
+STATE = "(state)"
 
 
 def normalised_path(workdir: str | Column) -> Column:
@@ -84,19 +92,69 @@ def executed_nodes(
     """Executed nodes: each finish line with the in-flight node of that name that started nearest to finish − elapsed.
 
     A second candidate of another stage or tag about as near makes the pairing ambiguous; a finish without a candidate is
-    unpaired (NULL path). One shuffle puts the lines of a (log, node) in order and they are streamed through :class:`_InFlight`
-    batch by batch: it holds the set-ups that wait and the executions in flight, so neither a long log nor an execution that
-    never ends is ever in memory as a whole."""
+    unpaired (NULL path). Lines are written once. Those of a (log, node) are put in order and streamed through :class:`_InFlight`
+    batch by batch; where logs are longer than PIECE_LINES, their pieces are matched side by side (:func:`_in_pieces`)."""
     unit = [*keys, "node"]
     kind = F.concat_ws("|", prefix_class("path", stages), prefix_class("path", tags))
     expected = F.col("stamp_us") - F.rint(F.col("elapsed_s") * 1_000_000).cast("long")
     lines = events.select(
         *unit, "line_number", "event", "path", F.when(F.col("event") == "setup", kind).alias("class"),
         F.when(F.col("event") == "finish", expected).otherwise(F.col("stamp_us")).alias("start_us"), F.col("stamp_us").alias("end_us"), "elapsed_s",
+        # lines without a number come first
+        F.coalesce(F.floor(F.col("line_number") / PIECE_LINES), F.lit(-1)).cast("long").alias("_piece"),
     )
     types = {f.name: f.dataType.simpleString() for f in events.schema.fields}
-    schema = ", ".join(f"`{k}` {types[k]}" for k in unit) + ", path string, start_us bigint, end_us bigint, elapsed_s double, ambiguous boolean"
-    return lines.repartition(*unit).sortWithinPartitions(*unit, "line_number").mapInArrow(_match_stream(unit), schema)
+    schema = ", ".join(f"`{k}` {types[k]}" for k in unit)
+    lines = written_once(lines)
+    ends = lines.agg(F.min("_piece").alias("low"), F.max("_piece").alias("high")).first()
+    if ends["low"] == ends["high"]:
+        whole = lines.repartition(*unit).sortWithinPartitions(*unit, "line_number")
+        return whole.mapInArrow(_match_stream(unit), f"{schema}, {_MATCHED}")
+    return _in_pieces(lines, unit, schema)
+
+
+_MATCHED = "path string, start_us bigint, end_us bigint, elapsed_s double, ambiguous boolean"
+
+
+def _in_pieces(lines: DataFrame, unit: list[str], schema: str) -> DataFrame:
+    """The matching of logs cut into pieces by line number, each piece in a task of its own, with the result of one pass in line order.
+
+    A first pass matches each piece without knowing what was in flight before it and puts off the events that concern it
+    (:class:`_Unknown`). Per (log, node) those few are then gone through in order, which tells the state that each piece is likely to begin with.
+    The second pass matches every piece from that state and tells the one it ends with. Where all pieces end as the next ones
+    began, the matching is that of one pass. Where one does not, the next piece is matched again from the right state,
+    until all agree: a piece at a time in the worst case, and never more than a piece and its state in a task."""
+    place = [*unit, "_piece"]
+
+    def streamed(rows: DataFrame, begin: DataFrame | None) -> DataFrame:
+        if begin is not None:
+            state = {"event": F.lit(STATE), "path": F.col("state")}
+            first = begin.select(*[c if c in place else state.get(c, F.lit(None)).cast(lines.schema[c].dataType).alias(c) for c in lines.columns])
+            rows = first.unionByName(rows)
+        rows = rows.repartition(*place).sortWithinPartitions(*place, ~F.col("event").eqNullSafe(STATE), "line_number")
+        return rows.mapInArrow(_match_pieces(unit, begin is None), f"{schema}, _piece bigint, {_MATCHED}, begun string, state string")
+
+    unknown = streamed(lines, None).select(*place, "state")
+    begin = unknown.groupBy(*unit).applyInArrow(_begin_states(unit), f"{schema}, _piece bigint, state string")
+    rounds = [written_once(streamed(lines, begin))]
+    while True:
+        every = rounds[0].withColumn("_round", F.lit(0))
+        for n, one in enumerate(rounds[1:], 1):
+            every = every.unionByName(one.withColumn("_round", F.lit(n)))
+        told = every.filter("state IS NOT NULL").groupBy(*place).agg(F.max_by(F.struct("begun", "state", "_round"), "_round").alias("_t")).select(*place, "_t.*")
+        before = told.withColumn("_before", F.lag("state").over(Window.partitionBy(*unit).orderBy("_piece")))
+        wrong = before.filter("_before <> begun").groupBy(*unit).agg(F.min("_piece").alias("_piece"), F.min_by("_before", "_piece").alias("state"))
+        wrong = written_once(wrong)
+        if wrong.isEmpty():
+            break
+        pieces = measured(wrong.select(packed_key(place).alias("_of")))
+        again = lines.join(pieces, packed_key(place) == F.col("_of"), "left_semi")
+        rounds.append(written_once(streamed(again, wrong)))
+    matched = every.filter("state IS NULL")
+    if len(rounds) > 1:
+        last = measured(told.select(packed_key([*place, "_round"]).alias("_of")))
+        matched = matched.join(last, packed_key([*place, "_round"]) == F.col("_of"), "left_semi")
+    return matched.select(*unit, "path", "start_us", "end_us", "elapsed_s", "ambiguous")
 
 
 class _InFlight:
@@ -108,6 +166,31 @@ class _InFlight:
         self.timed: dict[str, list[tuple[int, int, str]]] = {}
         self.untimed: list[tuple[int, str]] = []
 
+    def step(self, line: int, event: str | None, path: str | None, kind: str | None, start: int | None) -> tuple[str | None, bool] | None:
+        """Go on by one line; a finish gives what :meth:`finish` does."""
+        if event == "setup":
+            self.waiting.append((path, kind))
+        elif event == "execute":
+            self.begin(line, start)
+        elif event == "cached":
+            if self.waiting:
+                self.waiting.popleft()
+        elif event == "finish":
+            return self.finish(start)
+        return None
+
+    def told(self) -> str:
+        """All that is held, as text: equal for equal states."""
+        return json.dumps([list(self.waiting), self.timed, self.untimed], sort_keys=True)
+
+    def add(self, told: str):
+        """Take in what another one held, begun later than what is held here."""
+        waiting, timed, untimed = json.loads(told)
+        self.waiting.extend(map(tuple, waiting))
+        for kind, held in timed.items():
+            self.timed[kind] = sorted([*self.timed.get(kind, []), *map(tuple, held)], key=lambda x: x[:2])
+        self.untimed.extend(map(tuple, untimed))
+
     def begin(self, line: int, start: int | None):
         if not self.waiting:
             return
@@ -151,29 +234,46 @@ class _InFlight:
         return path
 
 
+class _Unknown(_InFlight):
+    """In flight since the beginning of a piece. What concerns executions from before it is put off, as `later`: a finish that
+    belongs before the first execution here, one with nothing in flight, and what takes a set-up where none waits."""
+
+    def __init__(self):
+        super().__init__()
+        self.later: list[tuple] = []
+        self.since: int | None = None
+
+    def step(self, line, event, path, kind, start):
+        if event == "finish":
+            before = start is None or self.since is None or start < self.since or not (self.timed or self.untimed)
+        else:
+            before = event in ("execute", "cached") and not self.waiting
+        if before and len(self.later) < PUT_OFF:
+            self.later.append((line, event, path, kind, start))
+            return None
+        if event == "execute" and self.since is None:
+            self.since = start
+        return super().step(line, event, path, kind, start)
+
+
+_LINE = ("line_number", "event", "path", "class", "start_us")
+
+
 def _match_stream(unit: list[str]):
     """A map over rows sorted by unit and line: the state goes on from batch to batch and starts anew with each unit."""
 
     def match(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         now, flight = None, _InFlight()
         for batch in batches:
-            columns = [batch.column(c).to_pylist() for c in (*unit, "line_number", "event", "path", "class", "start_us")]
+            columns = [batch.column(c).to_pylist() for c in (*unit, *_LINE)]
             place, paths, unsure = [], [], []
             for i, (*key, line, event, path, kind, start) in enumerate(zip(*columns, strict=True)):
                 if key != now:
                     now, flight = key, _InFlight()
-                if event == "setup":
-                    flight.waiting.append((path, kind))
-                elif event == "execute":
-                    flight.begin(line, start)
-                elif event == "cached":
-                    if flight.waiting:
-                        flight.waiting.popleft()
-                elif event == "finish":
-                    path, rival = flight.finish(start)
+                if (found := flight.step(line, event, path, kind, start)) is not None:
                     place.append(i)
-                    paths.append(path)
-                    unsure.append(rival)
+                    paths.append(found[0])
+                    unsure.append(found[1])
             kept = batch.take(pa.array(place, pa.int64()))
             made = [*(kept.column(k) for k in unit), pa.array(paths, pa.string()), *(kept.column(c) for c in ("start_us", "end_us", "elapsed_s")), pa.array(unsure, pa.bool_())]
             yield pa.RecordBatch.from_arrays(made, names=[*unit, "path", "start_us", "end_us", "elapsed_s", "ambiguous"])
@@ -181,6 +281,68 @@ def _match_stream(unit: list[str]):
     return match
 
 
+def _match_pieces(unit: list[str], unknown: bool):
+    """A map over rows sorted by unit, piece and line. `unknown`: one row per piece, with what it held at its end and what it put off as
+    `state`. Else a piece's first row has the state it begins with; the finishes are followed by a row with that as `begun` and
+    with the state at the end."""
+    place = [*unit, "_piece"]
+    names = [*place, "path", "start_us", "end_us", "elapsed_s", "ambiguous", "begun", "state"]
+
+    def match(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        now, flight, begun, kinds = None, None, None, None
+
+        def end() -> pa.RecordBatch:
+            state = json.dumps([flight.told(), flight.later]) if unknown else flight.told()
+            row = {**dict(zip(place, now, strict=True)), "begun": begun, "state": state}
+            return pa.RecordBatch.from_arrays([pa.array([row.get(n)], kinds[n]) for n in names], names=names)
+
+        for batch in batches:
+            if kinds is None:
+                kinds = {n: batch.schema.field(n).type for n in (*place, "path", "start_us", "end_us", "elapsed_s")}
+                kinds |= {"ambiguous": pa.bool_(), "begun": pa.string(), "state": pa.string()}
+            columns = [batch.column(c).to_pylist() for c in (*place, *_LINE)]
+            at, paths, unsure, ends = [], [], [], []
+            for i, (*key, line, event, path, kind, start) in enumerate(zip(*columns, strict=True)):
+                if key != now:
+                    if now is not None:
+                        ends.append(end())
+                    now, flight, begun = key, _Unknown() if unknown else _InFlight(), None
+                if event == STATE:
+                    begun = path
+                    flight.add(path)
+                elif (found := flight.step(line, event, path, kind, start)) is not None and not unknown:
+                    at.append(i)
+                    paths.append(found[0])
+                    unsure.append(found[1])
+            if at:
+                kept = batch.take(pa.array(at, pa.int64()))
+                nothing = pa.nulls(len(at), pa.string())
+                made = [*(kept.column(k) for k in place), pa.array(paths, kinds["path"]), *(kept.column(c) for c in ("start_us", "end_us", "elapsed_s")), pa.array(unsure, pa.bool_()), nothing, nothing]
+                yield pa.RecordBatch.from_arrays(made, names=names)
+            yield from ends
+        if now is not None:
+            yield end()
+
+    return match
+
+
+def _begin_states(unit: list[str]):
+    """A map over the pieces of one unit: the state that each is likely to begin with, from what the pieces before it held and put off."""
+
+    def walk(table: pa.Table) -> pa.Table:
+        table = table.sort_by("_piece")
+        flight, states = _InFlight(), []
+        for told in table.column("state").to_pylist():
+            states.append(flight.told())
+            held, later = json.loads(told)
+            for line in later:
+                flight.step(*line)
+            flight.add(held)
+        return table.select([*unit, "_piece"]).append_column("state", pa.array(states, pa.string()))
+
+    return walk
+
+
 def longest_prefix(df: DataFrame, path: str, rules: DataFrame, out: str, default: str | None = UNMAPPED) -> DataFrame:
     """Value of the longest rule whose prefix is the path or one of its ancestors.
 
