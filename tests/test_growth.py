@@ -6,6 +6,7 @@ import random
 import pytest
 
 from tidemark.operators import allocations as AL
+from tidemark.operators import audit_report as AR
 from tidemark.operators import costs as C
 from tidemark.operators import efficiency as E
 from tidemark.operators import inventory as IV
@@ -117,3 +118,15 @@ def test_a_long_log_is_matched_in_pieces(frame, monkeypatch, seed, put_off):
     monkeypatch.setattr(E, "_in_pieces", lambda *a: tasks.append(a) or pieces(*a))
     assert matched() == whole and len(tasks) == 1
     assert any("ambiguous=True" in r for r in whole) and any("path=None" in r for r in whole)
+
+
+def test_what_an_audit_ranks_is_computed_once(frame, monkeypatch):
+    texts, numbers = ["workflow_name", "pod", "step", "subject", "session", "problem", "node_instance_id"], ["runtime_minutes", "total_cost_usd", "ondemand_usd", "cpu_cost_usd", "memory_cost_usd", "gpu_cost_usd", "pv_cost_usd", "network_cost_usd", "node_effective_usd_per_hour", "node_ondemand_usd_per_hour", "gpu_hours"]
+    rows = [(w, p, "a", "s", "1", None, "i", 3, *[1.0] * len(numbers)) for w, p in (("v", "p"), ("w", "p"), (None, "q"))]
+    plans = []
+    kept = AR.with_quantiles
+    monkeypatch.setattr(AR, "with_quantiles", lambda grouped, df, *rest: plans.append(optimized(df)) or kept(grouped, df, *rest))
+    out = AR.audit_report(frame(rows, f"{', '.join(f'{t} string' for t in texts)}, scrape_age_days int, {', '.join(f'{n} double' for n in numbers)}"))
+    got = {(r["section"], r["measure"]): r["value"] for r in out.filter("item IN ('', 'a')").collect()}
+    assert got["scope", "n_workflows"] == 2 and got["coverage", "pods"] == 3 and got["per_step", "runtime_min_p95"] == 1.0
+    assert len(plans) == 1 and "Union" not in plans[0] and "Join" not in plans[0]

@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from tidemark.functions.columns import count_if, finite
 from tidemark.operators.costs import SETTLED_AGE_DAYS
 from tidemark.operators.quantiles import with_quantiles
-from tidemark.session import cut_lineage
+from tidemark.session import cut_lineage, written_once
 
 # ---- fixed values: steps that bring data in -----------------------------------------------------------------------
 INGRESS_STEPS = ("https-transfer", "verify-staged-input", "delete-globus-input", "globus-transfer")
@@ -68,6 +68,7 @@ def session_shares(pods: DataFrame, sessions: DataFrame | None = None) -> DataFr
     spent = pods.filter(~F.col("ingress") & F.col("subject").isNotNull()).groupBy("subject", "session").agg(
         *[F.when(F.count(m) == every, F.sum(m)).alias(m) for m in money], *[(F.count(m) < every).alias(f"no_{m}") for m in money]
     )
+    spent = written_once(spent)
     seen = spent.filter("session <> ''").select("subject", "session", F.lit(0).cast("long").alias("n_runs"))
     if sessions is None:
         units = seen
@@ -107,15 +108,17 @@ def audit_report(
     def usd(c: Column) -> Column:
         return F.when(settled, c)
 
-    one = pods.agg(
-        F.countDistinct("workflow_name").alias("n_workflows"), F.coalesce(F.sum("rows"), F.lit(0)).alias("n_rows"), F.count(F.lit(1)).alias("pods"),
+    # the distinct count apart, or all sums would be shuffled by workflow
+    workflow_names = pods.agg(F.countDistinct("workflow_name").alias("n")).scalar()
+    one = cut_lineage(pods.agg(
+        F.coalesce(F.sum("rows"), F.lit(0)).alias("n_rows"), F.count(F.lit(1)).alias("pods"),
         F.count("on_demand").alias("priced"), count_if(F.col("carried")).alias("carried"),
         *[F.sum(c).alias(c) for c in ("covered_usd", "covered_list_usd", "all_usd", "operated", "on_demand")],
         F.sum(F.when(F.col("ingress"), F.col("operated"))).alias("in_usd"), F.sum(F.when(F.col("ingress"), F.col("runtime_minutes"))).alias("in_min"),
-    )
+    ))
     c = F.col
     parts = [
-        _cells(one, "scope", "", {"n_workflows": c("n_workflows"), "n_pod_rows": c("n_rows"), "settled": settled.cast("int")}),
+        _cells(one, "scope", "", {"n_workflows": workflow_names, "n_pod_rows": c("n_rows"), "settled": settled.cast("int")}),
         _cells(one, "coverage", "", {"pods": c("pods"), "priced_at_list": c("priced"), "unpriced": c("pods") - c("priced"), "carried_instance_no_effective_rate": c("carried")}),
         _cells(one, "spot_savings", "", {
             "operated_usd_covered": usd(c("covered_usd")), "on_demand_usd_covered": usd(c("covered_list_usd")),
@@ -137,7 +140,7 @@ def audit_report(
     }))
 
     # all distributions in one pass: (section, item) is the key of the narrowing
-    shares = cut_lineage(session_shares(pods, sessions))
+    shares = written_once(session_shares(pods, sessions))
     names = [f"{m}_{s}" for m in ("operated", "on_demand") for s in ("full", "1k", "1k_per_run")]
     parts.append(_cells(shares.agg(F.count(F.lit(1)).alias("n")), "per_session", "", {"n_sessions": c("n")}))
     values = _cells(shares, "per_session", "", {n: c(n) for n in names}).select("section", F.col("measure").alias("item"), "value")
@@ -146,6 +149,7 @@ def audit_report(
         hours = (F.col("total_duration_s") / 3600.0).cast("double")
         values = values.unionByName(workflows.select(F.lit("workflow_wall_clock_h").alias("section"), F.lit("").alias("item"), hours.alias("value")))
     keys = ["section", "item"]
+    values = written_once(values)  # read by each pass of the quantiles
     spread = values.groupBy(*keys).agg(F.count("value").alias("n"), F.max("value").alias("top"))
     spread = with_quantiles(spread, values, keys, "value", {"p5": 0.05, "p50": 0.5, "p95": 0.95})
     wanted = {
