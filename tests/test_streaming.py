@@ -60,6 +60,18 @@ def test_a_hot_key_leaves_each_batch_as_one_row(spark):
     assert {r["pod"]: r["end"] for r in got}["hot"] == max(i for i in range(10_000) if i % 7 == 0 and i % 3)
 
 
+def test_small_arrow_batches_are_put_together(spark):
+    name = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    before = spark.conf.get(name)
+    spark.conf.set(name, "100")
+    try:
+        rows = spark.range(5_000).select(F.lit("hot").alias("pod"), F.timestamp_seconds("id").alias("at"), F.col("id").alias("end")).coalesce(1)
+        got = sightings._combined(rows, ["pod"], ["at"], "end", True).collect()
+        assert [(r["sightings"], r["end"]) for r in got] == [(5_000, 4_999)]
+    finally:
+        spark.conf.set(name, before)
+
+
 def test_late_rows_are_counted(spark, tmp_path):
     schema = "ts timestamp, kind string, usd double"
     source, out, checkpoint = (str(tmp_path / x) for x in ("in", "out", "checkpoint"))
