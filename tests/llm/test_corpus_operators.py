@@ -164,6 +164,32 @@ def test_near_groups_are_the_components_of_exact_similarity(spark):
     assert 20 < len(set(want.values())) < len(rows) - 20
 
 
+def test_a_large_family_leaves_few_pairs_to_the_last_round(spark, monkeypatch):
+    base, rng, rows = words(150, 31).split(), np.random.default_rng(32), []
+    for i in range(300):
+        edited = list(base)
+        for at in rng.choice(150, rng.integers(1, 7) if i else 0, replace=False):
+            edited[at] = f"new{i}x{at}"
+        rows.append((i, " ".join(edited)))
+    whole, made = simhash_dedup._all_pairs, []
+
+    def counted(left, similarity):
+        pairs = whole(left, similarity)
+        made.append(pairs.count())
+        return pairs
+
+    monkeypatch.setattr(simhash_dedup, "_all_pairs", counted)
+    got = simhash_dedup.near_groups(spark.createDataFrame(rows, "doc_id long, text string")).collect()
+    sets = [{tuple(w[k : k + 5]) for k in range(len(w) - 4)} for w in (t.split() for _, t in rows)]
+    root = list(range(len(rows)))
+    for a in range(len(rows)):
+        for b in range(a):
+            if len(sets[a] & sets[b]) >= 0.8 * len(sets[a] | sets[b]) and root[a] != root[b]:
+                root = [root[b] if r == root[a] else r for r in root]
+    assert {r["_id"]: r["winner"]["_id"] for r in got} == {i: root.index(root[i]) for i in range(len(rows))}
+    assert 50 < len(set(root)) < 200 and made[0] < len(rows)
+
+
 def test_components_of_a_long_chain_and_a_hub(spark):
     edges = [(i, i + 1) for i in range(60)] + [(100, 100 + i) for i in range(1, 40)] + [(500, 500)]
     got = dict(map(tuple, components(spark.createDataFrame(edges, "a long, b long")).collect()))

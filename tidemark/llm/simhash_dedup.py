@@ -179,7 +179,7 @@ _MIX = (0x9E3779B97F4A7C15, 0xBF58476D1CE4E5B9, 0x94D049BB133111EB, 0xD6E8FEB866
 REFERENCES = 24
 #: Deviations beyond the expected distance that the screens allow, and the size of sets under which no screen is asked.
 DEVIATIONS, SMALL_SET = 6.0, 64
-#: Rounds that compare neighbours only, before all pairs that are still in different groups.
+#: Rounds that compare one or two pairs a member only, before all pairs that are still in different groups.
 NEIGHBOUR_ROUNDS = 2
 #: Nodes that a task remembers in order to write the prefix of copies once.
 SEEN_NODES = 200_000
@@ -357,13 +357,20 @@ def similar_pairs(pairs: DataFrame, table: DataFrame, view: DataFrame, size: int
 
 
 def _neighbours(left: DataFrame, turn: int, similarity: float) -> DataFrame:
-    """Pairs next to each other among the members of a shingle: by size, then in hashed orders. The members of a frequent
-    shingle are spread over windows by another hash."""
+    """Pairs of members of a shingle, one or two a member. First each member and the one of its size that has the fewest rarer
+    shingles: the text that a family was edited from, or the least edited copy, is in reach of all that two copies with other edits
+    are not. Then members next to each other by size and in a hashed order. The members of a frequent shingle are spread over
+    windows by another hash."""
     spread = F.pmod(F.xxhash64("node", F.lit(turn + 100)), F.ceil(F.col("members") / WINDOW_ROWS))
-    order = [F.col("n"), F.col("node")] if turn == 0 else [F.xxhash64("node", F.lit(turn))]
     one = F.struct("node", "at", "n", "label")
-    after = F.lead(one).over(Window.partitionBy("gram", spread).orderBy(*order))
-    both = left.select(one.alias("x"), after.alias("y")).filter("y is not null and x.label <> y.label")
+    if turn == 0:
+        alike = F.floor(F.log("n") / max(-math.log(similarity), 1e-3))  # of one number: within the ratio of sizes
+        ends = F.array(F.first(one).over(Window.partitionBy("gram", spread, alike).orderBy("at", "node")))
+    else:
+        window = Window.partitionBy("gram", spread)
+        ends = F.array(*(F.lead(one).over(window.orderBy(*order)) for order in (["n", "node"], [F.xxhash64("node", F.lit(turn))])))
+    met = left.select(one.alias("x"), ends.alias("ends"))
+    both = met.select("x", F.explode("ends").alias("y")).filter("y is not null and x.label <> y.label")
     return both.filter(may_reach(F.col("x"), F.col("y"), similarity))
 
 
@@ -389,8 +396,8 @@ def near_groups(
     REFERENCES reference sketches, a stored table, differ too much (:func:`screened`); survivors are counted on the sets
     themselves. The screens lose a pair of the similarity with a chance of about 1e-9 and keep all pairs of small sets.
 
-    Texts with equal sets are one node. Rounds compare neighbours first, which joins most of a family at a cost in
-    proportion to its size; pairs inside a group need no comparison. Last, every candidate pair still in two groups is compared,
+    Texts with equal sets are one node. Rounds compare members with the least edited one and with neighbours first
+    (:func:`_neighbours`), which joins most of a family at a cost in proportion to its size; pairs inside a group need no comparison. Last, every candidate pair still in two groups is compared,
     so no link is lost or capped; a family of which most pairs are candidates under the similarity costs its pairs. The
     winner is the least (id, key) of the group; `key` is a 64-bit hash of the text.
 
