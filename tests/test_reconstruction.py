@@ -68,3 +68,35 @@ def test_many_open_windows_of_one_name_do_not_overflow(frame):
     runs = frame(runs, "workflow_name string, run string, subject string, start_us bigint, end_us bigint")
     got = RC.assign_by_window(pods, runs, ["workflow_name"], ["pod"], "start_us", "run", "start_us", "end_us")
     assert {r["pod"]: (r["n_hits"], r["run"]) for r in got.collect()} == {"lone": (1, "r1"), "many": (3999, None)}
+
+
+def test_rows_of_pods_are_shuffled_by_their_chunk_and_their_day_only(frame):
+    days = RC.pod_days(frame([("w", "p", H, 2 * H, "pod", "t", 3600.0, 0.0, 0.0)], PODS), "start_us", "end_us")
+    sums = RC.type_sums(frame([("a", 0, "t", 1.0, 0.0, 0.0, 1.0, 0.0, 0.0)], BILLED), "kind")
+    runs = frame([("w", "one", "A", 0, 5 * H)], "workflow_name string, run string, subject string, start_us bigint, end_us bigint")
+    out = RC.reconstruct_costs(days, runs, frame([(1.0, 1.0, 1.0)], "cpu double, mem double, gpu double"), sums, "kind")
+    plan = out._jdf.queryExecution().executedPlan().toString()
+    dealt = [line for line in plan.splitlines() if "Exchange hashpartitioning" in line]
+    assert not any("pod#" in line for line in dealt)
+    assert sum("REPARTITION_BY_COL" in line for line in dealt) == 1 and len(dealt) <= 8
+
+
+def test_rows_of_a_pod_go_by_its_latest_start(frame):
+    pods = [("w", "p", H, 2 * H, "pod", "t", 3600.0, 0.0, 0.0), ("w", "p", 7 * H, 8 * H, "pod", "t", 7200.0, 0.0, 0.0), ("w", "q", H, 2 * H, "pod", "t", 3600.0, 0.0, 0.0), (None, "p", H, 2 * H, "nobody", "t", 3600.0, 0.0, 0.0)]
+    days = RC.pod_days(frame(pods, PODS), "start_us", "end_us")
+    runs = [("w", "one", "A", 0, 3 * H), ("w", "two", "B", 6 * H, 9 * H), ("w", "two", "C", 20 * H, 21 * H), (None, "one", "D", 0, 3 * H), ("w", None, "E", 0, 3 * H)]
+    runs = frame(runs, "workflow_name string, run string, subject string, start_us bigint, end_us bigint")
+    sums = RC.type_sums(frame([("a", 0, "t", 1.0, 0.0, 0.0, 1.0, 0.0, 0.0)], BILLED), "kind")
+    scraped = frame([(0, "w", 5.0)], "day_us bigint, workflow_name string, usd double")
+    out = RC.reconstruct_costs(days, runs, frame([(1.0, 1.0, 1.0)], "cpu double, mem double, gpu double"), sums, "kind", scraped)
+    got = {(r["workflow_name"], r["subject"]): (r["pods"], r["total_cost_usd"], r["scraped_total_cost_usd"]) for r in out.collect()}
+    assert got == {("w", "C"): (2, 3.0, 5.0), ("w", "A"): (1, 1.0, 5.0), (None, "nobody"): (1, 1.0, None)}
+
+
+def test_windows_that_end_before_they_begin_hold_no_pod_and_hide_none(frame):
+    runs = frame([("w", "odd", 50 * H, 10 * H), ("w", "good", 20 * H, 40 * H), ("v", "lone", None, None)], "w string, run string, s bigint, e bigint")
+    pods = frame([("w", "p", 30 * H), ("w", "q", 45 * H), ("w", "r", 60 * H), ("w", "never", None), ("v", "s", None), ("v", "t", H), ("u", "z", H)], "w string, pod string, at bigint")
+    got = RC.assign_by_window(pods, runs, ["w"], ["pod"], "at", "run", "s", "e", chunk_us=H)
+    assert {r["pod"]: (r["n_candidates"], r["n_hits"], r["run"]) for r in got.collect()} == {
+        "p": (2, 1, "good"), "q": (2, 0, "good"), "r": (2, 0, "odd"), "never": (2, 0, None), "s": (1, 0, "lone"), "t": (1, 0, None), "z": (0, 0, None),
+    }

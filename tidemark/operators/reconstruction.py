@@ -5,7 +5,7 @@ from __future__ import annotations
 from collections.abc import Sequence
 from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tidemark.functions.columns import col
@@ -13,7 +13,7 @@ from tidemark.operators.intervals import day_share
 from tidemark.operators.ordered import DAY_US
 from tidemark.operators.quantiles import exact_quantiles
 from tidemark.operators.series import assign_by_window
-from tidemark.session import measured
+from tidemark.session import measured, written_once
 
 
 @dataclass(frozen=True)
@@ -70,7 +70,7 @@ def unit_ratios(days: DataFrame, billed: DataFrame, keys: Sequence[str], compone
         ]
     )
     long = asked.join(paid, list(keys)).select(F.explode(F.filter(cells, lambda x: x.isNotNull())).alias("x")).select("x.*")
-    medians = exact_quantiles(long, ["component"], "ratio", {"ratio": 0.5})
+    medians = exact_quantiles(written_once(long), ["component"], "ratio", {"ratio": 0.5})
     picked = [F.max(F.when(F.col("component") == c.name, F.nullif(F.col("ratio"), F.lit(0.0)))) for c in components]
     return medians.agg(*[F.coalesce(p, F.lit(c.default)).alias(c.name) for p, c in zip(picked, components, strict=True)])
 
@@ -106,15 +106,10 @@ def reconstruct_costs(
     `days`: :func:`pod_days` of the pods. `runs` (workflow, run, subject, start_us, end_us): a reused workflow name is told apart
     by the run whose window holds the pod's start; its subject goes before the one the pod was seen with. A type that
     was not billed has the pooled rates. `scraped` (day_us, workflow, usd) is what billing had, put beside it."""
-    units = days.groupBy(workflow, *pod).agg(F.max(start).alias(start))
-    placed = assign_by_window(units, runs, [workflow], list(pod), start, "run", "start_us", "end_us")
-    placed = placed.select(F.col(workflow).alias("_w"), *[F.col(c).alias(f"_{c}") for c in pod], F.col("run").alias("_run"))
-    named = runs.groupBy(F.col(workflow).alias("_rw"), F.col("run").alias("_rr")).agg(F.max("subject").alias("_subject"))
-    placed = placed.join(named, (F.col("_w") == F.col("_rw")) & (F.col("_run") == F.col("_rr")), "left").drop("_rw", "_rr", "_run")
-    same = F.col(workflow).eqNullSafe(F.col("_w"))
-    for c in pod:
-        same = same & F.col(c).eqNullSafe(F.col(f"_{c}"))
-    rows = days.join(placed, same, "left").drop("_w", *[f"_{c}" for c in pod])
+    named = F.struct(F.col("run"), F.max("subject").over(Window.partitionBy(workflow, "run")).alias("subject"))
+    runs = written_once(runs.select(workflow, F.when(F.col("run").isNotNull(), named).alias("_run"), "start_us", "end_us"))
+    others = [c for c in days.columns if c not in (workflow, *pod, start)]
+    rows = assign_by_window(days, runs, [workflow], list(pod), start, "_run", "start_us", "end_us", chunk_us=DAY_US, carry=others)
 
     def known(c: str) -> Column:
         return F.nullif(F.col(c), F.lit(""))
@@ -127,13 +122,13 @@ def reconstruct_costs(
     rows = rows.withColumns(scalars).withColumn("_price", F.coalesce("_own", "_pooled"))
     for c in components:
         rows = rows.withColumn(f"_{c.name}_h", F.col(c.seconds) / 3600 * F.col(f"_ratio.{c.name}") * F.col("fraction"))
-    subject = F.coalesce(known("_subject"), known("subject"), F.lit("")).alias("subject")
-    out = rows.groupBy("day_us", workflow, subject).agg(
-        F.count(F.lit(1)).alias("pods"), F.sum("minutes").alias("pod_minutes"),
-        *[F.sum(f"_{c.name}_h").alias(c.hours) for c in components],
-        *[F.sum(F.col(f"_{c.name}_h") * F.col(f"_price.{c.name}")).alias(c.usd) for c in components],
-        F.count_if(F.col(kind).isNull()).alias("pods_without_instance_type"),
-    )
+    subject = F.coalesce(known("_run.subject"), known("subject"), F.lit("")).alias("subject")
+    sums = {"pods": F.count(F.lit(1)), "pod_minutes": F.sum("minutes")}
+    sums |= {c.hours: F.sum(f"_{c.name}_h") for c in components} | {c.usd: F.sum(F.col(f"_{c.name}_h") * F.col(f"_price.{c.name}")) for c in components}
+    sums |= {"pods_without_instance_type": F.count_if(F.col(kind).isNull())}
+    # rows of a workflow and a chunk lie together and are added up there; the sums are dealt out as what was billed is joined
+    parts = rows.groupBy(workflow, "_chunk", "day_us", subject).agg(*[x.alias(n) for n, x in sums.items()])
+    out = parts.repartition("day_us", workflow).groupBy("day_us", workflow, "subject").agg(*[F.sum(n).alias(n) for n in sums])
     out = out.withColumn("total_cost_usd", sum((F.col(c.usd) for c in components[1:]), F.col(components[0].usd)))
     if scraped is not None:
         held = scraped.select(F.col("day_us").alias("_day"), F.col(workflow).alias("_w"), F.col("usd").alias("scraped_total_cost_usd"))

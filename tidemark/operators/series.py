@@ -6,9 +6,11 @@ from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from tidemark.functions.columns import chain, count_if
 from tidemark.operators.ordered import HOUR_US, carry_last, next_value, previous_value, running_sum, time_chunk
+from tidemark.session import measured, written_once
 
 
 def asof_earlier(
@@ -195,6 +197,10 @@ def attachment_status(has_run, missing_flag, has_pair):
     )
 
 
+#: Chunks that a key's rows without a time are dealt to, and a number below that of any chunk of times.
+UNTIMED_CHUNKS, UNTIMED = 256, -(2**40)
+
+
 def assign_by_window(
     pods: DataFrame,
     runs: DataFrame,
@@ -206,60 +212,82 @@ def assign_by_window(
     end: str,
     slack_us: int = 120_000_000,
     chunk_us: int = HOUR_US,
+    carry: Sequence[str] | None = None,
 ) -> DataFrame:
     """The run each pod belongs to, by start time: the one window (with slack) that holds it; several hits give none;
     no hit falls back to the nearest run that had started; a pod without a time gets the only candidate.
 
-    Pods and runs never meet in pairs. On one chunked timeline a window adds one and its own number where it opens (slack
-    before its start) and takes both off where it has closed: a pod's running count is its number of hits, and where that is
-    one the running number is the run's. The nearest earlier start is a carried value. A window without an end stays open."""
+    Pods and runs never meet in pairs. On one chunked timeline a window adds one where it opens (slack before its start) and
+    takes it off where it has closed: a pod's running count is its number of hits. Where that is one, the open window is
+    the one that ends last of those opened so far, a running maximum; the nearest earlier start is a carried value. What the chunks
+    before hold is one more row at the head of each chunk that has pods, so pods are shuffled and sorted once, and no pod is looked
+    up again. A window without an end stays open, one that ends before it begins never opens.
+
+    One row per pod; with `carry` (other columns of `pods`) every row of `pods` with these columns and its `_chunk`, by which rows lie
+    together with their keys."""
     keys, pod_id = list(keys), list(pod_id)
     known = runs.select(*keys, F.col(run_id).alias("_run"), F.col(start).alias("_s"), F.col(end).alias("_e"))
     known = known.filter(F.col("_run").isNotNull()).dropna(subset=keys)
-    number = F.xxhash64(*keys, "_run", "_s", "_e").cast("decimal(20,0)")
-    known = known.withColumn("_no", number)
     per_key = known.groupBy(*keys).agg(F.count("_run").alias("n_candidates"), F.max("_run").alias("_only"))
 
-    # order at one instant: windows open and runs start, pods look, windows close
+    # order at one instant: the chunk's past, windows open and runs start, pods look, windows close
     none, run_type = F.lit(None), known.schema["_run"].dataType
-    nothing = none.cast("decimal(20,0)")
+    until = F.coalesce(F.col("_e") + slack_us, F.lit(2**63 - 1)).cast("long")
+    opens = F.col("_s") - slack_us
+    nobody = none.cast(T.StructType([T.StructField("until", T.LongType()), T.StructField("run", run_type)]))
 
-    def event(us, order, ids, count, number, run):
-        return F.struct(us.cast("long").alias("_us"), F.lit(order).alias("_o"), *ids, F.lit(count).alias("_n"), number.alias("_no"), run.cast(run_type).alias("_r"))
+    def event(us, order, count, last, run):
+        return F.struct(us.cast("long").alias("_us"), F.lit(order).alias("_o"), F.lit(count).cast("long").alias("_n"), last.alias("_last"), run.cast(run_type).alias("_r"))
 
-    units = pods.groupBy(*keys, *pod_id).agg(F.max(at).alias(at))
-    types = {f.name: f.dataType for f in units.schema.fields}
-    nobody = [none.cast(types[c]).alias(f"_p_{c}") for c in pod_id]
+    begun = event(F.col("_s"), 0, 0, nobody, F.col("_run"))
     edges = F.array(
-        event(F.col("_s") - slack_us, 0, nobody, 1, F.col("_no"), none),
-        event(F.col("_s"), 0, nobody, 0, nothing, F.col("_run")),
-        event(F.col("_e") + slack_us, 2, nobody, -1, -F.col("_no"), none),
+        event(opens, 0, 1, F.struct(until.alias("until"), F.col("_run").alias("run")), none), begun, event(F.col("_e") + slack_us, 2, -1, nobody, none),
     )
+    edges = F.when(until >= opens, edges).otherwise(F.array(begun))
     marks = known.filter(F.col("_s").isNotNull()).select(*keys, F.inline(edges)).filter(F.col("_us").isNotNull())
-    mine = [F.col(c).alias(f"_p_{c}") for c in pod_id]
-    looks = units.filter(F.col(at).isNotNull()).dropna(subset=keys).select(*keys, F.inline(F.array(event(F.col(at), 1, mine, 0, nothing, none))))
-    line = marks.unionByName(looks).withColumn("_chunk", time_chunk("_us", chunk_us))
-    order = ["_us", "_o", "_r", "_no", *[f"_p_{c}" for c in pod_id]]
-    line = running_sum(line, keys, order, F.col("_n").cast("long"), "n_hits", "_chunk")
-    line = running_sum(line, keys, order, F.col("_no").cast("decimal(38,0)"), "_sum", "_chunk")
-    line = carry_last(line, keys, order, F.col("_r"), "_before", "_chunk", include_current=True)
-    # the numbers of many open windows add up to more digits than one number has, and only a lone one is looked up
-    only = F.when(F.col("n_hits") == 1, F.col("_sum")).cast("decimal(20,0)")
-    seen = line.filter("_o = 1").select(*keys, *[F.col(f"_p_{c}").alias(c) for c in pod_id], "n_hits", only.alias("_no"), "_before")
-    hits = known.groupBy(*keys, "_no").agg(F.max("_run").alias("_hit"))
-    seen = seen.join(hits, [*keys, "_no"], "left").drop("_no")
-
-    placed = units.join(per_key, keys, "left").fillna(0, ["n_candidates"])
+    marks = marks.withColumn("_chunk", time_chunk("_us", chunk_us))
+
+    units = pods.groupBy(*keys, *pod_id).agg(F.max(at).alias(at)) if carry is None else _at_latest(pods, [*keys, *pod_id], at)
+    untimed = F.lit(UNTIMED) - F.pmod(F.xxhash64(*pod_id), F.lit(UNTIMED_CHUNKS))
+    units = units.select(*keys, *pod_id, at, *(carry or []), F.coalesce(time_chunk(at, chunk_us), untimed).alias("_chunk"))
+    looks = units.withColumns({"_us": F.col(at).cast("long"), "_o": F.lit(1), "_n": F.lit(0).cast("long")})
+
+    # the past of each chunk that has pods
+    held = marks.groupBy(*keys, "_chunk").agg(F.sum("_n").alias("_n"), F.max("_last").alias("_last"), F.max(F.when(F.col("_r").isNotNull(), F.struct("_us", "_r"))).alias("_r"))
+    held = held.withColumn("_r", F.col("_r._r"))
+    past = held.unionByName(units.select(*keys, "_chunk").distinct().withColumn("_looked", F.lit(True)), allowMissingColumns=True)
+    before = Window.partitionBy(*keys).orderBy("_chunk").rangeBetween(Window.unboundedPreceding, -1)
+    past = past.withColumns({"_n": F.coalesce(F.sum("_n").over(before), F.lit(0)), "_last": F.max("_last").over(before), "_r": F.last("_r", ignorenulls=True).over(before)})
+    past = past.filter("_looked").drop("_looked").join(per_key, keys, "left")
+    only = F.when(F.col("n_candidates") == 1, F.col("_only"))
+    past = past.withColumn("_r", F.when(F.col("_chunk") <= UNTIMED, only).otherwise(F.col("_r"))).drop("_only")
+    past = past.withColumns({"_us": (F.col("_chunk") * chunk_us).cast("long"), "_o": F.lit(-1)})
+    past = past.withColumn("_us", F.when(F.col("_chunk") > UNTIMED, F.col("_us")))
+
+    line = looks.unionByName(marks, allowMissingColumns=True).unionByName(past, allowMissingColumns=True)
+    here = Window.partitionBy(*keys, "_chunk").orderBy("_us", "_o", "_r").rowsBetween(Window.unboundedPreceding, 0)
+    line = line.withColumns({
+        "n_hits": F.sum("_n").over(here), "_last": F.max("_last").over(here), "_r": F.last("_r", ignorenulls=True).over(here),
+        "n_candidates": F.coalesce(F.max("n_candidates").over(here), F.lit(0)).cast("long"),
+    })
+    run = F.when(F.col("n_hits") == 1, F.col("_last.run")).when(F.col("n_hits") == 0, F.col("_r"))
+    out = line.filter("_o = 1").withColumn("_placed", run)
+    return out.select(*keys, *pod_id, at, *([] if carry is None else [*carry, "_chunk"]), "n_candidates", "n_hits", F.col("_placed").alias(run_id))
+
+
+def _at_latest(rows: DataFrame, unit: Sequence[str], at: str) -> DataFrame:
+    """`rows` with `at` as the latest one of their unit. Units are compared by a hash and two times; only rows of the few
+    hashes under which times differ are grouped by the unit itself."""
+    unit = list(unit)
+    number = F.xxhash64(*unit)
+    spread = rows.groupBy(number.alias("_h")).agg(F.min(at).alias("_lo"), F.max(at).alias("_hi"), F.bool_or(F.col(at).isNull()).alias("_some"))
+    spread = written_once(spread.filter((F.col("_lo") < F.col("_hi")) | (F.col("_some") & F.col("_hi").isNotNull())).select("_h"))
+    if spread.isEmpty():
+        return rows
+    latest = rows.withColumn("_h", number).join(measured(spread), "_h", "left_semi").groupBy(*unit).agg(F.max(at).alias("_latest"))
+    latest = written_once(latest.select(*[F.col(c).alias(f"_q_{c}") for c in unit], "_latest"))
     same = F.lit(True)
-    for c in [*keys, *pod_id]:
+    for c in unit:
         same = same & F.col(c).eqNullSafe(F.col(f"_q_{c}"))
-    seen = seen.select(*[F.col(c).alias(f"_q_{c}") for c in [*keys, *pod_id]], "n_hits", "_before", "_hit")
-    placed = placed.join(seen, same, "left").withColumn("n_hits", F.coalesce("n_hits", F.lit(0)).cast("long"))
-    run = chain(
-        [
-            (F.col(at).isNull(), F.when(F.col("n_candidates") == 1, F.col("_only"))),
-            (F.col("n_hits") == 1, F.col("_hit")),
-            (F.col("n_hits") == 0, F.col("_before")),
-        ]
-    )
-    return placed.select(*keys, *pod_id, at, "n_candidates", "n_hits", run.alias(run_id))
+    rows = rows.join(measured(latest), same, "left").withColumn(at, F.coalesce("_latest", at))
+    return rows.drop("_latest", *[f"_q_{c}" for c in unit])

@@ -23,6 +23,9 @@ SETTINGS = {
 }
 
 
+#: Whether the shuffle files of a SQL execution go at its end.
+SHUFFLES_REMOVED = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+
 #: Narrow rows up to which a join side is broadcast.
 BROADCAST_ROWS = 100_000
 
@@ -73,7 +76,14 @@ def cut_lineage(df: DataFrame) -> DataFrame:
 
 def written_once(df: DataFrame) -> DataFrame:
     """`df` as Parquet files below the checkpoint folder, read back: for wide rows that are dear to compute and read several times,
-    and that take a fraction of a checkpoint's space as compressed columns."""
-    path = f"{checkpoint_dir(df.sparkSession).rstrip('/')}/rows-{uuid.uuid4().hex}"
-    df.write.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+    and that take a fraction of a checkpoint's space as compressed columns. Shuffle files of the write go when it has ended; nothing
+    else reads them."""
+    spark = df.sparkSession
+    path = f"{checkpoint_dir(spark).rstrip('/')}/rows-{uuid.uuid4().hex}"
+    before = spark.conf.get(SHUFFLES_REMOVED, None)
+    spark.conf.set(SHUFFLES_REMOVED, "true")
+    try:
+        df.write.parquet(path)
+    finally:
+        spark.conf.unset(SHUFFLES_REMOVED) if before is None else spark.conf.set(SHUFFLES_REMOVED, before)
+    return spark.read.schema(df.schema).parquet(path)
