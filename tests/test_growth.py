@@ -2,7 +2,9 @@
 
 import json
 import random
+from datetime import datetime
 
+import pyarrow as pa
 import pytest
 
 from tidemark.operators import allocations as AL
@@ -11,6 +13,8 @@ from tidemark.operators import costs as C
 from tidemark.operators import efficiency as E
 from tidemark.operators import inventory as IV
 from tidemark.operators import signal as S
+from tidemark.plans import cost_queries as Q
+from tidemark.plans.standins import allocation_sets
 from tidemark.sources import stats_text as X
 
 
@@ -130,3 +134,39 @@ def test_what_an_audit_ranks_is_computed_once(frame, monkeypatch):
     got = {(r["section"], r["measure"]): r["value"] for r in out.filter("item IN ('', 'a')").collect()}
     assert got["scope", "n_workflows"] == 2 and got["coverage", "pods"] == 3 and got["per_step", "runtime_min_p95"] == 1.0
     assert len(plans) == 1 and "Union" not in plans[0] and "Join" not in plans[0]
+
+
+def test_a_set_goes_from_the_parser_to_its_rows_without_being_a_row(frame):
+    body = json.dumps({"data": [{f"pod-{i}": {"totalCost": i / 8} for i in range(50)}, {"second": {}}]})
+    members = AL.members(frame([(1, body), (2, '{"data": [null]}'), (3, None), (4, '{"data": [{}]}')], "date int, body string"), "body")
+    plan = optimized(members)
+    assert "explode(array(from_json" not in plan and "explode(array(get(from_json" not in plan and plan.count("Generate") == 2
+    assert sorted((r["date"], r["member"]) for r in members.collect()) == sorted((1, f"pod-{i}") for i in range(50))
+
+
+def test_responses_are_made_one_date_at_a_time(frame):
+    line = "l_orderkey bigint, l_partkey bigint, l_suppkey bigint, l_linenumber int, l_quantity double, l_extendedprice double, l_discount double, l_tax double, l_returnflag string, l_linestatus string, l_shipdate timestamp_ntz"
+    days = [datetime(1995, 1, 2), datetime(1995, 1, 3), None]
+    rows = [(i, 7, 8, 1 + i % 7, 2.0, 100.0 + i, 0.1, 0.0, "R", "F", days[i % 3]) for i in range(300)]
+
+    class Given:
+        lineitem = frame(rows, line).repartition(5)
+
+    made = Q._pod_responses(Given)
+    assert "collect_list" not in optimized(made)
+    got = {r["date"]: json.loads(r["body"])["data"] for r in made.collect()}
+    assert set(got) == {"1995-01-02", "1995-01-03", None} and all(len(x) == 1 and len(x[0]) == 101 and x[0]["__idle__"] is None for x in got.values())
+    prices = {m.removeprefix("__unallocated__").split("-")[0]: v["totalCost"] for x in got.values() for m, v in x[0].items() if v}
+    assert prices == {str(i): 100.0 + i for i in range(300)}
+    assert sum(m.startswith("__unallocated__") for x in got.values() for m in x[0]) == sum(1 + i % 7 == 5 for i in range(300))
+
+
+def test_sets_are_joined_across_batches_and_hold_a_member_once():
+    def batch(*rows):
+        return pa.RecordBatch.from_arrays([pa.array(c, pa.string()) for c in zip(*rows, strict=True)], names=["date", "member", "text"])
+
+    one, two = batch(("a", "p", '{"p":1}'), ("a", "q", '{"q":{"x":2}}')), batch(("a", "r", '{"r":3}'), ("b", "p", '{"p":"é"}'), (None, "p", '{"p":5}'))
+    got = [(b.column(0)[0].as_py(), json.loads(b.column(1)[0].as_py())["data"]) for b in allocation_sets(iter([one, two]))]
+    assert got == [("a", [{"p": 1, "q": {"x": 2}, "r": 3, "__idle__": None}]), ("b", [{"p": "é", "__idle__": None}]), (None, [{"p": 5, "__idle__": None}])]
+    with pytest.raises(ValueError, match="twice on a"):
+        list(allocation_sets(iter([one, one])))
